@@ -110,10 +110,11 @@ def _neighbours(df: DataFrame, parent: Sequence[str], order: str, tiebreak: Sequ
     """Rows of each group numbered in order; for each offset k the values of
     row rn+k, found by an equi-join on (group, rn) (no hot window partition)."""
     r = ordered.row_number(df, order, parent, tiebreak=tiebreak, name="_rn")
-    side = r.select(*parent, F.col("_rn").alias("_nrn"), *[F.col(c).alias(f"_n_{c}") for c in cols])
+    side = r.select(*[F.col(p).alias(f"_s_{p}") for p in parent], F.col("_rn").alias("_nrn"),
+                    *[F.col(c).alias(f"_n_{c}") for c in cols])
     ex = r.withColumn("_off", F.explode(F.array(*[F.lit(k) for k in offsets])))
-    return ex.join(side, on=[*[ex[p] == side[p] for p in parent], ex["_rn"] + ex["_off"] == side["_nrn"]],
-                   how="left").drop(*[side[p] for p in parent])
+    cond = [F.col(p) == F.col(f"_s_{p}") for p in parent] + [F.col("_rn") + F.col("_off") == F.col("_nrn")]
+    return ex.join(side, on=cond, how="left").drop(*[f"_s_{p}" for p in parent])
 
 
 def smooth(sic: DataFrame, parent: Sequence[str], order: str, value: str, half_width: int = 2,

@@ -142,9 +142,10 @@ def score_matches(peaks: DataFrame, fragments: DataFrame, keys: Sequence[str], p
                   peak_int: str, frag_mz: str, tol_da: float) -> DataFrame:
     """Matched fragment count, summed matched intensity and hyperscore
     (log10 of n! * sum intensity) per (keys)."""
-    j = range_join(peaks, fragments, [Tol(peak_mz, frag_mz, tol_da)], on=[(k, k) for k in keys])
-    g = j.groupBy(*[peaks[k] for k in keys]).agg(F.count(F.lit(1)).alias("n_matched"),
-                                                  F.sum(peak_int).alias("matched_intensity"))
+    fr = fragments.select(*[F.col(k).alias(f"_f_{k}") for k in keys], frag_mz)
+    j = range_join(peaks, fr, [Tol(peak_mz, frag_mz, tol_da)], on=[(k, f"_f_{k}") for k in keys])
+    g = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_matched"),
+                             F.sum(peak_int).alias("matched_intensity"))
     lfact = F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("n_matched").cast("int"), F.lit(1))),
                         F.lit(0.0), lambda a, i: a + F.log10(i))
     return g.withColumn("hyperscore", lfact + F.log10(F.col("matched_intensity")))

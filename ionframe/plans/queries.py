@@ -283,10 +283,11 @@ def q26_bins(spark, sf):
 
 
 def q27_cluster_gaps(spark, sf):
-    """part prices; a gap > 0.15 starts a new cluster."""
-    p = table(spark, sf, "part").select("p_retailprice", F.col("p_size").cast("double").alias("w"))
-    c = scans.compress_peaks(p, [], "p_retailprice", "w", 0.15)
-    return c.select(F.col("cluster_id").cast("long").alias("cluster_id"), F.round("center", 6).alias("center"),
+    """customer balances as peaks (weight 1); a gap > 10 between
+    neighbouring distinct values starts a new cluster."""
+    c = table(spark, sf, "customer").select("c_acctbal", F.lit(1.0).alias("w"))
+    g = scans.compress_peaks(c, [], "c_acctbal", "w", 10.0)
+    return g.select(F.col("cluster_id").cast("long").alias("cluster_id"), F.round("center", 6).alias("center"),
                     F.round("total", 4).alias("total"), "n_peaks", "mz_min", "mz_max")
 
 
