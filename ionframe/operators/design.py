@@ -47,8 +47,9 @@ def plex_from_order(df: DataFrame, path: str, name: str = "tmt_plex") -> DataFra
     """Plex ``S<i>`` by the position of ``path`` in the sorted
     list of distinct paths (a dense rank over the small list of files)."""
     paths = df.select(path).distinct()
-    ranked = ordered.row_number(paths, F.lit(0), tiebreak=[path], name="_i")
-    ranked = ranked.select(path, F.concat(F.lit("S"), F.col("_i").cast("string")).alias(name))
+    # a list of files: small by nature, so one ordered window is fine here
+    i = F.row_number().over(Window.orderBy(path))
+    ranked = paths.select(path, F.concat(F.lit("S"), i.cast("string")).alias(name))
     return df.join(F.broadcast(ranked), on=path)
 
 
@@ -70,7 +71,7 @@ def normalize_labels(vials: DataFrame, label: str = "vial_label", plex: str = "t
 
 
 def make_unique(df: DataFrame, col: str, order: Sequence[str], only: Column | None = None,
-                name: str | None = None) -> DataFrame:
+                name: str | None = None, bounded: bool = False) -> DataFrame:
     """The 2nd, 3rd... copy of a value gets ``.1``, ``.2``... in ``order``;
     suffixes already taken by another value (``a.1`` present) are skipped, as
     in R's make.unique. Rows outside ``only`` keep their value and take no
@@ -78,7 +79,10 @@ def make_unique(df: DataFrame, col: str, order: Sequence[str], only: Column | No
     out_col = name or col
     base = df if only is None else df.where(only)
     rest = None if only is None else df.where(~only | only.isNull())
-    r = ordered.row_number(base, order[0], [col], tiebreak=list(order[1:]), name="_k")
+    if bounded:  # design tables: plexes x channels rows, a plain window is enough
+        r = base.withColumn("_k", F.row_number().over(Window.partitionBy(col).orderBy(*order)))
+    else:
+        r = ordered.row_number(base, order[0], [col], tiebreak=list(order[1:]), name="_k")
     r = r.withColumn("_k", F.col("_k") - 1)
     # suffix numbers taken by existing values of the form <value>.<n>
     taken = base.select(F.col(col).alias("_v")).distinct() \

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from .search import target_decoy_fdr
 
 
@@ -46,9 +46,14 @@ def unique_only(edges: DataFrame, peptide: str = "peptide", protein: str = "prot
 
 
 def _cover(e: DataFrame) -> list[DataFrame]:
-    """Rounds of the parallel greedy on edges (pep, prot, total)."""
+    """Rounds of the parallel greedy on edges (pep, prot, total).
+
+    One materialization per round: the edge table is written with the
+    round's outcome per edge (taken by a winner / still open), and both the
+    round's assignments and the next round's edges are filters on it.
+    """
     out = []
-    e = e.checkpoint()
+    e = materialize(e)
     while True:
         cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"))
         ek = e.join(cnt, on="prot")
@@ -56,12 +61,12 @@ def _cover(e: DataFrame) -> list[DataFrame]:
         best = ek.groupBy("pep").agg(F.min(key).alias("_best"))
         ek = ek.join(best, on="pep")
         win = ek.groupBy("prot").agg(F.min((F.col("_best")["c"] == F.col("prot")).cast("int")).alias("_w")) \
-                .where("_w = 1").select("prot")
-        taken = e.join(win, on="prot", how="left_semi").select("pep", "prot").checkpoint()
-        if taken.isEmpty():
-            break
-        out.append(taken)
-        e = e.join(taken.select("pep"), on="pep", how="left_anti").checkpoint()
+                .where("_w = 1").select("prot", F.lit(True).alias("_winner"))
+        flagged = e.join(win, on="prot", how="left")
+        covered = flagged.groupBy("pep").agg(F.max(F.coalesce("_winner", F.lit(False))).alias("_covered"))
+        state = materialize(flagged.join(covered, on="pep"), "cover")
+        out.append(state.where(F.col("_winner").isNotNull()).select("pep", "prot"))
+        e = state.where(~F.col("_covered")).select("pep", "prot", "total")
         if e.isEmpty():
             break
     return out
@@ -107,15 +112,15 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Component label (smallest node id) of every node of an undirected graph.
 
     Min-label propagation over both edge directions with pointer jumping
-    (label := label of label), checkpointed every round, until no label
+    (label := label of label), materialized every round, until no label
     changes. Output: (node, component).
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
+    e = materialize(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "cc-edges")
     nodes = e.select(F.col("u").alias("node")).distinct()
-    lab = nodes.withColumn("label", F.col("node")).checkpoint()
+    lab = materialize(nodes.withColumn("label", F.col("node")), "cc-labels")
     while True:
         nb = e.join(lab.withColumnRenamed("node", "v").withColumnRenamed("label", "lv"), on="v") \
               .groupBy("u").agg(F.min("lv").alias("m"))
@@ -124,7 +129,8 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         # pointer jumping: adopt the label of the label
         hop = new.select(F.col("node").alias("label"), F.col("label").alias("l2"))
         new = new.join(hop, on="label", how="left").select(
-            "node", F.least(F.col("label"), F.coalesce("l2", "label")).alias("label")).checkpoint()
+            "node", F.least(F.col("label"), F.coalesce("l2", "label")).alias("label"))
+        new = materialize(new, "cc-labels")
         changed = new.join(lab.withColumnRenamed("label", "old"), on="node") \
                      .where(F.col("label") != F.col("old")).limit(1).count()
         lab = new

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import ELEMENT_MASS, ISOTOPE_SPACING, PROTON, WATER
+from ..session import checkpoint_dir, materialize
 from . import ordered
 from .rangejoin import Tol, range_join
 
@@ -158,12 +159,16 @@ def target_decoy_fdr(psm: DataFrame, score: str, is_decoy: Column | str, by: Seq
     = the lowest FDR at this or any worse score. Equal scores share a value.
     No single-partition window (bucketed running sums, SURVEY §4.4)."""
     dec = F.col(is_decoy) if isinstance(is_decoy, str) else is_decoy
+    checkpoint_dir(psm.sparkSession)
     s = psm.groupBy(*by, score).agg(F.sum(F.when(dec, 0).otherwise(1)).cast("long").alias("n_target"),
                                     F.sum(F.when(dec, 1).otherwise(0)).cast("long").alias("n_decoy"))
+    # the per-score table is read three times by each ordered pass: write it once
+    s = materialize(s)
     c = ordered.running_agg(s, score, {"cum_target": ("sum", F.col("n_target")),
                                        "cum_decoy": ("sum", F.col("n_decoy"))},
                             partition_by=by, descending=higher_is_better, n_buckets=n_buckets)
     c = c.withColumn("fdr", F.col("cum_decoy").cast("double") / F.greatest(F.col("cum_target"), F.lit(1)))
+    c = materialize(c)
     q = ordered.running_agg(c, score, {"q_value": ("min", F.col("fdr"))}, partition_by=by,
                             descending=not higher_is_better, n_buckets=n_buckets)
     return q

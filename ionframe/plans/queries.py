@@ -180,7 +180,7 @@ def q15_build_design(spark, sf):
     """Stack, normalize labels, unique, samples, references."""
     v = design.stack_vials(_vials(spark, sf), "path")
     v = design.normalize_labels(v)
-    v = design.make_unique(v, "vial_label", ["n_nationkey"])
+    v = design.make_unique(v, "vial_label", ["n_nationkey"], bounded=True)
     smp = design.build_samples(v, "tmt_channel")
     refs = design.build_references(smp)
     return smp.join(refs, on=["PlexID", "QuantBlock"], how="left")

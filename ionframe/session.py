@@ -62,3 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="ionframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of ``df``: write it once as Parquet under the shared
+    checkpoint folder and read it back (one job; the read side carries real
+    size statistics for the planner). Survives the loss of executors, unlike
+    a local checkpoint or a cache."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
