@@ -90,7 +90,7 @@ def expand_mods(peptides: DataFrame, sequence: str, mod_residues: str, delta: fl
     pos = F.filter(F.transform(F.split(F.col(sequence), ""), lambda r, i: F.when(
         F.lit(mod_residues).contains(r), i + 1)), lambda x: x.isNotNull())
     df = peptides.withColumn("_pos", pos)
-    forms = df.withColumn("sites", F.array().cast("array<int>"))
+    forms = df.withColumn("sites", F.slice("_pos", 1, 0))
     out = forms
     cur = forms
     for _ in range(max_mods):
