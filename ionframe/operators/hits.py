@@ -58,6 +58,38 @@ def map_peptides(peptides: DataFrame, digested: DataFrame, peptide: str = "pepti
     return peptides.select(peptide).distinct().join(digested, on=peptide, how="inner")
 
 
+def map_peptides_substring(peptides: DataFrame, proteins: DataFrame, peptide: str = "peptide",
+                           accession: str = "accession", sequence: str = "sequence", k: int = 6) -> DataFrame:
+    """G6 for peptides the digest does not produce (non-specific ends,
+    missed cleavages beyond the limit): every protein containing the peptide,
+    with its 1-based start. Proteins are exploded into their k-mers (one row
+    per position), peptides contribute their first k-mer, the two meet in an
+    equi-join on the k-mer and the full peptide is verified with a substring
+    comparison. Peptides shorter than ``k`` are matched the same way with
+    their own length as the k-mer size."""
+    pep = peptides.select(peptide).distinct()
+    short = pep.where(F.length(peptide) < k)
+    long = pep.where(F.length(peptide) >= k).withColumn("_kmer", F.substring(peptide, 1, k))
+    prot = proteins.select(accession, sequence)
+    km = prot.select(accession, sequence, F.explode(F.sequence(F.lit(1), F.greatest(
+        F.length(sequence) - k + 1, F.lit(1)))).alias("start"))
+    km = km.withColumn("_kmer", F.expr(f"substring({sequence}, start, {k})"))
+    hit = long.join(km, on="_kmer").where(
+        F.expr(f"substring({sequence}, start, length({peptide}))") == F.col(peptide))
+    out = hit.select(peptide, accession, "start")
+    if short is not None:
+        # rare short peptides: the same join on their full (shorter) text
+        sk = short.withColumn("_len", F.length(peptide))
+        lens = [r[0] for r in sk.select("_len").distinct().collect()]  # at most k - 1 lengths
+        for ln in lens:
+            kmx = prot.select(accession, sequence, F.explode(F.sequence(F.lit(1), F.greatest(
+                F.length(sequence) - ln + 1, F.lit(1)))).alias("start"))
+            kmx = kmx.withColumn(peptide, F.expr(f"substring({sequence}, start, {ln})"))
+            out = out.unionByName(sk.where(F.col("_len") == ln).select(peptide)
+                                  .join(kmx, on=peptide).select(peptide, accession, "start"))
+    return out
+
+
 def mod_details(df: DataFrame, key: Sequence[str], sequence: str, mod_defs: DataFrame,
                 residue_pattern: str = "A-Z") -> DataFrame:
     """One row per modified residue. A residue is a letter of

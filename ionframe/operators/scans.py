@@ -255,3 +255,41 @@ def mrm_crosstab(peaks: DataFrame, transitions: DataFrame, keys: Sequence[str],
     names = sorted(r[0] for r in transitions.select(name_col).distinct().collect())  # caller list
     j = range_join(peaks, transitions, [Tol(mz, tmz, tol_da)], broadcast_right=True)
     return j.groupBy(*keys).pivot(name_col, names).agg(F.sum(intensity))
+
+
+def top_ions(peaks: DataFrame, keys: Sequence[str], intensity: str, sn: str = "sn",
+             n: int = 200, min_sn: float = 1.0) -> DataFrame:
+    """per scan the ``n`` most intense ions with S/N >= ``min_sn``."""
+    kept = peaks.where(F.col(sn) >= min_sn)
+    return top_n(kept, keys, [F.col(intensity).desc()], n)
+
+
+def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz: str, rt: str,
+                      mz_tol: float = 0.05, rt_tol: float = 5.0, min_similarity: float = 0.8,
+                      bin_col: str = "bin", value: str = "total") -> DataFrame:
+    """parent ions within +-mz_tol and +-rt_tol whose binned spectra
+    (F11 output: parent_id, bin, total) have cosine >= min_similarity are
+    linked; groups are the connected components (label = smallest id).
+
+    Pairs come from a two-dimensional range join (never all pairs); the cosine
+    is a sparse dot product: an equi-join of the two spectra on the bin."""
+    from .inference import connected_components
+
+    a = parents.select(F.col(parent_id).alias("_a"), F.col(mz).alias("_amz"), F.col(rt).alias("_art"))
+    b = parents.select(F.col(parent_id).alias("_b"), F.col(mz).alias("_bmz"), F.col(rt).alias("_brt"))
+    pairs = range_join(a, b, [Tol("_amz", "_bmz", mz_tol), Tol("_art", "_brt", rt_tol)]) \
+        .where(F.col("_a") < F.col("_b")).select("_a", "_b")
+    va = binned.select(F.col(parent_id).alias("_a"), F.col(bin_col).alias("_bin"), F.col(value).alias("_va"))
+    vb = binned.select(F.col(parent_id).alias("_b"), F.col(bin_col).alias("_bin"), F.col(value).alias("_vb"))
+    norms = binned.groupBy(parent_id).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_n"))
+    dot = pairs.join(va, on="_a").join(vb, on=["_b", "_bin"]).groupBy("_a", "_b") \
+        .agg(F.sum(F.col("_va") * F.col("_vb")).alias("_dot"))
+    na = norms.select(F.col(parent_id).alias("_a"), F.col("_n").alias("_na"))
+    nb = norms.select(F.col(parent_id).alias("_b"), F.col("_n").alias("_nb"))
+    sim = dot.join(na, on="_a").join(nb, on="_b").withColumn(
+        "similarity", F.col("_dot") / (F.col("_na") * F.col("_nb")))
+    links = sim.where(F.col("similarity") >= min_similarity).select("_a", "_b")
+    comp = connected_components(links, "_a", "_b")
+    ids = parents.select(parent_id).distinct()
+    return ids.join(comp.select(F.col("node").alias(parent_id), "component"), on=parent_id, how="left") \
+              .withColumn("group_id", F.coalesce("component", F.col(parent_id))).drop("component")

@@ -68,6 +68,34 @@ def digest(proteins: DataFrame, key: Sequence[str], sequence: str, rule: str = r
     return out.where(F.length("peptide").between(min_len, max_len))
 
 
+def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, ntt: int = 1,
+                       site_pattern: str = r"(?<=[KR])(?!P)", min_len: int = 6, max_len: int = 50,
+                       max_missed: int | None = None) -> DataFrame:
+    """D3 with ``ntt`` < 2 tolerable termini: every substring of allowed
+    length whose number of enzymatic termini (protein ends count) is at least
+    ``ntt``; missed cleavages = cleavage sites strictly inside. The candidate
+    count per protein is bounded by its length x (max_len - min_len + 1).
+    Output as ``digest``: key, start (1-based), missed_cleavages, ntt, peptide."""
+    seq = F.col(sequence)
+    # cleavage positions: 0-based offsets after which the sequence may be cut
+    pieces = cleave(seq, site_pattern)
+    ends = F.transform(pieces, lambda p, i: F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0),
+                                                        lambda a, x: a + F.length(x)))
+    p = proteins.select(*key, seq.alias("_s"), F.array_union(F.array(F.lit(0)), ends).alias("_cuts"))
+    p = p.select(*key, "_s", "_cuts", F.explode(F.sequence(F.lit(0), F.length("_s") - min_len)).alias("_b"))
+    p = p.select(*key, "_s", "_cuts", "_b", F.explode(F.sequence(
+        F.col("_b") + min_len, F.least(F.col("_b") + max_len, F.length("_s")))).alias("_e"))
+    n_term = F.array_contains("_cuts", F.col("_b"))
+    c_term = F.array_contains("_cuts", F.col("_e"))
+    inner = F.size(F.filter("_cuts", lambda c: (c > F.col("_b")) & (c < F.col("_e"))))
+    p = p.withColumns({"ntt": n_term.cast("int") + c_term.cast("int"), "missed_cleavages": inner})
+    p = p.where(F.col("ntt") >= ntt)
+    if max_missed is not None:
+        p = p.where(F.col("missed_cleavages") <= max_missed)
+    return p.select(*key, (F.col("_b") + 1).alias("start"), "missed_cleavages", "ntt",
+                    F.expr("substring(_s, _b + 1, _e - _b)").alias("peptide"))
+
+
 def peptide_mass(df: DataFrame, sequence: str, residue_mass: Mapping[str, float],
                  fixed: Mapping[str, float] | None = None, nterm: float = 0.0,
                  name: str = "mass") -> DataFrame:

@@ -153,3 +153,12 @@ def test_result_prefix():
     now = dt.datetime(2024, 5, 6, 7, 8, 9)
     assert writers.result_prefix("ph", now=now) == "MSGFPLUS_PH-20240506_070809"
     assert writers.result_prefix("pr", "X", True, now) == "X-20240506_070809-ip"
+
+
+def test_map_peptides_substring(spark):
+    from ionframe.operators import hits
+    prot = spark.createDataFrame([("P1", "MKAAAPEPTIDEKR"), ("P2", "PEPTIDEXX"), ("P3", "QQQ")],
+                                 "accession string, sequence string")
+    peps = spark.createDataFrame([("PEPTIDE",), ("AAAPEP",), ("KR",), ("ZZZZZZZ",)], "peptide string")
+    got = sorted(tuple(r) for r in hits.map_peptides_substring(peps, prot, k=4).collect())
+    assert got == [("AAAPEP", "P1", 3), ("KR", "P1", 13), ("PEPTIDE", "P1", 6), ("PEPTIDE", "P2", 1)]

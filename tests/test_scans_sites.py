@@ -97,3 +97,26 @@ def test_peak_depth(spark):
     df = spark.createDataFrame([(1, 10.0, 5.0), (1, 20.0, 9.0), (1, 150.0, 1.0)], "scan long, mz double, i double")
     got = sorted((r["mz"], r["depth"]) for r in sites.peak_depth(df, ["scan"], "mz", "i").collect())
     assert got == [(10.0, 2), (20.0, 1), (150.0, 1)]
+
+
+def test_group_parent_ions(spark):
+    parents = spark.createDataFrame([(1, 500.0, 10.0), (2, 500.03, 12.0), (3, 500.02, 40.0), (4, 700.0, 10.0),
+                                     (5, 500.04, 13.0)], "pid long, mz double, rt double")
+    binned = spark.createDataFrame([(1, 10, 1.0), (1, 11, 1.0), (2, 10, 1.0), (2, 11, 0.9), (3, 10, 1.0),
+                                    (4, 10, 1.0), (5, 30, 1.0)], "pid long, bin long, total double")
+    got = {r["pid"]: r["group_id"] for r in scans.group_parent_ions(parents, binned, "pid", "mz", "rt").collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
+def test_match_fragments_by_activation(spark):
+    peaks = spark.createDataFrame([(1, "HCD", 100.04), (2, "CID", 100.4), (3, "HCD", 100.4)],
+                                  "scan long, activation string, mz double")
+    frags = spark.createDataFrame([(1, 100.0), (2, 100.0), (3, 100.0)], "scan long, fmz double")
+    got = sorted(r["scan"] for r in sites.match_fragments(peaks, frags, ["scan"], "mz", "fmz").collect())
+    assert got == [1, 2]
+
+
+def test_top_ions(spark):
+    df = spark.createDataFrame([(1, float(i), float(i % 3)) for i in range(10)], "scan long, i double, sn double")
+    got = sorted(r["i"] for r in scans.top_ions(df, ["scan"], "i", n=3).collect())
+    assert got == [5.0, 7.0, 8.0]

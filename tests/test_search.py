@@ -83,3 +83,21 @@ def test_match_candidates_isotope_and_charge(spark):
 def test_binomial_log_choose():
     from ionframe.functions.stats import log_choose  # noqa: F401 (import check)
     assert math.comb(10, 3) == 120
+
+
+def test_semi_specific_digest_against_python(spark):
+    seq = "AAKPBBBBRCCCCCCKDDDDDDD"
+    df = spark.createDataFrame([("P", seq)], "acc string, seq string")
+    got = {(r["start"], r["peptide"], r["ntt"]) for r in
+           search.digest_nonspecific(df, ["acc"], "seq", ntt=1, min_len=6, max_len=10).collect()}
+    cuts = {0, len(seq)} | {i + 1 for i, c in enumerate(seq[:-1]) if c in "KR" and seq[i + 1] != "P"}
+    exp = set()
+    for b in range(len(seq)):
+        for e in range(b + 6, min(b + 10, len(seq)) + 1):
+            n = (b in cuts) + (e in cuts)
+            if n >= 1:
+                exp.add((b + 1, seq[b:e], n))
+    assert got == exp
+    full = {(r["start"], r["peptide"]) for r in search.digest(df, ["acc"], "seq", min_len=6, max_len=10,
+                                                              max_missed=5).collect()}
+    assert full == {(s, p) for s, p, n in exp if n == 2}
