@@ -128,3 +128,63 @@ def command_files(attempts: DataFrame, id_col: str = "id") -> DataFrame:
     return attempts.select(id_col, "task", "attempt_no", "command", "stdout",
                            F.concat(F.col("task"), F.lit("_"), F.col("attempt_no").cast("string"),
                                     F.lit(".command.txt")).alias("command_file"))
+
+
+# FIXED VALUES: which task outputs each copy mode selects (mode, task, output
+# keys). "full" also takes the ascore outputs when the run has that task.
+# The sequence task's two keys are listed apart (see README deviations).
+SELECTION = {
+    "full": {
+        "ascore": ["syn_plus_ascore", "syn_ascore", "syn_ascore_proteinmap", "output_ascore_logfile"],
+        "msconvert_mzrefiner": ["mzml_fixed"],
+        "ppm_errorcharter": ["ppm_masserror_png", "ppm_histogram_png"],
+        "masic": ["ReporterIons_output_file", "PeakAreaHistogram_output_file",
+                  "RepIonObsRateHighAbundance_output_file", "RepIonObsRate_output_txt_file",
+                  "MSMS_scans_output_file", "SICs_output_file", "MS_scans_output_file", "SICstats_output_file",
+                  "ScanStatsConstant_output_file", "RepIonStatsHighAbundance_output_file",
+                  "ScanStatsEx_output_file", "ScanStats_output_file", "PeakWidthHistogram_output_file",
+                  "RepIonStats_output_file", "DatasetInfo_output_file", "RepIonObsRate_output_png_file"],
+        "msconvert": ["mzml"],
+        "msgf_identification": ["rename_mzmlfixed", "mzid_final"],
+        "msgf_sequences": ["revcat_fasta", "sequencedb_files"],
+        "msgf_tryptic": ["mzid"],
+        "phrp": ["syn_ResultToSeqMap", "fht", "PepToProtMapMTS", "syn_ProteinMods", "syn_SeqToProteinMap",
+                 "syn", "syn_ModSummary", "syn_SeqInfo", "syn_ModDetails"],
+        "mzidtotsvconverter": ["tsv"],
+        "wrapper_pp": ["results_ratio", "results_rii", "final_output_masic_tar", "final_output_phrp_tar",
+                       "final_output_ascore"],
+    },
+    "ppinputs": {
+        "wrapper_pp": ["results_ratio", "results_rii", "final_output_masic_tar", "final_output_phrp_tar",
+                       "final_output_ascore"],
+    },
+    "results": {
+        "wrapper_pp": ["results_ratio", "results_rii"],
+    },
+}
+# workflow inputs copied with the ppinputs mode: (input key, destination subfolder)
+SELECTION_INPUTS = {"ppinputs": [("fasta_sequence_db", ""), ("sd_samples", "study_design"),
+                                 ("sd_fractions", "study_design"), ("sd_references", "study_design")]}
+FLAT_MODES = {"ppinputs", "results"}
+
+
+def selection_table(spark: SparkSession, mode: str) -> DataFrame:
+    """(task, key, flat) wanted for a copy mode; ``flat`` means the files
+    go straight into the destination folder instead of ``<task>_outputs``."""
+    if mode not in SELECTION:
+        raise ValueError(f"mode must be one of {sorted(SELECTION)}")
+    rows = [(t, k, mode in FLAT_MODES) for t, keys in SELECTION[mode].items() for k in keys]
+    return spark.createDataFrame(rows, "task string, key string, flat boolean")
+
+
+def input_catalog(meta: DataFrame, mode: str, id_col: str = "id", workflow_prefix: str = "") -> DataFrame:
+    """J5 (inputs part): requested workflow inputs with their destination
+    subfolder, one row per run."""
+    wanted = SELECTION_INPUTS.get(mode, [])
+    if not wanted:
+        return meta.select(id_col).limit(0).withColumns(
+            {"key": F.lit(None).cast("string"), "file": F.lit(None).cast("string"), "folder": F.lit(None).cast("string")})
+    m = meta.select(id_col, F.explode("inputs").alias("key", "file"))
+    m = m.withColumn("key", F.regexp_replace("key", "^" + _re_escape(workflow_prefix), ""))
+    w = m.sparkSession.createDataFrame(wanted, "key string, folder string")
+    return m.join(F.broadcast(w), on="key").select(id_col, "key", "file", "folder")

@@ -162,3 +162,12 @@ def test_map_peptides_substring(spark):
     peps = spark.createDataFrame([("PEPTIDE",), ("AAAPEP",), ("KR",), ("ZZZZZZZ",)], "peptide string")
     got = sorted(tuple(r) for r in hits.map_peptides_substring(peps, prot, k=4).collect())
     assert got == [("AAAPEP", "P1", 3), ("KR", "P1", 13), ("PEPTIDE", "P1", 6), ("PEPTIDE", "P2", 1)]
+
+
+def test_selection_table(spark):
+    from ionframe.operators import runs as R
+    full = R.selection_table(spark, "full")
+    assert full.where("task = 'masic'").count() == 16 and not full.first()["flat"]
+    assert R.selection_table(spark, "results").count() == 2
+    with pytest.raises(ValueError):
+        R.selection_table(spark, "nope")
