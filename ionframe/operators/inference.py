@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, materialize
+from ..session import checkpoint_dir, materialize, reliable_checkpoint
 from .search import target_decoy_fdr
 
 
@@ -48,12 +48,13 @@ def unique_only(edges: DataFrame, peptide: str = "peptide", protein: str = "prot
 def _cover(e: DataFrame) -> list[DataFrame]:
     """Rounds of the parallel greedy on edges (pep, prot, total).
 
-    One materialization per round: the edge table is written with the
-    round's outcome per edge (taken by a winner / still open), and both the
-    round's assignments and the next round's edges are filters on it.
+    Per round: each protein's uncovered count, each peptide's best protein,
+    the proteins that are best for all their peptides (winners), and the
+    remaining edges (peptides no winner touches); both are reliable
+    checkpoints (lineage cut, partitioning kept for the next round's joins).
     """
     out = []
-    e = materialize(e)
+    e = reliable_checkpoint(e.repartition("pep"), "cover-edges")
     while True:
         cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"))
         ek = e.join(cnt, on="prot")
@@ -61,12 +62,10 @@ def _cover(e: DataFrame) -> list[DataFrame]:
         best = ek.groupBy("pep").agg(F.min(key).alias("_best"))
         ek = ek.join(best, on="pep")
         win = ek.groupBy("prot").agg(F.min((F.col("_best")["c"] == F.col("prot")).cast("int")).alias("_w")) \
-                .where("_w = 1").select("prot", F.lit(True).alias("_winner"))
-        flagged = e.join(win, on="prot", how="left")
-        covered = flagged.groupBy("pep").agg(F.max(F.coalesce("_winner", F.lit(False))).alias("_covered"))
-        state = materialize(flagged.join(covered, on="pep"), "cover")
-        out.append(state.where(F.col("_winner").isNotNull()).select("pep", "prot"))
-        e = state.where(~F.col("_covered")).select("pep", "prot", "total")
+                .where("_w = 1").select("prot")
+        taken = reliable_checkpoint(e.join(win, on="prot", how="left_semi").select("pep", "prot"), "cover-taken")
+        out.append(taken)
+        e = reliable_checkpoint(e.join(taken.select("pep"), on="pep", how="left_anti"), "cover-edges")
         if e.isEmpty():
             break
     return out

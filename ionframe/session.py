@@ -75,3 +75,12 @@ def materialize(df, name: str = "stage"):
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def reliable_checkpoint(df, name: str = "stage"):
+    """Eager ``df.checkpoint()`` into ``spark.checkpoint.dir`` (shared
+    storage on a cluster): cuts the lineage, survives executor loss, and
+    keeps the plan's hash partitioning, so a loop joining on the same key does
+    not re-shuffle the checkpointed side."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
