@@ -111,15 +111,15 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Component label (smallest node id) of every node of an undirected graph.
 
     Min-label propagation over both edge directions with pointer jumping
-    (label := label of label), materialized every round, until no label
+    (label := label of label), checkpointed every round, until no label
     changes. Output: (node, component).
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    e = materialize(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "cc-edges")
+    e = reliable_checkpoint(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "cc-edges")
     nodes = e.select(F.col("u").alias("node")).distinct()
-    lab = materialize(nodes.withColumn("label", F.col("node")), "cc-labels")
+    lab = reliable_checkpoint(nodes.withColumn("label", F.col("node")), "cc-labels")
     while True:
         nb = e.join(lab.withColumnRenamed("node", "v").withColumnRenamed("label", "lv"), on="v") \
               .groupBy("u").agg(F.min("lv").alias("m"))
@@ -129,7 +129,7 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         hop = new.select(F.col("node").alias("label"), F.col("label").alias("l2"))
         new = new.join(hop, on="label", how="left").select(
             "node", F.least(F.col("label"), F.coalesce("l2", "label")).alias("label"))
-        new = materialize(new, "cc-labels")
+        new = reliable_checkpoint(new, "cc-labels")
         changed = new.join(lab.withColumnRenamed("label", "old"), on="node") \
                      .where(F.col("label") != F.col("old")).limit(1).count()
         lab = new

@@ -42,20 +42,28 @@ def bucket_expr(key: Column, bounds: Sequence[float]) -> Column:
 def running_agg(df: DataFrame, order: str | Column, aggs: dict[str, tuple[str, Column]],
                 partition_by: Sequence[str] = (), tiebreak: Sequence[str | Column] = (),
                 descending: bool = False, n_buckets: int = 64,
-                inclusive: bool = True) -> DataFrame:
+                inclusive: bool = True, bucket: Column | None = None,
+                keep_bucket: str | None = None) -> DataFrame:
     """Add running aggregates over rows ordered by ``order`` (then ``tiebreak``).
 
     ``aggs`` maps output name -> (fn, column) with fn in sum / min / max /
     count. With ``inclusive`` the current row is included (ROWS frame).
     Equal to ``fn(col).over(Window.partitionBy(*partition_by).orderBy(...)
     .rowsBetween(unboundedPreceding, 0))`` without its single-task bottleneck.
+
+    ``bucket`` reuses buckets of an earlier pass (any column that does not
+    decrease along the requested order); ``keep_bucket`` names a column that
+    keeps this pass's bucket for such reuse.
     """
     okey = F.col(order) if isinstance(order, str) else order
     key = okey.cast("double")
     sort_key = -key if descending else key
-    bounds = _bounds(df, sort_key, n_buckets)
     parts = list(partition_by)
-    b = df.withColumn(BUCKET, bucket_expr(sort_key, bounds))
+    if bucket is None:
+        bounds = _bounds(df, sort_key, n_buckets)
+        b = df.withColumn(BUCKET, bucket_expr(sort_key, bounds))
+    else:
+        b = df.withColumn(BUCKET, bucket)
 
     fns = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
     vals = {name: (fn, colx) for name, (fn, colx) in aggs.items()}
@@ -86,6 +94,8 @@ def running_agg(df: DataFrame, order: str | Column, aggs: dict[str, tuple[str, C
         else:
             outs[n] = F.greatest(inner, o)
     b = b.withColumns(outs)
+    if keep_bucket:
+        b = b.withColumn(keep_bucket, F.col(BUCKET))
     return b.drop(BUCKET, *[f"_v_{n}" for n in vals], *[f"_o_{n}" for n in vals])
 
 

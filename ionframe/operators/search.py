@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import ELEMENT_MASS, ISOTOPE_SPACING, PROTON, WATER
-from ..session import checkpoint_dir, materialize
+from ..session import checkpoint_dir, materialize, reliable_checkpoint
 from . import ordered
 from .rangejoin import Tol, range_join
 
@@ -191,12 +191,15 @@ def target_decoy_fdr(psm: DataFrame, score: str, is_decoy: Column | str, by: Seq
     s = psm.groupBy(*by, score).agg(F.sum(F.when(dec, 0).otherwise(1)).cast("long").alias("n_target"),
                                     F.sum(F.when(dec, 1).otherwise(0)).cast("long").alias("n_decoy"))
     # the per-score table is read three times by each ordered pass: write it once
-    s = materialize(s)
+    s = reliable_checkpoint(s)
     c = ordered.running_agg(s, score, {"cum_target": ("sum", F.col("n_target")),
                                        "cum_decoy": ("sum", F.col("n_decoy"))},
-                            partition_by=by, descending=higher_is_better, n_buckets=n_buckets)
+                            partition_by=by, descending=higher_is_better, n_buckets=n_buckets,
+                            keep_bucket="_b1")
     c = c.withColumn("fdr", F.col("cum_decoy").cast("double") / F.greatest(F.col("cum_target"), F.lit(1)))
-    c = materialize(c)
+    c = reliable_checkpoint(c)
+    # the reverse pass reuses the buckets in reverse: no new boundaries, and
+    # the checkpoint is already partitioned by (group, bucket)
     q = ordered.running_agg(c, score, {"q_value": ("min", F.col("fdr"))}, partition_by=by,
-                            descending=not higher_is_better, n_buckets=n_buckets)
-    return q
+                            descending=not higher_is_better, bucket=-F.col("_b1"))
+    return q.drop("_b1")
