@@ -52,20 +52,30 @@ def digest(proteins: DataFrame, key: Sequence[str], sequence: str, rule: str = r
            min_len: int = 6, max_len: int = 50, max_missed: int = 2,
            drop_first_met: bool = False) -> DataFrame:
     """D3 (fully specific cleavage): peptides made of 1..max_missed+1
-    consecutive pieces with length in [min_len, max_len]. Works inside each
-    row (arrays), so there is no shuffle. Output: key, start (1-based),
-    missed_cleavages, peptide."""
+    consecutive pieces with length in [min_len, max_len]. Output: key,
+    start (1-based), missed_cleavages, peptide.
+
+    Pieces are exploded with their position; one window per sequence gives
+    the running offset and the following ``max_missed`` pieces (``lead``),
+    so the work is linear in the sequence length (whole texts included).
+    """
     seq = F.col(sequence)
     if drop_first_met:
         seq = F.when(seq.startswith("M"), F.expr(f"substring({sequence}, 2)")).otherwise(seq)
-    p = proteins.select(*key, cleave(seq, rule).alias("_p"))
-    p = p.select(*key, "_p", F.posexplode("_p").alias("_i", "_piece"))
-    p = p.select(*key, "_p", "_i", F.explode(F.sequence(F.lit(0), F.lit(max_missed))).alias("missed_cleavages"))
-    p = p.where(F.col("_i") + F.col("missed_cleavages") < F.size("_p"))
-    pep = F.array_join(F.slice("_p", F.col("_i") + 1, F.col("missed_cleavages") + 1), "")
-    start = F.aggregate(F.slice("_p", F.lit(1), F.col("_i")), F.lit(0), lambda a, x: a + F.length(x)) + 1
-    out = p.select(*key, start.alias("start"), F.col("missed_cleavages"), pep.alias("peptide"))
-    return out.where(F.length("peptide").between(min_len, max_len))
+    p = proteins.select(*key, F.posexplode(cleave(seq, rule)).alias("_i", "_piece"))
+    w = Window.partitionBy(*key).orderBy("_i")
+    run = F.sum(F.length("_piece")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    p = p.withColumn("start", (run - F.length("_piece") + 1).cast("int"))
+    p = p.withColumns({f"_n{j}": F.lead("_piece", j).over(w) for j in range(1, max_missed + 1)})
+    nxt = [F.col(f"_n{j}") for j in range(1, max_missed + 1)]
+    forms = []
+    for m in range(max_missed + 1):
+        parts = [F.col("_piece")] + nxt[:m]
+        forms.append(F.struct(F.lit(m).alias("missed_cleavages"), F.concat(*parts).alias("peptide")))
+    p = p.select(*key, "start", F.explode(F.array(*forms)).alias("_f"))
+    out = p.select(*key, "start", F.col("_f.missed_cleavages").alias("missed_cleavages"),
+                   F.col("_f.peptide").alias("peptide"))
+    return out.where(F.col("peptide").isNotNull() & F.length("peptide").between(min_len, max_len))
 
 
 def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, ntt: int = 1,
