@@ -324,7 +324,7 @@ def q31_digest(spark, sf):
     length 6..50 with up to 2 missed cuts, counted by length."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     d = search.digest(docs, ["doc_id"], "text", DIGEST_RULE, 6, 50, 2)
-    return d.groupBy(F.length("peptide").alias("piece_len"), "missed_cleavages").agg(
+    return d.groupBy(F.length("peptide").cast("long").alias("piece_len"), "missed_cleavages").agg(
         F.count(F.lit(1)).alias("n_pieces"))
 
 
