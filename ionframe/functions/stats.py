@@ -52,3 +52,10 @@ def epoch_micros(col: Column) -> Column:
     """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column
     (NTZ read as UTC wall time when the session zone is UTC)."""
     return F.unix_micros(col.cast("timestamp"))
+
+
+def decode_path(col: Column) -> Column:
+    """Percent-decode a file URI / name (``_metadata`` and ``binaryFile`` give
+    URI-encoded paths). A literal '+' is kept (form decoding would turn it
+    into a blank)."""
+    return F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))

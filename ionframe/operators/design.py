@@ -147,7 +147,7 @@ def check_plex_ids(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 def combine_designs(passes: Mapping[str, DataFrame], order: Sequence[str],
                     pass_col: str = "PASS") -> DataFrame:
-    """C10-C12 for one design table: stack the passes (missing columns become
+    """C10-C12 (C11: uniqueness and pass suffixes) for one design table: stack the passes (missing columns become
     null), make non-reference aliases / measurement names unique over the
     stacked column (in ``order``), append ``_<pass>`` to non-null aliases,
     measurement names and PlexIDs, and to every symbol of a Reference

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.stats import decode_path
+
 ATTEMPT = ("struct<executionStatus:string,stdout:string,commandLine:string,shardIndex:int,attempt:int,"
            "inputs:map<string,string>,outputs:map<string,string>>")
 RUN_METADATA_SCHEMA = (f"id string, start timestamp, end timestamp, status string, inputs map<string,string>, "
@@ -23,7 +25,7 @@ def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> Da
         r = r.option("pathGlobFilter", glob)
     df = r.load(root)
     prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.col("path"), r"^file:", "")
+    rel = decode_path(F.regexp_replace(F.col("path"), r"^file:", ""))
     rel = F.regexp_replace(rel, "^" + _re_escape(prefix), "")
     out = df.select(rel.alias("file_name"), F.md5("content").alias("md5"))
     out = out.where(~F.col("file_name").contains("file_manifest"))
@@ -41,7 +43,7 @@ def read_run_metadata(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     """Workflow metadata JSON files (one object per file), explicit schema,
     with the source file name."""
     df = spark.read.schema(RUN_METADATA_SCHEMA).option("multiLine", "true").json(paths)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    return df.withColumn("source_file", decode_path(F.col("_metadata.file_path")))
 
 
 def run_durations(meta: DataFrame, id_col: str = "id") -> DataFrame:

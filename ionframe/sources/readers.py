@@ -17,11 +17,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+
+from ..functions.stats import decode_path
 from pyspark.sql import types as T
 
 from ..operators.common import require_columns
 
 
+def file_name_col() -> "F.Column":
+    """Base name of the row's source file (``_metadata.file_name`` is
+    URL-encoded: spaces arrive as %20)."""
+    return decode_path(F.col("_metadata.file_name"))
+
+
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -49,7 +57,7 @@ def read_dataset_tables(spark: SparkSession, folders: str | Sequence[str], suffi
     if schema is not None:
         r = r.schema(schema)
     df = r.csv(_paths(folders))
-    name = F.col("_metadata.file_name")
+    name = file_name_col()
     return df.withColumn("dataset", F.regexp_replace(name, re.escape(suffix) + "$", ""))
 
 
@@ -148,7 +156,7 @@ def read_mzml(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     ion_cv = F.col("precursorList.precursor")[0]["selectedIonList"]["selectedIon"][0]["cvParam"]
     scan_no = F.regexp_extract(F.col("_id"), r"scan=(\d+)", 1)
     return x.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"(?i)\.mzml(\.gz)?$", "").alias("dataset"),
+        F.regexp_replace(file_name_col(), r"(?i)\.mzml(\.gz)?$", "").alias("dataset"),
         F.when(scan_no != "", scan_no.cast("long")).otherwise(F.col("_index") + 1).alias("scan"),
         cv(F.col("cvParam"), CV_MS_LEVEL).cast("int").alias("ms_level"),
         cv(scan_cv, CV_RT).cast("double").alias("rt"),
@@ -222,7 +230,7 @@ def read_manifests(spark: SparkSession, root: str, pattern: str = "(?i)(metadata
     files = list_files(spark, root).where(F.col("name").rlike(pattern))
     paths = [r[0] for r in files.select("path").orderBy("path").collect()]  # a handful of manifests
     df = spark.read.option("sep", "\t").option("header", "true").csv(paths)
-    df = df.withColumn("_path", F.col("_metadata.file_path"))
+    df = df.withColumn("_path", decode_path(F.col("_metadata.file_path")))
     i = F.row_number().over(Window.orderBy("_path"))
     order = df.select("_path").distinct().select("_path", F.concat(F.lit("S"), i.cast("string")).alias("PlexID"))
     return df.join(F.broadcast(order), on="_path").select(F.col("file_name").alias("Dataset"), "PlexID")
@@ -241,7 +249,7 @@ def read_maxquant(spark: SparkSession, txt_dir: str, name: str) -> DataFrame:
     base = txt_dir.rstrip("/")
     if name == "sites":
         df = spark.read.option("sep", "\t").option("header", "true").option("pathGlobFilter", "*Sites.txt").csv(base)
-        return df.withColumn("source_file", F.col("_metadata.file_name"))
+        return df.withColumn("source_file", file_name_col())
     if name not in MAXQUANT_TABLES:
         raise ValueError(f"unknown MaxQuant table {name!r}")
     path = f"{base}/../proc/#runningTimes.txt" if name == "runningTimes" else f"{base}/{name}.txt"

@@ -16,6 +16,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from ..functions.stats import decode_path
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -28,7 +30,7 @@ def stream_dataset_tables(spark: SparkSession, folder: str, suffix: str, schema:
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(folder)
-    return df.withColumn("dataset", F.regexp_replace(F.col("_metadata.file_name"), re.escape(suffix) + "$", ""))
+    return df.withColumn("dataset", F.regexp_replace(decode_path(F.col("_metadata.file_name")), re.escape(suffix) + "$", ""))
 
 
 def gather_to_parquet(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
