@@ -14,8 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpoint_dir, materialize, reliable_checkpoint
 from .search import target_decoy_fdr
@@ -45,25 +48,125 @@ def unique_only(edges: DataFrame, peptide: str = "peptide", protein: str = "prot
     return e.join(one.select(peptide), on=peptide, how="left_semi")
 
 
+POOL_SIZE = 200         # proteins simulated together in a dense round
+MASK_BUDGET = 200_000   # distinct pool-membership masks allowed on the driver
+
+
+def _local_max_round(e: DataFrame, cnt: DataFrame) -> DataFrame:
+    """Proteins whose key beats every protein sharing an uncovered peptide."""
+    ek = e.join(cnt.select("prot", "cnt"), on="prot")
+    key = F.struct((-F.col("cnt")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("c"))
+    best = ek.groupBy("pep").agg(F.min(key).alias("_best"))
+    ek = ek.join(best, on="pep")
+    win = ek.groupBy("prot").agg(F.min((F.col("_best")["c"] == F.col("prot")).cast("int")).alias("_w")) \
+            .where("_w = 1").select("prot")
+    return e.join(win, on="prot", how="left_semi").select("pep", "prot")
+
+
+def _better(a, b) -> bool:
+    """Greedy key order: more uncovered, then more peptides, then smaller id."""
+    return (a[0], a[1]) > (b[0], b[1]) or ((a[0], a[1]) == (b[0], b[1]) and a[2] < b[2])
+
+
+def _pool_round(e: DataFrame, cnt: DataFrame):
+    """A dense round: several greedy steps at once, exactly.
+
+    1. The POOL_SIZE best proteins by current key; each uncovered peptide
+       gets the sorted list of pool proteins containing it ("mask"); masks
+       are counted, and at most MASK_BUDGET + 1 distinct ones are collected
+       (more: the round falls back to local bests).
+    2. The greedy is simulated on the pool from the mask counts, giving the
+       order and the key of each pick at its time.
+    3. Every other protein's count after the first i picks is computed in
+       Spark (its edges joined to each peptide's first covering pick); the
+       best of them per i decides how many simulated picks are certainly the
+       ones the one-at-a-time greedy makes. Returns the (pep, prot) pairs
+       taken, or None when the masks exceed the budget.
+    """
+    spark = e.sparkSession
+    top = cnt.orderBy(F.col("cnt").desc(), F.col("total").desc(), F.col("prot").asc()).limit(POOL_SIZE).collect()
+    pool = [(r["prot"], int(r["cnt"]), int(r["total"])) for r in top]
+    schema = T.StructType([cnt.schema["prot"], T.StructField("rk", T.IntegerType())])
+    pool_df = F.broadcast(spark.createDataFrame([(p[0], i) for i, p in enumerate(pool)], schema))
+    masks = e.join(pool_df, on="prot").groupBy("pep").agg(F.array_sort(F.collect_list("rk")).alias("mask")) \
+        .groupBy("mask").agg(F.count(F.lit(1)).alias("w"))
+    mw = masks.limit(MASK_BUDGET + 1).collect()  # at most MASK_BUDGET + 1 small rows
+    if len(mw) > MASK_BUDGET:
+        return None
+    P = len(pool)
+    bits = np.zeros((len(mw), P), dtype=bool)
+    for r, row in enumerate(mw):
+        bits[r, row["mask"]] = True
+    w = np.array([row["w"] for row in mw], dtype=np.int64)
+    counts = w @ bits  # uncovered peptides per pool protein
+    alive = np.ones(len(mw), dtype=bool)
+    picked, picks = set(), []
+    for _ in range(P):
+        best = None
+        for j, (prot, _c, tot) in enumerate(pool):
+            if j in picked or counts[j] <= 0:
+                continue
+            k = (int(counts[j]), tot, prot)
+            if best is None or _better(k, best[1]):
+                best = (j, k)
+        if best is None:
+            break
+        picked.add(best[0])
+        picks.append(best[1])
+        gone = alive & bits[:, best[0]]
+        counts -= w[gone] @ bits[gone]
+        alive &= ~gone
+    n = len(picks)
+    pschema = T.StructType([cnt.schema["prot"], T.StructField("idx", T.IntegerType())])
+    picks_df = F.broadcast(spark.createDataFrame([(k[2], i + 1) for i, k in enumerate(picks)], pschema))
+    first = e.join(picks_df, on="prot").groupBy("pep").agg(F.min("idx").alias("f"))
+    # only proteins outside the pool that could beat some pick matter
+    floor = min(k[0] for k in picks)
+    others = cnt.join(pool_df.select("prot"), on="prot", how="left_anti").where(F.col("cnt") >= floor)
+    dec = e.join(others.select("prot"), on="prot", how="left_semi").join(first, on="pep") \
+           .groupBy("prot", "f").agg(F.count(F.lit(1)).alias("c"))
+    # a peptide first covered by pick f lowers Q's count from step f on
+    # (never write sequence(f, n-1) bare: with f > n-1 it counts down)
+    dec = dec.where(F.col("f") <= n - 1) \
+             .withColumn("i", F.explode(F.sequence(F.col("f"), F.lit(n - 1)))) \
+             .groupBy("prot", "i").agg(F.sum("c").alias("d"))
+    steps = others.select("prot", "cnt", "total", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    upd = steps.join(dec, on=["prot", "i"], how="left") \
+               .withColumn("u", F.col("cnt") - F.coalesce(F.col("d"), F.lit(0)))
+    bound = {r["i"]: (int(-r["b"]["a"]), int(-r["b"]["b"]), r["b"]["c"]) for r in upd.groupBy("i").agg(
+        F.min(F.struct((-F.col("u")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("c"))).alias("b")
+    ).collect()}  # n rows
+    valid = 0
+    for i, k in enumerate(picks):
+        if i in bound and not _better(k, bound[i]):
+            break
+        valid += 1
+    chosen = F.broadcast(spark.createDataFrame([(k[2], i + 1) for i, k in enumerate(picks[:valid])], pschema))
+    taken = first.where(F.col("f") <= valid).join(chosen.withColumnRenamed("idx", "f"), on="f")
+    return taken.select("pep", "prot")
+
+
 def _cover(e: DataFrame) -> list[DataFrame]:
-    """Rounds of the parallel greedy on edges (pep, prot, total).
+    """Rounds of the greedy on edges (pep, prot, total).
 
-    Per round: each protein's uncovered count, each peptide's best protein,
-    the proteins that are best for all their peptides (winners), and the
-    remaining edges (peptides no winner touches); both are reliable
-    checkpoints (lineage cut, partitioning kept for the next round's joins).
+    A round takes either every local best protein (sparse parts of the
+    graph: many at once) or, when those are few, an exactly verified run of
+    greedy steps from the pool of the best proteins (dense parts). The
+    round's assignments and the remaining edges are reliable checkpoints
+    (lineage cut, partitioning kept for the next round's joins).
     """
     out = []
     e = reliable_checkpoint(e.repartition("pep"), "cover-edges")
+    dense = False
     while True:
-        cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"))
-        ek = e.join(cnt, on="prot")
-        key = F.struct((-F.col("cnt")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("c"))
-        best = ek.groupBy("pep").agg(F.min(key).alias("_best"))
-        ek = ek.join(best, on="pep")
-        win = ek.groupBy("prot").agg(F.min((F.col("_best")["c"] == F.col("prot")).cast("int")).alias("_w")) \
-                .where("_w = 1").select("prot")
-        taken = reliable_checkpoint(e.join(win, on="prot", how="left_semi").select("pep", "prot"), "cover-taken")
+        cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"), F.first("total").alias("total"))
+        taken = _pool_round(e, cnt) if dense else None
+        pooled = taken is not None
+        if not pooled:
+            taken = _local_max_round(e, cnt)
+        taken = reliable_checkpoint(taken, "cover-taken")
+        # few local bests: the graph is dense here, pool rounds from now on
+        dense = pooled or taken.select("prot").distinct().limit(8).count() < 8
         out.append(taken)
         e = reliable_checkpoint(e.join(taken.select("pep"), on="pep", how="left_anti"), "cover-edges")
         if e.isEmpty():

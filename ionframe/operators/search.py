@@ -91,7 +91,8 @@ def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, n
     pieces = cleave(seq, site_pattern)
     ends = F.transform(pieces, lambda p, i: F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0),
                                                         lambda a, x: a + F.length(x)))
-    p = proteins.select(*key, seq.alias("_s"), F.array_union(F.array(F.lit(0)), ends).alias("_cuts"))
+    p = proteins.where(F.length(seq) >= min_len)  # shorter: no candidate (and no descending sequence below)
+    p = p.select(*key, seq.alias("_s"), F.array_union(F.array(F.lit(0)), ends).alias("_cuts"))
     p = p.select(*key, "_s", "_cuts", F.explode(F.sequence(F.lit(0), F.length("_s") - min_len)).alias("_b"))
     p = p.select(*key, "_s", "_cuts", "_b", F.explode(F.sequence(
         F.col("_b") + min_len, F.least(F.col("_b") + max_len, F.length("_s")))).alias("_e"))

@@ -72,3 +72,45 @@ def test_filter_fdr_drops_decoys(spark):
     df = spark.createDataFrame(rows, "score double, is_decoy boolean")
     kept = sorted(r["score"] for r in inference.filter_fdr(df, "score", "is_decoy", 0.0).collect())
     assert kept == [9.0, 10.0]
+
+
+def test_greedy_cover_dense_graph_uses_pool_rounds(spark):
+    # every protein overlaps every other: rounds of local bests take one
+    # protein each, pool rounds take several; the result must not change
+    rnd = random.Random(21)
+    edges = sorted({(pep, rnd.randint(0, 39)) for pep in range(400) for _ in range(6)})
+    df = spark.createDataFrame(edges, "peptide long, protein long")
+    got = {r[0]: r[1] for r in inference.greedy_cover(df).collect()}
+    assert got == sequential_greedy(edges)
+
+
+def test_pool_rounds_verified_against_proteins_outside_the_pool(spark, monkeypatch):
+    # a pool far smaller than the protein count makes every dense round
+    # depend on the check against the proteins outside it
+    monkeypatch.setattr(inference, "POOL_SIZE", 4)
+    for seed in (3, 8):
+        rnd = random.Random(seed)
+        edges = sorted({(pep, rnd.randint(0, 29)) for pep in range(300) for _ in range(5)})
+        df = spark.createDataFrame(edges, "peptide long, protein long")
+        got = {r[0]: r[1] for r in inference.greedy_cover(df).collect()}
+        assert got == sequential_greedy(edges)
+
+
+def test_pool_round_rejects_pick_beaten_outside_the_pool(spark, monkeypatch):
+    # pool = {A, B}; after A the true next pick is C (outside the pool, 9
+    # uncovered) not B (7 left); C's peptides 11-13 are also B's.
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(inference, "POOL_SIZE", 2)
+    A = [(p, "A") for p in range(1, 11)]
+    B = [(p, "B") for p in [1, 2] + list(range(11, 18))]
+    C = [(p, "C") for p in [11, 12, 13] + list(range(20, 26))]
+    edges = A + B + C
+    e = spark.createDataFrame(edges, "pep long, prot string")
+    tot = e.groupBy("prot").agg(F.count(F.lit(1)).alias("total"))
+    e = e.join(tot, on="prot")
+    cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"), F.first("total").alias("total"))
+    taken = {r["pep"]: r["prot"] for r in inference._pool_round(e, cnt).collect()}
+    assert taken == {p: "A" for p in range(1, 11)}
+    full = {r[0]: r[1] for r in inference.greedy_cover(
+        spark.createDataFrame(edges, "peptide long, protein string")).collect()}
+    assert full == sequential_greedy(edges)

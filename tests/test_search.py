@@ -101,3 +101,8 @@ def test_semi_specific_digest_against_python(spark):
     full = {(r["start"], r["peptide"]) for r in search.digest(df, ["acc"], "seq", min_len=6, max_len=10,
                                                               max_missed=5).collect()}
     assert full == {(s, p) for s, p, n in exp if n == 2}
+
+
+def test_semi_specific_digest_short_sequences(spark):
+    df = spark.createDataFrame([("P", "AAK"), ("Q", "")], "acc string, seq string")
+    assert search.digest_nonspecific(df, ["acc"], "seq", ntt=0, min_len=6).count() == 0
