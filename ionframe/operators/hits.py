@@ -58,35 +58,51 @@ def map_peptides(peptides: DataFrame, digested: DataFrame, peptide: str = "pepti
     return peptides.select(peptide).distinct().join(digested, on=peptide, how="inner")
 
 
+_SUPPLEMENTARY = r"[\x{10000}-\x{10FFFF}]"
+
+
+def _kmers(proteins: DataFrame, accession: str, sequence: str, k: int) -> DataFrame:
+    """(accession, start, kmer) for every position, exploded from an array
+    built inside the row (exploded rows never carry the whole sequence).
+
+    All overlapping k-grams come from one native regex pass
+    ``(?s)(?=(.{k}))``; a text with characters outside the BMP (where the
+    regex would also stop inside a surrogate pair) slices its code-point
+    array instead. Never positional ``substring`` per k-mer: on a long UTF-8
+    string each call rescans from the start."""
+    has_sup = F.col(sequence).rlike(_SUPPLEMENTARY)
+    fast = proteins.where(~has_sup | F.col(sequence).isNull()).select(
+        accession, F.posexplode(F.regexp_extract_all(sequence, F.lit(f"(?s)(?=(.{{{k}}}))"), 1)).alias("_p", "_kmer"))
+    chars = proteins.where(has_sup).select(accession, F.split(sequence, "").alias("_c"))
+    arr = F.expr(f"transform(sequence(1, greatest(size(_c) - {k} + 1, 1)), i -> array_join(slice(_c, i, {k}), ''))")
+    slow = chars.select(accession, F.posexplode(arr).alias("_p", "_kmer"))
+    e = fast.unionByName(slow)
+    return e.select(accession, (F.col("_p") + 1).cast("int").alias("start"), "_kmer")
+
+
 def map_peptides_substring(peptides: DataFrame, proteins: DataFrame, peptide: str = "peptide",
                            accession: str = "accession", sequence: str = "sequence", k: int = 6) -> DataFrame:
     """G6 for peptides the digest does not produce (non-specific ends,
     missed cleavages beyond the limit): every protein containing the peptide,
-    with its 1-based start. Proteins are exploded into their k-mers (one row
-    per position), peptides contribute their first k-mer, the two meet in an
-    equi-join on the k-mer and the full peptide is verified with a substring
-    comparison. Peptides shorter than ``k`` are matched the same way with
+    with its 1-based start (all occurrences).
+
+    Protein k-mers (one row per position) meet each peptide's first k-mer in
+    an equi-join; only those candidate hits are joined back to their sequence
+    and verified with a substring comparison. Peptides shorter than ``k`` use
     their own length as the k-mer size."""
-    pep = peptides.select(peptide).distinct()
-    short = pep.where(F.length(peptide) < k)
-    long = pep.where(F.length(peptide) >= k).withColumn("_kmer", F.substring(peptide, 1, k))
+    pep = peptides.select(peptide).distinct().withColumn("_len", F.length(peptide))
     prot = proteins.select(accession, sequence)
-    km = prot.select(accession, sequence, F.explode(F.sequence(F.lit(1), F.greatest(
-        F.length(sequence) - k + 1, F.lit(1)))).alias("start"))
-    km = km.withColumn("_kmer", F.expr(f"substring({sequence}, start, {k})"))
-    hit = long.join(km, on="_kmer").where(
-        F.expr(f"substring({sequence}, start, length({peptide}))") == F.col(peptide))
-    out = hit.select(peptide, accession, "start")
-    if short is not None:
-        # rare short peptides: the same join on their full (shorter) text
-        sk = short.withColumn("_len", F.length(peptide))
-        lens = [r[0] for r in sk.select("_len").distinct().collect()]  # at most k - 1 lengths
-        for ln in lens:
-            kmx = prot.select(accession, sequence, F.explode(F.sequence(F.lit(1), F.greatest(
-                F.length(sequence) - ln + 1, F.lit(1)))).alias("start"))
-            kmx = kmx.withColumn(peptide, F.expr(f"substring({sequence}, start, {ln})"))
-            out = out.unionByName(sk.where(F.col("_len") == ln).select(peptide)
-                                  .join(kmx, on=peptide).select(peptide, accession, "start"))
+    lens = sorted(r[0] for r in pep.where(F.col("_len") < k).select("_len").distinct().collect())  # < k values
+    out = None
+    for kk in [k] + lens:
+        side = pep.where(F.col("_len") >= k) if kk == k else pep.where(F.col("_len") == kk)
+        side = side.withColumn("_kmer", F.substring(peptide, 1, kk))
+        cand = side.join(_kmers(prot, accession, sequence, kk), on="_kmer")
+        if kk == k:
+            cand = cand.join(prot, on=accession).where(
+                F.expr(f"substring({sequence}, start, _len)") == F.col(peptide))
+        part = cand.select(peptide, accession, "start")
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -137,7 +137,8 @@ def trapezoid_area(sic: DataFrame, parent: Sequence[str], x: str, y: str,
 
 def peak_bounds(sic: DataFrame, parent: Sequence[str], x: str, y: str) -> DataFrame:
     """apex position and full width at half maximum (points >= apex/2)."""
-    apex = sic.groupBy(*parent).agg(F.max_by(x, y).alias("apex_x"), F.max(y).alias("apex_y"))
+    top = F.max(F.struct(F.col(y).alias("y"), F.col(x).alias("x")))  # ties: the later point
+    apex = sic.groupBy(*parent).agg(top["x"].alias("apex_x"), top["y"].alias("apex_y"))
     j = sic.join(apex, on=list(parent)).where(F.col(y) >= F.col("apex_y") / 2)
     return j.groupBy(*parent).agg(F.first("apex_x").alias("apex_x"), F.first("apex_y").alias("apex_y"),
                                   (F.max(x) - F.min(x)).alias("fwhm"))

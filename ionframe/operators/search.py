@@ -80,31 +80,43 @@ def digest(proteins: DataFrame, key: Sequence[str], sequence: str, rule: str = r
 
 def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, ntt: int = 1,
                        site_pattern: str = r"(?<=[KR])(?!P)", min_len: int = 6, max_len: int = 50,
-                       max_missed: int | None = None) -> DataFrame:
+                       max_missed: int | None = None, chunk: int = 1024) -> DataFrame:
     """D3 with ``ntt`` < 2 tolerable termini: every substring of allowed
     length whose number of enzymatic termini (protein ends count) is at least
-    ``ntt``; missed cleavages = cleavage sites strictly inside. The candidate
-    count per protein is bounded by its length x (max_len - min_len + 1).
-    Output as ``digest``: key, start (1-based), missed_cleavages, ntt, peptide."""
+    ``ntt``; missed cleavages = cleavage sites strictly inside. Output as
+    ``digest``: key, start (1-based), missed_cleavages, ntt, peptide.
+
+    Per sequence two arrays are built once: its characters and, per
+    character, the index of the cleavage piece it falls in. A candidate
+    (b, e) then costs O(1) for its termini (piece index changes at b / e)
+    and missed cleavages (piece index difference), plus O(length) to slice
+    its text. Start positions are exploded in chunks of ``chunk``, so no
+    exploded row carries the sequence more than n / chunk times."""
     seq = F.col(sequence)
-    # cleavage positions: 0-based offsets after which the sequence may be cut
     pieces = cleave(seq, site_pattern)
-    ends = F.transform(pieces, lambda p, i: F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0),
-                                                        lambda a, x: a + F.length(x)))
-    p = proteins.where(F.length(seq) >= min_len)  # shorter: no candidate (and no descending sequence below)
-    p = p.select(*key, seq.alias("_s"), F.array_union(F.array(F.lit(0)), ends).alias("_cuts"))
-    p = p.select(*key, "_s", "_cuts", F.explode(F.sequence(F.lit(0), F.length("_s") - min_len)).alias("_b"))
-    p = p.select(*key, "_s", "_cuts", "_b", F.explode(F.sequence(
-        F.col("_b") + min_len, F.least(F.col("_b") + max_len, F.length("_s")))).alias("_e"))
-    n_term = F.array_contains("_cuts", F.col("_b"))
-    c_term = F.array_contains("_cuts", F.col("_e"))
-    inner = F.size(F.filter("_cuts", lambda c: (c > F.col("_b")) & (c < F.col("_e"))))
-    p = p.withColumns({"ntt": n_term.cast("int") + c_term.cast("int"), "missed_cleavages": inner})
-    p = p.where(F.col("ntt") >= ntt)
+    piece_of = F.flatten(F.transform(pieces, lambda p, j: F.array_repeat(j + 1, F.length(p))))
+    p = proteins.where(F.length(seq) >= min_len).select(
+        *key, F.split(seq, "").alias("_c"), piece_of.alias("_pi"))
+    p = p.withColumn("_n", F.size("_c"))
+    p = p.select(*key, "_c", "_pi", "_n", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("_n") - min_len) / chunk).cast("int"))).alias("_chunk"))
+    cand = F.expr(f"""
+      filter(flatten(transform(
+        sequence(_chunk * {chunk}, least(_chunk * {chunk} + {chunk - 1}, _n - {min_len})),
+        b -> transform(sequence(b + {min_len}, least(b + {max_len}, _n)), e -> named_struct(
+              'b', b, 'e', e,
+              'ntt', CAST(b = 0 OR _pi[b - 1] != _pi[b] AS INT) + CAST(e = _n OR _pi[e - 1] != _pi[e] AS INT),
+              'missed', _pi[e - 1] - _pi[b])))),
+        x -> x.ntt >= {ntt})""")
     if max_missed is not None:
-        p = p.where(F.col("missed_cleavages") <= max_missed)
-    return p.select(*key, (F.col("_b") + 1).alias("start"), "missed_cleavages", "ntt",
-                    F.expr("substring(_s, _b + 1, _e - _b)").alias("peptide"))
+        cand = F.filter(cand, lambda x: x["missed"] <= max_missed)
+    # the text of each kept candidate is sliced inside the row, so the
+    # exploded rows carry only their own peptide
+    with_text = F.transform(cand, lambda x: x.withField(
+        "pep", F.array_join(F.slice("_c", x["b"] + 1, x["e"] - x["b"]), "")))
+    e = p.select(*key, F.explode(with_text).alias("_x"))
+    return e.select(*key, (F.col("_x.b") + 1).alias("start"), F.col("_x.missed").alias("missed_cleavages"),
+                    F.col("_x.ntt").alias("ntt"), F.col("_x.pep").alias("peptide"))
 
 
 def peptide_mass(df: DataFrame, sequence: str, residue_mass: Mapping[str, float],

@@ -409,3 +409,98 @@ WITH p AS (
     ON a.label = b.label AND a.vec_id < b.vec_id AND b.vec_id - a.vec_id <= 25)
 SELECT vec_a, vec_b, ROUND(c, 6) AS cosine FROM p WHERE c >= 0.3::DOUBLE
 """
+
+
+ORACLE["q51_expand_mods"] = """
+WITH p AS (SELECT p_partkey, length(p_name) - length(regexp_replace(p_name, '[aeo]', '', 'g')) AS n FROM part)
+SELECT p_partkey, LEAST(128, 1 + n + n * (n - 1) // 2 + n * (n - 1) * (n - 2) // 6)::BIGINT AS n_forms FROM p
+"""
+
+ORACLE["q52_match_candidates"] = """
+WITH s AS (SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS mz FROM lineitem),
+x AS (SELECT s.*, z.z AS charge, i.iso AS isotope,
+        (mz - 1.007276466812::DOUBLE) * z.z - i.iso * 1.00335483::DOUBLE AS obs
+      FROM s, (VALUES (2), (3), (4), (5)) z(z), (VALUES (-1), (0), (1), (2)) i(iso))
+SELECT l_orderkey, l_linenumber, charge, isotope, p_partkey
+FROM x JOIN part ON ABS(obs - p_retailprice) <= p_retailprice * 2e-05::DOUBLE
+"""
+
+ORACLE["q53_impurity"] = """
+WITH ri AS (SELECT user_id, event_type, SUM(value) AS intensity FROM events GROUP BY user_id, event_type),
+w AS (SELECT * FROM (VALUES ('click', 'click', 1.02::DOUBLE), ('click', 'error', -0.01::DOUBLE), ('error', 'click', -0.01::DOUBLE), ('error', 'error', 1.02::DOUBLE), ('error', 'purchase', -0.01::DOUBLE), ('purchase', 'error', -0.01::DOUBLE), ('purchase', 'purchase', 1.02::DOUBLE), ('purchase', 'signup', -0.01::DOUBLE), ('signup', 'purchase', -0.01::DOUBLE), ('signup', 'signup', 1.02::DOUBLE), ('signup', 'view', -0.01::DOUBLE), ('view', 'signup', -0.01::DOUBLE), ('view', 'view', 1.02::DOUBLE)) v(channel, source_channel, weight)),
+c AS (SELECT ri.user_id, w.channel, SUM(w.weight * ri.intensity) AS cc
+      FROM ri JOIN w ON ri.event_type = w.source_channel GROUP BY ri.user_id, w.channel)
+SELECT ri.user_id, ri.event_type, ROUND(ri.intensity, 4) AS intensity,
+  ROUND(GREATEST(COALESCE(c.cc, 0.0), 0.0), 4) AS corrected
+FROM ri LEFT JOIN c ON ri.user_id = c.user_id AND ri.event_type = c.channel
+"""
+
+ORACLE["q54_synopsis_first_hits"] = """
+SELECT l_suppkey, l_orderkey, l_linestatus, l_linenumber, l_partkey, l_discount FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_suppkey, l_orderkey, l_linestatus
+                               ORDER BY l_discount, l_linenumber, l_partkey) AS rn
+  FROM lineitem WHERE l_discount <= 0.02::DOUBLE OR l_tax <= 0.05::DOUBLE) WHERE rn = 1
+"""
+
+ORACLE["q55_filter_fdr"] = """
+WITH s AS (
+  SELECT l_extendedprice AS score,
+    SUM(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS nt, SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS nd
+  FROM lineitem GROUP BY l_extendedprice),
+c AS (SELECT *, SUM(nt) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS ct,
+        SUM(nd) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cd FROM s),
+f AS (SELECT score, cd::DOUBLE / GREATEST(ct, 1) AS fdr FROM c),
+q AS (SELECT score, MIN(fdr) OVER (ORDER BY score ASC ROWS UNBOUNDED PRECEDING) AS q FROM f)
+SELECT l.l_orderkey, l.l_linenumber, l.l_extendedprice, ROUND(q.q, 6) AS q_value
+FROM lineitem l JOIN q ON l.l_extendedprice = q.score
+WHERE q.q <= 0.49::DOUBLE AND NOT (l.l_returnflag = 'R')
+"""
+
+ORACLE["q56_site_permutations"] = """
+WITH p AS (SELECT p_partkey, length(p_name) - length(regexp_replace(p_name, '[aeo]', '', 'g')) AS n FROM part)
+SELECT p_partkey, (n * (n - 1) // 2)::BIGINT AS n_placements FROM p WHERE n >= 2
+"""
+
+ORACLE["q57_semi_digest"] = """
+WITH p AS (SELECT p_partkey, p_name AS s, length(p_name) AS n FROM part WHERE length(p_name) >= 6),
+c AS (SELECT p_partkey, s, n,
+        list_concat([0], list_filter(range(1, n), lambda i: substr(s, i, 1) IN ('e', 'o')
+                                                            AND substr(s, i + 1, 1) <> ' '), [n]) AS cuts FROM p),
+b AS (SELECT *, unnest(range(0, n - 6 + 1)) AS b FROM c),
+e AS (SELECT *, unnest(range(b + 6, LEAST(b + 50, n) + 1)) AS e FROM b),
+t AS (SELECT p_partkey, (b + 1)::INTEGER AS start, substr(s, b + 1, e - b) AS peptide,
+        (list_contains(cuts, b)::INTEGER + list_contains(cuts, e)::INTEGER) AS ntt,
+        len(list_filter(cuts, lambda x: x > b AND x < e))::INTEGER AS missed_cleavages FROM e)
+SELECT p_partkey, start, missed_cleavages, ntt, peptide FROM t WHERE ntt >= 1
+"""
+
+ORACLE["q58_map_substring"] = """
+WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS peptide FROM part),
+pos AS (SELECT doc_id, text, unnest(range(1, length(text) + 1)) AS start FROM documents)
+SELECT w.peptide, pos.doc_id AS accession, pos.start::INTEGER AS start
+FROM w JOIN pos ON substr(pos.text, pos.start, length(w.peptide)) = w.peptide
+"""
+
+ORACLE["q59_match_fragments"] = """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS mz,
+             CASE WHEN l_returnflag = 'A' THEN 0.05::DOUBLE ELSE 0.5::DOUBLE END AS tolerance FROM lineitem)
+SELECT l_orderkey, l_linenumber, p_partkey, tolerance FROM l JOIN part ON ABS(mz - p_retailprice) <= tolerance
+"""
+
+ORACLE["q60_peak_bounds"] = """
+WITH e AS (SELECT user_id, epoch_us(ts) / 1e6::DOUBLE AS t, value FROM events),
+a AS (SELECT user_id, MAX({'y': value, 'x': t}) AS top FROM e GROUP BY user_id)
+SELECT e.user_id, ROUND(a.top.x, 3) AS apex_t, a.top.y AS apex_value, ROUND(MAX(e.t) - MIN(e.t), 3) AS fwhm
+FROM e JOIN a ON e.user_id = a.user_id WHERE e.value >= a.top.y / 2
+GROUP BY e.user_id, a.top.x, a.top.y
+"""
+
+ORACLE["q61_mrm_crosstab"] = """
+WITH u AS (SELECT l_orderkey, l_extendedprice / l_quantity AS mz, l_quantity FROM lineitem),
+t AS (SELECT * FROM (VALUES ('t900', 900.0::DOUBLE), ('t950', 950.0::DOUBLE), ('t999', 999.9::DOUBLE)) v(transition, tmz)),
+j AS (SELECT u.l_orderkey, t.transition, u.l_quantity FROM u JOIN t ON ABS(u.mz - t.tmz) <= 0.05::DOUBLE)
+SELECT l_orderkey, SUM(CASE WHEN transition = 't900' THEN l_quantity END) AS t900,
+  SUM(CASE WHEN transition = 't950' THEN l_quantity END) AS t950,
+  SUM(CASE WHEN transition = 't999' THEN l_quantity END) AS t999
+FROM j GROUP BY l_orderkey
+"""

@@ -491,4 +491,124 @@ def q50_cosine(spark, sf):
     return j.where(F.col("cosine") >= 0.3).select("vec_a", "vec_b", F.round("cosine", 6).alias("cosine"))
 
 
+# ---------------------------------------------------------------- more operators
+MOD_RESIDUES = "aeo"
+
+
+def q51_expand_mods(spark, sf):
+    """Variable-modification forms of part names ('a', 'e', 'o'
+    modifiable, at most 3 per name, at most 128 forms), counted per part."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", F.lit(0.0).alias("mass"))
+    f = search.expand_mods(p, "p_name", MOD_RESIDUES, 15.994915, 3, 128, key=["p_partkey"])
+    return f.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n_forms"))
+
+
+def q52_match_candidates(spark, sf):
+    """Line unit prices as precursor m/z of unknown charge (2-5, isotope
+    offsets -1..2) matched to part prices as neutral masses within 20 ppm."""
+    s = _unit_prices(spark, sf).select("l_orderkey", "l_linenumber", F.col("unit_price").alias("precursor_mz"),
+                                       F.lit(None).cast("int").alias("charge"))
+    peps = table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("pmass"))
+    m = search.match_candidates(s, peps, "precursor_mz", "charge", "pmass", 20.0)
+    return m.select("l_orderkey", "l_linenumber", F.col("_z").alias("charge"), F.col("_iso").alias("isotope"),
+                    "p_partkey")
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _impurity_matrix():
+    """Inverse impurity matrix over the event types (a caller parameter):
+    1.02 on the diagonal, -0.01 to the neighbouring types."""
+    rows = []
+    for i, a in enumerate(EVENT_TYPES):
+        for j, b in enumerate(EVENT_TYPES):
+            if i == j:
+                rows.append((a, b, 1.02))
+            elif abs(i - j) == 1:
+                rows.append((a, b, -0.01))
+    return rows
+
+
+def q53_impurity(spark, sf):
+    """per user and type summed values corrected with the matrix."""
+    ri = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.sum("value").alias("intensity"))
+    m = spark.createDataFrame(_impurity_matrix(), "channel string, source_channel string, weight double")
+    c = scans.correct_impurity(ri, m, ["user_id"], channel="event_type")
+    return c.select("user_id", "event_type", F.round("intensity", 4).alias("intensity"),
+                    F.round("corrected_intensity", 4).alias("corrected"))
+
+
+def q54_synopsis_first_hits(spark, sf):
+    """G1 + G2: discount as p-value (<= 0.02) or tax as probability (<=
+    0.05); best line per (supplier, order, line status) by discount."""
+    li = table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linestatus", "l_linenumber",
+                                             "l_partkey", "l_discount", "l_tax")
+    syn = hits.synopsis(li, "l_discount", "l_tax", 0.02, 0.05, "or")
+    fh = hits.first_hits(syn, ["l_suppkey", "l_orderkey", "l_linestatus"], "l_discount",
+                         tiebreak=["l_linenumber", "l_partkey"])
+    return fh.select("l_suppkey", "l_orderkey", "l_linestatus", "l_linenumber", "l_partkey", "l_discount")
+
+
+def q55_filter_fdr(spark, sf):
+    """H3: lines kept at q-value <= 0.49 (score = price, decoy = flag R)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice",
+                                             (F.col("l_returnflag") == "R").alias("is_decoy"))
+    k = inference.filter_fdr(li, "l_extendedprice", "is_decoy", 0.49)
+    return k.select("l_orderkey", "l_linenumber", "l_extendedprice", F.round("q_value", 6).alias("q_value"))
+
+
+def q56_site_permutations(spark, sf):
+    """Placements of two modifications on the 'a', 'e', 'o' of part names."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", F.lit(2).alias("n_mods"))
+    s = sites.site_permutations(p, "p_name", MOD_RESIDUES, "n_mods")
+    return s.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n_placements"))
+
+
+def q57_semi_digest(spark, sf):
+    """D3 with one tolerable non-specific terminus on part names (cut after
+    'e' / 'o' unless a blank follows), length 6-50."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    return search.digest_nonspecific(p, ["p_partkey"], "p_name", 1, DIGEST_RULE, 6, 50)
+
+
+def q58_map_substring(spark, sf):
+    """Every occurrence of each part name's first word in the documents
+    (k-mer equi-join, k = 4, verified by substring)."""
+    words = table(spark, sf, "part").select(F.split("p_name", " ")[0].alias("peptide")).distinct()
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("accession"), F.col("text").alias("sequence"))
+    return hits.map_peptides_substring(words, docs, k=4)
+
+
+def q59_match_fragments(spark, sf):
+    """I4: unit prices as fragment peaks, activation HCD for return flag A
+    (0.05) else CID (0.5), matched to part prices."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / F.col("l_quantity")).alias("mz"),
+        F.when(F.col("l_returnflag") == "A", F.lit("HCD")).otherwise(F.lit("CID")).alias("activation"))
+    fr = table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("fmz"))
+    m = sites.match_fragments(li, fr, [], "mz", "fmz")
+    return m.select("l_orderkey", "l_linenumber", "p_partkey", "tolerance")
+
+
+def q60_peak_bounds(spark, sf):
+    """per user the apex (time of the largest value) and the width of
+    the points at or above half of it."""
+    ev = table(spark, sf, "events").select("user_id", (stats.epoch_micros(F.col("ts")) / 1e6).alias("t"), "value")
+    b = scans.peak_bounds(ev, ["user_id"], "t", "value")
+    return b.select("user_id", F.round("apex_x", 3).alias("apex_t"), F.col("apex_y").alias("apex_value"),
+                    F.round("fwhm", 3).alias("fwhm"))
+
+
+MRM_TRANSITIONS = [("t900", 900.0), ("t950", 950.0), ("t999", 999.9)]
+
+
+def q61_mrm_crosstab(spark, sf):
+    """per order (scan) the quantity at three transition m/z values
+    (unit prices within 0.05)."""
+    u = _unit_prices(spark, sf).select("l_orderkey", "unit_price", "l_quantity")
+    tr = spark.createDataFrame(MRM_TRANSITIONS, "transition string, transition_mz double")
+    return scans.mrm_crosstab(u, tr, ["l_orderkey"], "unit_price", "l_quantity", 0.05)
+
+
 QUERIES.update({k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)})

@@ -171,3 +171,11 @@ def test_selection_table(spark):
     assert R.selection_table(spark, "results").count() == 2
     with pytest.raises(ValueError):
         R.selection_table(spark, "nope")
+
+
+def test_kmers_with_supplementary_characters(spark):
+    from ionframe.operators import hits
+    prot = spark.createDataFrame([("P1", "ab\U0001F600cdab"), ("P2", "xxabyy")], "accession string, sequence string")
+    peps = spark.createDataFrame([("ab",), ("\U0001F600c",), ("cdab",)], "peptide string")
+    got = sorted(tuple(r) for r in hits.map_peptides_substring(peps, prot, k=2).collect())
+    assert got == [("ab", "P1", 1), ("ab", "P1", 6), ("ab", "P2", 3), ("cdab", "P1", 4), ("\U0001F600c", "P1", 3)]
