@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import suffix_expression
+from ..session import reliable_checkpoint
 from . import ordered
 
 CHANNEL_COLUMN = re.compile(r"^tmt(\d{2})?_channel$")
@@ -159,7 +160,8 @@ def combine_designs(passes: Mapping[str, DataFrame], order: Sequence[str],
     for c in ("ReporterAlias", "MeasurementName"):
         if c in out.columns:
             keep = F.col(c).isNull() | F.col(c).rlike("(?i)^ref")
-            out = make_unique(out, c, order, only=~keep)
+            # each numbering reads its input three times: cut the lineage first
+            out = make_unique(reliable_checkpoint(out, "design"), c, order, only=~keep)
     for c in ("ReporterAlias", "MeasurementName", "PlexID"):
         if c in out.columns:
             out = out.withColumn(c, F.when(F.col(c).isNotNull(), F.concat_ws("_", F.col(c), F.col(pass_col))))

@@ -17,6 +17,7 @@ def test_registry():
     assert len(qs) >= 50
     assert set(orc) <= set(qs)
     assert set(qs) - set(orc) == {"q18_parsimony"}
+    assert len(orc) >= 60
 
 
 def test_parsimony_invariants(spark):
