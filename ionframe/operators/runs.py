@@ -16,19 +16,55 @@ RUN_METADATA_SCHEMA = (f"id string, start timestamp, end timestamp, status strin
                        "failures array<struct<message:string,causedBy:array<struct<message:string>>>>")
 
 
-def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+INLINE_MAX_BYTES = 1 << 30  # files up to this size are hashed from the binary column
+
+
+def _md5_by_path(batches):
+    """mapInPandas helper: md5 of each file read in 64 MiB chunks (files too
+    large for one binary value). Paths are URIs from the file listing."""
+    import hashlib
+
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    for b in batches:
+        out = []
+        for uri in b["path"]:
+            u = uri if "://" in uri else uri.replace("file:", "file://", 1)
+            filesystem, path = pafs.FileSystem.from_uri(u)
+            h = hashlib.md5()
+            with filesystem.open_input_stream(path) as f:
+                while True:
+                    chunk = f.read(64 << 20)
+                    if not chunk:
+                        break
+                    h.update(chunk)
+            out.append(h.hexdigest())
+        yield pd.DataFrame({"path": b["path"], "md5": out})
+
+
+def file_manifest(spark: SparkSession, root: str, glob: str | None = None,
+                  inline_max_bytes: int = INLINE_MAX_BYTES) -> DataFrame:
     """Relative name and md5 of every file under ``root`` (recursive);
     names containing ``file_manifest`` are skipped; no file is an error.
-    ``binaryFile`` reads content per task; md5 is native."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.load(root)
+
+    Files up to ``inline_max_bytes`` are hashed natively from ``binaryFile``
+    content (the length filter is pushed into the scan, so larger files are
+    never loaded as one value); larger ones are spread over tasks and hashed
+    in chunks by path."""
+    def listing():
+        r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if glob:
+            r = r.option("pathGlobFilter", glob)
+        return r.load(root)
+
+    small = listing().where(F.col("length") <= inline_max_bytes).select("path", F.md5("content").alias("md5"))
+    big = listing().where(F.col("length") > inline_max_bytes).select("path")
+    big = big.repartition(F.col("path")).mapInPandas(_md5_by_path, "path string, md5 string")
     prefix = root.rstrip("/") + "/"
-    rel = decode_path(F.regexp_replace(F.col("path"), r"^file:", ""))
-    rel = F.regexp_replace(rel, "^" + _re_escape(prefix), "")
-    out = df.select(rel.alias("file_name"), F.md5("content").alias("md5"))
-    out = out.where(~F.col("file_name").contains("file_manifest"))
+    out = small.unionByName(big)
+    rel = F.regexp_replace(decode_path(F.regexp_replace(F.col("path"), r"^file:", "")), "^" + _re_escape(prefix), "")
+    out = out.select(rel.alias("file_name"), "md5").where(~F.col("file_name").contains("file_manifest"))
     if out.limit(1).count() == 0:
         raise ValueError(f"no files found under {root}")
     return out
