@@ -49,9 +49,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def epoch_micros(col: Column) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column
-    (NTZ read as UTC wall time when the session zone is UTC)."""
-    return F.unix_micros(col.cast("timestamp"))
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ column (wall
+    time read as UTC), independent of the session time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
 
 
 def decode_path(col: Column) -> Column:
