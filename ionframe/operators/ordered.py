@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import join_on_keys
+
 BUCKET = "_ord_bucket"
 
 
@@ -46,8 +48,9 @@ def running_agg(df: DataFrame, order: str | Column, aggs: dict[str, tuple[str, C
                 keep_bucket: str | None = None) -> DataFrame:
     """Add running aggregates over rows ordered by ``order`` (then ``tiebreak``).
 
-    ``aggs`` maps output name -> (fn, column) with fn in sum / min / max /
-    count. With ``inclusive`` the current row is included (ROWS frame).
+    ``aggs`` maps output name -> (fn, column) with fn in sum / min / max
+    (a running count is the sum of 1). With ``inclusive`` the current row is
+    included (ROWS frame), else the frame ends at the previous row.
     Equal to ``fn(col).over(Window.partitionBy(*partition_by).orderBy(...)
     .rowsBetween(unboundedPreceding, 0))`` without its single-task bottleneck.
 
@@ -65,29 +68,33 @@ def running_agg(df: DataFrame, order: str | Column, aggs: dict[str, tuple[str, C
     else:
         b = df.withColumn(BUCKET, bucket)
 
-    fns = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
-    vals = {name: (fn, colx) for name, (fn, colx) in aggs.items()}
+    fns = {"sum": F.sum, "min": F.min, "max": F.max}
+    bad = [fn for fn, _ in aggs.values() if fn not in fns]
+    if bad:
+        raise ValueError(f"running_agg supports sum / min / max, not {bad}")
+    vals = dict(aggs)
     b = b.withColumns({f"_v_{n}": c for n, (fn, c) in vals.items()})
 
     # per (group, bucket) totals and exclusive prefix over earlier buckets
-    tot = b.groupBy(*parts, BUCKET).agg(
-        *[(F.sum if fn == "count" else fns[fn])(
-            F.col(f"_v_{n}") if fn != "count" else F.col(f"_v_{n}").isNotNull().cast("long")
-        ).alias(f"_t_{n}") for n, (fn, c) in vals.items()])
+    tot = b.groupBy(*parts, BUCKET).agg(*[fns[fn](F.col(f"_v_{n}")).alias(f"_t_{n}")
+                                          for n, (fn, c) in vals.items()])
     wb = Window.partitionBy(*parts).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*parts, BUCKET, *[
-        (F.sum if fn in ("sum", "count") else fns[fn])(F.col(f"_t_{n}")).over(wb).alias(f"_o_{n}")
-        for n, (fn, c) in vals.items()])
+    off = tot.select(*parts, BUCKET, *[fns[fn](F.col(f"_t_{n}")).over(wb).alias(f"_o_{n}")
+                                       for n, (fn, c) in vals.items()])
 
     ob = [sort_key.asc()] + [(F.col(t) if isinstance(t, str) else t).asc() for t in tiebreak]
     end = 0 if inclusive else -1
     w = Window.partitionBy(*parts, BUCKET).orderBy(*ob).rowsBetween(Window.unboundedPreceding, end)
-    b = b.join(off, on=[*parts, BUCKET], how="inner")
+    # null-safe on the group keys: a null group is a group, as in groupBy
+    off = off.select(*[F.col(p).alias(f"_k_{i}") for i, p in enumerate(parts)],
+                     F.col(BUCKET).alias("_k_b"), *[f"_o_{n}" for n in vals])
+    cond = [F.col(p).eqNullSafe(F.col(f"_k_{i}")) for i, p in enumerate(parts)] + [F.col(BUCKET) == F.col("_k_b")]
+    b = b.join(off, on=cond, how="inner").drop(*[f"_k_{i}" for i in range(len(parts))], "_k_b")
     outs = {}
     for n, (fn, c) in vals.items():
         inner = fns[fn](F.col(f"_v_{n}")).over(w)
         o = F.col(f"_o_{n}")
-        if fn in ("sum", "count"):
+        if fn == "sum":
             outs[n] = F.coalesce(inner, F.lit(0)) + F.coalesce(o, F.lit(0))
         elif fn == "min":
             outs[n] = F.least(inner, o)
@@ -122,7 +129,7 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
     pos = (F.col("_n") - 1) * F.lit(q)
     lo = F.floor(pos) + 1
     hi = F.ceil(pos) + 1
-    j = ranked.join(n, on=list(keys)).where((F.col("_rn") == lo) | (F.col("_rn") == hi))
+    j = join_on_keys(ranked, n, keys).where((F.col("_rn") == lo) | (F.col("_rn") == hi))
     frac = pos - F.floor(pos)
     agg = j.groupBy(*keys).agg(
         F.max(F.when(F.col("_rn") == lo, F.col(value))).alias("_lo"),

@@ -59,7 +59,8 @@ def eval_reference(long: DataFrame, references: DataFrame, feature: Sequence[str
     again, so the long table is shuffled once on (feature, plex).
     """
     refs = references.select(F.col(ref_plex).alias(plex), F.col(ref_col).cast("string").alias("_ref")).distinct()
-    exprs = sorted(r[0] for r in refs.select("_ref").distinct().collect())  # one per plex at most
+    exprs = sorted(r[0] for r in refs.select("_ref").where(F.col("_ref").isNotNull()).distinct().collect())
+    # (one expression per plex at most: a design-sized list)
     grouped = long.groupBy(*feature, plex).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(channel).cast("string"), F.col(intensity)))).alias("_m"))
     g = grouped.join(bounded_broadcast(refs), on=plex, how="left")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ordered
+from .common import join_on_keys
 from .rangejoin import Tol, range_join
 
 
@@ -96,10 +97,10 @@ def sic_noise(sic: DataFrame, parent: Sequence[str], order: str, intensity: str,
     r = ordered.row_number(sic, intensity, parent, tiebreak=[order], name="_rn")
     first = r.groupBy(*parent, intensity).agg(F.min("_rn").alias("_rank"))
     n = sic.groupBy(*parent).agg(F.count(F.lit(1)).alias("_n"), F.max(intensity).alias("_max"))
-    r = r.join(first, on=[*parent, intensity]).join(n, on=list(parent))
+    r = join_on_keys(join_on_keys(r, first, [*parent, intensity]), n, parent)
     pr = F.when(F.col("_n") > 1, (F.col("_rank") - 1) / (F.col("_n") - 1)).otherwise(F.lit(0.0))
     noise = r.where(pr <= F.lit(low_fraction)).groupBy(*parent).agg(F.avg(intensity).alias("noise"))
-    out = r.join(noise, on=list(parent), how="left")
+    out = join_on_keys(r, noise, parent, how="left")
     out = out.where(F.col(intensity) >= F.col("_max") * F.lit(min_fraction_of_max))
     return out.withColumn("sn", F.when(F.col("noise") > 0, F.col(intensity) / F.col("noise"))) \
               .drop("_rn", "_rank", "_n", "_max")
@@ -113,7 +114,7 @@ def _neighbours(df: DataFrame, parent: Sequence[str], order: str, tiebreak: Sequ
     side = r.select(*[F.col(p).alias(f"_s_{p}") for p in parent], F.col("_rn").alias("_nrn"),
                     *[F.col(c).alias(f"_n_{c}") for c in cols])
     ex = r.withColumn("_off", F.explode(F.array(*[F.lit(k) for k in offsets])))
-    cond = [F.col(p) == F.col(f"_s_{p}") for p in parent] + [F.col("_rn") + F.col("_off") == F.col("_nrn")]
+    cond = [F.col(p).eqNullSafe(F.col(f"_s_{p}")) for p in parent] + [F.col("_rn") + F.col("_off") == F.col("_nrn")]
     return ex.join(side, on=cond, how="left").drop(*[f"_s_{p}" for p in parent])
 
 
@@ -139,7 +140,7 @@ def peak_bounds(sic: DataFrame, parent: Sequence[str], x: str, y: str) -> DataFr
     """apex position and full width at half maximum (points >= apex/2)."""
     top = F.max(F.struct(F.col(y).alias("y"), F.col(x).alias("x")))  # ties: the later point
     apex = sic.groupBy(*parent).agg(top["x"].alias("apex_x"), top["y"].alias("apex_y"))
-    j = sic.join(apex, on=list(parent)).where(F.col(y) >= F.col("apex_y") / 2)
+    j = join_on_keys(sic, apex, parent).where(F.col(y) >= F.col("apex_y") / 2)
     return j.groupBy(*parent).agg(F.first("apex_x").alias("apex_x"), F.first("apex_y").alias("apex_y"),
                                   (F.max(x) - F.min(x)).alias("fwhm"))
 
@@ -244,7 +245,7 @@ def replace_zeroes(sic: DataFrame, parent: Sequence[str], intensity: str) -> Dat
     """zero (or null) points take the group's smallest positive value
     (group minimum by aggregation + equi-join, not a window)."""
     mins = sic.groupBy(*parent).agg(F.min(F.when(F.col(intensity) > 0, F.col(intensity))).alias("_minpos"))
-    j = sic.join(mins, on=list(parent), how="left")
+    j = join_on_keys(sic, mins, parent, how="left")
     return j.withColumn(intensity, F.when(F.col(intensity) > 0, F.col(intensity))
                         .otherwise(F.col("_minpos"))).drop("_minpos")
 

@@ -38,3 +38,9 @@ def test_exact_quantile_matches_pandas(spark):
     got = {r["g"]: r["quantile"] for r in ordered.exact_quantile(df, ["g"], "v", 0.5).collect()}
     exp = pd.DataFrame(rows, columns=["g", "v"]).groupby("g")["v"].median().to_dict()
     assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
+
+
+def test_null_group_is_kept(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0)], "g string, v double")
+    got = sorted((r["g"] or "", r["rn"]) for r in ordered.row_number(df, "v", ["g"]).collect())
+    assert got == [("", 1), ("", 2), ("a", 1)]
