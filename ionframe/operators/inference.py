@@ -227,15 +227,14 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         nb = e.join(lab.withColumnRenamed("node", "v").withColumnRenamed("label", "lv"), on="v") \
               .groupBy("u").agg(F.min("lv").alias("m"))
         new = lab.join(nb.withColumnRenamed("u", "node"), on="node", how="left") \
-                 .select("node", F.least("label", "m").alias("label"))
+                 .select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         # pointer jumping: adopt the label of the label
         hop = new.select(F.col("node").alias("label"), F.col("label").alias("l2"))
         new = new.join(hop, on="label", how="left").select(
-            "node", F.least(F.col("label"), F.coalesce("l2", "label")).alias("label"))
-        new = reliable_checkpoint(new, "cc-labels")
-        changed = new.join(lab.withColumnRenamed("label", "old"), on="node") \
-                     .where(F.col("label") != F.col("old")).limit(1).count()
-        lab = new
-        if changed == 0:
+            "node", "old", F.least(F.col("label"), F.coalesce("l2", "label")).alias("label"))
+        # the change flag is written with the labels: no extra comparison job
+        new = reliable_checkpoint(new.withColumn("changed", F.col("label") != F.col("old")), "cc-labels")
+        lab = new.select("node", "label")
+        if new.where("changed").limit(1).count() == 0:
             break
     return lab.withColumnRenamed("label", "component")
