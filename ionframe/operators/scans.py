@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ordered
-from .common import join_on_keys
+from .common import bounded_broadcast, join_on_keys
 from .rangejoin import Tol, range_join
 
 
@@ -32,7 +32,7 @@ def correct_impurity(ri: DataFrame, matrix: DataFrame, keys: Sequence[str],
                      channel: str = "channel", intensity: str = "intensity") -> DataFrame:
     """corrected = sum_j W[i, j] * raw_j with W the inverted impurity matrix
     ``(channel, source_channel, weight)``; clipped at 0, raw kept beside it."""
-    j = ri.join(F.broadcast(matrix.withColumnRenamed("channel", "_target")),
+    j = ri.join(bounded_broadcast(matrix.withColumnRenamed("channel", "_target"), 100_000),
                 ri[channel] == F.col("source_channel"))
     corr = j.groupBy(*keys, "_target").agg(F.sum(F.col("weight") * F.col(intensity)).alias("_c"))
     corr = corr.withColumnRenamed("_target", channel)
