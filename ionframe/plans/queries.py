@@ -611,4 +611,16 @@ def q61_mrm_crosstab(spark, sf):
     return scans.mrm_crosstab(u, tr, ["l_orderkey"], "unit_price", "l_quantity", 0.05)
 
 
+def q62_group_parent_ions(spark, sf):
+    """events as parent ions (value as m/z, time as retention time),
+    each with a one-bin spectrum (bin = props.k, height = value); ions within
+    0.05 and 5 minutes with cosine >= 0.8 are linked, groups = components."""
+    ev = table(spark, sf, "events")
+    parents = ev.select("event_id", F.col("value").alias("mz"),
+                        (stats.epoch_micros(F.col("ts")) / 1e6).alias("rt"))
+    binned = ev.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("bin"),
+                       F.col("value").alias("total"))
+    return scans.group_parent_ions(parents, binned, "event_id", "mz", "rt", 0.05, 300.0, 0.8)
+
+
 QUERIES.update({k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)})
