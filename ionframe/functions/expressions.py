@@ -35,47 +35,76 @@ def tokenize(text: str) -> list[tuple[str, str]]:
 def reference_sql(text: str, map_col: str) -> str:
     """Spark SQL for one reference expression over ``map_col``.
 
-    Names become ``try_element_at(map_col, 'name')`` (null when the channel is
-    absent); ``mean(a, b)`` becomes ``(a + b) / 2``.
+    Grammar (whitelist): sums and differences of products / quotients of
+    numbers, channel names, parenthesised terms, unary minus and
+    ``mean(a, b, ...)``. Names become ``try_element_at(map_col, 'name')``
+    (null when the channel is absent), ``/`` becomes ``try_divide`` (null on
+    a zero channel instead of an error), ``mean`` the average of its terms.
     """
     toks = tokenize(str(text))
-    out: list[str] = []
-    i = 0
-    while i < len(toks):
-        kind, val = toks[i]
-        if kind == "name" and i + 1 < len(toks) and toks[i + 1] == ("op", "("):
-            if val != "mean":
-                raise ValueError(f"function {val!r} is not allowed in a reference")
-            depth, j, args, cur = 1, i + 2, [], []
-            while j < len(toks) and depth:
-                k2, v2 = toks[j]
-                if (k2, v2) == ("op", "("):
-                    depth += 1
-                elif (k2, v2) == ("op", ")"):
-                    depth -= 1
-                    if depth == 0:
-                        break
-                if depth == 1 and (k2, v2) == ("op", ","):
-                    args.append(cur)
-                    cur = []
-                else:
-                    cur.append((k2, v2))
-                j += 1
-            args.append(cur)
-            inner = [reference_sql(" ".join(v for _, v in a), map_col) for a in args]
-            out.append("((" + " + ".join(inner) + f") / {len(inner)})")
-            i = j + 1
-            continue
-        if kind == "name":
-            out.append(f"try_element_at({map_col}, '{val}')")
-        elif kind == "num":
-            out.append(f"CAST({val} AS DOUBLE)")
-        else:
-            if val == ",":
-                raise ValueError("',' outside mean(...)")
-            out.append(val)
-        i += 1
-    return " ".join(out)
+    pos = 0
+
+    def peek():
+        return toks[pos] if pos < len(toks) else (None, None)
+
+    def take(kind=None, val=None):
+        nonlocal pos
+        k, v = peek()
+        if k is None or (kind and k != kind) or (val and v != val):
+            raise ValueError(f"reference expression {text!r}: unexpected {v!r}")
+        pos += 1
+        return v
+
+    def expr():
+        out = term()
+        while peek() in (("op", "+"), ("op", "-")):
+            op = take()
+            out = f"({out} {op} {term()})"
+        return out
+
+    def term():
+        out = unary()
+        while peek() in (("op", "*"), ("op", "/")):
+            op = take()
+            rhs = unary()
+            out = f"({out} * {rhs})" if op == "*" else f"try_divide({out}, {rhs})"
+        return out
+
+    def unary():
+        if peek() == ("op", "-"):
+            take()
+            return f"(- {unary()})"
+        return atom()
+
+    def atom():
+        k, v = peek()
+        if k == "num":
+            take()
+            return f"CAST({v} AS DOUBLE)"
+        if k == "name":
+            take()
+            if peek() == ("op", "("):
+                if v != "mean":
+                    raise ValueError(f"function {v!r} is not allowed in a reference")
+                take("op", "(")
+                args = [expr()]
+                while peek() == ("op", ","):
+                    take()
+                    args.append(expr())
+                take("op", ")")
+                return f"(({' + '.join(args)}) / {len(args)})"
+            return f"try_element_at({map_col}, '{v}')"
+        if (k, v) == ("op", "("):
+            take()
+            inner = expr()
+            take("op", ")")
+            return inner
+        raise ValueError(f"reference expression {text!r}: unexpected {v!r}")
+
+    sql = expr()
+    if pos != len(toks):
+        raise ValueError(f"reference expression {text!r}: trailing {toks[pos][1]!r}")
+    return sql
 
 
 def reference_value(ref_col: str, map_col: str, expressions: list[str]) -> Column:

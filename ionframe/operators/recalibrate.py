@@ -18,8 +18,8 @@ def mass_error_ppm(psm: DataFrame, precursor_mz: str = "precursor_mz", charge: s
     observed = (F.col(precursor_mz) - F.lit(PROTON)) * F.col(charge)
     diff = observed - F.col(peptide_mass)
     iso = F.round(diff / F.lit(ISOTOPE_SPACING))
-    return psm.withColumns({"isotope": iso.cast("int"),
-                            name: (diff - iso * F.lit(ISOTOPE_SPACING)) / F.col(peptide_mass) * F.lit(1e6)})
+    ppm = F.try_divide(diff - iso * F.lit(ISOTOPE_SPACING), F.col(peptide_mass)) * F.lit(1e6)
+    return psm.withColumns({"isotope": iso.cast("int"), name: ppm})
 
 
 def confident_psms(psm: DataFrame, group: Sequence[str], score: str, start: float = 1e-10,

@@ -217,7 +217,7 @@ def compress_peaks(peaks: DataFrame, keys: Sequence[str], mz: str, intensity: st
                                 ((F.col(mz) - F.col(f"_n_{mz}")) > F.lit(gap))).cast("long"))
     g = ordered.running_agg(n, mz, {"cluster_id": ("sum", F.col("_start"))}, partition_by=keys)
     return g.groupBy(*keys, "cluster_id").agg(
-        (F.sum(F.col(mz) * F.col("_i")) / F.sum("_i")).alias("center"),
+        F.try_divide(F.sum(F.col(mz) * F.col("_i")), F.sum("_i")).alias("center"),
         F.sum("_i").alias("total"), F.sum("_c").alias("n_peaks"),
         F.min(mz).alias("mz_min"), F.max(mz).alias("mz_max"))
 
@@ -288,8 +288,9 @@ def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz:
         .agg(F.sum(F.col("_va") * F.col("_vb")).alias("_dot"))
     na = norms.select(F.col(parent_id).alias("_a"), F.col("_n").alias("_na"))
     nb = norms.select(F.col(parent_id).alias("_b"), F.col("_n").alias("_nb"))
+    den = F.col("_na") * F.col("_nb")
     sim = dot.join(na, on="_a").join(nb, on="_b").withColumn(
-        "similarity", F.col("_dot") / (F.col("_na") * F.col("_nb")))
+        "similarity", F.when(den > 0, F.col("_dot") / den))  # an all-zero spectrum is similar to nothing
     links = sim.where(F.col("similarity") >= min_similarity).select("_a", "_b")
     comp = connected_components(links, "_a", "_b")
     ids = parents.select(parent_id).distinct()

@@ -506,12 +506,10 @@ FROM j GROUP BY l_orderkey
 """
 
 ORACLE["q62_group_parent_ions"] = """
-WITH RECURSIVE e AS (
-  SELECT event_id, value AS mz, epoch_us(ts) / 1e6::DOUBLE AS rt, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
-  FROM events),
+WITH RECURSIVE e AS (SELECT event_id, value AS mz, epoch_us(ts) / 1e6::DOUBLE AS rt, event_type FROM events),
 links AS (SELECT a.event_id AS u, b.event_id AS v FROM e a JOIN e b
-          ON a.event_id < b.event_id AND ABS(a.mz - b.mz) <= 0.05::DOUBLE AND ABS(a.rt - b.rt) <= 300.0::DOUBLE
-         AND a.k = b.k),
+          ON a.event_id < b.event_id AND ABS(a.mz - b.mz) <= 0.5::DOUBLE AND ABS(a.rt - b.rt) <= 600.0::DOUBLE
+         AND a.event_type = b.event_type),
 ed AS (SELECT u AS a, v AS b FROM links UNION SELECT v, u FROM links),
 reach(node, lbl) AS (SELECT DISTINCT a, a FROM ed UNION SELECT ed.b, reach.lbl FROM reach JOIN ed ON reach.node = ed.a),
 comp AS (SELECT node, MIN(lbl) AS c FROM reach GROUP BY node)

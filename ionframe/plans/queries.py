@@ -87,7 +87,7 @@ def q05_reference_expression(spark, sf):
 def _unit_prices(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+        F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"))
 
 
 def q06_range_abs(spark, sf):
@@ -584,7 +584,7 @@ def q59_match_fragments(spark, sf):
     """I4: unit prices as fragment peaks, activation HCD for return flag A
     (0.05) else CID (0.5), matched to part prices."""
     li = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / F.col("l_quantity")).alias("mz"),
+        "l_orderkey", "l_linenumber", F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("mz"),
         F.when(F.col("l_returnflag") == "A", F.lit("HCD")).otherwise(F.lit("CID")).alias("activation"))
     fr = table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("fmz"))
     m = sites.match_fragments(li, fr, [], "mz", "fmz")
@@ -613,14 +613,14 @@ def q61_mrm_crosstab(spark, sf):
 
 def q62_group_parent_ions(spark, sf):
     """events as parent ions (value as m/z, time as retention time),
-    each with a one-bin spectrum (bin = props.k, height = value); ions within
-    0.05 and 5 minutes with cosine >= 0.8 are linked, groups = components."""
+    each with a one-bin spectrum (bin = a hash of the event type, height =
+    value); ions within 0.5 and ten minutes whose spectra have cosine >= 0.8 are
+    linked, groups are the connected components."""
     ev = table(spark, sf, "events")
     parents = ev.select("event_id", F.col("value").alias("mz"),
                         (stats.epoch_micros(F.col("ts")) / 1e6).alias("rt"))
-    binned = ev.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("bin"),
-                       F.col("value").alias("total"))
-    return scans.group_parent_ions(parents, binned, "event_id", "mz", "rt", 0.05, 300.0, 0.8)
+    binned = ev.select("event_id", F.xxhash64("event_type").alias("bin"), F.col("value").alias("total"))
+    return scans.group_parent_ions(parents, binned, "event_id", "mz", "rt", 0.5, 600.0, 0.8)
 
 
 QUERIES.update({k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)})

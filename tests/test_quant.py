@@ -43,3 +43,12 @@ def test_crosstab_round_trip(spark):
     ct = quant.crosstab(long, ["f"], "s", "v", ["a", "b"])
     back = ct.unpivot(["f"], ["a", "b"], "s", "v").where("v is not null")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect()))
+
+
+def test_reference_division_by_zero_channel_is_null(spark):
+    long = spark.createDataFrame([("p1", "S1", "a", 4.0), ("p1", "S1", "b", 0.0)],
+                                 "feature string, plex string, channel string, intensity double")
+    refs = spark.createDataFrame([("S1", "a / b"), ], "PlexID string, Reference string")
+    r = quant.eval_reference(long, refs, ["feature"], "plex", "channel").collect()
+    assert all(x["reference_intensity"] is None and x["log2_ratio"] is None for x in r)
+    assert reference_sql("-a + 2 * (b - 1) / mean(c, d)", "m").count("try_divide") == 1
