@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from ionframe.plans.tables import table
 
-from . import ann, embedding_dedup, mixing, sharding, simhash
+from . import ann, embedding_dedup, mixing, quality, sharding, simhash, toxicity
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labelled rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model).drop("text")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +30,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labelled rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).drop("text")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix's words taken from each document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
@@ -42,7 +56,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sharding, op6_simhash, op8_mixing, op9_ann, op10_embedding_dedup)
+    f.__name__: f for f in (op1_quality, op2_sharding, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup)
 }
 
 ORACLE: dict[str, str] = {
