@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from ionframe.plans.tables import table
 
-from . import ann, embedding_dedup, mixing, quality, sharding, simhash, toxicity
+from . import ann, embedding_dedup, mixing, pii, quality, sharding, simhash, toxicity
+
+
+#: Key of the pseudonyms in the registered queries; a user keeps their own secret.
+PII_KEY = "registered-queries"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +29,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text with personal data replaced by pseudonyms, and how many values were."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, count="n_replaced")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles, and components over links of at most 3 bits."""
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
@@ -56,7 +66,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_sharding, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup)
+    f.__name__: f for f in (op1_quality, op2_sharding, op5_pii, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup)
 }
 
 ORACLE: dict[str, str] = {
