@@ -7,23 +7,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ionframe.llm import mixing, simhash
+from ionframe.llm import mixing, pii, sentencepiece, simhash, toxicity
+from ionframe.llm.queries import PII_KEY, TOKENIZER
+from ionframe.plans.tables import table
 from ionframe.session import checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that a model learned from the labels finds toxic."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of SimHash near-copies."""
     return simhash.keep_one(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by pseudonyms."""
+    return pii.pseudonymise(docs, PII_KEY)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources meet their target weights."""
     return mixing.emit(mixing.mix(docs))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", near_duplicates), ("mixed_sources", mixed_sources)]
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each document's text."""
+    return sentencepiece.encode_documents(docs, sentencepiece.load(TOKENIZER)).select("doc_id", "source", "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [("toxicity", clean), ("near_duplicates", near_duplicates), ("personal_data", personal_data),
+                                   ("mixed_sources", mixed_sources), ("encoded", encoded)]
 
 #: The stages train a model, search fingerprints and tokenise, which SQL can't express.
 ORACLE_SQL = None
@@ -31,7 +49,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     at = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
         out = f"{at}/{i}-{name}"

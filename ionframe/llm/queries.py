@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ionframe.plans.tables import table
 
-from . import ann, embedding_dedup, mixing, pii, quality, sharding, simhash, toxicity
+from . import ann, embedding_dedup, mixing, packing, pii, quality, sentencepiece, sharding, simhash, toxicity
 
 
 #: Key of the pseudonyms in the registered queries; a user keeps their own secret.
 PII_KEY = "registered-queries"
+#: A public vocabulary on the driver's machine; the compiled model is broadcast.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,19 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document's whole text, and whether decoding them gives the text again."""
+    model = sentencepiece.load(TOKENIZER)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = sentencepiece.decode_documents(sentencepiece.encode_documents(docs, model), model, out="decoded")
+    return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids packed into rows of 2,048."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), sentencepiece.load(TOKENIZER))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's whole text with personal data replaced by pseudonyms, and how many values were."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,7 +81,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_sharding, op5_pii, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup)
+    f.__name__: f for f in (op1_quality, op2_sharding, op3_sentencepiece, op4_packing, op5_pii, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup)
 }
 
 ORACLE: dict[str, str] = {
