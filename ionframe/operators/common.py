@@ -1,4 +1,4 @@
-"""Small shared helpers: size-checked broadcast, required columns."""
+"""Small shared helpers: required columns, null-safe joins."""
 
 from __future__ import annotations
 
@@ -7,22 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension table (design tables, channels, tags) is
-# broadcast. Above it the join stays a shuffle join (AQE may still broadcast
-# from runtime statistics).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The proof is a ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so checking a large table costs little.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "table") -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:

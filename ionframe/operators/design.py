@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.expressions import suffix_expression
 from ..session import reliable_checkpoint
 from . import ordered
-from .common import bounded_broadcast
 
 CHANNEL_COLUMN = re.compile(r"^tmt(\d{2})?_channel$")
 
@@ -52,7 +51,7 @@ def plex_from_order(df: DataFrame, path: str, name: str = "tmt_plex") -> DataFra
     # a list of files: small by nature, so one ordered window is fine here
     i = F.row_number().over(Window.orderBy(path))
     ranked = paths.select(path, F.concat(F.lit("S"), i.cast("string")).alias(name))
-    return df.join(bounded_broadcast(ranked), on=path)
+    return df.join(ranked, on=path)
 
 
 def stack_vials(details: DataFrame, path: str, label: str = "vial_label",

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast
 from .rangejoin import Tol, range_join
 from .scans import top_n
 
@@ -117,7 +116,7 @@ def mod_details(df: DataFrame, key: Sequence[str], sequence: str, mod_defs: Data
     e = df.select(*key, F.posexplode(toks).alias("_i", "_t"))
     e = e.select(*key, (F.col("_i") + 1).cast("int").alias("position"),
                  F.substring("_t", 1, 1).alias("residue"), F.expr("substring(_t, 2)").alias("_sym"))
-    d = bounded_broadcast(mod_defs, 100_000)  # a modification list
+    d = mod_defs  # a modification list
     cond = (e["residue"] == d["residue"]) & ((d["symbol"] == "") | (F.instr(e["_sym"], d["symbol"]) > 0))
     j = e.join(d, cond, "inner")
     return j.select(*[e[k] for k in key], e["position"], e["residue"], d["symbol"], d["mod_name"], d["mass"])
@@ -141,7 +140,7 @@ def name_masses(mods: DataFrame, tags: DataFrame, key: Sequence[str], mass: str,
     """The tag whose mass is closest (within ``tol``); ties by the smaller
     tie-break value. Range join, then one min over (distance, tie-break)."""
     tb = tag_tiebreak or tag_name
-    j = range_join(mods, tags, [Tol(mass, tag_mass, tol)], broadcast_right=True)
+    j = range_join(mods, tags, [Tol(mass, tag_mass, tol)])
     best = F.min(F.struct(F.abs(F.col(mass) - F.col(tag_mass)).alias("d"), F.col(tb).alias("t"),
                           F.col(tag_name).alias("n")))
     g = j.groupBy(*key).agg(best.alias("_b"))

@@ -1,26 +1,16 @@
-"""Protein inference and connected components (§4.5).
-
-Greedy set cover, distributed: in every round each protein's key is
-(uncovered peptides desc, all peptides desc, accession asc). A protein is
-taken when it has the best key among all proteins sharing any uncovered
-peptide with it. Keys only fall as peptides get covered, so such a local
-best is exactly what the one-at-a-time greedy would take before any of its
-neighbours, with the same peptides: the parallel rounds give the sequential
-greedy result, while every step is a grouped aggregation or join (no group,
-component or table passes through one task).
-"""
+"""Protein inference and connected components (§4.5)."""
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
-import numpy as np
-
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import checkpoint_dir, materialize, reliable_checkpoint
+from ..session import materialize
+from .components import star_components
 from .search import target_decoy_fdr
 
 
@@ -48,143 +38,85 @@ def unique_only(edges: DataFrame, peptide: str = "peptide", protein: str = "prot
     return e.join(one.select(peptide), on=peptide, how="left_semi")
 
 
-POOL_SIZE = 200         # proteins simulated together in a dense round
-MASK_BUDGET = 200_000   # distinct pool-membership masks allowed on the driver
+#: Edges of a connected component that one task finishes by the plain greedy; the edges
+#: of larger ones are covered by parallel rounds until they fall apart.
+TASK_EDGES = 1_000_000
 
 
-def _local_max_round(e: DataFrame, cnt: DataFrame) -> DataFrame:
-    """Proteins whose key beats every protein sharing an uncovered peptide."""
-    ek = e.join(cnt.select("prot", "cnt"), on="prot")
+def _local_best(e: DataFrame) -> DataFrame:
+    """Edges of the proteins whose key beats every protein sharing an uncovered peptide."""
+    cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"))
+    ek = materialize(e.join(cnt, on="prot"), "cover-keys")
     key = F.struct((-F.col("cnt")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("c"))
-    best = ek.groupBy("pep").agg(F.min(key).alias("_best"))
-    ek = ek.join(best, on="pep")
-    win = ek.groupBy("prot").agg(F.min((F.col("_best")["c"] == F.col("prot")).cast("int")).alias("_w")) \
-            .where("_w = 1").select("prot")
-    return e.join(win, on="prot", how="left_semi").select("pep", "prot")
-
-
-def _better(a, b) -> bool:
-    """Greedy key order: more uncovered, then more peptides, then smaller id."""
-    return (a[0], a[1]) > (b[0], b[1]) or ((a[0], a[1]) == (b[0], b[1]) and a[2] < b[2])
-
-
-def _pool_round(e: DataFrame, cnt: DataFrame):
-    """A dense round: several greedy steps at once, exactly.
-
-    1. The POOL_SIZE best proteins by current key; each uncovered peptide
-       gets the sorted list of pool proteins containing it ("mask"); masks
-       are counted, and at most MASK_BUDGET + 1 distinct ones are collected
-       (more: the round falls back to local bests).
-    2. The greedy is simulated on the pool from the mask counts, giving the
-       order and the key of each pick at its time.
-    3. Every other protein's count after the first i picks is computed in
-       Spark (its edges joined to each peptide's first covering pick); the
-       best of them per i decides how many simulated picks are certainly the
-       ones the one-at-a-time greedy makes. Returns the (pep, prot) pairs
-       taken, or None when the masks exceed the budget.
-    """
-    spark = e.sparkSession
-    top = cnt.orderBy(F.col("cnt").desc(), F.col("total").desc(), F.col("prot").asc()).limit(POOL_SIZE).collect()
-    pool = [(r["prot"], int(r["cnt"]), int(r["total"])) for r in top]
-    schema = T.StructType([cnt.schema["prot"], T.StructField("rk", T.IntegerType())])
-    pool_df = F.broadcast(spark.createDataFrame([(p[0], i) for i, p in enumerate(pool)], schema))
-    masks = e.join(pool_df, on="prot").groupBy("pep").agg(F.array_sort(F.collect_list("rk")).alias("mask")) \
-        .groupBy("mask").agg(F.count(F.lit(1)).alias("w"))
-    mw = masks.limit(MASK_BUDGET + 1).collect()  # at most MASK_BUDGET + 1 small rows
-    if len(mw) > MASK_BUDGET:
-        return None
-    P = len(pool)
-    bits = np.zeros((len(mw), P), dtype=bool)
-    for r, row in enumerate(mw):
-        bits[r, row["mask"]] = True
-    w = np.array([row["w"] for row in mw], dtype=np.int64)
-    counts = w @ bits  # uncovered peptides per pool protein
-    alive = np.ones(len(mw), dtype=bool)
-    picked, picks = set(), []
-    for _ in range(P):
-        best = None
-        for j, (prot, _c, tot) in enumerate(pool):
-            if j in picked or counts[j] <= 0:
-                continue
-            k = (int(counts[j]), tot, prot)
-            if best is None or _better(k, best[1]):
-                best = (j, k)
-        if best is None:
-            break
-        picked.add(best[0])
-        picks.append(best[1])
-        gone = alive & bits[:, best[0]]
-        counts -= w[gone] @ bits[gone]
-        alive &= ~gone
-    n = len(picks)
-    pschema = T.StructType([cnt.schema["prot"], T.StructField("idx", T.IntegerType())])
-    picks_df = F.broadcast(spark.createDataFrame([(k[2], i + 1) for i, k in enumerate(picks)], pschema))
-    first = e.join(picks_df, on="prot").groupBy("pep").agg(F.min("idx").alias("f"))
-    # only proteins outside the pool that could beat some pick matter
-    floor = min(k[0] for k in picks)
-    others = cnt.join(pool_df.select("prot"), on="prot", how="left_anti").where(F.col("cnt") >= floor)
-    dec = e.join(others.select("prot"), on="prot", how="left_semi").join(first, on="pep") \
-           .groupBy("prot", "f").agg(F.count(F.lit(1)).alias("c"))
-    # a peptide first covered by pick f lowers Q's count from step f on
-    # (never write sequence(f, n-1) bare: with f > n-1 it counts down)
-    dec = dec.where(F.col("f") <= n - 1) \
-             .withColumn("i", F.explode(F.sequence(F.col("f"), F.lit(n - 1)))) \
-             .groupBy("prot", "i").agg(F.sum("c").alias("d"))
-    steps = others.select("prot", "cnt", "total", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
-    upd = steps.join(dec, on=["prot", "i"], how="left") \
-               .withColumn("u", F.col("cnt") - F.coalesce(F.col("d"), F.lit(0)))
-    bound = {r["i"]: (int(-r["b"]["a"]), int(-r["b"]["b"]), r["b"]["c"]) for r in upd.groupBy("i").agg(
-        F.min(F.struct((-F.col("u")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("c"))).alias("b")
-    ).collect()}  # n rows
-    valid = 0
-    for i, k in enumerate(picks):
-        if i in bound and not _better(k, bound[i]):
-            break
-        valid += 1
-    chosen = F.broadcast(spark.createDataFrame([(k[2], i + 1) for i, k in enumerate(picks[:valid])], pschema))
-    taken = first.where(F.col("f") <= valid).join(chosen.withColumnRenamed("idx", "f"), on="f")
-    return taken.select("pep", "prot")
-
-
-def _cover(e: DataFrame) -> list[DataFrame]:
-    """Rounds of the greedy on edges (pep, prot, total).
-
-    A round takes either every local best protein (sparse parts of the
-    graph: many at once) or, when those are few, an exactly verified run of
-    greedy steps from the pool of the best proteins (dense parts). The
-    round's assignments and the remaining edges are reliable checkpoints
-    (lineage cut, partitioning kept for the next round's joins).
-    """
-    out = []
-    e = reliable_checkpoint(e.repartition("pep"), "cover-edges")
-    dense = False
-    while True:
-        cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"), F.first("total").alias("total"))
-        taken = _pool_round(e, cnt) if dense else None
-        pooled = taken is not None
-        if not pooled:
-            taken = _local_max_round(e, cnt)
-        taken = reliable_checkpoint(taken, "cover-taken")
-        # few local bests: the graph is dense here, pool rounds from now on
-        dense = pooled or taken.select("prot").distinct().limit(8).count() < 8
-        out.append(taken)
-        e = reliable_checkpoint(e.join(taken.select("pep"), on="pep", how="left_anti"), "cover-edges")
-        if e.isEmpty():
-            break
-    return out
-
-
-def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "protein") -> DataFrame:
+    best = materialize(ek.groupBy("pep").agg(F.min(key)["c"].alias("best")), "cover-best")
+    loses = ek.join(best, on="pep").where("prot <> best").select("prot").distinct()
+    return ek.join(loses, on="prot", how="left_anti").select("pep", "prot")
+
+
+def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One-at-a-time greedy of one component: a heap of keys, looked at again when popped."""
+    prots, totals = {}, {}
+    for pep, prot, total in zip(pdf["pep"], pdf["prot"], pdf["total"]):
+        prots.setdefault(prot, []).append(pep)
+        totals[prot] = total
+    heap = [(-len(v), -totals[k], k) for k, v in prots.items()]
+    heapq.heapify(heap)
+    owner: dict = {}
+    while heap:
+        n, total, prot = heapq.heappop(heap)
+        left = [x for x in prots[prot] if x not in owner]
+        if not left:
+            continue
+        if len(left) < -n:
+            heapq.heappush(heap, (-len(left), total, prot))
+            continue
+        for x in left:
+            owner[x] = prot
+    return pd.DataFrame({"pep": list(owner), "prot": list(owner.values())})
+
+
+def _number(e: DataFrame, col: str, name: str) -> DataFrame:
+    """Stable node names of one side of the graph, apart from the other side's."""
+    return e.withColumn(name, F.concat(F.lit(col[1] + ":"), F.col(col).cast("string")))
+
+
+def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "protein",
+                 task_edges: int = TASK_EDGES, rounds: list | None = None) -> DataFrame:
     """H5: fewest proteins explaining every peptide (greedy); one row per
-    peptide with the protein it is assigned to."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot")).distinct()
+    peptide with the protein it is assigned to. Edges with a null end are left out.
+
+    The graph is split into connected components, which the greedy treats
+    independently. Those of at most ``task_edges`` edges are finished side by side, one in a
+    task. The others take a round of local bests: a protein whose key (uncovered
+    peptides, all peptides, smaller accession) beats all proteins sharing an uncovered peptide is what
+    the one-at-a-time greedy would take before any of its neighbours, with the same peptides. What is
+    left is split into components again. The result is the sequential greedy's at any
+    ``task_edges``; no table or large component passes through one task. ``rounds`` collects a mark per round.
+    """
+    e = edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot")) \
+        .where(F.col(peptide).isNotNull() & F.col(protein).isNotNull()).distinct()
+    e = materialize(e, "cover-edges")
     tot = e.groupBy("prot").agg(F.count(F.lit(1)).alias("total"))
-    e = e.join(tot, on="prot")
-    parts = _cover(e)
+    e = materialize(e.join(tot, on="prot"), "cover-edges")
+    schema = f"pep {e.schema['pep'].dataType.simpleString()}, prot {e.schema['prot'].dataType.simpleString()}"
+    parts = []
+    while not e.isEmpty():
+        if rounds is not None:
+            rounds.append(len(rounds))
+        named = _number(_number(e, "pep", "_u"), "prot", "_v")
+        comp = star_components(named, "_u", "_v").withColumnRenamed("node", "_v")
+        named = materialize(named.join(comp, on="_v").drop("_u", "_v"), "cover-components")
+        large = materialize(named.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > task_edges), "cover-large")
+        small = named.join(large, on="component", how="left_anti")
+        parts.append(materialize(small.groupBy("component").applyInPandas(_greedy, schema), "cover-taken"))
+        rest = materialize(named.join(large, on="component", how="left_semi").select("pep", "prot", "total"), "cover-rest")
+        if rest.isEmpty():
+            break
+        taken = materialize(_local_best(rest), "cover-taken")
+        parts.append(taken)
+        e = materialize(rest.join(taken.select("pep"), on="pep", how="left_anti"), "cover-edges")
     if not parts:
-        return spark.createDataFrame([], edges.select(peptide, protein).schema)
+        return edges.select(peptide, protein).limit(0)
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
@@ -211,30 +143,5 @@ def infer_parsimony(edges: DataFrame, peptide: str = "peptide", protein: str = "
 
 
 def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """Component label (smallest node id) of every node of an undirected graph.
-
-    Min-label propagation over both edge directions with pointer jumping
-    (label := label of label), checkpointed every round, until no label
-    changes. Output: (node, component).
-    """
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    e = reliable_checkpoint(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "cc-edges")
-    nodes = e.select(F.col("u").alias("node")).distinct()
-    lab = reliable_checkpoint(nodes.withColumn("label", F.col("node")), "cc-labels")
-    while True:
-        nb = e.join(lab.withColumnRenamed("node", "v").withColumnRenamed("label", "lv"), on="v") \
-              .groupBy("u").agg(F.min("lv").alias("m"))
-        new = lab.join(nb.withColumnRenamed("u", "node"), on="node", how="left") \
-                 .select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        # pointer jumping: adopt the label of the label
-        hop = new.select(F.col("node").alias("label"), F.col("label").alias("l2"))
-        new = new.join(hop, on="label", how="left").select(
-            "node", "old", F.least(F.col("label"), F.coalesce("l2", "label")).alias("label"))
-        # the change flag is written with the labels: no extra comparison job
-        new = reliable_checkpoint(new.withColumn("changed", F.col("label") != F.col("old")), "cc-labels")
-        lab = new.select("node", "label")
-        if new.where("changed").limit(1).count() == 0:
-            break
-    return lab.withColumnRenamed("label", "component")
+    """Component label (smallest node id) of every node with an edge to another one: (node, component)."""
+    return star_components(edges, src, dst)

@@ -1,12 +1,12 @@
 """Order-dependent aggregates without a single-partition window.
 
 A plain ``Window.orderBy(x)`` (no partition key) or a window partitioned by a
-hot key sends a whole group to one task. The helpers here cut the order key
-into quantile buckets (boundaries from ``approxQuantile``: a few hundred numbers
-reach the driver, never rows), compute per-bucket totals (a small table),
-take exclusive prefix totals over the buckets and add them to a window that is
-partitioned by (group, bucket). Every task then holds at most one bucket of one
-group, and the result equals the single-window result exactly.
+hot key sends a whole group to one task. The helpers here range-partition the rows by
+(group, order, tie-break, place in the stored input), so that a partition
+holds a run of one or more groups whatever the types, and equal
+values spread like others. Spark sizes the ranges from a sample of the data. Totals per (group, partition) are a small
+table; their exclusive prefix is added to a window over (group, partition). The result
+equals the single-window result exactly.
 """
 
 from __future__ import annotations
@@ -16,107 +16,98 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import join_on_keys
 
 BUCKET = "_ord_bucket"
+_PLACE = "_ord_place"
+_FNS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def _bounds(df: DataFrame, key: Column, n_buckets: int, rel_err: float = 0.001) -> list[float]:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    q = df.select(key.cast("double").alias("_k")).approxQuantile("_k", probs, rel_err)
-    return sorted({x for x in q if x is not None})
+def _as_col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def bucket_expr(key: Column, bounds: Sequence[float]) -> Column:
-    """Index of the bucket of ``key``: the number of boundaries <= key.
+def bucketed(df: DataFrame, order: str | Column, partition_by: Sequence[str] = (),
+             tiebreak: Sequence[str | Column] = (), descending: bool = False) -> DataFrame:
+    """``df`` stored in range partitions of (group, order, tie-break), with the partition's number in
+    ``BUCKET`` and the place that decides between rows equal in all of these. Nulls come first, last if descending."""
+    key = _as_col(order)
+    d = materialize(df.withColumns({"_ord_key": key, **{f"_ord_t{i}": _as_col(t) for i, t in enumerate(tiebreak)}}), "ord-in")
+    # the stored input has fixed partitions, so a rerun of a task numbers its rows alike
+    d = d.withColumn(_PLACE, F.monotonically_increasing_id())
+    d = d.repartitionByRange(*[F.col(p) for p in partition_by], *_sort(len(tiebreak), descending))
+    return materialize(d.withColumn(BUCKET, F.spark_partition_id()), "ord-ranges")
 
-    Built as a balanced CASE tree (log2(#bounds) comparisons, stays in codegen).
-    """
-    def build(lo: int, hi: int) -> Column:
-        # bounds[lo:hi] are undecided; result is lo + (# of bounds[lo:hi] <= key)
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return F.coalesce(build(0, len(bounds)), F.lit(0))
 
+def _sort(ties: int, descending: bool) -> list[Column]:
+    return [F.col("_ord_key").desc() if descending else F.col("_ord_key").asc(),
+            *[F.col(f"_ord_t{i}").asc() for i in range(ties)], F.col(_PLACE).asc()]
 
-def running_agg(df: DataFrame, order: str | Column, aggs: dict[str, tuple[str, Column]],
-                partition_by: Sequence[str] = (), tiebreak: Sequence[str | Column] = (),
-                descending: bool = False, n_buckets: int = 64,
-                inclusive: bool = True, bucket: Column | None = None,
-                keep_bucket: str | None = None) -> DataFrame:
-    """Add running aggregates over rows ordered by ``order`` (then ``tiebreak``).
-
-    ``aggs`` maps output name -> (fn, column) with fn in sum / min / max
-    (a running count is the sum of 1). With ``inclusive`` the current row is
-    included (ROWS frame), else the frame ends at the previous row.
-    Equal to ``fn(col).over(Window.partitionBy(*partition_by).orderBy(...)
-    .rowsBetween(unboundedPreceding, 0))`` without its single-task bottleneck.
 
-    ``bucket`` reuses buckets of an earlier pass (any column that does not
-    decrease along the requested order); ``keep_bucket`` names a column that
-    keeps this pass's bucket for such reuse.
-    """
-    okey = F.col(order) if isinstance(order, str) else order
-    key = okey.cast("double")
-    sort_key = -key if descending else key
-    parts = list(partition_by)
-    if bucket is None:
-        bounds = _bounds(df, sort_key, n_buckets)
-        b = df.withColumn(BUCKET, bucket_expr(sort_key, bounds))
-    else:
-        b = df.withColumn(BUCKET, bucket)
-
-    fns = {"sum": F.sum, "min": F.min, "max": F.max}
-    bad = [fn for fn, _ in aggs.values() if fn not in fns]
+def running(b: DataFrame, aggs: dict[str, tuple[str, Column]], partition_by: Sequence[str] = (),
+            descending: bool = False, backwards: bool = False, inclusive: bool = True) -> DataFrame:
+    """Running aggregates over a `bucketed` table, along its order or ``backwards``. Keeps its helper columns."""
+    bad = [fn for fn, _ in aggs.values() if fn not in _FNS]
     if bad:
         raise ValueError(f"running_agg supports sum / min / max, not {bad}")
-    vals = dict(aggs)
-    b = b.withColumns({f"_v_{n}": c for n, (fn, c) in vals.items()})
-
-    # per (group, bucket) totals and exclusive prefix over earlier buckets
-    tot = b.groupBy(*parts, BUCKET).agg(*[fns[fn](F.col(f"_v_{n}")).alias(f"_t_{n}")
-                                          for n, (fn, c) in vals.items()])
-    wb = Window.partitionBy(*parts).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*parts, BUCKET, *[fns[fn](F.col(f"_t_{n}")).over(wb).alias(f"_o_{n}")
-                                       for n, (fn, c) in vals.items()])
-
-    ob = [sort_key.asc()] + [(F.col(t) if isinstance(t, str) else t).asc() for t in tiebreak]
-    end = 0 if inclusive else -1
-    w = Window.partitionBy(*parts, BUCKET).orderBy(*ob).rowsBetween(Window.unboundedPreceding, end)
+    parts = list(partition_by)
+    b = b.withColumns({f"_v_{n}": c for n, (_, c) in aggs.items()})
+    tot = b.groupBy(*parts, BUCKET).agg(*[_FNS[fn](F.col(f"_v_{n}")).alias(f"_t_{n}") for n, (fn, _) in aggs.items()])
+    along = F.col(BUCKET).desc() if backwards else F.col(BUCKET).asc()
+    # one row per (group, range) at most
+    wb = Window.partitionBy(*parts).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*[F.col(p).alias(f"_k_{i}") for i, p in enumerate(parts)], F.col(BUCKET).alias("_k_b"),
+                     *[_FNS[fn](F.col(f"_t_{n}")).over(wb).alias(f"_o_{n}") for n, (fn, _) in aggs.items()])
+    ties = sum(c.startswith("_ord_t") for c in b.columns)
+    ob = _sort(ties, descending)
+    if backwards:
+        names = ["_ord_key", *[f"_ord_t{i}" for i in range(ties)], _PLACE]
+        ob = [F.col(n).asc() if descending and n == "_ord_key" else F.col(n).desc() for n in names]
+    w = Window.partitionBy(*parts, BUCKET).orderBy(*ob).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     # null-safe on the group keys: a null group is a group, as in groupBy
-    off = off.select(*[F.col(p).alias(f"_k_{i}") for i, p in enumerate(parts)],
-                     F.col(BUCKET).alias("_k_b"), *[f"_o_{n}" for n in vals])
     cond = [F.col(p).eqNullSafe(F.col(f"_k_{i}")) for i, p in enumerate(parts)] + [F.col(BUCKET) == F.col("_k_b")]
     b = b.join(off, on=cond, how="inner").drop(*[f"_k_{i}" for i in range(len(parts))], "_k_b")
     outs = {}
-    for n, (fn, c) in vals.items():
-        inner = fns[fn](F.col(f"_v_{n}")).over(w)
-        o = F.col(f"_o_{n}")
+    for n, (fn, _) in aggs.items():
+        inner, o = _FNS[fn](F.col(f"_v_{n}")).over(w), F.col(f"_o_{n}")
         if fn == "sum":
             outs[n] = F.coalesce(inner, F.lit(0)) + F.coalesce(o, F.lit(0))
-        elif fn == "min":
-            outs[n] = F.least(inner, o)
         else:
-            outs[n] = F.greatest(inner, o)
-    b = b.withColumns(outs)
-    if keep_bucket:
-        b = b.withColumn(keep_bucket, F.col(BUCKET))
-    return b.drop(BUCKET, *[f"_v_{n}" for n in vals], *[f"_o_{n}" for n in vals])
+            outs[n] = (F.least if fn == "min" else F.greatest)(inner, o)
+    return b.withColumns(outs).drop(*[f"_v_{n}" for n in aggs], *[f"_o_{n}" for n in aggs])
+
+
+def plain(b: DataFrame) -> DataFrame:
+    """Without the helper columns of `bucketed`."""
+    return b.drop(*[c for c in b.columns if c.startswith("_ord_")])
+
+
+def running_agg(df: DataFrame, order: str | Column, aggs: dict[str, tuple[str, Column]],
+                partition_by: Sequence[str] = (), tiebreak: Sequence[str | Column] = (),
+                descending: bool = False, inclusive: bool = True) -> DataFrame:
+    """Add running aggregates over rows ordered by ``order`` (then ``tiebreak``).
+
+    ``aggs`` maps output name -> (fn, column) with fn in sum / min / max
+    (a running count is the sum of 1). With ``inclusive`` the current row is
+    included (ROWS frame), else the frame ends at the previous row.
+    Equal to ``fn(col).over(Window.partitionBy(*partition_by).orderBy(...)
+    .rowsBetween(unboundedPreceding, 0))`` without its single-task bottleneck.
+    Any sortable type orders; equal rows keep their stored order.
+    """
+    b = bucketed(df, order, partition_by, tiebreak, descending)
+    return plain(running(b, aggs, partition_by, descending, inclusive=inclusive))
 
 
 def row_number(df: DataFrame, order: str | Column, partition_by: Sequence[str] = (),
-               tiebreak: Sequence[str | Column] = (), descending: bool = False,
-               name: str = "rn", n_buckets: int = 64) -> DataFrame:
+               tiebreak: Sequence[str | Column] = (), descending: bool = False, name: str = "rn") -> DataFrame:
     """1-based row number per group, skew-safe (see module doc)."""
-    out = running_agg(df, order, {name: ("sum", F.lit(1))}, partition_by, tiebreak,
-                      descending, n_buckets)
+    out = running_agg(df, order, {name: ("sum", F.lit(1))}, partition_by, tiebreak, descending)
     return out.withColumn(name, F.col(name).cast("long"))
 
 
 def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.5,
-                   name: str = "quantile", n_buckets: int = 64) -> DataFrame:
+                   name: str = "quantile") -> DataFrame:
     """Exact interpolated quantile per group (as ``percentile``/``median``).
 
     Row numbers come from the bucketed helper, so a hot group never has to
@@ -125,7 +116,7 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
     """
     v = df.select(*keys, value).where(F.col(value).isNotNull())
     n = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = row_number(v, value, keys, name="_rn", n_buckets=n_buckets)
+    ranked = row_number(v, value, keys, name="_rn")
     pos = (F.col("_n") - 1) * F.lit(q)
     lo = F.floor(pos) + 1
     hi = F.ceil(pos) + 1

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import reference_value
-from .common import bounded_broadcast
 
 
 def link_quant(psm: DataFrame, ri: DataFrame, keys: Sequence[str] = ("dataset", "scan")) -> DataFrame:
@@ -23,10 +22,10 @@ def attach_design(q: DataFrame, fractions: DataFrame, samples: DataFrame,
                   channel_col: str = "ReporterName", q_dataset: str = "dataset",
                   q_channel: str = "channel") -> DataFrame:
     """H2: plex by dataset, then sample by (plex, channel); both are design
-    tables, broadcast after a size check."""
-    fr = bounded_broadcast(fractions.select(F.col(dataset_col).alias(q_dataset), plex_col))
+    tables, which the planner broadcasts by their bytes."""
+    fr = fractions.select(F.col(dataset_col).alias(q_dataset), plex_col)
     out = q.join(fr, on=q_dataset, how="inner")
-    sm = bounded_broadcast(samples.withColumnRenamed(channel_col, q_channel))
+    sm = samples.withColumnRenamed(channel_col, q_channel)
     return out.join(sm, on=[plex_col, q_channel], how="inner")
 
 
@@ -63,7 +62,7 @@ def eval_reference(long: DataFrame, references: DataFrame, feature: Sequence[str
     # (one expression per plex at most: a design-sized list)
     grouped = long.groupBy(*feature, plex).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(channel).cast("string"), F.col(intensity)))).alias("_m"))
-    g = grouped.join(bounded_broadcast(refs), on=plex, how="left")
+    g = grouped.join(refs, on=plex, how="left")
     g = g.withColumn("reference_intensity", reference_value("_ref", "_m", exprs))
     e = g.select(*feature, plex, "reference_intensity", F.explode("_m").alias(channel, intensity))
     ok = (F.col(intensity) > 0) & (F.col("reference_intensity") > 0)
@@ -91,7 +90,7 @@ def ratio_crosstab(long_ratio: DataFrame, samples: DataFrame, feature: Sequence[
     sm = samples.select(F.col(samples_plex).alias(plex), F.col(samples_channel).alias(channel),
                         measurement).where(F.col(measurement).isNotNull())
     names = sorted(r[0] for r in sm.select(measurement).distinct().collect())  # design size
-    j = long_ratio.join(bounded_broadcast(sm), on=[plex, channel], how="inner")
+    j = long_ratio.join(sm, on=[plex, channel], how="inner")
     v = F.round(value, digits) if digits is not None else F.col(value)
     return crosstab(j.withColumn(value, v), feature, measurement, value, names)
 
@@ -106,10 +105,10 @@ def feature_key(kind: str, protein: str = "protein", peptide: str = "peptide",
 
 def annotate(df: DataFrame, table: DataFrame, key: str, table_key: str | None = None,
              species: str | None = None) -> DataFrame:
-    """Left join with an annotation table (size-checked broadcast) and a
+    """Left join with an annotation table and a
     species column."""
     t = table if table_key is None else table.withColumnRenamed(table_key, key)
-    out = df.join(bounded_broadcast(t), on=key, how="left")
+    out = df.join(t, on=key, how="left")
     if species is not None:
         out = out.withColumn("species", F.lit(species))
     return out

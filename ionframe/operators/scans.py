@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ordered
-from .common import bounded_broadcast, join_on_keys
+from .common import join_on_keys
 from .rangejoin import Tol, range_join
 
 
@@ -21,7 +21,7 @@ def reporter_ions(peaks: DataFrame, channels: DataFrame, keys: Sequence[str], mz
                   channel_col: str = "channel", channel_mz: str = "channel_mz") -> DataFrame:
     """per scan and channel, the most intense peak within +-tol of the
     channel m/z. ``channels`` is a caller list (10-18 rows): broadcast."""
-    j = range_join(peaks, channels, [Tol(mz, channel_mz, tol_da)], broadcast_right=True)
+    j = range_join(peaks, channels, [Tol(mz, channel_mz, tol_da)])
     best = F.max_by(F.struct(F.col(intensity), F.col(mz)), F.col(intensity))
     return (j.groupBy(*keys, channel_col).agg(best.alias("_b"))
              .select(*keys, channel_col, F.col("_b")[intensity].alias("intensity"),
@@ -32,7 +32,7 @@ def correct_impurity(ri: DataFrame, matrix: DataFrame, keys: Sequence[str],
                      channel: str = "channel", intensity: str = "intensity") -> DataFrame:
     """corrected = sum_j W[i, j] * raw_j with W the inverted impurity matrix
     ``(channel, source_channel, weight)``; clipped at 0, raw kept beside it."""
-    j = ri.join(bounded_broadcast(matrix.withColumnRenamed("channel", "_target"), 100_000),
+    j = ri.join(matrix.withColumnRenamed("channel", "_target"),
                 ri[channel] == F.col("source_channel"))
     corr = j.groupBy(*keys, "_target").agg(F.sum(F.col("weight") * F.col(intensity)).alias("_c"))
     corr = corr.withColumnRenamed("_target", channel)
@@ -255,7 +255,7 @@ def mrm_crosstab(peaks: DataFrame, transitions: DataFrame, keys: Sequence[str],
                  tmz: str = "transition_mz") -> DataFrame:
     """scan x transition intensity table."""
     names = sorted(r[0] for r in transitions.select(name_col).distinct().collect())  # caller list
-    j = range_join(peaks, transitions, [Tol(mz, tmz, tol_da)], broadcast_right=True)
+    j = range_join(peaks, transitions, [Tol(mz, tmz, tol_da)])
     return j.groupBy(*keys).pivot(name_col, names).agg(F.sum(intensity))
 
 

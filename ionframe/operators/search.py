@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import ELEMENT_MASS, ISOTOPE_SPACING, PROTON, WATER
-from ..session import checkpoint_dir, materialize, reliable_checkpoint
+from ..session import materialize
 from . import ordered
 from .rangejoin import Tol, range_join
 
@@ -204,25 +204,16 @@ def score_matches(peaks: DataFrame, fragments: DataFrame, keys: Sequence[str], p
 
 
 def target_decoy_fdr(psm: DataFrame, score: str, is_decoy: Column | str, by: Sequence[str] = (),
-                     higher_is_better: bool = True, n_buckets: int = 64) -> DataFrame:
+                     higher_is_better: bool = True) -> DataFrame:
     """Per distinct score (and ``by`` group): cumulative target / decoy
     counts from the best score down, FDR = decoys / max(targets, 1), q-value
     = the lowest FDR at this or any worse score. Equal scores share a value.
-    No single-partition window (bucketed running sums, SURVEY §4.4)."""
+    No single-partition window: both passes run over the same range partitions (SURVEY §4.4)."""
     dec = F.col(is_decoy) if isinstance(is_decoy, str) else is_decoy
-    checkpoint_dir(psm.sparkSession)
     s = psm.groupBy(*by, score).agg(F.sum(F.when(dec, 0).otherwise(1)).cast("long").alias("n_target"),
                                     F.sum(F.when(dec, 1).otherwise(0)).cast("long").alias("n_decoy"))
-    # the per-score table is read three times by each ordered pass: write it once
-    s = reliable_checkpoint(s)
-    c = ordered.running_agg(s, score, {"cum_target": ("sum", F.col("n_target")),
-                                       "cum_decoy": ("sum", F.col("n_decoy"))},
-                            partition_by=by, descending=higher_is_better, n_buckets=n_buckets,
-                            keep_bucket="_b1")
-    c = c.withColumn("fdr", F.col("cum_decoy").cast("double") / F.greatest(F.col("cum_target"), F.lit(1)))
-    c = reliable_checkpoint(c)
-    # the reverse pass reuses the buckets in reverse: no new boundaries, and
-    # the checkpoint is already partitioned by (group, bucket)
-    q = ordered.running_agg(c, score, {"q_value": ("min", F.col("fdr"))}, partition_by=by,
-                            descending=not higher_is_better, bucket=-F.col("_b1"))
-    return q.drop("_b1")
+    b = ordered.bucketed(s, score, by, descending=higher_is_better)
+    c = ordered.running(b, {"cum_target": ("sum", F.col("n_target")), "cum_decoy": ("sum", F.col("n_decoy"))},
+                        by, higher_is_better)
+    c = materialize(c.withColumn("fdr", F.col("cum_decoy").cast("double") / F.greatest(F.col("cum_target"), F.lit(1))), "fdr")
+    return ordered.plain(ordered.running(c, {"q_value": ("min", F.col("fdr"))}, by, higher_is_better, backwards=True))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quant
-from ..operators.common import bounded_broadcast
 from .tables import table
 
 
@@ -54,7 +53,7 @@ def q03_link_and_design(spark, sf):
     linked = quant.link_quant(od, li, ["l_orderkey"])
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     nat = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    d = linked.join(cust, on="o_custkey").join(bounded_broadcast(nat), on="c_nationkey")
+    d = linked.join(cust, on="o_custkey").join(nat, on="c_nationkey")
     return d.groupBy("n_name", "c_mktsegment").agg(F.round(F.sum("l_extendedprice"), 2).alias("sum_price"),
                                                   F.count(F.lit(1)).alias("n_lines"))
 

@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -64,17 +65,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def materialize(df, name: str = "stage"):
+def materialize_at(df, name: str = "stage"):
     """Cut the lineage of ``df``: write it once as Parquet under the shared
     checkpoint folder and read it back (one job; the read side carries real
     size statistics for the planner). Survives the loss of executors, unlike
-    a local checkpoint or a cache."""
+    a local checkpoint or a cache. Returns the table and its path."""
     import uuid
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df, name: str = "stage"):
+    """The table of `materialize_at`."""
+    return materialize_at(df, name)[0]
+
+
+def drop_stored(spark: SparkSession, *paths: str) -> None:
+    """Remove tables of `materialize_at` that nothing reads any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def reliable_checkpoint(df, name: str = "stage"):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import decode_path
 from pyspark.sql import types as T
 
-from ..operators.common import bounded_broadcast, require_columns
+from ..operators.common import require_columns
 
 
 def file_name_col() -> "F.Column":
@@ -233,7 +233,7 @@ def read_manifests(spark: SparkSession, root: str, pattern: str = "(?i)(metadata
     df = df.withColumn("_path", decode_path(F.col("_metadata.file_path")))
     i = F.row_number().over(Window.orderBy("_path"))
     order = df.select("_path").distinct().select("_path", F.concat(F.lit("S"), i.cast("string")).alias("PlexID"))
-    return df.join(bounded_broadcast(order), on="_path").select(F.col("file_name").alias("Dataset"), "PlexID")
+    return df.join(order, on="_path").select(F.col("file_name").alias("Dataset"), "PlexID")
 
 
 # MaxQuant result tables under combined/txt (fixed values; runningTimes lives

@@ -74,43 +74,44 @@ def test_filter_fdr_drops_decoys(spark):
     assert kept == [9.0, 10.0]
 
 
-def test_greedy_cover_dense_graph_uses_pool_rounds(spark):
-    # every protein overlaps every other: rounds of local bests take one
-    # protein each, pool rounds take several; the result must not change
-    rnd = random.Random(21)
-    edges = sorted({(pep, rnd.randint(0, 39)) for pep in range(400) for _ in range(6)})
-    df = spark.createDataFrame(edges, "peptide long, protein long")
-    got = {r[0]: r[1] for r in inference.greedy_cover(df).collect()}
-    assert got == sequential_greedy(edges)
-
-
-def test_pool_rounds_verified_against_proteins_outside_the_pool(spark, monkeypatch):
-    # a pool far smaller than the protein count makes every dense round
-    # depend on the check against the proteins outside it
-    monkeypatch.setattr(inference, "POOL_SIZE", 4)
-    for seed in (3, 8):
+def test_greedy_cover_dense_graphs_at_any_task_size(spark):
+    # every protein overlaps every other: parallel rounds take few proteins each
+    for seed, n_prot, deg, limit in ((21, 40, 6, 1_000_000), (3, 12, 3, 0), (8, 30, 5, 900)):
         rnd = random.Random(seed)
-        edges = sorted({(pep, rnd.randint(0, 29)) for pep in range(300) for _ in range(5)})
+        edges = sorted({(pep, rnd.randint(0, n_prot - 1)) for pep in range(100 if limit == 0 else 300) for _ in range(deg)})
         df = spark.createDataFrame(edges, "peptide long, protein long")
-        got = {r[0]: r[1] for r in inference.greedy_cover(df).collect()}
+        got = {r[0]: r[1] for r in inference.greedy_cover(df, task_edges=limit).collect()}
         assert got == sequential_greedy(edges)
 
 
-def test_pool_round_rejects_pick_beaten_outside_the_pool(spark, monkeypatch):
-    # pool = {A, B}; after A the true next pick is C (outside the pool, 9
-    # uncovered) not B (7 left); C's peptides 11-13 are also B's.
-    from pyspark.sql import functions as F
-    monkeypatch.setattr(inference, "POOL_SIZE", 2)
-    A = [(p, "A") for p in range(1, 11)]
-    B = [(p, "B") for p in [1, 2] + list(range(11, 18))]
-    C = [(p, "C") for p in [11, 12, 13] + list(range(20, 26))]
-    edges = A + B + C
-    e = spark.createDataFrame(edges, "pep long, prot string")
-    tot = e.groupBy("prot").agg(F.count(F.lit(1)).alias("total"))
-    e = e.join(tot, on="prot")
-    cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"), F.first("total").alias("total"))
-    taken = {r["pep"]: r["prot"] for r in inference._pool_round(e, cnt).collect()}
-    assert taken == {p: "A" for p in range(1, 11)}
-    full = {r[0]: r[1] for r in inference.greedy_cover(
-        spark.createDataFrame(edges, "peptide long, protein string")).collect()}
-    assert full == sequential_greedy(edges)
+def test_greedy_takes_the_larger_rest_not_the_earlier_neighbour(spark):
+    # after A the next pick is C (9 left) not B (7 left); C's peptides 11-13 are also B's
+    edges = [(p, "A") for p in range(1, 11)] + [(p, "B") for p in [1, 2] + list(range(11, 18))] \
+        + [(p, "C") for p in [11, 12, 13] + list(range(20, 26))]
+    for limit in (0, 1_000_000):
+        full = {r[0]: r[1] for r in inference.greedy_cover(
+            spark.createDataFrame(edges, "peptide long, protein string"), task_edges=limit).collect()}
+        assert full == sequential_greedy(edges)
+
+
+def test_hub_ends_in_few_parallel_rounds(spark):
+    # one hub protein over 3,000 small ones: after the hub nothing is shared
+    hub = [(i, 0) for i in range(3000)]
+    small = [(i, i + 1) for i in range(3000)] + [(10_000 + i, i + 1) for i in range(3000)]
+    df = spark.createDataFrame(hub + small, "peptide long, protein long")
+    rounds = []
+    got = {r[0]: r[1] for r in inference.greedy_cover(df, task_edges=0, rounds=rounds).collect()}
+    assert len(rounds) <= 3
+    assert got == {i: 0 for i in range(3000)} | {10_000 + i: i + 1 for i in range(3000)}
+
+
+def test_empty_and_null_edges(spark):
+    df = spark.createDataFrame([(None, 1), (1, None)], "peptide long, protein long")
+    assert inference.greedy_cover(df).count() == 0
+
+
+def test_long_chain_ends_in_logarithmic_rounds(spark):
+    from ionframe.operators.components import star_components
+    rounds = []
+    got = star_components(spark.createDataFrame([(i, i + 1) for i in range(10_000)], "a long, b long"), "a", "b", rounds).collect()
+    assert len(rounds) <= 30 and len(got) == 10_001 and {r["component"] for r in got} == {0}

@@ -48,7 +48,7 @@ def test_target_decoy_q_values_against_pandas(spark):
     rnd = random.Random(3)
     rows = [(float(rnd.randint(0, 40)), rnd.random() < 0.3) for _ in range(500)]
     df = spark.createDataFrame(rows, "score double, is_decoy boolean")
-    got = {r["score"]: r["q_value"] for r in search.target_decoy_fdr(df, "score", "is_decoy", n_buckets=8).collect()}
+    got = {r["score"]: r["q_value"] for r in search.target_decoy_fdr(df, "score", "is_decoy").collect()}
     p = pd.DataFrame(rows, columns=["score", "d"]).groupby("score")["d"].agg(["sum", "count"]).sort_index(ascending=False)
     cd = p["sum"].cumsum()
     ct = (p["count"] - p["sum"]).cumsum()
