@@ -16,7 +16,7 @@ def log_choose(n: Column, k: Column) -> Column:
         lambda a, i: a + F.log(n - kk + i) - F.log(i)))
 
 
-def binomial_tail_log10(n_trials: Column, n_success: Column, p: float) -> Column:
+def binomial_tail_log10(n_trials: Column, n_success: Column, p: float | Column) -> Column:
     """log10 P(X >= k) for X ~ Binomial(n, p).
 
     The first term ln C(n,k) + k ln p + (n-k) ln(1-p) is formed in log space;
@@ -25,9 +25,11 @@ def binomial_tail_log10(n_trials: Column, n_success: Column, p: float) -> Column
     """
     n = n_trials.cast("int")
     k = n_success.cast("int")
-    lp, lq = math.log(p), math.log1p(-p)
-    first = log_choose(n, k) + k * F.lit(lp) + (n - k) * F.lit(lq)
-    ratio = F.lit(p / (1 - p))
+    if isinstance(p, Column):
+        lp, lq, ratio = F.log(p), F.log1p(-p), p / (1 - p)
+    else:
+        lp, lq, ratio = F.lit(math.log(p)), F.lit(math.log1p(-p)), F.lit(p / (1 - p))
+    first = log_choose(n, k) + k * lp + (n - k) * lq
     rel = F.aggregate(
         F.sequence(k, F.greatest(n - 1, k)),
         F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("acc")),

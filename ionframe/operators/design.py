@@ -20,9 +20,9 @@ def find_channel_column(columns: Sequence[str]) -> str:
     """The single column named ``tmt_channel`` / ``tmtNN_channel``."""
     hits = [c for c in columns if CHANNEL_COLUMN.match(c)]
     if len(hits) > 1:
-        raise ValueError("More than one matching element found.")
+        raise ValueError(f"several channel columns: {hits}")
     if not hits:
-        raise ValueError("No matching elements found.")
+        raise ValueError(f"no tmt_channel or tmtNN_channel column among {list(columns)}")
     return hits[0]
 
 

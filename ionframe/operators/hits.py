@@ -60,49 +60,46 @@ def map_peptides(peptides: DataFrame, digested: DataFrame, peptide: str = "pepti
 _SUPPLEMENTARY = r"[\x{10000}-\x{10FFFF}]"
 
 
-def _kmers(proteins: DataFrame, accession: str, sequence: str, k: int) -> DataFrame:
-    """(accession, start, kmer) for every position, exploded from an array
-    built inside the row (exploded rows never carry the whole sequence).
-
-    All overlapping k-grams come from one native regex pass
-    ``(?s)(?=(.{k}))``; a text with characters outside the BMP (where the
-    regex would also stop inside a surrogate pair) slices its code-point
-    array instead. Never positional ``substring`` per k-mer: on a long UTF-8
-    string each call rescans from the start."""
+def _windows(proteins: DataFrame, accession: str, sequence: str, length: int) -> DataFrame:
+    """(accession, start, _win): for every position the text from there on, ``length`` characters at most.
+
+    All come from one native regex pass ``(?s)(?=(.{1,length}))``; a text with characters outside the BMP (where the
+    regex would also stop inside a surrogate pair) slices its code-point array instead, in runs of
+    positions that carry only the characters they reach."""
     has_sup = F.col(sequence).rlike(_SUPPLEMENTARY)
-    fast = proteins.where(~has_sup | F.col(sequence).isNull()).select(
-        accession, F.posexplode(F.regexp_extract_all(sequence, F.lit(f"(?s)(?=(.{{{k}}}))"), 1)).alias("_p", "_kmer"))
+    fast = proteins.where(~has_sup).select(
+        accession, F.posexplode(F.regexp_extract_all(sequence, F.lit(f"(?s)(?=(.{{1,{length}}}))"), 1)).alias("_p", "_win"))
+    run = 1024
     chars = proteins.where(has_sup).select(accession, F.split(sequence, "").alias("_c"))
-    arr = F.expr(f"transform(sequence(1, greatest(size(_c) - {k} + 1, 1)), i -> array_join(slice(_c, i, {k}), ''))")
-    slow = chars.select(accession, F.posexplode(arr).alias("_p", "_kmer"))
-    e = fast.unionByName(slow)
-    return e.select(accession, (F.col("_p") + 1).cast("int").alias("start"), "_kmer")
+    chars = chars.select(accession, F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.size("_c") - 1) / run).cast("int")), lambda k: F.slice(
+        "_c", k * run + 1, F.lit(run + length - 1)))).alias("_k", "_c"))
+    slow = chars.select(accession, F.col("_k"), F.posexplode(F.expr(
+        f"transform(sequence(1, least({run}, size(_c))), i -> array_join(slice(_c, i, {length}), ''))")).alias("_i", "_win"))
+    slow = slow.select(accession, (F.col("_k") * run + F.col("_i")).alias("_p"), "_win")
+    return fast.unionByName(slow).select(accession, (F.col("_p") + 1).cast("int").alias("start"), "_win")
 
 
 def map_peptides_substring(peptides: DataFrame, proteins: DataFrame, peptide: str = "peptide",
                            accession: str = "accession", sequence: str = "sequence", k: int = 6) -> DataFrame:
     """G6 for peptides the digest does not produce (non-specific ends,
     missed cleavages beyond the limit): every protein containing the peptide,
-    with its 1-based start (all occurrences).
-
-    Protein k-mers (one row per position) meet each peptide's first k-mer in
-    an equi-join; only those candidate hits are joined back to their sequence
-    and verified with a substring comparison. Peptides shorter than ``k`` use
-    their own length as the k-mer size."""
-    pep = peptides.select(peptide).distinct().withColumn("_len", F.length(peptide))
-    prot = proteins.select(accession, sequence)
-    lens = sorted(r[0] for r in pep.where(F.col("_len") < k).select("_len").distinct().collect())  # < k values
-    out = None
-    for kk in [k] + lens:
-        side = pep.where(F.col("_len") >= k) if kk == k else pep.where(F.col("_len") == kk)
-        side = side.withColumn("_kmer", F.substring(peptide, 1, kk))
-        cand = side.join(_kmers(prot, accession, sequence, kk), on="_kmer")
-        if kk == k:
-            cand = cand.join(prot, on=accession).where(
-                F.expr(f"substring({sequence}, start, _len)") == F.col(peptide))
-        part = cand.select(peptide, accession, "start")
-        out = part if out is None else out.unionByName(part)
-    return out
+    with its 1-based start (all occurrences; empty peptides have none).
+
+    Every position carries the text it can be compared with, as long as the longest peptide. Positions whose
+    first ``k`` characters begin no peptide are dropped before anything is exchanged, the others meet the peptides in an
+    equi-join on these and are verified; texts are never joined back. Peptides shorter than ``k`` use
+    their own length in its place."""
+    pep = peptides.select(peptide).distinct().withColumn("_len", F.length(peptide)).where(F.col("_len") > 0)
+    pep = pep.withColumn("_k", F.least(F.col("_len"), F.lit(k))).withColumn("_kmer", F.substring(peptide, 1, k))
+    lens = pep.agg(F.max("_len").alias("longest"), F.collect_set("_k").alias("ks")).first()  # at most k lengths
+    if lens["longest"] is None:
+        return proteins.select(F.lit("").alias(peptide), accession, F.lit(0).alias("start")).limit(0)
+    win = _windows(proteins.select(accession, sequence).where(F.col(sequence).isNotNull()), accession, sequence, lens["longest"])
+    heads = F.array_distinct(F.array(*[F.substring("_win", 1, n) for n in sorted(lens["ks"])]))
+    cand = win.withColumn("_kmer", F.explode(heads))
+    cand = cand.join(pep.select("_kmer").distinct(), on="_kmer", how="left_semi")
+    hit = cand.join(pep.select(peptide, "_kmer"), on="_kmer").where(F.col("_win").startswith(F.col(peptide)))
+    return hit.select(peptide, accession, "start")
 
 
 def mod_details(df: DataFrame, key: Sequence[str], sequence: str, mod_defs: DataFrame,

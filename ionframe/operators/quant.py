@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import reference_value
@@ -49,22 +49,29 @@ def aggregate_intensity(q: DataFrame, feature: Sequence[str], plex: str, channel
 
 def eval_reference(long: DataFrame, references: DataFrame, feature: Sequence[str],
                    plex: str, channel: str, intensity: str = "intensity",
-                   ref_plex: str = "PlexID", ref_col: str = "Reference") -> DataFrame:
+                   ref_plex: str = "PlexID", ref_col: str = "Reference",
+                   block: str | None = None, ref_block: str = "QuantBlock") -> DataFrame:
     """H11 + ratio: per (feature, plex) the reference value and every channel's
     log2(intensity / reference) (null when either side is null or <= 0).
 
+    A plex with several references takes the mean of those that have a value. ``block``: the column of
+    ``long`` with the quantification block; references then hold within plex and block.
     The channels of one (feature, plex) form a map (bounded by the plex size);
-    the reference expression is evaluated on that map, and the map is exploded
+    the reference expressions are evaluated on that map, and the map is exploded
     again, so the long table is shuffled once on (feature, plex).
     """
-    refs = references.select(F.col(ref_plex).alias(plex), F.col(ref_col).cast("string").alias("_ref")).distinct()
+    on = [plex, *([block] if block else [])]
+    refs = references.select(F.col(ref_plex).alias(plex), *([F.col(ref_block).alias(block)] if block else []),
+                             F.col(ref_col).cast("string").alias("_ref")).distinct()
     exprs = sorted(r[0] for r in refs.select("_ref").where(F.col("_ref").isNotNull()).distinct().collect())
-    # (one expression per plex at most: a design-sized list)
-    grouped = long.groupBy(*feature, plex).agg(
+    # (a few expressions per plex: a design-sized list)
+    grouped = long.groupBy(*feature, *on).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(channel).cast("string"), F.col(intensity)))).alias("_m"))
-    g = grouped.join(refs, on=plex, how="left")
-    g = g.withColumn("reference_intensity", reference_value("_ref", "_m", exprs))
-    e = g.select(*feature, plex, "reference_intensity", F.explode("_m").alias(channel, intensity))
+    own = refs.groupBy(*on).agg(F.array_sort(F.collect_list("_ref")).alias("_refs"))
+    g = grouped.join(own, on=on, how="left").withColumn("_ref", F.explode_outer("_refs"))
+    g = g.withColumn("_value", reference_value("_ref", "_m", exprs))
+    g = g.groupBy(*feature, *on).agg(F.first("_m").alias("_m"), F.avg("_value").alias("reference_intensity"))
+    e = g.select(*feature, *on, "reference_intensity", F.explode("_m").alias(channel, intensity))
     ok = (F.col(intensity) > 0) & (F.col("reference_intensity") > 0)
     return e.withColumn("log2_ratio", F.when(ok, F.log2(F.col(intensity) / F.col("reference_intensity"))))
 
@@ -114,14 +121,6 @@ def annotate(df: DataFrame, table: DataFrame, key: str, table_key: str | None =
     return out
 
 
-def first_hits(psm: DataFrame, keys: Sequence[str], score: str, tiebreak: Sequence[str] = (),
-               higher_is_better: bool = True) -> DataFrame:
-    """Best match per key; ties by ``tiebreak``."""
-    o = F.col(score).desc() if higher_is_better else F.col(score).asc()
-    w = Window.partitionBy(*keys).orderBy(o, *[F.col(t).asc() for t in tiebreak])
-    return psm.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-
-
 def label_free(psm: DataFrame, sic: DataFrame, link: Sequence[str], feature: Sequence[str],
                dataset: str, area: str = "area", name: str = "intensity") -> DataFrame:
     """Peptide intensity = summed chromatogram area of its best matches,

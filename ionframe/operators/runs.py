@@ -16,12 +16,9 @@ RUN_METADATA_SCHEMA = (f"id string, start timestamp, end timestamp, status strin
                        "failures array<struct<message:string,causedBy:array<struct<message:string>>>>")
 
 
-INLINE_MAX_BYTES = 1 << 30  # files up to this size are hashed from the binary column
-
-
 def _md5_by_path(batches):
-    """mapInPandas helper: md5 of each file read in 64 MiB chunks (files too
-    large for one binary value). Paths are URIs from the file listing."""
+    """mapInPandas helper: md5 of each file read in 64 MiB chunks, so that no file is ever one
+    value. Paths are URIs from the file listing."""
     import hashlib
 
     import pandas as pd
@@ -43,29 +40,19 @@ def _md5_by_path(batches):
         yield pd.DataFrame({"path": b["path"], "md5": out})
 
 
-def file_manifest(spark: SparkSession, root: str, glob: str | None = None,
-                  inline_max_bytes: int = INLINE_MAX_BYTES) -> DataFrame:
+def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Relative name and md5 of every file under ``root`` (recursive);
     names containing ``file_manifest`` are skipped; no file is an error.
-
-    Files up to ``inline_max_bytes`` are hashed natively from ``binaryFile``
-    content (the length filter is pushed into the scan, so larger files are
-    never loaded as one value); larger ones are spread over tasks and hashed
-    in chunks by path."""
-    def listing():
-        r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        if glob:
-            r = r.option("pathGlobFilter", glob)
-        return r.load(root)
-
-    small = listing().where(F.col("length") <= inline_max_bytes).select("path", F.md5("content").alias("md5"))
-    big = listing().where(F.col("length") > inline_max_bytes).select("path")
-    big = big.repartition(F.col("path")).mapInPandas(_md5_by_path, "path string, md5 string")
+    The files are spread over tasks by path and hashed in chunks, whatever their size."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    files = r.load(root).select("path")
     prefix = root.rstrip("/") + "/"
-    out = small.unionByName(big)
     rel = F.regexp_replace(decode_path(F.regexp_replace(F.col("path"), r"^file:", "")), "^" + _re_escape(prefix), "")
+    out = files.repartition(F.col("path")).mapInPandas(_md5_by_path, "path string, md5 string")
     out = out.select(rel.alias("file_name"), "md5").where(~F.col("file_name").contains("file_manifest"))
-    if out.limit(1).count() == 0:
+    if files.isEmpty():
         raise ValueError(f"no files found under {root}")
     return out
 
@@ -119,17 +106,19 @@ def output_catalog(attempts: DataFrame, wanted: DataFrame, id_col: str = "id") -
     return kv.select(id_col, "task", "attempt_no", "key", F.explode(files).alias("file"))
 
 
-def missing_outputs(attempts: DataFrame, wanted: DataFrame, id_col: str = "id") -> DataFrame:
-    """Wanted keys with no ``Done`` attempt output; the reason is given."""
+def missing_outputs(attempts: DataFrame, wanted: DataFrame, id_col: str = "id", runs: DataFrame | None = None) -> DataFrame:
+    """For every run, the wanted (task, key) pairs without a ``Done`` attempt's output, and why. ``runs``
+    lists the runs (``id_col``); by default those with an attempt. Runs and wanted pairs are small lists."""
     kv = attempts.select(id_col, "task", "status", F.explode_outer("outputs").alias("key", "value"))
     ok = kv.where((F.col("status") == "Done") & F.col("value").isNotNull()).select(id_col, "task", "key").distinct()
-    # every wanted key, paired with the runs that ran its task
-    tasks = attempts.select(id_col, "task").distinct()
-    want = tasks.join(wanted.select("task", "key"), on="task", how="right")
-    want = want.withColumn(id_col, F.coalesce(F.col(id_col), F.lit(None)))
-    miss = want.join(ok, on=[id_col, "task", "key"], how="left_anti")
-    return miss.withColumn("reason", F.when(F.col(id_col).isNull(), F.lit("task not run"))
-                           .otherwise(F.lit("no Done attempt with this output")))
+    ran = attempts.select(id_col, "task").distinct().withColumn("_ran", F.lit(True))
+    all_runs = (runs if runs is not None else attempts).select(id_col).distinct()
+    pairs = wanted.select("task", "key").distinct().agg(F.collect_list(F.struct("task", "key")).alias("_w"))
+    want = all_runs.withColumn("_one", F.lit(1)).join(pairs.withColumn("_one", F.lit(1)), on="_one")
+    want = want.select(id_col, F.explode("_w").alias("_w")).select(id_col, "_w.task", "_w.key")
+    miss = want.join(ok, on=[id_col, "task", "key"], how="left_anti").join(ran, on=[id_col, "task"], how="left")
+    return miss.withColumn("reason", F.when(F.col("_ran").isNull(), F.lit("task not run"))
+                           .otherwise(F.lit("no Done attempt with this output"))).drop("_ran")
 
 
 def plan_paths(catalog: DataFrame, dest_folder: str, flat: bool = False, new_name: Column | None = None) -> DataFrame:
@@ -162,10 +151,10 @@ def parse_bucket_path(col: Column, schemes: Sequence[str] = ("gs", "s3")) -> Col
 
 
 def command_files(attempts: DataFrame, id_col: str = "id") -> DataFrame:
-    """Command text and stdout log name per attempt."""
-    return attempts.select(id_col, "task", "attempt_no", "command", "stdout",
-                           F.concat(F.col("task"), F.lit("_"), F.col("attempt_no").cast("string"),
-                                    F.lit(".command.txt")).alias("command_file"))
+    """Command text, stdout and the names of the command and log file per attempt."""
+    name = F.concat(F.col("task"), F.lit("_"), F.col("attempt_no").cast("string"))
+    return attempts.select(id_col, "task", "attempt_no", "command", "stdout", F.concat(name, F.lit(".command.txt")).alias("command_file"),
+                           F.concat(name, F.lit(".log")).alias("log_file"))
 
 
 # FIXED VALUES: which task outputs each copy mode selects (mode, task, output

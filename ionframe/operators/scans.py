@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import ordered
 from .common import join_on_keys
 from .rangejoin import Tol, range_join
@@ -22,22 +23,26 @@ def reporter_ions(peaks: DataFrame, channels: DataFrame, keys: Sequence[str], mz
     """per scan and channel, the most intense peak within +-tol of the
     channel m/z. ``channels`` is a caller list (10-18 rows): broadcast."""
     j = range_join(peaks, channels, [Tol(mz, channel_mz, tol_da)])
-    best = F.max_by(F.struct(F.col(intensity), F.col(mz)), F.col(intensity))
+    # ties: the peak nearest to the channel, then the smaller m/z
+    best = F.max(F.struct(F.col(intensity), (-F.abs(F.col(mz) - F.col(channel_mz))).alias("_near"), (-F.col(mz)).alias("_low")))
     return (j.groupBy(*keys, channel_col).agg(best.alias("_b"))
              .select(*keys, channel_col, F.col("_b")[intensity].alias("intensity"),
-                     F.col("_b")[mz].alias("observed_mz")))
+                     (-F.col("_b")["_low"]).alias("observed_mz")))
 
 
 def correct_impurity(ri: DataFrame, matrix: DataFrame, keys: Sequence[str],
                      channel: str = "channel", intensity: str = "intensity") -> DataFrame:
     """corrected = sum_j W[i, j] * raw_j with W the inverted impurity matrix
-    ``(channel, source_channel, weight)``; clipped at 0, raw kept beside it."""
-    j = ri.join(matrix.withColumnRenamed("channel", "_target"),
-                ri[channel] == F.col("source_channel"))
+    ``(channel, source_channel, weight)``; clipped at 0, raw kept beside it. A channel
+    that the matrix doesn't name keeps its raw value."""
+    m = matrix.select(F.col("channel").alias("_target"), "source_channel", "weight")
+    j = ri.join(m, ri[channel] == F.col("source_channel"))
     corr = j.groupBy(*keys, "_target").agg(F.sum(F.col("weight") * F.col(intensity)).alias("_c"))
-    corr = corr.withColumnRenamed("_target", channel)
-    return ri.join(corr, on=[*keys, channel], how="left").withColumn(
-        "corrected_intensity", F.greatest(F.coalesce("_c", F.lit(0.0)), F.lit(0.0))).drop("_c")
+    out = join_on_keys(ri, corr.withColumnRenamed("_target", channel), [*keys, channel], how="left")
+    named = m.select(F.col("_target").alias("_named")).distinct()
+    out = out.join(named, out[channel] == F.col("_named"), how="left")
+    return out.withColumn("corrected_intensity", F.when(F.col("_named").isNull(), F.col(intensity)).otherwise(
+        F.greatest(F.coalesce("_c", F.lit(0.0)), F.lit(0.0)))).drop("_c", "_named")
 
 
 def promote_ms3(ri: DataFrame, scans: DataFrame, keys: Sequence[str] = ("dataset", "scan"),
@@ -52,21 +57,21 @@ def promote_ms3(ri: DataFrame, scans: DataFrame, keys: Sequence[str] = ("dataset
 
 def observation_rate(ri: DataFrame, channel: str, intensity: str, abundance: str,
                      top_fraction: float = 0.8, order_tiebreak: Sequence[str] = ()) -> DataFrame:
-    """per channel the share of rows with intensity > 0, over all rows and
-    over the top ``top_fraction`` of rows by ``abundance`` (global rank,
-    bucketed, no single-partition window)."""
+    """per channel the share of rows with intensity > 0 (null: not), over all rows and
+    over the top ``top_fraction`` of rows by ``abundance`` (percent rank over all rows, ties share the
+    rank of their first; a null abundance ranks last). Ranks come from the distinct abundances with their
+    counts, so equal values are one row, and only the abundance at the cut is joined back."""
+    counts = ri.groupBy(abundance).agg(F.count(F.lit(1)).alias("_n"))
     n = ri.count()
-    cut = top_fraction * (n - 1)
-    r = ordered.running_agg(ri, abundance, {"_rk": ("sum", F.lit(1))}, tiebreak=order_tiebreak,
-                            descending=True)
-    # percent_rank by rank (ties share the rank of their first row)
-    first = r.groupBy(abundance).agg(F.min("_rk").alias("_rank"))
-    r = r.join(first, on=abundance)
-    pr = (F.col("_rank") - 1) / F.lit(max(n - 1, 1))
-    obs = (F.col(intensity) > 0).cast("double")
-    return r.groupBy(channel).agg(
-        F.avg(obs).alias("observation_rate"),
-        F.avg(F.when(pr <= F.lit(top_fraction) if n > 1 else F.lit(True), obs)).alias("observation_rate_top"),
+    r = ordered.running_agg(counts, abundance, {"_before": ("sum", F.col("_n"))}, descending=True, inclusive=False)
+    cut = r.where(F.col("_before") / F.lit(max(n - 1, 1)) <= F.lit(top_fraction)).agg(
+        F.min(abundance).alias("_cut"), F.max(F.col(abundance).isNull()).alias("_nulls")).first()
+    top = F.lit(False) if cut["_cut"] is None else F.coalesce(F.col(abundance) >= F.lit(cut["_cut"]), F.lit(False))
+    if cut["_nulls"]:
+        top = top | F.col(abundance).isNull()
+    obs = F.coalesce((F.col(intensity) > 0).cast("double"), F.lit(0.0))
+    return ri.groupBy(channel).agg(
+        F.avg(obs).alias("observation_rate"), F.avg(F.when(top, obs)).alias("observation_rate_top"),
         F.count(F.lit(1)).alias("n"))
 
 
@@ -92,57 +97,105 @@ def extract_sic(peaks: DataFrame, parents: DataFrame, peak_mz: str, peak_rt: str
 def sic_noise(sic: DataFrame, parent: Sequence[str], order: str, intensity: str,
               low_fraction: float = 0.75, min_fraction_of_max: float = 0.01) -> DataFrame:
     """Noise level = mean of the lowest ``low_fraction`` of points
-    (by percent rank); points under ``min_fraction_of_max`` of the maximum are
-    dropped. Adds ``noise`` and ``sn``."""
-    r = ordered.row_number(sic, intensity, parent, tiebreak=[order], name="_rn")
-    first = r.groupBy(*parent, intensity).agg(F.min("_rn").alias("_rank"))
-    n = sic.groupBy(*parent).agg(F.count(F.lit(1)).alias("_n"), F.max(intensity).alias("_max"))
-    r = join_on_keys(join_on_keys(r, first, [*parent, intensity]), n, parent)
-    pr = F.when(F.col("_n") > 1, (F.col("_rank") - 1) / (F.col("_n") - 1)).otherwise(F.lit(0.0))
-    noise = r.where(pr <= F.lit(low_fraction)).groupBy(*parent).agg(F.avg(intensity).alias("noise"))
-    out = join_on_keys(r, noise, parent, how="left")
+    (by percent rank; ties share the rank of their first); points under ``min_fraction_of_max`` of the
+    maximum are dropped. Adds ``noise`` and ``sn``. Ranks come from the distinct intensities with
+    their counts, so a group's equal values are one row of the ordering."""
+    del order  # equal points share a rank whatever their order
+    counts = sic.groupBy(*parent, intensity).agg(F.count(F.lit(1)).alias("_c"))
+    n = counts.groupBy(*parent).agg(F.sum("_c").alias("_n"), F.max(intensity).alias("_max"))
+    r = ordered.running_agg(counts, intensity, {"_before": ("sum", F.col("_c"))}, parent, inclusive=False)
+    r = join_on_keys(r, n, parent)
+    low = F.when(F.col("_n") > 1, F.col("_before") / (F.col("_n") - 1)).otherwise(F.lit(0.0)) <= F.lit(low_fraction)
+    level = r.where(low & F.col(intensity).isNotNull()).groupBy(*parent).agg(
+        (F.sum(F.col(intensity) * F.col("_c")) / F.sum("_c")).alias("noise"))
+    out = join_on_keys(sic, join_on_keys(n, level, parent, how="left"), parent)
     out = out.where(F.col(intensity) >= F.col("_max") * F.lit(min_fraction_of_max))
     return out.withColumn("sn", F.when(F.col("noise") > 0, F.col(intensity) / F.col("noise"))) \
-              .drop("_rn", "_rank", "_n", "_max")
+              .drop("_n", "_max")
 
 
 def _neighbours(df: DataFrame, parent: Sequence[str], order: str, tiebreak: Sequence[str],
                 offsets: Sequence[int], cols: Sequence[str]) -> DataFrame:
-    """Rows of each group numbered in order; for each offset k the values of
-    row rn+k, found by an equi-join on (group, rn) (no hot window partition)."""
-    r = ordered.row_number(df, order, parent, tiebreak=tiebreak, name="_rn")
-    side = r.select(*[F.col(p).alias(f"_s_{p}") for p in parent], F.col("_rn").alias("_nrn"),
-                    *[F.col(c).alias(f"_n_{c}") for c in cols])
-    ex = r.withColumn("_off", F.explode(F.array(*[F.lit(k) for k in offsets])))
-    cond = [F.col(p).eqNullSafe(F.col(f"_s_{p}")) for p in parent] + [F.col("_rn") + F.col("_off") == F.col("_nrn")]
-    return ex.join(side, on=cond, how="left").drop(*[f"_s_{p}" for p in parent])
+    """Rows with, for each offset k and column c, the value ``_n{k}_{c}`` of the row k places on in the
+    group's order. The table is range-partitioned once; the rows at either end of a range are copied into
+    the next (``_edge``), so a window over (group, range) sees all neighbours within reach."""
+    b = ordered.bucketed(df, order, parent, tiebreak)
+    w = Window.partitionBy(*parent, ordered.BUCKET).orderBy("_ord_key", *[f"_ord_t{i}" for i in range(len(tiebreak))], "_ord_place")
+    reach = max(abs(k) for k in offsets)
+    back = Window.partitionBy(*parent, ordered.BUCKET).orderBy(F.col("_ord_key").desc(), *[F.col(f"_ord_t{i}").desc() for i in range(len(tiebreak))],
+                                                              F.col("_ord_place").desc())
+    ends = b.withColumns({"_f": F.row_number().over(w), "_l": F.row_number().over(back)})
+    first = ends.where(F.col("_f") <= reach)
+    last = ends.where(F.col("_l") <= reach)
+    # ranges of a group follow each other; a short one passes on what it got, so go on for up to `reach` ranges
+    ranges = b.select(*parent, ordered.BUCKET).distinct()
+    num = ranges.withColumn("_r", F.row_number().over(Window.partitionBy(*parent).orderBy(ordered.BUCKET)))
+    num = materialize(num, "ranges")
+
+    def copied(rows: DataFrame, sign: int) -> DataFrame:
+        x = join_on_keys(rows, num, [*parent, ordered.BUCKET]).drop(ordered.BUCKET, "_f", "_l")
+        x = x.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(reach)))).withColumn("_r", F.col("_r") + sign * F.col("_step"))
+        return join_on_keys(x, num, [*parent, "_r"]).drop("_step", "_r")
+
+    extra = copied(last, 1).unionByName(copied(first, -1)).withColumn("_edge", F.lit(True))
+    every = b.withColumn("_edge", F.lit(False)).unionByName(extra.select(*b.columns, "_edge"))
+    vals = {f"_n{k}_{c}": (F.lag(c, -k) if k < 0 else F.lead(c, k)).over(w) for k in offsets if k for c in cols}
+    vals |= {f"_n{k}_{c}": F.col(c) for k in offsets if not k for c in cols}
+    return ordered.plain(every.withColumns(vals).where(~F.col("_edge")).drop("_edge"))
 
 
 def smooth(sic: DataFrame, parent: Sequence[str], order: str, value: str, half_width: int = 2,
            key: Sequence[str] = (), name: str = "smoothed") -> DataFrame:
-    """F8: centred moving mean over 2*half_width+1 points (fewer at the ends)."""
+    """F8: centred moving mean over 2*half_width+1 points (fewer at the ends). Every point keeps its row
+    (``key`` or ``order`` with the group); points at one ``order`` value stay apart."""
     keys = list(key) or [order]
-    n = _neighbours(sic, parent, order, keys, range(-half_width, half_width + 1), [value])
-    return n.groupBy(*parent, *[k for k in keys if k not in parent]).agg(
-        F.avg(f"_n_{value}").alias(name))
+    offsets = list(range(-half_width, half_width + 1))
+    n = _neighbours(sic, parent, order, keys, offsets, [value])
+    near = F.filter(F.array(*[F.col(f"_n{k}_{value}").cast("double") for k in offsets]), lambda x: x.isNotNull())
+    mean = F.when(F.size(near) > 0, F.aggregate(near, F.lit(0.0), lambda a, x: a + x) / F.size(near))
+    return n.select(*parent, *[k for k in keys if k not in parent], mean.alias(name))
 
 
 def trapezoid_area(sic: DataFrame, parent: Sequence[str], x: str, y: str,
                    tiebreak: Sequence[str] = ()) -> DataFrame:
     """area under y(x) by the trapezoid rule, plus apex and point count."""
     n = _neighbours(sic, parent, x, tiebreak, [-1], [x, y])
-    seg = (F.col(x) - F.col(f"_n_{x}")) * (F.col(y) + F.col(f"_n_{y}")) / 2
+    seg = (F.col(x) - F.col(f"_n-1_{x}")) * (F.col(y) + F.col(f"_n-1_{y}")) / 2
     return n.groupBy(*parent).agg(F.sum(seg).alias("area"), F.count(F.lit(1)).alias("n_points"),
                                   F.max(y).alias("apex"))
 
 
 def peak_bounds(sic: DataFrame, parent: Sequence[str], x: str, y: str) -> DataFrame:
-    """apex position and full width at half maximum (points >= apex/2)."""
-    top = F.max(F.struct(F.col(y).alias("y"), F.col(x).alias("x")))  # ties: the later point
-    apex = sic.groupBy(*parent).agg(top["x"].alias("apex_x"), top["y"].alias("apex_y"))
-    j = join_on_keys(sic, apex, parent).where(F.col(y) >= F.col("apex_y") / 2)
-    return j.groupBy(*parent).agg(F.first("apex_x").alias("apex_x"), F.first("apex_y").alias("apex_y"),
-                                  (F.max(x) - F.min(x)).alias("fwhm"))
+    """the highest point (ties: the later one) and its peak: full width at half maximum and area
+    (trapezoid rule) between the crossings of half the apex on either side of it, found by linear
+    interpolation between the first point below and its inner neighbour; where no point is below, the
+    peak ends at the trace's end. Points of one x count as one, with their largest y. Columns: parent, apex_x, apex_y, left_x,
+    right_x, fwhm, area."""
+    pts = sic.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*parent, x).agg(F.max(y).alias(y))
+    top = F.max(F.struct(F.col(y).alias("y"), F.col(x).alias("x")))
+    apex = pts.groupBy(*parent).agg(top["x"].alias("apex_x"), top["y"].alias("apex_y"))
+    j = join_on_keys(pts, apex, parent)
+    low = F.col(y) < F.col("apex_y") / 2
+    side = j.groupBy(*parent, "apex_x", "apex_y").agg(
+        F.max(F.when(low & (F.col(x) < F.col("apex_x")), F.struct(F.col(x).alias("x"), F.col(y).alias("y")))).alias("_lo"),
+        F.min(F.when(low & (F.col(x) > F.col("apex_x")), F.struct(F.col(x).alias("x"), F.col(y).alias("y")))).alias("_hi"))
+    inner = join_on_keys(pts, side, parent).where(
+        (F.col("_lo").isNull() | (F.col(x) > F.col("_lo.x"))) & (F.col("_hi").isNull() | (F.col(x) < F.col("_hi.x"))))
+    first = F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ends = inner.groupBy(*parent, "apex_x", "apex_y", "_lo", "_hi").agg(F.min(first).alias("_a"), F.max(first).alias("_b"))
+    half = F.col("apex_y") / 2
+
+    def crossing(out: str, at: str):
+        step = (half - F.col(f"{out}.y")) / (F.col(f"{at}.y") - F.col(f"{out}.y"))
+        return F.when(F.col(out).isNull(), F.col(f"{at}.x")).otherwise(F.col(f"{out}.x") + step * (F.col(f"{at}.x") - F.col(f"{out}.x")))
+
+    ends = ends.withColumns({"left_x": crossing("_lo", "_a"), "right_x": crossing("_hi", "_b")})
+    ends = ends.withColumn("_ends", ((F.col("_a.x") - F.col("left_x")) * (half + F.col("_a.y"))
+                                     + (F.col("right_x") - F.col("_b.x")) * (half + F.col("_b.y"))) / 2)
+    body = trapezoid_area(inner.select(*parent, x, y), parent, x, y).select(*parent, F.coalesce("area", F.lit(0.0)).alias("_body"))
+    return join_on_keys(ends, body, parent).select(
+        *parent, "apex_x", "apex_y", "left_x", "right_x", (F.col("right_x") - F.col("left_x")).alias("fwhm"),
+        (F.col("_body") + F.col("_ends")).alias("area"))
 
 
 def bin_spectra(peaks: DataFrame, keys: Sequence[str], mz: str, intensity: str,
@@ -213,8 +266,8 @@ def compress_peaks(peaks: DataFrame, keys: Sequence[str], mz: str, intensity: st
     predecessor found by an equi-join, gap flags summed into a group id."""
     d = peaks.groupBy(*keys, mz).agg(F.sum(intensity).alias("_i"), F.count(F.lit(1)).alias("_c"))
     n = _neighbours(d, keys, mz, [], [-1], [mz])
-    n = n.withColumn("_start", (F.col(f"_n_{mz}").isNull() |
-                                ((F.col(mz) - F.col(f"_n_{mz}")) > F.lit(gap))).cast("long"))
+    n = n.withColumn("_start", (F.col(f"_n-1_{mz}").isNull() |
+                                ((F.col(mz) - F.col(f"_n-1_{mz}")) > F.lit(gap))).cast("long"))
     g = ordered.running_agg(n, mz, {"cluster_id": ("sum", F.col("_start"))}, partition_by=keys)
     return g.groupBy(*keys, "cluster_id").agg(
         F.try_divide(F.sum(F.col(mz) * F.col("_i")), F.sum("_i")).alias("center"),
@@ -268,31 +321,46 @@ def top_ions(peaks: DataFrame, keys: Sequence[str], intensity: str, sn: str = "s
 
 def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz: str, rt: str,
                       mz_tol: float = 0.05, rt_tol: float = 5.0, min_similarity: float = 0.8,
-                      bin_col: str = "bin", value: str = "total") -> DataFrame:
-    """parent ions within +-mz_tol and +-rt_tol whose binned spectra
-    (F11 output: parent_id, bin, total) have cosine >= min_similarity are
-    linked; groups are the connected components (label = smallest id).
+                      bin_col: str = "bin", value: str = "total", keys: Sequence[str] = ()) -> DataFrame:
+    """parent ions of the same ``keys`` (the dataset) within +-mz_tol and +-rt_tol whose binned spectra
+    (F11 output: keys, parent_id, bin, total) have cosine >= min_similarity are
+    linked; groups are the connected components. Returns (keys, parent_id, group_id), group_id the smallest id
+    of the group. An ion is (keys, parent_id): equal ids of two datasets are two ions.
 
     Pairs come from a two-dimensional range join (never all pairs); the cosine
     is a sparse dot product: an equi-join of the two spectra on the bin."""
-    from .inference import connected_components
-
-    a = parents.select(F.col(parent_id).alias("_a"), F.col(mz).alias("_amz"), F.col(rt).alias("_art"))
-    b = parents.select(F.col(parent_id).alias("_b"), F.col(mz).alias("_bmz"), F.col(rt).alias("_brt"))
-    pairs = range_join(a, b, [Tol("_amz", "_bmz", mz_tol), Tol("_art", "_brt", rt_tol)]) \
-        .where(F.col("_a") < F.col("_b")).select("_a", "_b")
-    va = binned.select(F.col(parent_id).alias("_a"), F.col(bin_col).alias("_bin"), F.col(value).alias("_va"))
-    vb = binned.select(F.col(parent_id).alias("_b"), F.col(bin_col).alias("_bin"), F.col(value).alias("_vb"))
-    norms = binned.groupBy(parent_id).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_n"))
-    dot = pairs.join(va, on="_a").join(vb, on=["_b", "_bin"]).groupBy("_a", "_b") \
+    from .components import star_components
+
+    keys = list(keys)
+    ids = materialize(parents.select(*keys, parent_id).distinct(), "ions")
+    node = F.struct(*[F.col(k) for k in keys], F.col(parent_id))
+    on = [(f"_ka{i}", f"_kb{i}") for i in range(len(keys))]
+
+    def side(x: str) -> DataFrame:
+        return parents.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col(parent_id).alias(f"_{x}"),
+                              F.col(mz).alias(f"_{x}mz"), F.col(rt).alias(f"_{x}rt"))
+
+    def spectrum(x: str) -> DataFrame:
+        return binned.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col(parent_id).alias(f"_{x}"),
+                             F.col(bin_col).alias("_bin"), F.col(value).alias(f"_v{x}"))
+
+    def norm(x: str) -> DataFrame:
+        return spectrum(x).groupBy(*[f"_k{x}{i}" for i in range(len(keys))], f"_{x}").agg(
+            F.sqrt(F.sum(F.col(f"_v{x}") * F.col(f"_v{x}"))).alias(f"_n{x}"))
+
+    pairs = range_join(side("a"), side("b"), [Tol("_amz", "_bmz", mz_tol), Tol("_art", "_brt", rt_tol)], on=on)
+    pairs = pairs.where(F.col("_a") < F.col("_b")).select(*[a for a, _ in on], *[b for _, b in on], "_a", "_b").distinct()
+    ka, kb = [*[a for a, _ in on], "_a"], [*[b for _, b in on], "_b"]
+    dot = pairs.join(spectrum("a"), on=ka).join(spectrum("b"), on=[*kb, "_bin"]).groupBy(*ka, *kb) \
         .agg(F.sum(F.col("_va") * F.col("_vb")).alias("_dot"))
-    na = norms.select(F.col(parent_id).alias("_a"), F.col("_n").alias("_na"))
-    nb = norms.select(F.col(parent_id).alias("_b"), F.col("_n").alias("_nb"))
     den = F.col("_na") * F.col("_nb")
-    sim = dot.join(na, on="_a").join(nb, on="_b").withColumn(
+    sim = dot.join(norm("a"), on=ka).join(norm("b"), on=kb).withColumn(
         "similarity", F.when(den > 0, F.col("_dot") / den))  # an all-zero spectrum is similar to nothing
-    links = sim.where(F.col("similarity") >= min_similarity).select("_a", "_b")
-    comp = connected_components(links, "_a", "_b")
-    ids = parents.select(parent_id).distinct()
-    return ids.join(comp.select(F.col("node").alias(parent_id), "component"), on=parent_id, how="left") \
-              .withColumn("group_id", F.coalesce("component", F.col(parent_id))).drop("component")
+    links = sim.where(F.col("similarity") >= min_similarity)
+
+    def named(x: str):
+        return F.struct(*[F.col(f"_k{x}{i}").alias(k) for i, k in enumerate(keys)], F.col(f"_{x}").alias(parent_id))
+
+    comp = star_components(links.select(named("a").alias("a"), named("b").alias("b")), "a", "b")
+    out = ids.withColumn("node", node).join(comp, on="node", how="left")
+    return out.select(*keys, parent_id, F.coalesce(F.col("component")[parent_id], F.col(parent_id)).alias("group_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import ELEMENT_MASS, ISOTOPE_SPACING, PROTON, WATER
@@ -48,39 +48,55 @@ def cleave(col: Column, pattern: str) -> Column:
     return F.filter(F.split(col, pattern), lambda p: p != "")
 
 
+#: Starts that one exploded row covers; it carries only the pieces or characters these can reach.
+CHUNK = 1024
+
+
 def digest(proteins: DataFrame, key: Sequence[str], sequence: str, rule: str = r"(?<=[KR])(?!P)",
-           min_len: int = 6, max_len: int = 50, max_missed: int = 2,
+           min_len: int = 6, max_len: int = 50, max_missed: int | None = None,
            drop_first_met: bool = False) -> DataFrame:
-    """D3 (fully specific cleavage): peptides made of 1..max_missed+1
-    consecutive pieces with length in [min_len, max_len]. Output: key,
-    start (1-based), missed_cleavages, peptide.
+    """D3 (fully specific cleavage): peptides made of one or more
+    consecutive pieces with length in [min_len, max_len]; at most ``max_missed``
+    missed cleavages, without a limit if None. Output: key, start (1-based),
+    missed_cleavages, peptide.
 
-    Pieces are exploded with their position; one window per sequence gives
-    the running offset and the following ``max_missed`` pieces (``lead``),
-    so the work is linear in the sequence length (whole texts included).
+    ``drop_first_met``: of a sequence that starts with M, the first peptides are also
+    given without it; start counts residues of the whole sequence.
+
+    Built inside the row, so nothing is shuffled and rows that share a key keep apart. Pieces
+    start where the piece index of the characters changes; a peptide of at most
+    max_len has at most as many pieces, so work is linear in the sequence.
     """
-    seq = F.col(sequence)
+    most = max_len if max_missed is None else min(max_len, max_missed + 1)
+    longest = max_len + 1 if drop_first_met else max_len
+    p = proteins.select(*key, F.col(sequence).startswith("M").alias("_met"), cleave(F.col(sequence), rule).alias("_p"))
+    of = F.flatten(F.transform("_p", lambda x, j: F.array_repeat(j, F.length(x))))
+    p = p.where(F.size("_p") > 0).withColumn("_of", of)
+    p = p.withColumn("_st", F.expr("concat(filter(transform(_of, (x, i) -> IF(i = 0 OR _of[i - 1] != x, i + 1, 0)), x -> x > 0),"
+                                   " array(size(_of) + 1))"))
+    at = F.col("_c") * CHUNK + 1
+    p = p.withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((F.size("_p") - 1) / CHUNK).cast("int"))))
+    p = p.select(*key, "_met", F.slice("_p", at, F.lit(CHUNK + most)).alias("_p"), F.slice("_st", at, F.lit(CHUNK + most + 1)).alias("_st"))
+    p = p.withColumn("_n", F.size("_st") - 1)
+    found = F.expr(f"""
+      flatten(transform(sequence(0, least({CHUNK}, _n) - 1), i -> transform(
+        filter(sequence(i + 1, least(i + {most}, _n)), j -> _st[j] - _st[i] BETWEEN {min_len} AND {longest}),
+        j -> named_struct('start', _st[i], 'missed', j - i - 1, 'pep', array_join(slice(_p, i + 1, j - i), '')))))""")
+    e = p.select(*key, "_met", F.explode(found).alias("_x"))
+    e = e.select(*key, "_met", F.col("_x.start").alias("start"), F.col("_x.missed").alias("missed_cleavages"), F.col("_x.pep").alias("peptide"))
     if drop_first_met:
-        seq = F.when(seq.startswith("M"), F.expr(f"substring({sequence}, 2)")).otherwise(seq)
-    p = proteins.select(*key, F.posexplode(cleave(seq, rule)).alias("_i", "_piece"))
-    w = Window.partitionBy(*key).orderBy("_i")
-    run = F.sum(F.length("_piece")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    p = p.withColumn("start", (run - F.length("_piece") + 1).cast("int"))
-    p = p.withColumns({f"_n{j}": F.lead("_piece", j).over(w) for j in range(1, max_missed + 1)})
-    nxt = [F.col(f"_n{j}") for j in range(1, max_missed + 1)]
-    forms = []
-    for m in range(max_missed + 1):
-        parts = [F.col("_piece")] + nxt[:m]
-        forms.append(F.struct(F.lit(m).alias("missed_cleavages"), F.concat(*parts).alias("peptide")))
-    p = p.select(*key, "start", F.explode(F.array(*forms)).alias("_f"))
-    out = p.select(*key, "start", F.col("_f.missed_cleavages").alias("missed_cleavages"),
-                   F.col("_f.peptide").alias("peptide"))
-    return out.where(F.col("peptide").isNotNull() & F.length("peptide").between(min_len, max_len))
+        whole = F.struct("start", "peptide")
+        without = F.struct(F.lit(2).alias("start"), F.expr("substring(peptide, 2)").alias("peptide"))
+        forms = F.when(F.col("_met") & (F.col("start") == 1), F.array(whole, without)).otherwise(F.array(whole))
+        e = e.withColumn("_f", F.explode(forms)).select(*key, F.col("_f.start").alias("start"), "missed_cleavages",
+                                                        F.col("_f.peptide").alias("peptide"))
+        e = e.where(F.length("peptide").between(min_len, max_len))
+    return e.select(*key, "start", "missed_cleavages", "peptide")
 
 
 def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, ntt: int = 1,
                        site_pattern: str = r"(?<=[KR])(?!P)", min_len: int = 6, max_len: int = 50,
-                       max_missed: int | None = None, chunk: int = 1024) -> DataFrame:
+                       max_missed: int | None = None) -> DataFrame:
     """D3 with ``ntt`` < 2 tolerable termini: every substring of allowed
     length whose number of enzymatic termini (protein ends count) is at least
     ``ntt``; missed cleavages = cleavage sites strictly inside. Output as
@@ -90,22 +106,27 @@ def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, n
     character, the index of the cleavage piece it falls in. A candidate
     (b, e) then costs O(1) for its termini (piece index changes at b / e)
     and missed cleavages (piece index difference), plus O(length) to slice
-    its text. Start positions are exploded in chunks of ``chunk``, so no
-    exploded row carries the sequence more than n / chunk times."""
+    its text. Start positions are exploded in chunks, each with the characters it can reach
+    and one on either side."""
     seq = F.col(sequence)
     pieces = cleave(seq, site_pattern)
     piece_of = F.flatten(F.transform(pieces, lambda p, j: F.array_repeat(j + 1, F.length(p))))
     p = proteins.where(F.length(seq) >= min_len).select(
         *key, F.split(seq, "").alias("_c"), piece_of.alias("_pi"))
     p = p.withColumn("_n", F.size("_c"))
-    p = p.select(*key, "_c", "_pi", "_n", F.explode(F.sequence(
-        F.lit(0), F.floor((F.col("_n") - min_len) / chunk).cast("int"))).alias("_chunk"))
+    p = p.withColumn("_k", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - min_len) / CHUNK).cast("int"))))
+    # the piece before the chunk's first character: 0 at the sequence's start, which no character has
+    reach = CHUNK + max_len
+    p = p.select(*key, (F.col("_k") * CHUNK).alias("_at"), "_n",
+                 F.slice("_c", F.col("_k") * CHUNK + 1, F.lit(reach)).alias("_c"),
+                 F.slice("_pi", F.col("_k") * CHUNK + 1, F.lit(reach + 1)).alias("_pi"),
+                 F.when(F.col("_k") == 0, F.lit(0)).otherwise(F.expr(f"_pi[greatest(_k * {CHUNK} - 1, 0)]")).alias("_before"))
     cand = F.expr(f"""
       filter(flatten(transform(
-        sequence(_chunk * {chunk}, least(_chunk * {chunk} + {chunk - 1}, _n - {min_len})),
-        b -> transform(sequence(b + {min_len}, least(b + {max_len}, _n)), e -> named_struct(
+        sequence(0, least({CHUNK - 1}, _n - _at - {min_len})),
+        b -> transform(sequence(b + {min_len}, least(b + {max_len}, _n - _at)), e -> named_struct(
               'b', b, 'e', e,
-              'ntt', CAST(b = 0 OR _pi[b - 1] != _pi[b] AS INT) + CAST(e = _n OR _pi[e - 1] != _pi[e] AS INT),
+              'ntt', CAST(IF(b = 0, _before, _pi[b - 1]) != _pi[b] AS INT) + CAST(_at + e = _n OR _pi[e - 1] != _pi[least(e, size(_pi) - 1)] AS INT),
               'missed', _pi[e - 1] - _pi[b])))),
         x -> x.ntt >= {ntt})""")
     if max_missed is not None:
@@ -114,58 +135,77 @@ def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, n
     # exploded rows carry only their own peptide
     with_text = F.transform(cand, lambda x: x.withField(
         "pep", F.array_join(F.slice("_c", x["b"] + 1, x["e"] - x["b"]), "")))
-    e = p.select(*key, F.explode(with_text).alias("_x"))
-    return e.select(*key, (F.col("_x.b") + 1).alias("start"), F.col("_x.missed").alias("missed_cleavages"),
+    e = p.select(*key, "_at", F.explode(with_text).alias("_x"))
+    return e.select(*key, (F.col("_at") + F.col("_x.b") + 1).alias("start"), F.col("_x.missed").alias("missed_cleavages"),
                     F.col("_x.ntt").alias("ntt"), F.col("_x.pep").alias("peptide"))
 
 
 def peptide_mass(df: DataFrame, sequence: str, residue_mass: Mapping[str, float],
                  fixed: Mapping[str, float] | None = None, nterm: float = 0.0,
                  name: str = "mass") -> DataFrame:
-    """Neutral mass = water + residues (+ fixed modifications, N-term)."""
+    """Neutral mass = water + residues (+ fixed modifications, N-term); null for a
+    sequence with a residue of unknown mass."""
     m = dict(residue_mass)
     for r, d in (fixed or {}).items():
-        m[r] = m.get(r, 0.0) + d
+        if r in m:
+            m[r] += d
     mm = _map_literal(m)
-    total = F.aggregate(F.split(F.col(sequence), ""), F.lit(0.0),
-                        lambda a, r: a + F.coalesce(mm[r], F.lit(0.0)))
+    total = F.aggregate(F.split(F.col(sequence), ""), F.lit(0.0), lambda a, r: a + mm[r])
     return df.withColumn(name, total + F.lit(WATER + nterm))
 
 
-def expand_mods(peptides: DataFrame, sequence: str, mod_residues: str, delta: float,
-                max_mods: int = 3, max_forms: int = 128, mass: str = "mass",
-                key: Sequence[str] = ()) -> DataFrame:
-    """Variable-modification forms: every subset of at most ``max_mods``
-    eligible positions (k = 0..max_mods), at most ``max_forms`` per peptide
-    (smallest position sets first). Positions are 1-based."""
-    pos = F.filter(F.transform(F.split(F.col(sequence), ""), lambda r, i: F.when(
-        F.lit(mod_residues).contains(r), i + 1)), lambda x: x.isNotNull())
-    df = peptides.withColumn("_pos", pos)
-    forms = df.withColumn("sites", F.slice("_pos", 1, 0))
-    out = forms
-    cur = forms
-    for _ in range(max_mods):
-        nxt = cur.withColumn("_c", F.explode(F.filter("_pos", lambda p: p > F.coalesce(F.array_max("sites"), F.lit(0)))))
-        nxt = nxt.withColumn("sites", F.concat("sites", F.array("_c"))).drop("_c")
-        out = out.unionByName(nxt)
-        cur = nxt
-    out = out.withColumn(mass, F.col(mass) + F.size("sites") * F.lit(delta))
-    w = Window.partitionBy(*(key or [sequence])).orderBy(F.size("sites"), F.col("sites"))
-    return out.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_forms).drop("_r", "_pos")
+def expand_mods(peptides: DataFrame, sequence: str, mods: str | Sequence[tuple[str, float]], delta: float | None = None,
+                max_mods: int = 3, max_forms: int | None = None, mass: str = "mass") -> DataFrame:
+    """Variable-modification forms: every choice of at most ``max_mods``
+    eligible positions. ``mods``: (residues, delta) pairs, or one kind's residues
+    with ``delta``; a position eligible for several kinds takes one of them. Adds sites
+    (1-based, ascending) and site_deltas, and adds the deltas to ``mass``.
+
+    All forms of a row are built in one pass over its positions and exploded once. ``max_forms`` keeps,
+    per input row, the first so many by (number of sites, sites, deltas); by default all are kept.
+    """
+    kinds = [(mods, float(delta))] if isinstance(mods, str) else [(r, float(d)) for r, d in mods]
+    none = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("sites"), F.array().cast("array<double>").alias("deltas"))
+
+    def grow(acc, c, i):
+        wider = [F.transform(F.filter(acc, lambda f: F.lit(r).contains(c) & (f["n"] < max_mods)), lambda f: F.struct(
+            (f["n"] + 1).alias("n"), F.concat(f["sites"], F.array(i + 1)).alias("sites"),
+            F.concat(f["deltas"], F.array(F.lit(d))).alias("deltas"))) for r, d in kinds]
+        return F.concat(acc, *wider)
+
+    letters = F.transform(F.split(F.col(sequence), ""), lambda c, i: F.struct(c.alias("c"), i.alias("i")))
+    eligible = F.filter(letters, lambda x: F.lit("".join(r for r, _ in kinds)).contains(x["c"]) & (x["c"] != ""))
+    forms = F.array_sort(F.aggregate(eligible, F.array(none), lambda acc, x: grow(acc, x["c"], x["i"])))
+    if max_forms is not None:
+        forms = F.slice(forms, 1, max_forms)
+    out = peptides.withColumn("_f", F.explode(forms))
+    total = F.aggregate("_f.deltas", F.lit(0.0), lambda x, d: x + d)
+    return out.withColumns({"sites": F.col("_f.sites"), "site_deltas": F.col("_f.deltas"), mass: F.col(mass) + total}).drop("_f")
 
 
 def match_candidates(spectra: DataFrame, peptides: DataFrame, precursor_mz: str, charge: str,
-                     pep_mass: str, tol_ppm: float = 20.0, isotopes: Sequence[int] = (-1, 0, 1, 2),
-                     charges: Sequence[int] = (2, 3, 4, 5)) -> DataFrame:
+                     pep_mass: str, tol: float | tuple[float, float] = 20.0, isotopes: Sequence[int] = (-1, 0, 1, 2),
+                     charges: Sequence[int] = (2, 3, 4, 5), ppm: bool = True) -> DataFrame:
     """Candidate peptides per spectrum: for each isotope offset and (when
-    the charge is unknown) each charge, the neutral mass within ``tol_ppm``.
+    the charge is unknown) each charge, the neutral mass within ``tol`` of the peptide's, in ppm or Da;
+    a pair of tolerances bounds the observed mass below and above it.
     Range join on the explodes, bucketed (never a cartesian product)."""
+    low, high = tol if isinstance(tol, tuple) else (tol, tol)
     ch = F.when(F.col(charge).isNull() | (F.col(charge) <= 0),
                 F.array(*[F.lit(c) for c in charges])).otherwise(F.array(F.col(charge)))
     s = spectra.withColumn("_z", F.explode(ch)).withColumn("_iso", F.explode(F.array(*[F.lit(i) for i in isotopes])))
     s = s.withColumn("_obs_mass", (F.col(precursor_mz) - F.lit(PROTON)) * F.col("_z")
                      - F.col("_iso") * F.lit(ISOTOPE_SPACING))
-    return range_join(s, peptides, [Tol("_obs_mass", pep_mass, tol_ppm, ppm=True)])
+    if low == high:
+        return range_join(s, peptides, [Tol("_obs_mass", pep_mass, low, ppm=ppm)])
+    # centre of the lopsided interval, and half its width
+    shift, half = (high - low) / 2, (low + high) / 2
+    if ppm:
+        p = peptides.withColumn("_centre", F.col(pep_mass) * F.lit(1 + shift * 1e-6))
+        half /= 1 + shift * 1e-6
+    else:
+        p = peptides.withColumn("_centre", F.col(pep_mass) + F.lit(shift))
+    return range_join(s, p, [Tol("_obs_mass", "_centre", half, ppm=ppm)]).drop("_centre")
 
 
 def filter_min_peaks(spectra: DataFrame, n: int, mz: str = "mz") -> DataFrame:
@@ -174,20 +214,31 @@ def filter_min_peaks(spectra: DataFrame, n: int, mz: str = "mz") -> DataFrame:
 
 
 def theoretical_fragments(df: DataFrame, sequence: str, residue_mass: Mapping[str, float],
-                          key: Sequence[str]) -> DataFrame:
-    """B and y ion (singly charged) per cleavage position i = 1..n-1.
-    Prefix sums inside the row: no shuffle."""
+                          key: Sequence[str], sites: str | None = None, deltas: str | float | None = None,
+                          charges: Sequence[int] = (1,)) -> DataFrame:
+    """B and y ion per cleavage position i = 1..n-1 and charge (a column ``charge`` if more than one is
+    asked for). ``sites`` (1-based positions) with ``deltas`` (a column of as many, or one number) are
+    modifications. Prefix sums inside the row: no shuffle. A sequence with a
+    residue of unknown mass has no fragments."""
     mm = _map_literal(residue_mass)
-    masses = F.transform(F.split(F.col(sequence), ""), lambda r: F.coalesce(mm[r], F.lit(0.0)))
+    masses = F.transform(F.split(F.col(sequence), ""), lambda r: mm[r])
+    if sites is not None:
+        each = F.transform(F.col(sites), lambda x: F.lit(float(deltas))) if isinstance(deltas, (int, float)) else F.col(deltas)
+        at = F.arrays_zip(F.col(sites).alias("s"), each.alias("d"))
+        plain = masses
+        masses = F.transform(plain, lambda m, i: m + F.aggregate(F.filter(at, lambda x: x["s"] == i + 1), F.lit(0.0), lambda a, x: a + x["d"]))
     d = df.select(*key, masses.alias("_m"))
     d = d.withColumn("_pref", F.transform("_m", lambda x, i: F.aggregate(
         F.slice("_m", F.lit(1), i + 1), F.lit(0.0), lambda a, v: a + v)))
-    d = d.withColumn("_tot", F.aggregate("_m", F.lit(0.0), lambda a, v: a + v))
-    e = d.select(*key, "_tot", F.posexplode("_pref").alias("_i", "_p"))
-    e = e.withColumn("pos", (F.col("_i") + 1).cast("int"))
-    return e.where(F.col("_p") < F.col("_tot")).select(
-        *key, "pos", (F.col("_p") + F.lit(PROTON)).alias("b_ion"),
-        (F.col("_tot") - F.col("_p") + F.lit(WATER + PROTON)).alias("y_ion"))
+    d = d.withColumn("_tot", F.aggregate("_m", F.lit(0.0), lambda a, v: a + v)).where(F.col("_tot").isNotNull())
+    e = d.select(*key, "_tot", F.size("_m").alias("_n"), F.posexplode("_pref").alias("_i", "_p"))
+    e = e.where(F.col("_i") < F.col("_n") - 1).withColumn("pos", (F.col("_i") + 1).cast("int"))
+    if tuple(charges) == (1,):
+        return e.select(*key, "pos", (F.col("_p") + F.lit(PROTON)).alias("b_ion"),
+                        (F.col("_tot") - F.col("_p") + F.lit(WATER + PROTON)).alias("y_ion"))
+    e = e.withColumn("charge", F.explode(F.array(*[F.lit(int(c)) for c in charges])))
+    return e.select(*key, "pos", "charge", (F.col("_p") / F.col("charge") + F.lit(PROTON)).alias("b_ion"),
+                    ((F.col("_tot") - F.col("_p") + F.lit(WATER)) / F.col("charge") + F.lit(PROTON)).alias("y_ion"))
 
 
 def score_matches(peaks: DataFrame, fragments: DataFrame, keys: Sequence[str], peak_mz: str,

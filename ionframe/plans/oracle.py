@@ -48,8 +48,10 @@ FROM (SELECT l_suppkey, l_returnflag, l_linestatus, SUM(l_quantity) AS s FROM li
 ORACLE["q05_reference_expression"] = """
 WITH a AS (SELECT l_suppkey, l_linestatus, l_returnflag, SUM(l_quantity) AS s FROM lineitem GROUP BY ALL),
 r AS (SELECT l_suppkey, l_linestatus,
-        (MAX(CASE WHEN l_returnflag = 'A' THEN s END) + MAX(CASE WHEN l_returnflag = 'N' THEN s END)) / 2.0::DOUBLE AS ref
-      FROM a GROUP BY ALL)
+        (MAX(CASE WHEN l_returnflag = 'A' THEN s END) + MAX(CASE WHEN l_returnflag = 'N' THEN s END)) / 2.0::DOUBLE AS r1,
+        MAX(CASE WHEN l_returnflag = 'R' THEN s END)::DOUBLE AS r2,
+        (COALESCE(r1, 0.0) + COALESCE(r2, 0.0)) / NULLIF((r1 IS NOT NULL)::INT + (r2 IS NOT NULL)::INT, 0) AS ref
+      FROM a GROUP BY l_suppkey, l_linestatus)
 SELECT a.l_suppkey, a.l_linestatus, a.l_returnflag, ROUND(r.ref, 6) AS reference_intensity,
   CASE WHEN a.s > 0 AND r.ref > 0 THEN ROUND(LOG2(a.s / r.ref), 6) END AS log2_ratio
 FROM a JOIN r ON a.l_suppkey = r.l_suppkey AND a.l_linestatus = r.l_linestatus
@@ -66,10 +68,10 @@ FROM lineitem JOIN part ON ABS(l_extendedprice / l_quantity - p_retailprice) <=
 """
 
 ORACLE["q08_interval_2d"] = """
-SELECT p.event_id, COUNT(*) AS n_points
+SELECT p.event_id, COUNT(*) AS n_points, ROUND(SUM(q.value), 4) AS total
 FROM events p JOIN events q
-  ON ABS(q.value - p.value) <= 0.01::DOUBLE
- AND ABS(epoch_us(q.ts) / 1e6::DOUBLE - epoch_us(p.ts) / 1e6::DOUBLE) <= 300.0::DOUBLE
+  ON p.user_id = q.user_id AND ABS(q.value - p.value) <= 40.0::DOUBLE
+ AND ABS(epoch_us(q.ts) / 1e6::DOUBLE - epoch_us(p.ts) / 1e6::DOUBLE) <= 432000.0::DOUBLE
 GROUP BY p.event_id
 """
 
@@ -247,13 +249,14 @@ FROM customer c LEFT JOIN fit ON c.c_nationkey = fit.c_nationkey
 
 ORACLE["q30_relaxed_threshold"] = """
 WITH c AS (SELECT l_suppkey,
-    SUM(CASE WHEN l_discount <= 0.0001::DOUBLE THEN 1 ELSE 0 END) AS n0,
-    SUM(CASE WHEN l_discount <= 0.001::DOUBLE THEN 1 ELSE 0 END) AS n1,
-    SUM(CASE WHEN l_discount <= 0.01::DOUBLE THEN 1 ELSE 0 END) AS n2
+    SUM(CASE WHEN l_discount <= 0.01::DOUBLE THEN 1 ELSE 0 END) AS n0,
+    SUM(CASE WHEN l_discount <= 0.02::DOUBLE THEN 1 ELSE 0 END) AS n1,
+    SUM(CASE WHEN l_discount <= 0.04::DOUBLE THEN 1 ELSE 0 END) AS n2,
+    SUM(CASE WHEN l_discount <= 0.08::DOUBLE THEN 1 ELSE 0 END) AS n3
   FROM lineitem GROUP BY l_suppkey)
 SELECT l_suppkey,
-  CASE WHEN n0 >= 60 THEN 0.0001::DOUBLE WHEN n1 >= 60 THEN 0.001::DOUBLE ELSE 0.01::DOUBLE END AS threshold,
-  (CASE WHEN n0 >= 60 THEN n0 WHEN n1 >= 60 THEN n1 ELSE n2 END)::BIGINT AS n_confident
+  CASE WHEN n0 >= 165 THEN 0.01::DOUBLE WHEN n1 >= 165 THEN 0.02::DOUBLE WHEN n2 >= 165 THEN 0.04::DOUBLE ELSE 0.08::DOUBLE END AS threshold,
+  (CASE WHEN n0 >= 165 THEN n0 WHEN n1 >= 165 THEN n1 WHEN n2 >= 165 THEN n2 ELSE n3 END)::BIGINT AS n_confident
 FROM c
 """
 
@@ -263,12 +266,11 @@ WITH m AS (
     regexp_replace(regexp_replace(text, '([eo])([^ \\x01])', '\\1' || chr(1) || '\\2', 'g'),
                    '([eo])([^ \\x01])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: x <> '') AS p
   FROM documents),
-pc AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM m),
-mc AS (SELECT doc_id, p, i, unnest([0, 1, 2]) AS missed_cleavages FROM pc),
-pep AS (SELECT missed_cleavages, array_to_string(list_slice(p, i, i + missed_cleavages), '') AS peptide
-        FROM mc WHERE i + missed_cleavages <= len(p))
-SELECT length(peptide) AS piece_len, missed_cleavages, COUNT(*) AS n_pieces
-FROM pep WHERE length(peptide) BETWEEN 6 AND 50 GROUP BY 1, 2
+pc AS (SELECT doc_id, unnest(p) AS piece, unnest(range(1, len(p) + 1)) AS i FROM m),
+e AS (SELECT doc_id, i, length(piece) AS n, SUM(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM pc),
+x AS (SELECT (b.stop - a.stop + a.n)::INTEGER AS piece_len, (b.i - a.i)::INTEGER AS missed_cleavages
+      FROM (SELECT *, unnest(range(i, i + 50)) AS j FROM e) a JOIN e b ON a.doc_id = b.doc_id AND b.i = a.j)
+SELECT piece_len, missed_cleavages, COUNT(*) AS n_pieces FROM x WHERE piece_len BETWEEN 6 AND 50 GROUP BY 1, 2
 """
 
 ORACLE["q32_decoy"] = """
@@ -406,14 +408,17 @@ WITH p AS (
   SELECT a.vec_id AS vec_a, b.vec_id AS vec_b,
     list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c
   FROM embeddings a JOIN embeddings b
-    ON a.label = b.label AND a.vec_id < b.vec_id AND b.vec_id - a.vec_id <= 25)
-SELECT vec_a, vec_b, ROUND(c, 6) AS cosine FROM p WHERE c >= 0.3::DOUBLE
+    ON a.label = b.label AND a.vec_id < b.vec_id
+   AND ABS(a.embedding[1]::DOUBLE - b.embedding[1]::DOUBLE) <= 0.05::DOUBLE
+   AND ABS(a.embedding[2]::DOUBLE - b.embedding[2]::DOUBLE) <= 0.05::DOUBLE)
+SELECT vec_a, vec_b, ROUND(c, 6) AS cosine FROM p WHERE c >= 0
 """
 
 
 ORACLE["q51_expand_mods"] = """
 WITH p AS (SELECT p_partkey, length(p_name) - length(regexp_replace(p_name, '[aeo]', '', 'g')) AS n FROM part)
-SELECT p_partkey, LEAST(128, 1 + n + n * (n - 1) // 2 + n * (n - 1) * (n - 2) // 6)::BIGINT AS n_forms FROM p
+SELECT p_partkey, (1 + n + n * (n - 1) // 2 + n * (n - 1) * (n - 2) // 6)::BIGINT AS n_forms,
+  16.0::DOUBLE * (n + n * (n - 1) + n * (n - 1) * (n - 2) // 2) AS shift FROM p
 """
 
 ORACLE["q52_match_candidates"] = """
@@ -427,12 +432,15 @@ FROM x JOIN part ON ABS(obs - p_retailprice) <= p_retailprice * 2e-05::DOUBLE
 
 ORACLE["q53_impurity"] = """
 WITH ri AS (SELECT user_id, event_type, SUM(value) AS intensity FROM events GROUP BY user_id, event_type),
-w AS (SELECT * FROM (VALUES ('click', 'click', 1.02::DOUBLE), ('click', 'error', -0.01::DOUBLE), ('error', 'click', -0.01::DOUBLE), ('error', 'error', 1.02::DOUBLE), ('error', 'purchase', -0.01::DOUBLE), ('purchase', 'error', -0.01::DOUBLE), ('purchase', 'purchase', 1.02::DOUBLE), ('purchase', 'signup', -0.01::DOUBLE), ('signup', 'purchase', -0.01::DOUBLE), ('signup', 'signup', 1.02::DOUBLE), ('signup', 'view', -0.01::DOUBLE), ('view', 'signup', -0.01::DOUBLE), ('view', 'view', 1.02::DOUBLE)) v(channel, source_channel, weight)),
-c AS (SELECT ri.user_id, w.channel, SUM(w.weight * ri.intensity) AS cc
-      FROM ri JOIN w ON ri.event_type = w.source_channel GROUP BY ri.user_id, w.channel)
+t AS (SELECT event_type, row_number() OVER (ORDER BY event_type) AS i, COUNT(*) OVER () AS n FROM (SELECT DISTINCT event_type FROM events)),
+k AS (SELECT * FROM t WHERE i < n),
+c AS (SELECT ri.user_id, a.event_type AS channel,
+             SUM((CASE WHEN a.i = b.i THEN 1.02::DOUBLE ELSE -0.01::DOUBLE END) * ri.intensity) AS cc
+      FROM k a JOIN k b ON ABS(a.i - b.i) <= 1 JOIN ri ON ri.event_type = b.event_type GROUP BY ri.user_id, a.event_type)
 SELECT ri.user_id, ri.event_type, ROUND(ri.intensity, 4) AS intensity,
-  ROUND(GREATEST(COALESCE(c.cc, 0.0), 0.0), 4) AS corrected
-FROM ri LEFT JOIN c ON ri.user_id = c.user_id AND ri.event_type = c.channel
+  ROUND(CASE WHEN k.event_type IS NULL THEN ri.intensity ELSE GREATEST(COALESCE(c.cc, 0.0), 0.0) END, 4) AS corrected
+FROM ri LEFT JOIN k ON ri.event_type = k.event_type
+LEFT JOIN c ON ri.user_id = c.user_id AND ri.event_type = c.channel
 """
 
 ORACLE["q54_synopsis_first_hits"] = """
@@ -488,17 +496,28 @@ SELECT l_orderkey, l_linenumber, p_partkey, tolerance FROM l JOIN part ON ABS(mz
 """
 
 ORACLE["q60_peak_bounds"] = """
-WITH e AS (SELECT user_id, epoch_us(ts) / 1e6::DOUBLE AS t, value FROM events),
-a AS (SELECT user_id, MAX({'y': value, 'x': t}) AS top FROM e GROUP BY user_id)
-SELECT e.user_id, ROUND(a.top.x, 3) AS apex_t, a.top.y AS apex_value, ROUND(MAX(e.t) - MIN(e.t), 3) AS fwhm
-FROM e JOIN a ON e.user_id = a.user_id WHERE e.value >= a.top.y / 2
-GROUP BY e.user_id, a.top.x, a.top.y
+WITH e AS (SELECT user_id, epoch_us(ts) / 1e6::DOUBLE AS t, MAX(value) AS y FROM events GROUP BY 1, 2),
+a AS (SELECT user_id, MAX({'y': y, 'x': t}) AS top FROM e GROUP BY user_id),
+s AS (SELECT e.user_id, MAX(CASE WHEN t < a.top.x AND y < a.top.y / 2 THEN t END) AS lo,
+             MIN(CASE WHEN t > a.top.x AND y < a.top.y / 2 THEN t END) AS hi
+      FROM e JOIN a USING (user_id) GROUP BY e.user_id),
+p AS (SELECT e.user_id, e.t, e.y, a.top.x AS ax, a.top.y AS ay, s.lo, s.hi FROM e JOIN a USING (user_id) JOIN s USING (user_id)
+      WHERE (s.lo IS NULL OR e.t >= s.lo) AND (s.hi IS NULL OR e.t <= s.hi)),
+w AS (SELECT *, LAG(t) OVER u AS pt, LAG(y) OVER u AS py FROM p WINDOW u AS (PARTITION BY user_id ORDER BY t)),
+seg AS (SELECT user_id, ax, ay,
+    CASE WHEN pt IS NULL THEN NULL WHEN py < ay / 2 THEN pt + (ay / 2 - py) / (y - py) * (t - pt) ELSE pt END AS x0,
+    CASE WHEN py < ay / 2 THEN ay / 2 ELSE py END AS y0,
+    CASE WHEN y < ay / 2 THEN t + (ay / 2 - y) / (py - y) * (pt - t) ELSE t END AS x1,
+    CASE WHEN y < ay / 2 THEN ay / 2 ELSE y END AS y1 FROM w)
+SELECT user_id, ROUND(ax, 3) AS apex_t, ay AS apex_value, ROUND(COALESCE(MAX(x1) - MIN(COALESCE(x0, x1)), 0.0), 2) AS fwhm,
+  ROUND(COALESCE(SUM((x1 - x0) * (y0 + y1) / 2), 0.0), 1) AS area
+FROM seg GROUP BY user_id, ax, ay
 """
 
 ORACLE["q61_mrm_crosstab"] = """
 WITH u AS (SELECT l_orderkey, l_extendedprice / l_quantity AS mz, l_quantity FROM lineitem),
 t AS (SELECT * FROM (VALUES ('t900', 900.0::DOUBLE), ('t950', 950.0::DOUBLE), ('t999', 999.9::DOUBLE)) v(transition, tmz)),
-j AS (SELECT u.l_orderkey, t.transition, u.l_quantity FROM u JOIN t ON ABS(u.mz - t.tmz) <= 0.05::DOUBLE)
+j AS (SELECT u.l_orderkey, t.transition, u.l_quantity FROM u JOIN t ON ABS(u.mz - t.tmz) <= 20.0::DOUBLE)
 SELECT l_orderkey, SUM(CASE WHEN transition = 't900' THEN l_quantity END) AS t900,
   SUM(CASE WHEN transition = 't950' THEN l_quantity END) AS t950,
   SUM(CASE WHEN transition = 't999' THEN l_quantity END) AS t999
@@ -506,12 +525,32 @@ FROM j GROUP BY l_orderkey
 """
 
 ORACLE["q62_group_parent_ions"] = """
-WITH RECURSIVE e AS (SELECT event_id, value AS mz, epoch_us(ts) / 1e6::DOUBLE AS rt, event_type FROM events),
-links AS (SELECT a.event_id AS u, b.event_id AS v FROM e a JOIN e b
-          ON a.event_id < b.event_id AND ABS(a.mz - b.mz) <= 0.5::DOUBLE AND ABS(a.rt - b.rt) <= 600.0::DOUBLE
-         AND a.event_type = b.event_type),
-ed AS (SELECT u AS a, v AS b FROM links UNION SELECT v, u FROM links),
+WITH RECURSIVE o AS (SELECT o_orderstatus AS st, o_orderkey AS k, o_totalprice::DOUBLE AS mz, datediff('day', DATE '1992-01-01', o_orderdate::DATE)::DOUBLE AS rt FROM orders),
+b AS (SELECT l_orderkey AS k, l_suppkey % 4 AS bin, SUM(l_quantity::DOUBLE) AS v FROM lineitem GROUP BY 1, 2),
+n AS (SELECT k, SQRT(SUM(v * v)) AS n FROM b GROUP BY k),
+pr AS (SELECT x.k AS u, y.k AS w FROM o x JOIN o y ON x.st = y.st AND x.k < y.k
+       AND ABS(x.mz - y.mz) <= 2000.0::DOUBLE AND ABS(x.rt - y.rt) <= 60.0::DOUBLE),
+d AS (SELECT u, w, SUM(p.v * q.v) AS dot FROM pr JOIN b p ON p.k = u JOIN b q ON q.k = w AND q.bin = p.bin GROUP BY u, w),
+links AS (SELECT u, w FROM d JOIN n a ON a.k = u JOIN n c ON c.k = w WHERE a.n * c.n > 0 AND dot / (a.n * c.n) >= 0.9::DOUBLE),
+ed AS (SELECT u AS a, w AS b FROM links UNION SELECT w, u FROM links),
 reach(node, lbl) AS (SELECT DISTINCT a, a FROM ed UNION SELECT ed.b, reach.lbl FROM reach JOIN ed ON reach.node = ed.a),
 comp AS (SELECT node, MIN(lbl) AS c FROM reach GROUP BY node)
-SELECT e.event_id, COALESCE(comp.c, e.event_id) AS group_id FROM e LEFT JOIN comp ON e.event_id = comp.node
+SELECT o.st AS o_orderstatus, o.k AS o_orderkey, COALESCE(comp.c, o.k) AS group_id FROM o LEFT JOIN comp ON o.k = comp.node
+"""
+
+ORACLE["q18_parsimony"] = """
+WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
+tot AS (SELECT s, COUNT(*) AS n FROM e GROUP BY s),
+g(step, chosen) AS (
+  SELECT 0, []::BIGINT[]
+  UNION ALL
+  SELECT step + 1, list_append(chosen, pick) FROM (
+    SELECT g.step, g.chosen,
+      (SELECT c.s FROM (SELECT e.s, COUNT(*) AS left_over FROM e
+                        WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.p = e.p AND list_contains(g.chosen, x.s))
+                        GROUP BY e.s) c JOIN tot USING (s)
+       ORDER BY c.left_over DESC, tot.n DESC, c.s LIMIT 1) AS pick
+    FROM g) q WHERE pick IS NOT NULL),
+o AS (SELECT unnest(chosen) AS s, unnest(range(1, len(chosen) + 1)) AS i FROM (SELECT chosen FROM g ORDER BY step DESC LIMIT 1))
+SELECT e.p AS l_partkey, arg_min(o.s, o.i) AS l_suppkey FROM e JOIN o ON o.s = e.s GROUP BY e.p
 """

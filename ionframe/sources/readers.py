@@ -38,14 +38,24 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], schema: str | T.St
              required: Sequence[str] = (), lower: bool = False, na: str = "NA") -> DataFrame:
     """A1: tab-separated files with a header. ``NA`` (R's missing value) reads
     as null; ``lower`` lower-cases the column names; missing ``required``
-    columns raise with their names."""
-    r = spark.read.option("sep", "\t").option("header", "true").option("nullValue", na)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", "false")
+    columns raise with their names. With ``schema``, its columns are taken from the files by the
+    header's names, in the schema's order and types (a value that doesn't fit reads as null);
+    names that the header lacks are null, unless required."""
+    r = spark.read.option("sep", "\t").option("header", "true").option("nullValue", na).option("inferSchema", "false")
     df = r.csv(_paths(paths))
     if lower:
         df = df.toDF(*[c.lower() for c in df.columns])
     require_columns(df, required, "read_tsv")
-    return df
+    return df if schema is None else by_name(df, schema)
+
+
+def by_name(df: DataFrame, schema: str | T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of ``schema`` out of a table of strings, by name; null where the table has none."""
+    st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    have = set(df.columns)
+    cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in have
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in st]
+    return df.select(*cols, *keep)
 
 
 def read_dataset_tables(spark: SparkSession, folders: str | Sequence[str], suffix: str,
@@ -54,11 +64,10 @@ def read_dataset_tables(spark: SparkSession, folders: str | Sequence[str], suffi
     folders; ``dataset`` = file name without the suffix."""
     r = spark.read.option("sep", sep).option("header", "true").option("pathGlobFilter", f"*{suffix}") \
         .option("recursiveFileLookup", "true")
-    if schema is not None:
-        r = r.schema(schema)
     df = r.csv(_paths(folders))
     name = file_name_col()
-    return df.withColumn("dataset", F.regexp_replace(name, re.escape(suffix) + "$", ""))
+    df = df.withColumn("dataset", F.regexp_replace(name, re.escape(suffix) + "$", ""))
+    return df if schema is None else by_name(df, schema, ["dataset"])
 
 
 def read_fasta(spark: SparkSession, paths: str | Sequence[str], id_style: str = "uniprot") -> DataFrame:
@@ -96,9 +105,11 @@ MZML_SPECTRUM = T.StructType([
     T.StructField("scanList", T.StructType([T.StructField("scan", T.ArrayType(T.StructType([
         T.StructField("cvParam", T.ArrayType(T.StructType([
             T.StructField("_accession", T.StringType()), T.StructField("_name", T.StringType()),
-            T.StructField("_value", T.StringType())])))])))])),
+            T.StructField("_value", T.StringType()), T.StructField("_unitName", T.StringType())])))])))])),
     T.StructField("precursorList", T.StructType([T.StructField("precursor", T.ArrayType(T.StructType([
         T.StructField("_spectrumRef", T.StringType()),
+        T.StructField("activation", T.StructType([T.StructField("cvParam", T.ArrayType(T.StructType([
+            T.StructField("_accession", T.StringType()), T.StructField("_name", T.StringType())])))])),
         T.StructField("selectedIonList", T.StructType([T.StructField("selectedIon", T.ArrayType(T.StructType([
             T.StructField("cvParam", T.ArrayType(T.StructType([
                 T.StructField("_accession", T.StringType()), T.StructField("_name", T.StringType()),
@@ -116,6 +127,7 @@ CV_64BIT = "MS:1000523"
 CV_ZLIB = "MS:1000574"
 CV_SELECTED_MZ = "MS:1000744"
 CV_CHARGE = "MS:1000041"
+CV_ACTIVATION = {"MS:1000133": "CID", "MS:1000422": "HCD", "MS:1000598": "ETD"}
 
 
 def decode_binary(texts: pd.Series, is64: pd.Series, zipped: pd.Series) -> pd.Series:
@@ -136,7 +148,8 @@ def decode_binary(texts: pd.Series, is64: pd.Series, zipped: pd.Series) -> pd.Se
 def read_mzml(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """A4: mzML spectra via the XML source (row tag ``spectrum``), one row per
     spectrum with decoded ``mz`` / ``intensity`` arrays (vectorized pandas
-    UDF: Arrow batches, not rows)."""
+    UDF: Arrow batches, not rows). rt is in minutes (seconds are converted by their unit); activation is
+    CID, HCD or ETD; parent_scan comes from the precursor's spectrum reference."""
     dec = F.pandas_udf(decode_binary, T.ArrayType(T.DoubleType()))
     x = spark.read.format("xml").option("rowTag", "spectrum").schema(MZML_SPECTRUM).load(_paths(paths))
 
@@ -155,13 +168,21 @@ def read_mzml(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     scan_cv = F.col("scanList.scan")[0]["cvParam"]
     ion_cv = F.col("precursorList.precursor")[0]["selectedIonList"]["selectedIon"][0]["cvParam"]
     scan_no = F.regexp_extract(F.col("_id"), r"scan=(\d+)", 1)
+    first = F.col("precursorList.precursor")[0]
+    time = F.filter(scan_cv, lambda p: p["_accession"] == CV_RT)[0]
+    rt = time["_value"].cast("double") / F.when(F.lower(time["_unitName"]).startswith("second"), F.lit(60.0)).otherwise(F.lit(1.0))
+    activation = F.lit(None).cast("string")
+    for acc, name in CV_ACTIVATION.items():
+        activation = F.when(F.exists(first["activation"]["cvParam"], lambda p: p["_accession"] == acc), F.lit(name)).otherwise(activation)
+    parent = F.regexp_extract(first["_spectrumRef"], r"scan=(\d+)", 1)
     return x.select(
         F.regexp_replace(file_name_col(), r"(?i)\.mzml(\.gz)?$", "").alias("dataset"),
         F.when(scan_no != "", scan_no.cast("long")).otherwise(F.col("_index") + 1).alias("scan"),
         cv(F.col("cvParam"), CV_MS_LEVEL).cast("int").alias("ms_level"),
-        cv(scan_cv, CV_RT).cast("double").alias("rt"),
+        rt.alias("rt"),
         cv(ion_cv, CV_SELECTED_MZ).cast("double").alias("precursor_mz"),
         cv(ion_cv, CV_CHARGE).cast("int").alias("charge"),
+        F.when(parent != "", parent.cast("long")).alias("parent_scan"), activation.alias("activation"),
         pick(CV_MZ_ARRAY).alias("mz"), pick(CV_INT_ARRAY).alias("intensity"))
 
 

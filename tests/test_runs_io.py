@@ -181,11 +181,11 @@ def test_kmers_with_supplementary_characters(spark):
     assert got == [("ab", "P1", 1), ("ab", "P1", 6), ("ab", "P2", 3), ("cdab", "P1", 4), ("\U0001F600c", "P1", 3)]
 
 
-def test_file_manifest_large_file_path(spark, tmpdir_path):
+def test_file_manifest_hashes_in_chunks(spark, tmpdir_path):
     import hashlib
     body = os.urandom(3000)
     for name in ["big.bin", "small.txt"]:
         with open(os.path.join(tmpdir_path, name), "wb") as f:
             f.write(body if name == "big.bin" else b"hello")
-    got = dict(tuple(r) for r in runs.file_manifest(spark, tmpdir_path, inline_max_bytes=1000).collect())
+    got = dict(tuple(r) for r in runs.file_manifest(spark, tmpdir_path).collect())
     assert got == {"big.bin": hashlib.md5(body).hexdigest(), "small.txt": hashlib.md5(b"hello").hexdigest()}
