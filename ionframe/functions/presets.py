@@ -52,9 +52,15 @@ PRESETS = {p.name: p for p in [
     Preset("ub-tmt16", dict(_C, K=TMT16, **{"<": TMT16}),
            (("M", OXIDATION), ("K", UBIQ_GG), ("K", 418.25008)), 3, 20.0, (-1, 0, 1, 2), 1, 1),
     Preset("first-pass", dict(_C, K=TMT16, **{"<": TMT16}), (), 0, 50.0, (-1, 0, 1, 2), 2, 1),
+    Preset("first-pass-lf", dict(_C), (), 0, 50.0, (-1, 0, 1, 2), 2, 1),
+    Preset("first-pass-tmt11", dict(_C, K=TMT6, **{"<": TMT6}), (), 0, 50.0, (-1, 0, 1, 2), 2, 1),
+    Preset("first-pass-ph-tmt16", dict(_C, K=TMT16, S=PHOSPHO, **{"<": TMT16}), (("TY", PHOSPHO),), 3, 50.0, (-1, 0, 1, 2), 2, 1),
+    Preset("first-pass-ph-tmt11", dict(_C, K=TMT6, S=PHOSPHO, **{"<": TMT6}), (("TY", PHOSPHO),), 3, 50.0, (-1, 0, 1, 2), 2, 1),
 ]}
 PRESETS["pr-tmt18"] = PRESETS["pr-tmt16"]
 PRESETS["ph-tmt18"] = PRESETS["ph-tmt16"]
 PRESETS["ac-tmt18"] = PRESETS["ac-tmt16"]
 PRESETS["ub-tmt18"] = PRESETS["ub-tmt16"]
-PRESETS["ac-lf"] = PRESETS["ac-tmt11"]
+# without a tag, lysine forms weigh what they add to bare lysine: acetyl and carbamyl
+ACETYL, CARBAMYL = 42.010565, 43.005814
+PRESETS["ac-lf"] = Preset("ac-lf", dict(_C), (("M", OXIDATION), ("K", ACETYL), ("K", CARBAMYL), ("N", DEAMIDATION)), 4, 20.0, (0, 1), 2, 1)

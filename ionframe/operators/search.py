@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import ELEMENT_MASS, ISOTOPE_SPACING, PROTON, WATER
+from ..functions.presets import Preset
 from ..session import materialize
 from . import ordered
 from .rangejoin import Tol, range_join
@@ -208,6 +209,28 @@ def match_candidates(spectra: DataFrame, peptides: DataFrame, precursor_mz: str,
     return range_join(s, p, [Tol("_obs_mass", "_centre", half, ppm=ppm)]).drop("_centre")
 
 
+def preset_peptides(proteins: DataFrame, preset: Preset, residue_mass: Mapping[str, float], key: Sequence[str] = ("accession",),
+                    sequence: str = "sequence", max_missed: int | None = None, max_forms: int | None = None) -> DataFrame:
+    """D3-D5 as a preset says: (key, start, missed_cleavages, peptide, mass, sites, site_deltas), the masses with
+    fixed and variable modifications; peptides with residues of unknown mass are left out."""
+    if preset.ntt >= 2:
+        p = digest(proteins, key, sequence, min_len=preset.length[0], max_len=preset.length[1], max_missed=max_missed, drop_first_met=True)
+    else:
+        p = digest_nonspecific(proteins, key, sequence, preset.ntt, min_len=preset.length[0], max_len=preset.length[1],
+                               max_missed=max_missed).drop("ntt")
+    fixed = {r: d for r, d in preset.fixed.items() if r != "<"}
+    p = peptide_mass(p, "peptide", residue_mass, fixed, preset.fixed.get("<", 0.0)).where(F.col("mass").isNotNull())
+    if not preset.variable or not preset.max_mods:
+        none = F.array()
+        return p.withColumns({"sites": none.cast("array<int>"), "site_deltas": none.cast("array<double>")})
+    return expand_mods(p, "peptide", list(preset.variable), max_mods=preset.max_mods, max_forms=max_forms)
+
+
+def preset_search(spectra: DataFrame, peptides: DataFrame, preset: Preset, precursor_mz: str = "precursor_mz", charge: str = "charge") -> DataFrame:
+    """D6 as a preset says: candidates of `preset_peptides` for each spectrum."""
+    return match_candidates(spectra, peptides, precursor_mz, charge, "mass", preset.tol_ppm, preset.isotopes, preset.charges)
+
+
 def filter_min_peaks(spectra: DataFrame, n: int, mz: str = "mz") -> DataFrame:
     """Drop spectra with fewer than ``n`` peaks."""
     return spectra.where(F.size(mz) >= n)
