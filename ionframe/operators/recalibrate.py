@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import ISOTOPE_SPACING, PROTON
 from . import ordered
+from .common import join_on_keys
 from .scans import histogram
 
 
@@ -39,6 +40,14 @@ def confident_psms(psm: DataFrame, group: Sequence[str], score: str, start: floa
     return counts.select(*group, chosen_t.alias("threshold"), chosen_n.cast("long").alias("n_confident"))
 
 
+def confident_subset(psm: DataFrame, group: Sequence[str], score: str, start: float = 1e-10, factor: float = 10.0,
+                     steps: int = 2, min_rows: int = 10, lower_is_better: bool = True) -> DataFrame:
+    """The matches themselves that pass their group's threshold of `confident_psms`, with it."""
+    th = confident_psms(psm, group, score, start, factor, steps, min_rows, lower_is_better).drop("n_confident")
+    j = join_on_keys(psm, th, group) if group else psm.join(th)
+    return j.where(F.col(score) <= F.col("threshold") if lower_is_better else F.col(score) >= F.col("threshold"))
+
+
 def fit_shift(psm: DataFrame, group: Sequence[str], error: str, min_rows: int = 1,
               name: str = "shift") -> DataFrame:
     """Median error per group (exact, skew-safe), groups with fewer than
@@ -61,3 +70,21 @@ def error_histogram(psm: DataFrame, error: str, score: str, max_score: float = 1
                     n_bins: int = 40) -> DataFrame:
     """E5: histogram of mass errors of confident matches."""
     return histogram(psm.where(F.col(score) <= max_score), error, n_bins)
+
+
+def error_trend(psm: DataFrame, error: str, x: str, width: float, group: Sequence[str] = ()) -> DataFrame:
+    """E5: median mass error (exact) and count along retention time or m/z, in bins of ``width`` of ``x``:
+    (group, bin, x_lo, median_error, n)."""
+    b = psm.where(F.col(x).isNotNull()).withColumn("bin", F.floor(F.col(x) / F.lit(width)).cast("long"))
+    m = ordered.exact_quantile(b, [*group, "bin"], error, 0.5, name="median_error")
+    return m.select(*group, "bin", (F.col("bin") * F.lit(width)).alias("x_lo"), "median_error", "n")
+
+
+def apply_shift_to_spectra(spectra: DataFrame, shift: DataFrame, group: Sequence[str], mz: str = "mz",
+                           precursor_mz: str = "precursor_mz", shift_col: str = "shift") -> DataFrame:
+    """E4 on spectra: the group's ppm shift taken off the precursor m/z and every peak's m/z; spectra of
+    groups without a fit pass through."""
+    out = apply_shift(spectra, shift, group, precursor_mz, ppm=True, shift_col=shift_col)
+    j = join_on_keys(out, shift.select(*group, F.col(shift_col).alias("_s")), group, how="left")
+    scale = 1 - F.coalesce(F.col("_s"), F.lit(0.0)) * F.lit(1e-6)
+    return j.withColumn(mz, F.transform(mz, lambda v: v * scale)).drop("_s")

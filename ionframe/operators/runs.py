@@ -214,4 +214,4 @@ def input_catalog(meta: DataFrame, mode: str, id_col: str = "id", workflow_prefi
     m = meta.select(id_col, F.explode("inputs").alias("key", "file"))
     m = m.withColumn("key", F.regexp_replace("key", "^" + _re_escape(workflow_prefix), ""))
     w = m.sparkSession.createDataFrame(wanted, "key string, folder string")
-    return m.join(F.broadcast(w), on="key").select(id_col, "key", "file", "folder")
+    return m.join(w, on="key").select(id_col, "key", "file", "folder")

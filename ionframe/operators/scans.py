@@ -239,6 +239,20 @@ def split_constant_columns(df: DataFrame, group: Sequence[str], cols: Sequence[s
         F.count(F.lit(1)).alias("n_groups"))
 
 
+def split_tables(df: DataFrame, group: Sequence[str], cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """the two tables: columns of ``cols`` that are constant in every group, a row a group, and
+    the rows with the group and the other columns. The counts of `split_constant_columns` (a row a column) decide."""
+    counts = split_constant_columns(df, group, cols).collect()
+    const = sorted((r["column_name"] for r in counts if r["n_constant_groups"] == r["n_groups"]), key=list(cols).index)
+    one = df.groupBy(*group).agg(*[F.first(c).alias(c) for c in const]) if const else df.select(*group).distinct()
+    return one, df.drop(*const)
+
+
+def scan_list(spectra: DataFrame, level: int, columns: Sequence[str], ms_level: str = "ms_level") -> DataFrame:
+    """the list of MS (level 1) or MS2 scans, by their own columns."""
+    return spectra.where(F.col(ms_level) == level).select(*columns)
+
+
 def dataset_info(spectra: DataFrame, dataset: str, scan: str, rt: str) -> DataFrame:
     """per dataset scan count and time range."""
     return spectra.groupBy(dataset).agg(F.count(scan).alias("n_scans"), F.min(rt).alias("rt_min"),

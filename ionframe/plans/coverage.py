@@ -482,4 +482,70 @@ SELECT p_partkey, COUNT(*) AS n FROM lineitem JOIN part
 """
 
 
+def q93_confident_subset(spark, sf):
+    """Lines that pass their supplier's first discount threshold with at least 165 lines, summed per supplier."""
+    li = table(spark, sf, "lineitem").select("l_suppkey", "l_discount", "l_quantity")
+    k = recalibrate.confident_subset(li, ["l_suppkey"], "l_discount", 0.01, 2.0, 3, 165)
+    return k.groupBy("l_suppkey", "threshold").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("total"))
+
+
+ORACLE["q93_confident_subset"] = """
+WITH c AS (SELECT l_suppkey AS s, COUNT(*) FILTER (l_discount <= 0.01::DOUBLE) AS n0, COUNT(*) FILTER (l_discount <= 0.02::DOUBLE) AS n1,
+  COUNT(*) FILTER (l_discount <= 0.04::DOUBLE) AS n2 FROM lineitem GROUP BY 1),
+t AS (SELECT s, CASE WHEN n0 >= 165 THEN 0.01::DOUBLE WHEN n1 >= 165 THEN 0.02::DOUBLE WHEN n2 >= 165 THEN 0.04::DOUBLE ELSE 0.08::DOUBLE END AS threshold FROM c)
+SELECT l_suppkey, threshold, COUNT(*) AS n, SUM(l_quantity) AS total FROM lineitem JOIN t ON s = l_suppkey WHERE l_discount <= threshold GROUP BY 1, 2
+"""
+
+
+def q94_error_trend(spark, sf):
+    """E5: median balance of customers along their key, in bins of 100 keys."""
+    t = recalibrate.error_trend(table(spark, sf, "customer"), "c_acctbal", "c_custkey", 100.0)
+    return t.select("bin", "x_lo", F.round("median_error", 6).alias("median_error"), "n")
+
+
+ORACLE["q94_error_trend"] = """
+SELECT FLOOR(c_custkey / 100.0::DOUBLE)::BIGINT AS bin, FLOOR(c_custkey / 100.0::DOUBLE) * 100.0::DOUBLE AS x_lo,
+  ROUND(MEDIAN(c_acctbal), 6) AS median_error, COUNT(*) AS n FROM customer GROUP BY 1, 2
+"""
+
+
+def q95_split_tables(spark, sf):
+    """of the lines with their order's status and price, the table of what is constant in every order."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "o_totalprice")
+    j = table(spark, sf, "lineitem").select("l_orderkey", "l_tax", "l_quantity").join(o, on="l_orderkey")
+    return scans.split_tables(j, ["l_orderkey"], ["l_tax", "o_orderstatus", "o_totalprice"])[0]
+
+
+ORACLE["q95_split_tables"] = """
+SELECT DISTINCT l_orderkey, o_orderstatus, o_totalprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+
+
+def q96_scan_list(spark, sf):
+    """orders as scans, those of status F being level 1."""
+    o = table(spark, sf, "orders").withColumn("ms_level", F.when(F.col("o_orderstatus") == "F", 1).otherwise(2))
+    return scans.scan_list(o, 1, ["o_orderkey", "o_totalprice"])
+
+
+ORACLE["q96_scan_list"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
+
+
+def q97_spectra_shift(spark, sf):
+    """E4 on spectra: prices of an order's lines as peaks, shifted by the order status' key in ppm (none for O)."""
+    pairs = F.array_sort(F.collect_list("l_extendedprice"))
+    sp = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(pairs.alias("mz"))
+    sp = sp.join(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("precursor_mz")), on="o_orderkey")
+    fit = sp.select("o_orderstatus").distinct().where("o_orderstatus <> 'O'").withColumn("shift", F.ascii("o_orderstatus").cast("double"))
+    out = recalibrate.apply_shift_to_spectra(sp, fit, ["o_orderstatus"])
+    return out.select("o_orderkey", F.round("precursor_mz", 4).alias("precursor_mz"),
+                      F.round(F.aggregate("mz", F.lit(0.0), lambda a, x: a + x), 3).alias("sum_mz"))
+
+
+ORACLE["q97_spectra_shift"] = """
+SELECT o_orderkey, ROUND(o_totalprice * (1 - f), 4) AS precursor_mz, ROUND(SUM(l_extendedprice * (1 - f)), 3) AS sum_mz
+FROM (SELECT *, CASE WHEN o_orderstatus = 'O' THEN 0.0::DOUBLE ELSE ascii(o_orderstatus) * 1e-6::DOUBLE END AS f FROM orders)
+JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice, f
+"""
+
+
 QUERIES = {k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)}
