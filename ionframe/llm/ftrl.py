@@ -54,12 +54,12 @@ class Model:
 
 
 def examples(texts: pa.Array, s: Settings):
-    """(features, values) of each text."""
+    """(features, values) of each text; values None where all are 1."""
     for _, run in runs(texts):
         doc, found = words(run)
         parts = list(grams(doc, found, s.kinds, s.dims))
         if not parts:
-            yield from ((np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in range(len(run)))
+            yield from ((np.zeros(0, dtype=np.int32), None if s.presence else np.zeros(0)) for _ in range(len(run)))
             continue
         d, f = (np.concatenate(p) for p in zip(*parts))
         key, count = np.unique(d * s.dims + f, return_counts=True)
@@ -67,8 +67,8 @@ def examples(texts: pa.Array, s: Settings):
         at = np.searchsorted(key, np.arange(len(run) + 1) * s.dims)
         for i in range(len(run)):
             own = slice(at[i], at[i + 1])
-            value = np.ones(at[i + 1] - at[i]) if s.presence else np.sqrt(count[own] / total[i])
-            yield key[own] - i * s.dims, value
+            value = None if s.presence else np.sqrt(count[own] / total[i]).astype(np.float32)
+            yield (key[own] - i * s.dims).astype(np.int32), value
 
 
 def follow(data: list, s: Settings) -> Model:
@@ -86,8 +86,8 @@ def follow(data: list, s: Settings) -> Model:
         for f, v, y in data:
             zi, ni = z[f], n[f]
             w = weight(zi, ni)
-            p = 1 / (1 + np.exp(-np.clip(bias + w @ v, -35, 35)))
-            g = (p - y) * v
+            p = 1 / (1 + np.exp(-np.clip(bias + (w.sum() if v is None else w @ v), -35, 35)))
+            g = p - y if v is None else (p - y) * v
             z[f] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / s.alpha * w
             n[f] = ni + g * g
             bias_n += (p - y) ** 2

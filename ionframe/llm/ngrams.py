@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 #: Bytes hashed at a time; longer texts are cut at white space, their words put together again.
 SEGMENT = 1 << 20
 #: Texts are scored in runs of about so many bytes.
-RUN = 4 << 20
+RUN = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])

@@ -59,7 +59,7 @@ def test_score_is_the_sparse_dot_product():
         r = np.random.default_rng(4)
         w = r.normal(size=s.dims).astype(np.float32)
         m = ftrl.Model(s, 0.25, np.arange(s.dims), w / 50)
-        plain = [1 / (1 + np.exp(-(0.25 + float((w[f] / 50).astype(np.float32) @ v)))) for f, v in ftrl.examples(texts, s)]
+        plain = [1 / (1 + np.exp(-(0.25 + float((w[f] / 50).astype(np.float32) @ (np.ones(len(f)) if v is None else v))))) for f, v in ftrl.examples(texts, s)]
         assert np.allclose(ftrl.score_texts(texts, m), plain, rtol=1e-4)
         assert np.allclose(ftrl.score_texts(texts.slice(3, 4), m), plain[3:7], rtol=1e-4)
 
