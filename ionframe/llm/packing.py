@@ -2,23 +2,58 @@
 
 from __future__ import annotations
 
+import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .sentencepiece import Transducer
 
 #: Tokens that a task gathers before it packs them, and the share of them that poorly filled rows may hand on.
 GATHERED = 4_000_000
 HANDED_ON = 0.25
 
+#: How the public byte-level vocabularies cut a text into words before merging (fixed value).
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 SCHEMA = ("pack_id long, n_tokens int, input_ids binary, position_ids binary, cu_seqlens array<int>, "
           "doc_ids array<long>, doc_offsets array<long>")
 
 
+class BytePairs:
+    """Byte-level BPE from a public vocabulary file (a token in base 64 and its rank on each line). Any
+    encoder with dtype, end (the id that closes a document) and encode_bytes can stand in its place."""
+
+    dtype = np.dtype("<u2")
+
+    def __init__(self, path: str, words: str = WORDS):
+        self.words = words
+        with open(path, "rb") as f:
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.end = max(self.ranks.values()) + 1
+        if self.end >= 1 << 16:
+            raise ValueError("the vocabulary has no room for an end id in 16 bits")
+        self.encoding = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"encoding": None}
+
+    def open(self):
+        if self.encoding is None:
+            self.encoding = tiktoken.Encoding("packing", pat_str=self.words, mergeable_ranks=self.ranks, special_tokens={})
+        return self.encoding
+
+    def encode_bytes(self, text: str) -> bytes:
+        return array("H", self.open().encode_ordinary(text)).tobytes()
+
+    def decode(self, ids) -> str:
+        return self.open().decode([i for i in ids if i != self.end])
+
+
 class Capacities:
     """Segment tree over free capacities 0..most; a node counts the open rows below it."""
 
@@ -109,7 +144,7 @@ def pack(documents: Iterator[tuple[int, np.ndarray]], length: int, pad: int, gat
     yield from flush(True)
 
 
-def pack_documents(docs: DataFrame, model: Transducer, length: int = 2048, end: int = 2, pad: int = 0, gathered: int = GATHERED,
+def pack_documents(docs: DataFrame, model, length: int = 2048, end: int | None = None, pad: int = 0, gathered: int = GATHERED,
                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Token ids of ``docs`` in rows of ``length``:
 
@@ -118,11 +153,13 @@ def pack_documents(docs: DataFrame, model: Transducer, length: int = 2048, end:
     segment), cu_seqlens (0 and the segments' ends), and each segment's doc_id and
     offset in its document's ids.
 
+    ``model`` encodes: `BytePairs`, or a compiled SentencePiece model with ``end`` given.
     Every document is encoded whole and closed by ``end``; one of over ``length`` ids is cut, losslessly, into
     segments. A task packs the rows it reads, in bounded lots, so nothing is
     shuffled and a partition leaves at most a few rows unfilled; a rerun of a task gives the same rows.
     Null texts have no segment, empty ones only ``end``. A null doc_id stays null; repeated rows are all packed.
     """
+    end = model.end if end is None else end
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

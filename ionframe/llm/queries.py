@@ -16,6 +16,7 @@ from . import ann, embedding_dedup, mixing, packing, pii, quality, sentencepiece
 PII_KEY = "registered-queries"
 #: A public vocabulary on the driver's machine; the compiled model is broadcast.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_PAIRS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,8 +41,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents' ids packed into rows of 2,048."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), sentencepiece.load(TOKENIZER))
+    """All documents' byte-level BPE ids packed into rows of 2,048."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.BytePairs(BYTE_PAIRS))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

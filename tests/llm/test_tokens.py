@@ -117,21 +117,22 @@ def test_packing_query_is_lossless_and_dense(spark):
     df = queries.QUERIES["op4_packing"](spark, sf)
     rows = df.collect()
     check_rows(rows, 2048)
-    got = packing.unpack(rows, MODEL.dtype)
+    pairs = packing.BytePairs(queries.BYTE_PAIRS)
+    got = packing.unpack(rows, pairs.dtype)
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     assert set(got) == set(texts)
     for d, t in texts.items():
-        assert got[d].tolist() == LIBRARY.encode(t) + [2]
+        assert got[d].tolist() == pairs.open().encode_ordinary(t) + [pairs.end] and pairs.decode(got[d].tolist()) == t
     assert sum(r.n_tokens for r in rows) >= 0.97 * 2048 * len(rows)
 
 
 def test_packing_in_lots_and_odd_rows(spark):
     docs = cases.odd_docs(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
-    rows = packing.pack_documents(docs, MODEL, length=64, gathered=200).collect()
+    rows = packing.pack_documents(docs, MODEL, length=64, end=2, gathered=200).collect()
     check_rows(rows, 64)
     got = packing.unpack(rows, MODEL.dtype)
     want = {r[0]: r[1] for r in cases.odd_rows() if r[0] is not None and r[1] is not None}
     assert set(got) == set(want) and all(MODEL.decode(got[d].tolist()) == t and got[d][-1] == 2 for d, t in want.items())
-    assert packing.pack_documents(cases.odd_docs(spark, []), MODEL).count() == 0
-    every = packing.pack_documents(cases.odd_docs(spark), MODEL, length=64).collect()
+    assert packing.pack_documents(cases.odd_docs(spark, []), MODEL, end=2).count() == 0
+    every = packing.pack_documents(cases.odd_docs(spark), MODEL, length=64, end=2).collect()
     assert sum(len(r.doc_ids) for r in every if None in r.doc_ids) > 0
