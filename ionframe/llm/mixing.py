@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spread, word_count
+from .common import spread, stored, word_count
 
 #: Rows a numbering bucket is meant for once a corpus outgrows the least number of buckets.
 BUCKET_ROWS = 1_000_000
@@ -55,8 +55,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), cap: floa
          .withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")))
          .withColumn("_class", F.floor(F.sqrt("mix_size") * 4))
          .withColumn("_bucket", spread(F.col(doc_id), n_buckets)))
-    buckets = d.groupBy("_key", "_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.sum("mix_size").alias("_size"),
-                                                        F.min(source).alias("_name"))
+    buckets = stored(d.groupBy("_key", "_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.sum("mix_size").alias("_size"),
+                                                               F.min(source).alias("_name")), "mix-buckets")
     before = Window.unboundedPreceding
     classes = buckets.groupBy("_key", "_class").agg(F.sum("_n").alias("_cn"))
     classes = classes.withColumn("_cstart", F.coalesce(F.sum("_cn").over(
