@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,20 @@ def drop_stored(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def share(spark: SparkSession, value) -> Callable[[], object]:
+    """Broadcast ``value`` (of bounded size), by value, so that executors need no copy of its class. Returns
+    a function that gives it in a task; a worker loads it once and keeps it, with whatever it remembers."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get():
+        got = getattr(sent, "loaded", None)
+        if got is None:
+            got = sent.loaded = pickle.loads(sent.value)
+        return got
+
+    return get
+
+
 def word_count(text: str) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out
+from .common import held_out, share
 from .ngrams import grams, runs, words
 
 
@@ -152,10 +152,10 @@ def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
 
 def score(spark: SparkSession, model: Model, text: str = "text") -> Column:
     """Column of scores; the weights, at most dims floats, are broadcast."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.arrow_udf(T.DoubleType())
     def scores(texts: pa.Array) -> pa.Array:
-        return pa.array(score_texts(texts, shared.value))
+        return pa.array(score_texts(texts, shared()))
 
     return scores(F.col(text))

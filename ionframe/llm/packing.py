@@ -12,6 +12,8 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .common import share
+
 
 #: Tokens that a task gathers before it packs them, and the share of them that poorly filled rows may hand on.
 GATHERED = 4_000_000
@@ -160,10 +162,10 @@ def pack_documents(docs: DataFrame, model, length: int = 2048, end: int | None =
     Null texts have no segment, empty ones only ``end``. A null doc_id stays null; repeated rows are all packed.
     """
     end = model.end if end is None else end
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches):
-        m = shared.value
+        m = shared()
 
         def documents():
             for b in batches:
