@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import share
+
 SPACE = "▁"
 #: Units whose paths a worker remembers.
 REMEMBERED = 500_000
@@ -277,11 +279,11 @@ def _lists(parts: list, dtype: np.dtype) -> pa.Array:
 
 def encode_column(spark: SparkSession, model: Transducer, text: str) -> Column:
     """Ids (array of int) of each whole text; null for null, none for empty. The compiled model is broadcast."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
-        m = shared.value
+        m = shared()
         return _lists([m.encode_bytes(t.as_py()) if t.is_valid else None for t in texts], m.dtype)
 
     return ids(F.col(text))
@@ -289,11 +291,11 @@ def encode_column(spark: SparkSession, model: Transducer, text: str) -> Column:
 
 def decode_column(spark: SparkSession, model: Transducer, ids: str) -> Column:
     """Text of each array of ids; null for null. Ids outside the model, and null ones, write nothing."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.arrow_udf(T.StringType())
     def text(arrays: pa.Array) -> pa.Array:
-        m = shared.value
+        m = shared()
         out = []
         for a in arrays:
             if not a.is_valid:
