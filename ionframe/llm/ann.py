@@ -178,8 +178,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
                 .where(F.col("id").isNotNull() & usable("v") & (F.size("v") > 0)))
 
     same = Window.partitionBy("h", "v").orderBy("id")
-    x = (prepared(vectors).withColumn("h", F.xxhash64("v")).withColumn("_r", F.row_number().over(same))
-         .where(F.col("_r") <= k + 1).select("id", "v").distinct())
+    x = (prepared(vectors).distinct().withColumn("h", F.xxhash64("v")).withColumn("_r", F.row_number().over(same))
+         .where(F.col("_r") <= k + 1).select("id", "v"))
     x = stored(x.withColumn("p", project("v")).withColumn("dim", F.size("v")), "ann-rows")
     q = stored(prepared(queries).groupBy("id").agg(F.min("v").alias("v")).withColumn("p", project("v")).withColumn("dim", F.size("v")), "ann-queries")
     n = x.count()

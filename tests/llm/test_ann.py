@@ -50,6 +50,16 @@ def test_cells_chunks_blocks_and_copies(spark):
     assert mine == [500, 501, 502, 503, 504]
 
 
+def test_copies_in_repeated_rows(spark):
+    """Every row of a group of copies comes again and again; each id still takes one place."""
+    rows = [(10 * i, [1.0, 2.0]) for i in range(1, 10) for _ in range(6)] + [(i, [2.0, 1.0 + i / 9]) for i in range(1, 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for table in (df, df.unionByName(df)):
+        got = ann.nearest(table, table.where("vec_id in (10, 90)")).collect()
+        assert {q: [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in (10, 90)} == {
+            10: [20, 30, 40, 50, 60], 90: [10, 20, 30, 40, 50]}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (50, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]),
