@@ -412,7 +412,7 @@ SELECT 'P' || p_partkey AS accession, p_type AS description, regexp_replace(p_na
 
 
 def q89_psm_round_trip(spark, sf):
-    """A5: lines as identification tables, read back with a row a protein and decoys flagged."""
+    """A5: first lines of orders as identification tables, read back with a row a protein and decoys flagged (all lines: q99)."""
     at = _folder(spark, "psm")
     li = table(spark, sf, "lineitem").where("l_linenumber = 1").select(
         F.col("l_orderkey").alias("ScanNum"), F.col("l_linenumber").alias("Charge"), F.concat(F.lit("P"), "l_returnflag").alias("Peptide"),
@@ -447,7 +447,8 @@ SELECT p_size, SUM(strlen(p_name) + 1)::BIGINT AS bytes, 32 AS digest_length FRO
 
 
 def q91_modified_fragments(spark, sf):
-    """D5 + D8: names of small parts with up to one 'a' (16) or 'e' (1) modified: b and y ions at charge 1 and 2, summed per form."""
+    """D5 + D8: names of small parts with up to one 'a' (16) or 'e' (1) modified: b and y ions at charge 1 and 2, summed per form
+    (all parts and up to three: q100)."""
     p = table(spark, sf, "part").where("p_size < 10").select("p_partkey", "p_name", F.lit(0.0).alias("mass"))
     f = search.expand_mods(p, "p_name", [("a", 16.0), ("e", 1.0)], max_mods=1).withColumn("form", F.array_join("sites", ","))
     x = search.theoretical_fragments(f, "p_name", CHAR_MASS, ["p_partkey", "form"], "sites", "site_deltas", (1, 2))
@@ -577,4 +578,49 @@ UNION ALL SELECT e.p, arg_min(o.s, o.i) FROM e JOIN o ON o.s = e.s GROUP BY e.p
 """
 
 
+def q99_psm_round_trip_all(spark, sf):
+    """A5: as q89, every line."""
+    at = _folder(spark, "psm")
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("ScanNum"), F.col("l_linenumber").alias("Charge"), F.concat(F.lit("P"), "l_returnflag").alias("Peptide"),
+        F.concat(F.lit("A"), F.col("l_suppkey").cast("string"), F.lit("(pre=K,post=R);XXX_A"), F.col("l_partkey").cast("string")).alias("Protein"),
+        F.col("l_extendedprice").alias("PrecursorMZ"), F.col("l_quantity").alias("MSGFScore"), F.col("l_discount").alias("SpecEValue"))
+    writers.write_tsv(li, at)
+    return readers.read_psms(spark, at, ".csv").select("scan", "charge", "peptide", "protein", "precursor_mz", "score", "spec_evalue", "is_decoy")
+
+
+ORACLE["q99_psm_round_trip_all"] = """
+SELECT l_orderkey AS scan, l_linenumber AS charge, 'P' || l_returnflag AS peptide, p AS protein, l_extendedprice AS precursor_mz,
+  l_quantity AS score, l_discount AS spec_evalue, starts_with(p, 'XXX_') AS is_decoy
+FROM (SELECT *, unnest(['A' || l_suppkey, 'XXX_A' || l_partkey]) AS p FROM lineitem)
+"""
+
+
+def q100_modified_fragments_all(spark, sf):
+    """D5 + D8: as q91, names of all parts with up to three 'a' (16) or 'e' (1) modified."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", F.lit(0.0).alias("mass"))
+    f = search.expand_mods(p, "p_name", [("a", 16.0), ("e", 1.0)]).withColumn("form", F.array_join("sites", ","))
+    x = search.theoretical_fragments(f, "p_name", CHAR_MASS, ["p_partkey", "form"], "sites", "site_deltas", (1, 2))
+    return x.groupBy("p_partkey", "form", "charge").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("b_ion"), 3).alias("b"), F.round(F.sum("y_ion"), 3).alias("y"))
+
+
+ORACLE["q100_modified_fragments_all"] = """
+WITH p AS (SELECT p_partkey, p_name, length(p_name) AS n FROM part),
+e AS (SELECT p_partkey, i, CASE WHEN substr(p_name, i, 1) = 'a' THEN 16.0::DOUBLE ELSE 1.0::DOUBLE END AS d
+      FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM p) WHERE substr(p_name, i, 1) IN ('a', 'e')),
+f AS (SELECT *, []::BIGINT[] AS sites, []::DOUBLE[] AS ds FROM p
+      UNION ALL SELECT p.*, [a.i], [a.d] FROM p JOIN e a USING (p_partkey)
+      UNION ALL SELECT p.*, [a.i, b.i], [a.d, b.d] FROM p JOIN e a USING (p_partkey) JOIN e b USING (p_partkey) WHERE a.i < b.i
+      UNION ALL SELECT p.*, [a.i, b.i, c.i], [a.d, b.d, c.d] FROM p JOIN e a USING (p_partkey) JOIN e b USING (p_partkey)
+        JOIN e c USING (p_partkey) WHERE a.i < b.i AND b.i < c.i),
+x AS (SELECT *, unnest(range(1, n)) AS pos FROM f),
+m AS (SELECT *, list_sum(list_transform(string_split(substr(p_name, 1, pos), ''), lambda c: ascii(c)::DOUBLE))
+               + COALESCE(list_sum(ds[1:len(list_filter(sites, lambda i: i <= pos))]), 0) AS pre,
+             list_sum(list_transform(string_split(p_name, ''), lambda c: ascii(c)::DOUBLE)) + COALESCE(list_sum(ds), 0) AS tot FROM x)
+SELECT p_partkey, array_to_string(sites, ',') AS form, z AS charge, COUNT(*) AS n,
+  ROUND(SUM(pre / z + 1.007276466812::DOUBLE), 3) AS b, ROUND(SUM((tot - pre + 18.010564684::DOUBLE) / z + 1.007276466812::DOUBLE), 3) AS y
+FROM m, (VALUES (1), (2)) v(z) GROUP BY ALL
+"""
+
+
 QUERIES = {k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)}
