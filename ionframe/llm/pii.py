@@ -8,18 +8,44 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: IBAN lengths by country (the registry's, and those in partial use).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV LY MZ PT ST GW",
+    26: "IR IS TR DZ", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_TAIL = r"(?![A-Za-z0-9])"
+
+
+def _iban_of(length: int, lands: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    return rf"(?:{lands.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "") + _TAIL
+
+
+#: Of a country in the table just its length, so that no following word is taken in; of others any.
+_IBAN = ("(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_iban_of(n, lands) for n, lands in IBAN_LENGTHS.items())
+         + rf"|(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_TAIL})")
+#: So many digits of a phone number stand before (spelt out, as a look-behind needs an obvious length).
+_AFTER_8, _AFTER_16 = (r"[0-9]" + r"[ .()-]{0,3}[0-9]" * (n - 1) for n in (8, 16))
+#: Shapes of other values that may follow a number; with 8 digits before they are no part of it.
+_OTHER = (r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}"
+          r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9])")
+#: Numbers of +1 have ten more digits; others 15 digits at most.
+_ABROAD = (r"\+(?:1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"
+           rf"|[0-9]{{1,3}}(?:(?!(?<={_AFTER_8}\)?)[ .-]{_OTHER})[ .-]?\(?[0-9]{{1,4}}\)?){{2,6}}(?![0-9A-Za-z])(?<!{_AFTER_16}\)?))")
 #: What is looked for, in order of precedence at a place. Values that fail their check are left alone.
 PATTERNS = {
     "email": r"(?<![._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_/+.-]{8,}",
     "access_key": r"A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _IBAN,
     "card": r"(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[47][0-9]{2}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9]\.){_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}(?!\.?[0-9A-Za-z])",
     "phone": r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
-    "phone_abroad": r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,6}(?![0-9A-Za-z])",
+    "phone_abroad": _ABROAD,
 }
 #: All of them, where no letter or digit stands before. The two back references are the groups 1 and 2.
 ANY = "(?<![A-Za-z0-9])(?:" + "|".join(PATTERNS.values()) + ")"

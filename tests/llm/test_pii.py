@@ -106,6 +106,27 @@ def test_spellings_link_and_other_text_stays(spark):
     assert one(spark, same) == same
 
 
+def test_values_end_before_the_next_word(spark):
+    """(value, what follows): the value is replaced, words that follow stay, a date that follows is replaced."""
+    cases = [("BE68 5390 0754 7034", " I"), ("ES91 2100 0418 4502 0005 1332", " EUR"), ("AT611904300234573201", " 12"),
+             ("SE45 5000 0000 0583 9825 7466", " A"), ("CZ65 0800 0000 1920 0014 5399", " KC"), ("PL61 1090 1014 0000 0712 1981 2874", " PLN"),
+             ("HU42 1177 3016 1111 1018 0000 0000", " 7"), ("DE89 3704 0044 0532 0130 00", " OK"), ("NO93 8601 1117 947", " NOK"),
+             ("+1 (017) 555-7713", " 2024 12"), ("+44 20 7946 0958", " 99999999 x"), ("+4930123456789012", " 34")]
+    new = one(spark, [a + b for a, b in cases])
+    for (a, b), c in zip(cases, new):
+        assert c[:len(a)] != a and c[len(a):] == b
+        assert a[0] == "+" or iban(c[:len(a)]) and a[:2] == c[:2]
+    assert one(spark, new, invert=True) == [a + b for a, b in cases]
+    others = ["2024-01-05", "05.01.2024", "05/01/2024", "123-45-6789", "10.20.30.40"]
+    phones = ["+44 20 7946 0958", "+49 30 123456", "+49 (30) 1234 5678", "+1 (017) 555-7713"]
+    both = [f"{p} {o}" for p in phones for o in others]
+    alone = dict(zip(phones + others, one(spark, phones + others)))
+    assert all(a != b for a, b in alone.items())
+    new = one(spark, both)
+    assert new == [f"{alone[p]} {alone[o]}" for p in phones for o in others]
+    assert one(spark, new, invert=True) == both
+
+
 def test_small_domains_are_permuted(spark):
     """All values of a small domain come out, each once."""
     for a, b in ((7, 11), (1, 30), (10, 10)):
