@@ -42,7 +42,7 @@ PATTERNS = {
     "iban": _IBAN,
     "card": r"(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[47][0-9]{2}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])",
+    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9])|(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z]))",
     "ip": rf"(?<![0-9]\.){_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}(?!\.?[0-9A-Za-z])",
     "phone": r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "phone_abroad": _ABROAD,
@@ -262,7 +262,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", invert: bool = F
     empty, repeated rows are treated alike. Nothing is joined or shuffled.
     """
     found = F.regexp_extract_all(F.col(text), F.lit(ANY), 0)
-    d = docs.withColumn("_pii", F.when(F.col(text).rlike("[0-9@=:]"), found))
+    d = docs.withColumn("_pii", F.when(F.col(text).rlike("[0-9@=:]|A[KS]IA"), found))
     d = d.withColumn("_new", F.when(F.size("_pii") > 0, F.transform("_pii", lambda m: pseudonym(m, key, invert))))
     gaps = F.split(F.col(text), ANY, -1)
     joined = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size("_new")), "_new", lambda g, m: F.concat(g, m)), ""),
