@@ -10,6 +10,21 @@ from .common import spread, stored, word_count
 #: Rows a numbering bucket is meant for once a corpus outgrows the least number of buckets.
 BUCKET_ROWS = 1_000_000
 LEAST_BUCKETS = 64
+#: Columns that `mix` adds or replaces.
+ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
+
+
+def _unlike(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` has."""
+    prefix = "_mix_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def _kept(df: DataFrame) -> list:
+    """Columns of ``df`` but those of `mix`."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in ADDED]
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
@@ -50,13 +65,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), cap: floa
     and no copies. Rows that repeat take different places; which of identical
     rows gets more copies is not defined. Empty tables give empty results.
     """
+    own = _unlike(docs)
+    key, cls, bucket, size, place, start, u, rho, r = (own + x for x in ("key", "class", "bucket", "size", "place", "start", "u", "rho", "r"))
+    source_size, target = own + "source_size", own + "target"
     n_buckets = LEAST_BUCKETS + docs.count() // BUCKET_ROWS
-    d = (docs.withColumn("mix_size", word_count(text))
-         .withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")))
-         .withColumn("_class", F.floor(F.sqrt("mix_size") * 4))
-         .withColumn("_bucket", spread(F.col(doc_id), n_buckets)))
-    buckets = stored(d.groupBy("_key", "_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.sum("mix_size").alias("_size"),
-                                                               F.min(source).alias("_name")), "mix-buckets")
+    d = (docs.withColumn(size, word_count(text))
+         .withColumn(key, F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")))
+         .withColumn(cls, F.floor(F.sqrt(size) * 4))
+         .withColumn(bucket, spread(F.col(doc_id), n_buckets)))
+    buckets = stored(d.groupBy(F.col(key).alias("_key"), F.col(cls).alias("_class"), F.col(bucket).alias("_bucket"))
+                     .agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_size"), F.min(source).alias("_name")), "mix-buckets")
     before = Window.unboundedPreceding
     classes = buckets.groupBy("_key", "_class").agg(F.sum("_n").alias("_cn"))
     classes = classes.withColumn("_cstart", F.coalesce(F.sum("_cn").over(
@@ -65,25 +83,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), cap: floa
         Window.partitionBy("_key", "_class").orderBy("_bucket").rowsBetween(before, -1)), F.lit(0)))
     sizes = buckets.groupBy("_key").agg(F.sum("_size").alias("_size"), F.min("_name").alias("_name"))
     sources = source_targets(sizes.withColumn("_null", F.col("_name").isNull()), weights, cap).select(
-        "_key", F.col("_size").alias("mix_source_size"), F.col("_target").alias("mix_target"),
+        "_key", F.col("_size").alias(source_size), F.col("_target").alias(target),
         (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("_key")).cast("binary")), 1, 8), 16, 10).cast("double")
-         / F.lit(4294967296.0)).alias("_u"))
+         / F.lit(4294967296.0)).alias(u))
     starts = (starts.join(classes, on=["_key", "_class"]).join(sources, on="_key")
-              .select("_key", "_class", "_bucket", (F.col("_cstart") + F.col("_bstart")).alias("_start"),
-                      "mix_source_size", "mix_target", "_u"))
-    place = Window.partitionBy("_key", "_class", "_bucket").orderBy("mix_size", doc_id, F.xxhash64(text))
-    rho = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.nullif(F.col("mix_source_size"), F.lit(0))).otherwise(0.0)
-    out = (d.drop("mix_source_size", "mix_target", "mix_copies").withColumn("_place", F.row_number().over(place))
-           .join(starts, on=["_key", "_class", "_bucket"])
-           .withColumn("_r", F.col("_start") + F.col("_place")).withColumn("_rho", rho)
-           .withColumn("mix_copies", F.least(F.lit(int(cap)).cast("long"),
-                                             F.floor(F.col("_r") * F.col("_rho") + F.col("_u"))
-                                             - F.floor((F.col("_r") - 1) * F.col("_rho") + F.col("_u")))))
-    keep = [c for c in docs.columns if not c.startswith("mix_")]
-    return out.select(*keep, "mix_size", "mix_source_size", "mix_target", "mix_copies")
+              .select(F.col("_key").alias(key), F.col("_class").alias(cls), F.col("_bucket").alias(bucket),
+                      (F.col("_cstart") + F.col("_bstart")).alias(start), source_size, target, u))
+    in_bucket = Window.partitionBy(key, cls, bucket).orderBy(size, doc_id, F.xxhash64(text))
+    out = (d.withColumn(place, F.row_number().over(in_bucket))
+           .join(starts, on=[key, cls, bucket])
+           .withColumn(r, F.col(start) + F.col(place))
+           .withColumn(rho, F.when(F.col(source_size) > 0, F.col(target) / F.nullif(F.col(source_size), F.lit(0))).otherwise(0.0)))
+    copies = F.least(F.lit(int(cap)).cast("long"), F.floor(F.col(r) * F.col(rho) + F.col(u)) - F.floor((F.col(r) - 1) * F.col(rho) + F.col(u)))
+    return out.select(*_kept(docs), F.col(size).alias("mix_size"), F.col(source_size).alias("mix_source_size"),
+                      F.col(target).alias("mix_target"), copies.alias("mix_copies"))
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """The mix itself: every row of `mix` as often as mix_copies says, without the mix_ columns."""
-    keep = [c for c in mixed.columns if not c.startswith("mix_")]
-    return mixed.select(*keep, F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int"))).alias("_copy")).drop("_copy")
+    """The mix itself: every row of `mix` as often as mix_copies says, without the four columns that `mix` adds."""
+    copy = _unlike(mixed) + "copy"
+    return mixed.select(*_kept(mixed), F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int"))).alias(copy)).drop(copy)

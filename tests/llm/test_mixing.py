@@ -57,3 +57,18 @@ def test_one_boundary_each(spark):
         expected = sum(r.mix_target / r.mix_source_size for r in own)
         assert abs(sum(r.mix_copies for r in own) - expected) < 1 + 1e-6
         assert {r.mix_copies for r in own} <= {math.floor(expected / len(own)), math.ceil(expected / len(own))}
+
+
+def test_input_columns_stay(spark):
+    extra = ["mix_quality", "_key", "_class", "_bucket", "_u", "_start", "_r", "_rho", "_place", "_copy", "_mix_size", "_mix__u"]
+    rows = [(i, " ".join(["w"] * (i % 7 + 1)), "ab"[i % 3 == 0], 99, *(f"{c}{i}" for c in extra)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_size int, " + ", ".join(f"{c} string" for c in extra))
+    plain = docs.select("doc_id", "text", "source")
+    mixed = mixing.mix(docs)
+    added = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
+    assert mixed.columns == ["doc_id", "text", "source", *extra, *added]
+    assert sorted(tuple(r)[:3] + tuple(r)[-4:] for r in mixed.collect()) == sorted(map(tuple, mixing.mix(plain).collect()))
+    assert sorted(tuple(r)[3:-4] for r in mixed.collect()) == sorted(r[4:] for r in rows)
+    out = mixing.emit(mixed)
+    assert out.columns == ["doc_id", "text", "source", *extra]
+    assert out.count() == sum(r.mix_copies for r in mixed.collect())
