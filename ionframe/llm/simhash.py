@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,6 +218,18 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, group_rows: int = GROUP_ROW
     return cur.select("fp", "mask", "key", unit).groupBy("unit").applyInPandas(run, "a long, b long")
 
 
+def _with_least(rows: DataFrame, least: Column, max_bits: int, group_rows: int, unit_rows: int) -> DataFrame:
+    """``rows`` (stored, with fingerprint ``fp``) with the smallest ``least`` of each row's component in component_id."""
+    own = stored(rows.groupBy("fp").agg(F.min(least).alias("least"), F.count(F.lit(1)).alias("n")), "simhash-own")
+    total = own.agg(F.sum("n")).first()[0] or 0
+    comp = connected_components(hamming_links(own.select("fp"), max_bits, group_rows, unit_rows), "a", "b")
+    in_comp = stored(own.join(comp.withColumnRenamed("node", "fp"), on="fp", how="left")
+                     .withColumn("root", F.coalesce("component", "fp")).drop("component"), "simhash-roots")
+    of_root = in_comp.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
+    named = stored(attach(in_comp.drop("least"), stored(of_root, "simhash-least"), "root", "m", total).drop("root"), "simhash-named")
+    return attach(rows, named, "fp", "n", total)
+
+
 def simhash_components(docs: DataFrame, max_bits: int = 3, width: int = 3, seed: int = 42, doc_id: str = "doc_id",
                        text: str = "text", group_rows: int = GROUP_ROWS, unit_rows: int = UNIT_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
@@ -230,27 +242,24 @@ def simhash_components(docs: DataFrame, max_bits: int = 3, width: int = 3, seed:
     """
     rows = stored(fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_t")), "_t", width, seed)
                   .drop("_t"), "simhash-rows")
-    own = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-own")
-    total = own.agg(F.sum("n")).first()[0] or 0
-    comp = connected_components(hamming_links(own.select("fp"), max_bits, group_rows, unit_rows), "a", "b")
-    in_comp = stored(own.join(comp.withColumnRenamed("node", "fp"), on="fp", how="left")
-                     .withColumn("root", F.coalesce("component", "fp")).drop("component"), "simhash-roots")
-    least = in_comp.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
-    named = stored(attach(in_comp.drop("least"), stored(least, "simhash-least"), "root", "m", total).drop("root"), "simhash-named")
-    out = attach(rows, named, "fp", "n", total)
+    out = _with_least(rows, F.col("doc_id"), max_bits, group_rows, unit_rows)
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, max_bits: int = 3, width: int = 3, seed: int = 42, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those whose doc_id names it. Of rows
-    that repeat a doc_id one stays (ties by text hash). Rows without a doc_id can't be
-    named and stay. Columns are those of docs."""
+    """One row of each component of ``docs``: the one with the smallest doc_id, then the smallest
+    text hash. A row is told by doc_id and text, so different texts of one id are decided apart; rows without a
+    doc_id come last in their component. Which of the rows that repeat both stays is not defined. Columns are those of docs."""
     from pyspark.sql import Window
 
-    comps = simhash_components(docs, max_bits, width, seed, doc_id, text)
-    gone = comps.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone.distinct(), on=F.col(doc_id).cast("long") == F.col("_gone"), how="left_anti")
-    named = kept.where(F.col(doc_id).isNotNull())
-    one = Window.partitionBy(doc_id).orderBy(F.xxhash64(text))
-    named = named.withColumn("_one", F.row_number().over(one)).where("_one = 1").drop("_one")
-    return named.unionByName(kept.where(F.col(doc_id).isNull()))
+    def keys(df: DataFrame, i: Column, t: Column) -> DataFrame:
+        return df.withColumns({"_keep_null": i.isNull(), "_keep_id": F.coalesce(i, F.lit(0).cast("long")), "_keep_hash": F.xxhash64(t)})
+
+    on = ["_keep_null", "_keep_id", "_keep_hash"]
+    rows = fingerprints(docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")), "t", width, seed)
+    rows = stored(keys(rows, F.col("i"), F.col("t")).select(*on, "fp"), "simhash-rows")
+    named = _with_least(rows, F.struct(*on), max_bits, GROUP_ROWS, UNIT_ROWS)
+    gone = named.where(F.struct(*on) != F.col("component_id")).select(*on).distinct()
+    kept = keys(docs, F.col(doc_id).cast("long"), F.col(text)).join(gone, on=on, how="left_anti")
+    one = Window.partitionBy(*on).orderBy(F.lit(1))
+    return kept.withColumn("_keep_one", F.row_number().over(one)).where("_keep_one = 1").select(*docs.columns)

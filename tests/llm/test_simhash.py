@@ -76,3 +76,14 @@ def test_one_stays(spark):
     assert kept.columns == docs.columns
     by_id = {c[0]: c[2] for c in brute([(r[0], r[1]) for r in cases.odd_rows()])}
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(d for d, c in by_id.items() if d is not None and d == c)
+
+
+def test_one_of_each_group_stays_with_clashing_and_null_ids(spark):
+    a, b, c, d = ("alpha beta gamma delta", "one two three four five", "red green blue black white", "north east south west")
+    rows = [(5, a), (9, a), (5, b), (3, b), (5, c), (None, c), (None, a), (None, d), (None, d), (7, None), (7, ""), (5, a)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, place int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text or None) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(5, a), (3, b), (5, c), (None, d), (7, None)], key=str)
+    assert simhash.keep_one(docs.limit(0)).count() == 0
