@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ionframe.plans.tables import table
 
-from . import ann, embedding_dedup, mixing, packing, pii, quality, sentencepiece, sharding, simhash, toxicity
+from . import ann, embedding_dedup, exact_dedup, mixing, packing, pii, quality, sentencepiece, sharding, simhash, toxicity
 
 
 #: Key of the pseudonyms in the registered queries; a user keeps their own secret.
@@ -81,8 +81,14 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal texts of all documents, and the row of each that stays."""
+    return exact_dedup.text_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_sharding, op3_sentencepiece, op4_packing, op5_pii, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup)
+    f.__name__: f for f in (op1_quality, op2_sharding, op3_sentencepiece, op4_packing, op5_pii, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup,
+                           op13_exact_dedup)
 }
 
 ORACLE: dict[str, str] = {
@@ -105,5 +111,10 @@ x AS (SELECT r.doc_id, r.size, t.source_size, t.target, r.r, t.u,
              CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rho
       FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (least(3, floor(r * rho + u) - floor((r - 1) * rho + u))::BIGINT * size)::BIGINT AS taken FROM x
+""",
+    "op13_exact_dedup": r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256 FROM d JOIN g USING (text_sha256)
 """,
 }
