@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ionframe.plans.tables import table
 
-from . import ann, embedding_dedup, exact_dedup, mixing, packing, pii, quality, sentencepiece, sharding, simhash, toxicity
+from . import ann, dialogue, embedding_dedup, exact_dedup, mixing, packing, part_codes, pii, quality, sentencepiece, sharding, simhash, toxicity
 
 
 #: Key of the pseudonyms in the registered queries; a user keeps their own secret.
@@ -81,6 +81,16 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and hash of the repaired turns of every damaged conversation."""
+    return dialogue.repair_report(dialogue.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all usable vectors by 16 codebooks of 64 entries, and their errors."""
+    return part_codes.coded_with_errors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of equal texts of all documents, and the row of each that stays."""
     return exact_dedup.text_classes(table(spark, sf_dir, "documents"))
@@ -88,7 +98,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality, op2_sharding, op3_sentencepiece, op4_packing, op5_pii, op6_simhash, op7_toxicity, op8_mixing, op9_ann, op10_embedding_dedup,
-                           op13_exact_dedup)
+                           op11_conversations, op12_vector_codes, op13_exact_dedup)
 }
 
 ORACLE: dict[str, str] = {
@@ -116,5 +126,32 @@ SELECT doc_id, size, source_size, target, (least(3, floor(r * rho + u) - floor((
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256 FROM d JOIN g USING (text_sha256)
+""",
+    "op12_vector_codes": r"""
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, c -> floor(256.0::DOUBLE * c::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+x AS (SELECT k.vec_id, p.p, list_slice(k.x, len(k.x) * p.p // 16 + 1, len(k.x) * (p.p + 1) // 16) AS x
+      FROM k, (SELECT unnest(range(16)) AS p) p),
+e0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM x
+       WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)),
+d0 AS (SELECT x.p, x.vec_id, any_value(x.x) AS x,
+              min({'d': list_sum(list_transform(list_zip(x.x, e.x), z -> (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e.e}) AS b
+       FROM x JOIN e0 e ON x.p = e.p GROUP BY x.p, x.vec_id),
+m0 AS (SELECT p, e, list(v ORDER BY i) AS x FROM (SELECT p, e, i, floor(sum(c)::HUGEINT / count(*))::BIGINT AS v FROM
+         (SELECT p, b.e AS e, unnest(range(len(x))) AS i, unnest(x) AS c FROM d0) GROUP BY p, e, i) GROUP BY p, e),
+e1 AS (SELECT e0.p, e0.e, coalesce(m0.x, e0.x) AS x FROM e0 LEFT JOIN m0 USING (p, e)),
+d1 AS (SELECT x.p, x.vec_id, any_value(x.x) AS x,
+              min({'d': list_sum(list_transform(list_zip(x.x, e.x), z -> (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e.e}) AS b
+       FROM x JOIN e1 e ON x.p = e.p GROUP BY x.p, x.vec_id),
+m1 AS (SELECT p, e, list(v ORDER BY i) AS x FROM (SELECT p, e, i, floor(sum(c)::HUGEINT / count(*))::BIGINT AS v FROM
+         (SELECT p, b.e AS e, unnest(range(len(x))) AS i, unnest(x) AS c FROM d1) GROUP BY p, e, i) GROUP BY p, e),
+e2 AS (SELECT e1.p, e1.e, coalesce(m1.x, e1.x) AS x FROM e1 LEFT JOIN m1 USING (p, e)),
+d2 AS (SELECT x.p, x.vec_id, min({'d': list_sum(list_transform(list_zip(x.x, e.x), z -> (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e.e}) AS b
+       FROM x JOIN e2 e ON x.p = e.p GROUP BY x.p, x.vec_id),
+c AS (SELECT d2.vec_id, k.label, string_agg(printf('%02x', b.e), '' ORDER BY p) AS code, sum(b.d)::BIGINT AS error
+      FROM d2 JOIN k USING (vec_id) GROUP BY d2.vec_id, k.label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM e2) AS codebooks_sha256 FROM c
 """,
 }
