@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import drop_stored, materialize, materialize_at
 from .components import star_components
 from .search import target_decoy_fdr
 
@@ -38,83 +36,61 @@ def unique_only(edges: DataFrame, peptide: str = "peptide", protein: str = "prot
     return e.join(one.select(peptide), on=peptide, how="left_semi")
 
 
-#: Edges of a connected component that one task finishes by the plain greedy; the edges
-#: of larger ones are covered by parallel rounds until they fall apart.
-TASK_EDGES = 1_000_000
+#: Leading bits of a count that make its class, so counts of a class differ by an eighth at most.
+CLASS_BITS = 4
 
 
-def _local_best(e: DataFrame) -> DataFrame:
-    """Edges of the proteins whose key beats every protein sharing an uncovered peptide."""
+def _round(e: DataFrame, share: float) -> DataFrame:
+    """``e`` (pep, prot, total, rank), uncovered edges, after one round: owner is null for those still uncovered,
+    and the other rows are the (pep, prot) that were assigned."""
     cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"))
-    ek = materialize(e.join(cnt, on="prot"), "cover-keys")
-    key = F.struct((-F.col("cnt")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("c"))
-    best = materialize(ek.groupBy("pep").agg(F.min(key)["c"].alias("best")), "cover-best")
-    loses = ek.join(best, on="pep").where("prot <> best").select("prot").distinct()
-    return ek.join(loses, on="prot", how="left_anti").select("pep", "prot")
-
-
-def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One-at-a-time greedy of one component: a heap of keys, looked at again when popped."""
-    prots, totals = {}, {}
-    for pep, prot, total in zip(pdf["pep"], pdf["prot"], pdf["total"]):
-        prots.setdefault(prot, []).append(pep)
-        totals[prot] = total
-    heap = [(-len(v), -totals[k], k) for k, v in prots.items()]
-    heapq.heapify(heap)
-    owner: dict = {}
-    while heap:
-        n, total, prot = heapq.heappop(heap)
-        left = [x for x in prots[prot] if x not in owner]
-        if not left:
-            continue
-        if len(left) < -n:
-            heapq.heappush(heap, (-len(left), total, prot))
-            continue
-        for x in left:
-            owner[x] = prot
-    return pd.DataFrame({"pep": list(owner), "prot": list(owner.values())})
-
-
-def _number(e: DataFrame, col: str, name: str) -> DataFrame:
-    """Stable node names of one side of the graph, apart from the other side's."""
-    return e.withColumn(name, F.concat(F.lit(col[1] + ":"), F.col(col).cast("string")))
-
-
-def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "protein",
-                 task_edges: int = TASK_EDGES, rounds: list | None = None) -> DataFrame:
-    """H5: fewest proteins explaining every peptide (greedy); one row per
-    peptide with the protein it is assigned to. Edges with a null end are left out.
-
-    The graph is split into connected components, which the greedy treats
-    independently. Those of at most ``task_edges`` edges are finished side by side, one in a
-    task. The others take a round of local bests: a protein whose key (uncovered
-    peptides, all peptides, smaller accession) beats all proteins sharing an uncovered peptide is what
-    the one-at-a-time greedy would take before any of its neighbours, with the same peptides. What is
-    left is split into components again. The result is the sequential greedy's at any
-    ``task_edges``; no table or large component passes through one task. ``rounds`` collects a mark per round.
+    if share >= 1:
+        key = F.struct((-F.col("cnt")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("prot"))
+    else:
+        size = F.length(F.bin("cnt"))
+        lead = F.substring(F.bin("cnt"), 1, CLASS_BITS)
+        key = F.struct((-size).alias("a"), (-F.conv(lead, 2, 10).cast("int")).alias("b"), F.col("rank"), F.col("prot").alias("prot"))
+    keyed = e.join(cnt, on="prot").select("pep", "prot", key.alias("key"))
+    votes = (keyed.groupBy("pep").agg(F.min("key").alias("best"))
+             .groupBy(F.col("best.prot").alias("prot")).agg(F.count(F.lit(1)).alias("votes")))
+    taken = cnt.join(votes, on="prot").where(F.col("votes") >= F.lit(float(share)) * F.col("cnt")).select("prot")
+    owner = keyed.join(taken, on="prot", how="left_semi").groupBy("pep").agg(F.min("key")["prot"].alias("owner"))
+    return e.join(owner, on="pep", how="left").where("owner is null or owner = prot")
+
+
+def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", share: float = 0.5,
+                 rounds: list | None = None) -> DataFrame:
+    """H5: few proteins that explain every peptide; one row per peptide with the protein it is assigned to. Edges with
+    a null end are left out.
+
+    Rounds over all edges that are left, each a handful of joins and aggregates on proteins or peptides, so no component of the graph,
+    however dense, needs a task of its own. In a round every uncovered peptide votes for the protein first in
+    priority among those that have it; a protein voted for by at least ``share`` of its uncovered peptides is taken and
+    its peptides leave the graph. Priority is the number of uncovered peptides, by classes that differ by an eighth, then a
+    hash of the accession, which breaks ties in a shuffled order so that chains of ties are short; a peptide of several taken proteins goes to
+    the first of them. The first protein of all is always taken, so every round makes progress.
+
+    A taken protein is at least as large, but for its class, as any protein that its voters have, and costs each of them 1 / (share x its
+    size) at most, which bounds the number of proteins by 9/8 / share times the one-at-a-time greedy's own bound (H(n) times the least). With
+    ``share`` 1 the order is exact (uncovered peptides, all peptides, smaller accession) and only local bests are taken: the result is that of the
+    one-at-a-time greedy, in as many rounds as its longest chain of overlapping picks. ``rounds`` collects a mark per round.
     """
+    spark = edges.sparkSession
     e = edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot")) \
         .where(F.col(peptide).isNotNull() & F.col(protein).isNotNull()).distinct()
-    e = materialize(e, "cover-edges")
+    e, at = materialize_at(e, "cover-edges")
     tot = e.groupBy("prot").agg(F.count(F.lit(1)).alias("total"))
-    e = materialize(e.join(tot, on="prot"), "cover-edges")
-    schema = f"pep {e.schema['pep'].dataType.simpleString()}, prot {e.schema['prot'].dataType.simpleString()}"
+    rank = F.conv(F.substring(F.md5(F.col("prot").cast("string").cast("binary")), 1, 15), 16, 10).cast("long")
+    e, first = materialize_at(e.join(tot, on="prot").withColumn("rank", rank), "cover-edges")
+    drop_stored(spark, at)
     parts = []
     while not e.isEmpty():
         if rounds is not None:
             rounds.append(len(rounds))
-        named = _number(_number(e, "pep", "_u"), "prot", "_v")
-        comp = star_components(named, "_u", "_v").withColumnRenamed("node", "_v")
-        named = materialize(named.join(comp, on="_v").drop("_u", "_v"), "cover-components")
-        large = materialize(named.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > task_edges), "cover-large")
-        small = named.join(large, on="component", how="left_anti")
-        parts.append(materialize(small.groupBy("component").applyInPandas(_greedy, schema), "cover-taken"))
-        rest = materialize(named.join(large, on="component", how="left_semi").select("pep", "prot", "total"), "cover-rest")
-        if rest.isEmpty():
-            break
-        taken = materialize(_local_best(rest), "cover-taken")
-        parts.append(taken)
-        e = materialize(rest.join(taken.select("pep"), on="pep", how="left_anti"), "cover-edges")
+        done = materialize(_round(e, share), "cover-round")
+        parts.append(done.where("owner is not null").select("pep", "prot"))
+        e = done.where("owner is null").drop("owner")
+    drop_stored(spark, first)
     if not parts:
         return edges.select(peptide, protein).limit(0)
     res = parts[0]
@@ -123,23 +99,67 @@ def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "pro
     return res.select(F.col("pep").alias(peptide), F.col("prot").alias(protein))
 
 
+def protein_groups(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", prefix: int = 3) -> DataFrame:
+    """Per protein: group_id (the smallest accession with the same peptides), n_peptides, and contained_in: of the groups
+    that have all of its peptides and more, the one with the most (then the smallest accession), or null. Edges with a null end are left out.
+
+    Equal sets are found by their size and two order-free sums of peptide hashes, so no set is collected. For
+    containment a set is looked up by its ``prefix`` rarest peptides: a larger set must have all of them, and the few that do are verified by
+    counting shared peptides. Frequent peptides are looked up only by sets that have no rarer ones.
+    """
+    e = edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot")) \
+        .where(F.col(peptide).isNotNull() & F.col(protein).isNotNull()).distinct()
+    e = materialize(e, "group-edges")
+    text = F.col("pep").cast("string")
+    sets = e.groupBy("prot").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(text)).alias("x"),
+                                 F.sum(F.xxhash64(F.lit(1), text).cast("decimal(38,0)")).alias("s"))
+    sets = materialize(sets, "group-sets")
+    named = sets.groupBy("n", "x", "s").agg(F.min("prot").alias("group_id"))
+    members = materialize(sets.join(named, on=["n", "x", "s"]).select("prot", "group_id", "n"), "group-members")
+    reps = members.where("prot = group_id").select("prot", "n")
+    re = materialize(e.join(reps, on="prot"), "group-first")
+    rare = re.join(re.groupBy("pep").agg(F.count(F.lit(1)).alias("f")), on="pep")
+    place = F.row_number().over(Window.partitionBy("prot").orderBy("f", "pep"))
+    head = rare.withColumn("_r", place).where(F.col("_r") <= prefix).select("pep", F.col("prot").alias("a"), F.col("n").alias("na"))
+    other = re.select("pep", F.col("prot").alias("b"), F.col("n").alias("nb"))
+    cand = (head.join(other, on="pep").where("nb > na").groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("c"))
+            .where(F.col("c") == F.least(F.col("na"), F.lit(prefix))).drop("c"))
+    cand = materialize(cand, "group-candidates")
+    small = cand.where(F.col("na") <= prefix)
+    shared = (cand.where(F.col("na") > prefix).join(re.select(F.col("prot").alias("a"), "pep"), on="a").join(other.select("b", "pep"), on=["b", "pep"])
+              .groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("c")).where("c = na").drop("c"))
+    within = small.unionByName(shared).groupBy("a").agg(F.min(F.struct((-F.col("nb")).alias("m"), F.col("b")))["b"].alias("contained_in"))
+    out = members.join(within, on=members["group_id"] == within["a"], how="left")
+    return out.select(F.col("prot").alias(protein), "group_id", F.col("n").alias("n_peptides"), "contained_in")
+
+
+def collapsed_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", share: float = 0.5,
+                    members: str = "members") -> DataFrame:
+    """H5 on groups: proteins with the same peptides are one, those whose peptides another one has too are left out, and
+    the cover runs over the rest. One row per peptide with the group's accession and, in ``members``, how many proteins it stands for."""
+    g = materialize(protein_groups(edges, peptide, protein), "cover-groups")
+    kept = g.where(F.col("contained_in").isNull()).groupBy(F.col("group_id").alias(protein)).agg(F.count(F.lit(1)).alias(members))
+    cover = greedy_cover(edges.join(kept.select(protein), on=protein, how="left_semi"), peptide, protein, share)
+    return cover.join(kept, on=protein).select(peptide, protein, members)
+
+
 def infer_parsimony(edges: DataFrame, peptide: str = "peptide", protein: str = "protein",
                     prior: DataFrame | None = None, prior_col: str | None = None,
-                    refine_prior: bool = True, unique: bool = False) -> DataFrame:
+                    refine_prior: bool = True, unique: bool = False, share: float = 0.5) -> DataFrame:
     """H5-H7. ``unique`` overrides the prior options. With a prior (a table of
     accessions): ``refine_prior`` runs the cover on prior proteins and, for
     the peptides no prior protein reaches, on the rest; without it those
-    prior peptides keep all their prior proteins."""
+    prior peptides keep all their prior proteins. ``share`` as of `greedy_cover`."""
     if unique:
         return unique_only(edges, peptide, protein)
     if prior is None:
-        return greedy_cover(edges, peptide, protein)
+        return greedy_cover(edges, peptide, protein, share)
     pr = prior.select(F.col(prior_col or protein).alias(protein)).distinct()
     e = edges.select(peptide, protein).distinct()
     pe = e.join(pr, on=protein, how="left_semi")
     rest = e.join(pe.select(peptide), on=peptide, how="left_anti").join(pr, on=protein, how="left_anti")
-    first = greedy_cover(pe, peptide, protein) if refine_prior else pe
-    return first.unionByName(greedy_cover(rest, peptide, protein))
+    first = greedy_cover(pe, peptide, protein, share) if refine_prior else pe
+    return first.unionByName(greedy_cover(rest, peptide, protein, share))
 
 
 def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import design, hits, inference, quant, recalibrate, runs, scans, search, sites
 from ..session import checkpoint_dir
 from ..sources import readers, writers
+from .oracle import cover_sql
 from .queries import CHAR_MASS, _mod_defs, _unit_prices
 from .tables import table
 
@@ -49,35 +50,6 @@ WHERE s >= 8.5::DOUBLE OR s IS NULL
 """
 
 
-def q65_prior_cover(spark, sf):
-    """H7: parts explained by suppliers, those of the nations 0 to 19 being the prior set: parts they reach keep all their
-    prior suppliers. They reach every part of the test tables, so nothing is left to the greedy (see q98)."""
-    e = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
-    prior = table(spark, sf, "supplier").where("s_nationkey < 20").select(F.col("s_suppkey").alias("accession"))
-    return inference.infer_parsimony(e, "l_partkey", "l_suppkey", prior, "accession", refine_prior=False)
-
-
-ORACLE["q65_prior_cover"] = """
-WITH RECURSIVE a AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
-pr AS (SELECT a.* FROM a JOIN supplier ON s_suppkey = s WHERE s_nationkey < 20),
-e AS (SELECT a.* FROM a WHERE p NOT IN (SELECT p FROM pr)),
-tot AS (SELECT s, COUNT(*) AS n FROM e GROUP BY s),
-g(step, chosen) AS (
-  SELECT 0, []::BIGINT[]
-  UNION ALL
-  SELECT step + 1, list_append(chosen, pick) FROM (
-    SELECT g.step, g.chosen,
-      (SELECT c.s FROM (SELECT e.s, COUNT(*) AS left_over FROM e
-                        WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.p = e.p AND list_contains(g.chosen, x.s))
-                        GROUP BY e.s) c JOIN tot USING (s)
-       ORDER BY c.left_over DESC, tot.n DESC, c.s LIMIT 1) AS pick
-    FROM g) q WHERE pick IS NOT NULL),
-o AS (SELECT unnest(chosen) AS s, unnest(range(1, len(chosen) + 1)) AS i FROM (SELECT chosen FROM g ORDER BY step DESC LIMIT 1))
-SELECT p AS l_partkey, s AS l_suppkey FROM pr
-UNION ALL SELECT e.p, arg_min(o.s, o.i) FROM e JOIN o ON o.s = e.s GROUP BY e.p
-"""
-
-
 def q66_feature_key(spark, sf):
     """Features of a PTM run: the site (brand) where there is one, else the peptide (name); of a global run the protein (type)."""
     p = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("peptide"), F.col("p_type").alias("protein"),
@@ -411,24 +383,6 @@ SELECT 'P' || p_partkey AS accession, p_type AS description, regexp_replace(p_na
 """
 
 
-def q89_psm_round_trip(spark, sf):
-    """A5: first lines of orders as identification tables, read back with a row a protein and decoys flagged (all lines: q99)."""
-    at = _folder(spark, "psm")
-    li = table(spark, sf, "lineitem").where("l_linenumber = 1").select(
-        F.col("l_orderkey").alias("ScanNum"), F.col("l_linenumber").alias("Charge"), F.concat(F.lit("P"), "l_returnflag").alias("Peptide"),
-        F.concat(F.lit("A"), F.col("l_suppkey").cast("string"), F.lit("(pre=K,post=R);XXX_A"), F.col("l_partkey").cast("string")).alias("Protein"),
-        F.col("l_extendedprice").alias("PrecursorMZ"), F.col("l_quantity").alias("MSGFScore"), F.col("l_discount").alias("SpecEValue"))
-    writers.write_tsv(li, at)
-    return readers.read_psms(spark, at, ".csv").select("scan", "charge", "peptide", "protein", "precursor_mz", "score", "spec_evalue", "is_decoy")
-
-
-ORACLE["q89_psm_round_trip"] = """
-SELECT l_orderkey AS scan, l_linenumber AS charge, 'P' || l_returnflag AS peptide, p AS protein, l_extendedprice AS precursor_mz,
-  l_quantity AS score, l_discount AS spec_evalue, starts_with(p, 'XXX_') AS is_decoy
-FROM (SELECT *, unnest(['A' || l_suppkey, 'XXX_A' || l_partkey]) AS p FROM lineitem WHERE l_linenumber = 1)
-"""
-
-
 def q90_file_manifest(spark, sf):
     """A8 + J1: part names as files; listed, and hashed by content."""
     at = _folder(spark, "files")
@@ -446,29 +400,6 @@ SELECT p_size, SUM(strlen(p_name) + 1)::BIGINT AS bytes, 32 AS digest_length FRO
 """
 
 
-def q91_modified_fragments(spark, sf):
-    """D5 + D8: names of small parts with up to one 'a' (16) or 'e' (1) modified: b and y ions at charge 1 and 2, summed per form
-    (all parts and up to three: q100)."""
-    p = table(spark, sf, "part").where("p_size < 10").select("p_partkey", "p_name", F.lit(0.0).alias("mass"))
-    f = search.expand_mods(p, "p_name", [("a", 16.0), ("e", 1.0)], max_mods=1).withColumn("form", F.array_join("sites", ","))
-    x = search.theoretical_fragments(f, "p_name", CHAR_MASS, ["p_partkey", "form"], "sites", "site_deltas", (1, 2))
-    return x.groupBy("p_partkey", "form", "charge").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("b_ion"), 3).alias("b"), F.round(F.sum("y_ion"), 3).alias("y"))
-
-
-ORACLE["q91_modified_fragments"] = """
-WITH p AS (SELECT p_partkey, p_name, length(p_name) AS n FROM part WHERE p_size < 10),
-f AS (SELECT *, 0 AS site, 0.0::DOUBLE AS d FROM p
-      UNION ALL SELECT p_partkey, p_name, n, i, CASE WHEN substr(p_name, i, 1) = 'a' THEN 16.0 ELSE 1.0 END
-      FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM p) WHERE substr(p_name, i, 1) IN ('a', 'e')),
-x AS (SELECT *, unnest(range(1, n)) AS pos FROM f),
-m AS (SELECT *, list_sum(list_transform(string_split(substr(p_name, 1, pos), ''), lambda c: ascii(c)::DOUBLE)) + CASE WHEN site BETWEEN 1 AND pos THEN d ELSE 0 END AS pre,
-             list_sum(list_transform(string_split(p_name, ''), lambda c: ascii(c)::DOUBLE)) + d AS tot FROM x)
-SELECT p_partkey, CASE WHEN site > 0 THEN site::VARCHAR ELSE '' END AS form, z AS charge, COUNT(*) AS n,
-  ROUND(SUM(pre / z + 1.007276466812::DOUBLE), 3) AS b, ROUND(SUM((tot - pre + 18.010564684::DOUBLE) / z + 1.007276466812::DOUBLE), 3) AS y
-FROM m, (VALUES (1), (2)) v(z) GROUP BY ALL
-"""
-
-
 def q92_uneven_tolerance(spark, sf):
     """Unit prices as precursor m/z of charge 1 from 0.5 below to 2.0 above part prices as masses."""
     s = _unit_prices(spark, sf).select("l_orderkey", "l_linenumber", F.col("unit_price").alias("precursor_mz"), F.lit(1).alias("charge"))
@@ -550,36 +481,23 @@ JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice, f
 
 
 def q98_sparse_prior_cover(spark, sf):
-    """H7: as q65, those of the nations 0 and 1 being the prior set: parts they reach keep all their prior suppliers; the greedy
+    """H7: parts explained by suppliers, those of the nations 0 and 1 being the prior set: parts they reach keep all their prior suppliers; the greedy
     covers the rest (438 of 2,000 parts at sf0.01, 1,832 of 20,000 at sf0.1) with the others."""
     e = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
     prior = table(spark, sf, "supplier").where("s_nationkey < 2").select(F.col("s_suppkey").alias("accession"))
     return inference.infer_parsimony(e, "l_partkey", "l_suppkey", prior, "accession", refine_prior=False)
 
 
-ORACLE["q98_sparse_prior_cover"] = """
+ORACLE["q98_sparse_prior_cover"] = f"""
 WITH RECURSIVE a AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
 pr AS (SELECT a.* FROM a JOIN supplier ON s_suppkey = s WHERE s_nationkey < 2),
-e AS (SELECT a.* FROM a WHERE p NOT IN (SELECT p FROM pr)),
-tot AS (SELECT s, COUNT(*) AS n FROM e GROUP BY s),
-g(step, chosen) AS (
-  SELECT 0, []::BIGINT[]
-  UNION ALL
-  SELECT step + 1, list_append(chosen, pick) FROM (
-    SELECT g.step, g.chosen,
-      (SELECT c.s FROM (SELECT e.s, COUNT(*) AS left_over FROM e
-                        WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.p = e.p AND list_contains(g.chosen, x.s))
-                        GROUP BY e.s) c JOIN tot USING (s)
-       ORDER BY c.left_over DESC, tot.n DESC, c.s LIMIT 1) AS pick
-    FROM g) q WHERE pick IS NOT NULL),
-o AS (SELECT unnest(chosen) AS s, unnest(range(1, len(chosen) + 1)) AS i FROM (SELECT chosen FROM g ORDER BY step DESC LIMIT 1))
-SELECT p AS l_partkey, s AS l_suppkey FROM pr
-UNION ALL SELECT e.p, arg_min(o.s, o.i) FROM e JOIN o ON o.s = e.s GROUP BY e.p
+e AS (SELECT a.* FROM a WHERE p NOT IN (SELECT p FROM pr)),{cover_sql("e")}
+SELECT p AS l_partkey, s AS l_suppkey FROM pr UNION ALL SELECT p, s FROM cover
 """
 
 
 def q99_psm_round_trip_all(spark, sf):
-    """A5: as q89, every line."""
+    """A5: all lines as identification tables, read back with a row a protein and decoys flagged."""
     at = _folder(spark, "psm")
     li = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("ScanNum"), F.col("l_linenumber").alias("Charge"), F.concat(F.lit("P"), "l_returnflag").alias("Peptide"),
@@ -597,7 +515,7 @@ FROM (SELECT *, unnest(['A' || l_suppkey, 'XXX_A' || l_partkey]) AS p FROM linei
 
 
 def q100_modified_fragments_all(spark, sf):
-    """D5 + D8: as q91, names of all parts with up to three 'a' (16) or 'e' (1) modified."""
+    """D5 + D8: b and y ions at charge 1 and 2, summed per form, of the names of all parts with up to three 'a' (16) or 'e' (1) modified."""
     p = table(spark, sf, "part").select("p_partkey", "p_name", F.lit(0.0).alias("mass"))
     f = search.expand_mods(p, "p_name", [("a", 16.0), ("e", 1.0)]).withColumn("form", F.array_join("sites", ","))
     x = search.theoretical_fragments(f, "p_name", CHAR_MASS, ["p_partkey", "form"], "sites", "site_deltas", (1, 2))

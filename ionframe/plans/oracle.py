@@ -538,19 +538,23 @@ comp AS (SELECT node, MIN(lbl) AS c FROM reach GROUP BY node)
 SELECT o.st AS o_orderstatus, o.k AS o_orderkey, COALESCE(comp.c, o.k) AS group_id FROM o LEFT JOIN comp ON o.k = comp.node
 """
 
-ORACLE["q18_parsimony"] = """
-WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
-tot AS (SELECT s, COUNT(*) AS n FROM e GROUP BY s),
-g(step, chosen) AS (
-  SELECT 0, []::BIGINT[]
+
+def cover_sql(edges: str) -> str:
+    """CTEs from the edges (p, s) of the table ``edges`` to the cover (p, s) ``cover``: a round per step, in
+    which every part votes for the first of its suppliers and those with half of their parts' votes are taken."""
+    return f"""
+rounds(p, s, rank, owner) AS (
+  SELECT p, s, ('0x' || substr(md5(s::VARCHAR), 1, 15))::BIGINT, NULL::BIGINT FROM {edges}
   UNION ALL
-  SELECT step + 1, list_append(chosen, pick) FROM (
-    SELECT g.step, g.chosen,
-      (SELECT c.s FROM (SELECT e.s, COUNT(*) AS left_over FROM e
-                        WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.p = e.p AND list_contains(g.chosen, x.s))
-                        GROUP BY e.s) c JOIN tot USING (s)
-       ORDER BY c.left_over DESC, tot.n DESC, c.s LIMIT 1) AS pick
-    FROM g) q WHERE pick IS NOT NULL),
-o AS (SELECT unnest(chosen) AS s, unnest(range(1, len(chosen) + 1)) AS i FROM (SELECT chosen FROM g ORDER BY step DESC LIMIT 1))
-SELECT e.p AS l_partkey, arg_min(o.s, o.i) AS l_suppkey FROM e JOIN o ON o.s = e.s GROUP BY e.p
+  SELECT p, s, rank, (MIN(CASE WHEN 2 * votes >= cnt THEN k END) OVER (PARTITION BY p)).s FROM (
+    SELECT *, COUNT(*) FILTER (best.s = s) OVER (PARTITION BY s) AS votes FROM (
+      SELECT *, MIN(k) OVER (PARTITION BY p) AS best FROM (
+        SELECT *, {{'a': -length(bin(cnt)), 'b': -('0b' || substr(bin(cnt), 1, 4))::INT, 'rank': rank, 's': s}} AS k FROM (
+          SELECT p, s, rank, COUNT(*) OVER (PARTITION BY s) AS cnt FROM rounds WHERE owner IS NULL))))),
+cover AS (SELECT DISTINCT p, owner AS s FROM rounds WHERE owner IS NOT NULL)"""
+
+
+ORACLE["q18_parsimony"] = f"""
+WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),{cover_sql("e")}
+SELECT p AS l_partkey, s AS l_suppkey FROM cover
 """

@@ -211,7 +211,7 @@ def q17_unique_only(spark, sf):
 
 
 def q18_parsimony(spark, sf):
-    """H5: greedy set cover of parts (peptides) by suppliers (proteins)."""
+    """H5: set cover of parts (peptides) by suppliers (proteins), in rounds of votes."""
     e = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
     return inference.greedy_cover(e, "l_partkey", "l_suppkey")
 
