@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import drop_stored, materialize, materialize_at
 from .components import star_components
+from .ordered import row_number
 from .search import target_decoy_fdr
 
 
@@ -40,22 +41,22 @@ def unique_only(edges: DataFrame, peptide: str = "peptide", protein: str = "prot
 CLASS_BITS = 4
 
 
-def _round(e: DataFrame, share: float) -> DataFrame:
-    """``e`` (pep, prot, total, rank), uncovered edges, after one round: owner is null for those still uncovered,
-    and the other rows are the (pep, prot) that were assigned."""
-    cnt = e.groupBy("prot").agg(F.count(F.lit(1)).alias("cnt"))
+def _round(e: DataFrame, share: float, n: int) -> DataFrame:
+    """``e`` (pep, prot), uncovered edges with proteins numbered from 0 to ``n`` - 1 in tie order, after one round: owner is
+    null for those still uncovered, and the other rows are the (pep, prot) that were assigned."""
     if share >= 1:
-        key = F.struct((-F.col("cnt")).alias("a"), (-F.col("total")).alias("b"), F.col("prot").alias("prot"))
-    else:
-        size = F.length(F.bin("cnt"))
-        lead = F.substring(F.bin("cnt"), 1, CLASS_BITS)
-        key = F.struct((-size).alias("a"), (-F.conv(lead, 2, 10).cast("int")).alias("b"), F.col("rank"), F.col("prot").alias("prot"))
-    keyed = e.join(cnt, on="prot").select("pep", "prot", key.alias("key"))
-    votes = (keyed.groupBy("pep").agg(F.min("key").alias("best"))
-             .groupBy(F.col("best.prot").alias("prot")).agg(F.count(F.lit(1)).alias("votes")))
-    taken = cnt.join(votes, on="prot").where(F.col("votes") >= F.lit(float(share)) * F.col("cnt")).select("prot")
-    owner = keyed.join(taken, on="prot", how="left_semi").groupBy("pep").agg(F.min("key")["prot"].alias("owner"))
-    return e.join(owner, on="pep", how="left").where("owner is null or owner = prot")
+        key, of = "named_struct('a', -cnt, 'b', prot)", "{}.b"
+    else:  # class and number in one integer
+        key = f"({64 << CLASS_BITS} - (length(bin(cnt)) << {CLASS_BITS}) - cast(conv(substring(bin(cnt), 1, {CLASS_BITS}), 2, 10) AS long)) * {n}L + prot"
+        of = f"{{}} % {n}L"
+    return e.sparkSession.sql(f"""
+        WITH c AS (SELECT prot, count(*) AS cnt FROM {{e}} GROUP BY prot),
+        k AS (SELECT prot, cnt, {key} AS key FROM c),
+        best AS (SELECT pep, min(key) AS key FROM {{e}} JOIN k USING (prot) GROUP BY pep),
+        votes AS (SELECT {of.format("key")} AS prot, count(*) AS n FROM best GROUP BY 1),
+        taken AS (SELECT prot, key FROM k JOIN votes USING (prot) WHERE n >= {float(share)}D * cnt),
+        owners AS (SELECT pep, min(key) AS key FROM {{e}} JOIN taken USING (prot) GROUP BY pep)
+        SELECT * FROM (SELECT pep, prot, {of.format("o.key")} AS owner FROM {{e}} LEFT JOIN owners o USING (pep)) WHERE owner IS NULL OR owner = prot""", e=e)
 
 
 def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", share: float = 0.5,
@@ -76,18 +77,21 @@ def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "pro
     one-at-a-time greedy, in as many rounds as its longest chain of overlapping picks. ``rounds`` collects a mark per round.
     """
     spark = edges.sparkSession
-    e = edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot")) \
-        .where(F.col(peptide).isNotNull() & F.col(protein).isNotNull()).distinct()
-    e, at = materialize_at(e, "cover-edges")
-    tot = e.groupBy("prot").agg(F.count(F.lit(1)).alias("total"))
-    rank = F.conv(F.substring(F.md5(F.col("prot").cast("string").cast("binary")), 1, 15), 16, 10).cast("long")
-    e, first = materialize_at(e.join(tot, on="prot").withColumn("rank", rank), "cover-edges")
+    e, at = materialize_at(edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot"))
+                           .where(F.col(peptide).isNotNull() & F.col(protein).isNotNull()).distinct(), "cover-edges")
+    prots = e.groupBy("prot").agg(F.count(F.lit(1)).alias("total"))
+    if share < 1:
+        prots = prots.withColumn("rank", F.conv(F.substring(F.md5(F.col("prot").cast("string").cast("binary")), 1, 15), 16, 10).cast("long"))
+    order = F.col("rank") if share < 1 else -F.col("total")
+    prots = materialize(row_number(prots, order, tiebreak=["prot"], name="no").select("prot", (F.col("no") - 1).alias("no")), "cover-proteins")
+    n = prots.count()
+    e, first = materialize_at(e.join(prots, on="prot").select("pep", F.col("no").alias("prot")), "cover-edges")
     drop_stored(spark, at)
     parts = []
     while not e.isEmpty():
         if rounds is not None:
             rounds.append(len(rounds))
-        done = materialize(_round(e, share), "cover-round")
+        done = materialize(_round(e, share, n), "cover-round")
         parts.append(done.where("owner is not null").select("pep", "prot"))
         e = done.where("owner is null").drop("owner")
     drop_stored(spark, first)
@@ -96,7 +100,8 @@ def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "pro
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
-    return res.select(F.col("pep").alias(peptide), F.col("prot").alias(protein))
+    named = res.join(prots.withColumnRenamed("prot", "name"), on=res["prot"] == prots["no"])
+    return named.select(F.col("pep").alias(peptide), F.col("name").alias(protein))
 
 
 def protein_groups(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", prefix: int = 3) -> DataFrame:
