@@ -150,7 +150,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
     Vectors that are null, zero or hold null or non-finite components take no part, nor do
     null ids; a query meets vectors of its own length. A query's own row (any row of its vec_id) is
     no candidate; ties go to the smaller vec_id; with fewer than k candidates all come. Rows
-    that repeat an id and vector count once. Empty tables give empty results.
+    that repeat an id and vector count once; of several vectors of one query id the least is the query. Empty tables give empty results.
 
     Vectors are scaled to length 1 and projected to ``dims`` normal directions. Of equal vectors
     only the k + 1 smallest ids can be results and are kept. A kd-tree

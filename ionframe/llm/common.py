@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import pickle
-import uuid
 from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionframe.session import checkpoint_dir
+from ionframe.session import drop_stored, materialize as stored, materialize_at as stored_at  # noqa: F401
 
 #: A run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,27 +17,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOT_KEYS = 1000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` under the session's shared checkpoint
-    folder and read it back. The files outlive any executor."""
-    return stored_at(df, name)[0]
-
-
-def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """As `stored`, with the path, for tables that a loop drops again."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def drop_stored(spark: SparkSession, *paths: str) -> None:
-    """Remove tables of `stored_at` that nothing reads any more."""
-    for path in paths:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def share(spark: SparkSession, value) -> Callable[[], object]:
     """Broadcast ``value`` (of bounded size), by value, so that executors need no copy of its class. Returns
     a function that gives it in a task; a worker loads it once and keeps it, with whatever it remembers."""
@@ -53,6 +31,18 @@ def share(spark: SparkSession, value) -> Callable[[], object]:
     return get
 
 
+def unlike(df: DataFrame, prefix: str) -> str:
+    """``prefix``, longer if need be, such that no column of ``df`` begins with it."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and backquotes included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def word_count(text: str) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

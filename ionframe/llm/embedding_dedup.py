@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ionframe.operators.components import star_components
+
 from .common import attach, stored
-from .components import connected_components
 from .vectors import block, unit, usable
 
 #: Chance, at most, that a pair exactly at the threshold shares no bucket.
@@ -154,7 +155,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, vec_id: str = "vec
 
     found = stored(tasks.groupBy("unit", "dim").applyInPandas(run, "node string, links long, to string"), "emb-found")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    comp = connected_components(found.where("node <> to"), "node", "to")
+    comp = star_components(found.where("node <> to"), "node", "to")
     named = (classes.select("cls", "node", "n", "least").join(links, on="node", how="left").join(comp, on="node", how="left")
              .withColumn("root", F.coalesce("component", "node")))
     named = stored(named.select("cls", "n", "least", "root", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "emb-roots")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spread, stored, word_count
+from .common import named, spread, stored, unlike, word_count
 
 #: Rows a numbering bucket is meant for once a corpus outgrows the least number of buckets.
 BUCKET_ROWS = 1_000_000
@@ -14,17 +14,9 @@ LEAST_BUCKETS = 64
 ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
 
 
-def _unlike(df: DataFrame) -> str:
-    """A prefix that no column of ``df`` has."""
-    prefix = "_mix_"
-    while any(c.lower().startswith(prefix) for c in df.columns):
-        prefix += "_"
-    return prefix
-
-
 def _kept(df: DataFrame) -> list:
     """Columns of ``df`` but those of `mix`."""
-    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in ADDED]
+    return [named(c) for c in df.columns if c.lower() not in ADDED]
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
@@ -65,7 +57,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), cap: floa
     and no copies. Rows that repeat take different places; which of identical
     rows gets more copies is not defined. Empty tables give empty results.
     """
-    own = _unlike(docs)
+    own = unlike(docs, "_mix_")
     key, cls, bucket, size, place, start, u, rho, r = (own + x for x in ("key", "class", "bucket", "size", "place", "start", "u", "rho", "r"))
     source_size, target = own + "source_size", own + "target"
     n_buckets = LEAST_BUCKETS + docs.count() // BUCKET_ROWS
@@ -101,5 +93,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), cap: floa
 
 def emit(mixed: DataFrame) -> DataFrame:
     """The mix itself: every row of `mix` as often as mix_copies says, without the four columns that `mix` adds."""
-    copy = _unlike(mixed) + "copy"
+    copy = unlike(mixed, "_mix_") + "copy"
     return mixed.select(*_kept(mixed), F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int"))).alias(copy)).drop(copy)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import named, unlike
+
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -34,9 +36,10 @@ _OTHER = (r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[
 #: Numbers of +1 have ten more digits; others 15 digits at most.
 _ABROAD = (r"\+(?:1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"
            rf"|[0-9]{{1,3}}(?:(?!(?<={_AFTER_8}\)?)[ .-]{_OTHER})[ .-]?\(?[0-9]{{1,4}}\)?){{2,6}}(?![0-9A-Za-z])(?<!{_AFTER_16}\)?))")
-#: What is looked for, in order of precedence at a place. Values that fail their check are left alone.
+#: What is looked for, in order of precedence at a place. Values that fail their check are left alone. The regular-expression
+#: engine matches a repeated group by recursion, so every one has an upper bound (a domain has at most 253 characters).
 PATTERNS = {
-    "email": r"(?<![._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,}",
     "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_/+.-]{8,}",
     "access_key": r"A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": _IBAN,
@@ -87,15 +90,16 @@ def permute_text(s: Column, key: str, tag: Column | str, invert: bool) -> Column
     sign = -1 if invert else 1
 
     def moved(half: Column, digest: Column) -> Column:
-        def one(c: Column, j: Column) -> Column:
-            k = F.conv(F.substr(digest, (j * 2) % 62 + 1, F.lit(2)), 16, 10).cast("int")
+        def one(c: Column, j: Column, g: Column) -> Column:
+            k = F.conv(F.substr(g, (j * 2) % 62 + 1, F.lit(2)), 16, 10).cast("int")
             out = c
             for alphabet in ALPHABETS:
                 at = F.instr(F.lit(alphabet), c)
                 out = F.when(at > 0, F.substr(F.lit(alphabet), F.pmod(at - 1 + sign * k, F.lit(len(alphabet))) + 1, F.lit(1))).otherwise(out)
             return out
 
-        return F.array_join(F.transform(_chars(half), one), "")
+        # the digest is an array's element, so it is taken once and not for every character
+        return F.element_at(F.transform(F.array(digest), lambda g: F.array_join(F.transform(_chars(half), lambda c, j: one(c, j, g)), "")), 1)
 
     def step(p: Column, i: Column) -> Column:
         even = i % 2 == 0
@@ -261,14 +265,16 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", invert: bool = F
     Whole texts are read, with one regular expression; null stays null, empty texts stay
     empty, repeated rows are treated alike. Nothing is joined or shuffled.
     """
-    found = F.regexp_extract_all(F.col(text), F.lit(ANY), 0)
-    d = docs.withColumn("_pii", F.when(F.col(text).rlike("[0-9@=:]|A[KS]IA"), found))
-    d = d.withColumn("_new", F.when(F.size("_pii") > 0, F.transform("_pii", lambda m: pseudonym(m, key, invert))))
-    gaps = F.split(F.col(text), ANY, -1)
-    joined = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size("_new")), "_new", lambda g, m: F.concat(g, m)), ""),
+    own = unlike(docs, "_pii_")
+    body, old, new = named(text), own + "old", own + "new"
+    found = F.regexp_extract_all(body, F.lit(ANY), 0)
+    d = docs.withColumn(old, F.when(body.rlike("[0-9@=:]|A[KS]IA"), found))
+    d = d.withColumn(new, F.when(F.size(old) > 0, F.transform(old, lambda m: pseudonym(m, key, invert))))
+    gaps = F.split(body, ANY, -1)
+    joined = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size(new)), new, lambda g, m: F.concat(g, m)), ""),
                       F.element_at(gaps, -1))
-    d = d.withColumn(text, F.when(F.col("_new").isNotNull(), joined).otherwise(F.col(text)))
+    d = d.withColumn(text, F.when(F.col(new).isNotNull(), joined).otherwise(body))
     if count:
-        changed = F.aggregate(F.zip_with("_pii", "_new", lambda a, b: F.when(a != b, 1).otherwise(0)), F.lit(0), lambda x, y: x + y)
-        d = d.withColumn(count, F.coalesce(F.when(F.col("_new").isNotNull(), changed), F.lit(0)))
-    return d.drop("_pii", "_new")
+        changed = F.aggregate(F.zip_with(old, new, lambda a, b: F.when(a != b, 1).otherwise(0)), F.lit(0), lambda x, y: x + y)
+        d = d.withColumn(count, F.coalesce(F.when(F.col(new).isNotNull(), changed), F.lit(0)))
+    return d.drop(old, new)

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, stored
-from .components import connected_components
+from ionframe.operators.components import star_components
+
+from .common import attach, named, stored, unlike
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Fingerprints that share a masked pattern and still go to one task; more are split by further masks.
@@ -222,7 +223,7 @@ def _with_least(rows: DataFrame, least: Column, max_bits: int, group_rows: int,
     """``rows`` (stored, with fingerprint ``fp``) with the smallest ``least`` of each row's component in component_id."""
     own = stored(rows.groupBy("fp").agg(F.min(least).alias("least"), F.count(F.lit(1)).alias("n")), "simhash-own")
     total = own.agg(F.sum("n")).first()[0] or 0
-    comp = connected_components(hamming_links(own.select("fp"), max_bits, group_rows, unit_rows), "a", "b")
+    comp = star_components(hamming_links(own.select("fp"), max_bits, group_rows, unit_rows), "a", "b")
     in_comp = stored(own.join(comp.withColumnRenamed("node", "fp"), on="fp", how="left")
                      .withColumn("root", F.coalesce("component", "fp")).drop("component"), "simhash-roots")
     of_root = in_comp.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
@@ -252,14 +253,16 @@ def keep_one(docs: DataFrame, max_bits: int = 3, width: int = 3, seed: int = 42,
     doc_id come last in their component. Which of the rows that repeat both stays is not defined. Columns are those of docs."""
     from pyspark.sql import Window
 
+    own = unlike(docs, "_keep_")
+    on = [own + k for k in ("null", "id", "hash")]
+
     def keys(df: DataFrame, i: Column, t: Column) -> DataFrame:
-        return df.withColumns({"_keep_null": i.isNull(), "_keep_id": F.coalesce(i, F.lit(0).cast("long")), "_keep_hash": F.xxhash64(t)})
+        return df.withColumns(dict(zip(on, (i.isNull(), F.coalesce(i, F.lit(0).cast("long")), F.xxhash64(t)))))
 
-    on = ["_keep_null", "_keep_id", "_keep_hash"]
-    rows = fingerprints(docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")), "t", width, seed)
+    rows = fingerprints(docs.select(named(doc_id).cast("long").alias("i"), named(text).alias("t")), "t", width, seed)
     rows = stored(keys(rows, F.col("i"), F.col("t")).select(*on, "fp"), "simhash-rows")
-    named = _with_least(rows, F.struct(*on), max_bits, GROUP_ROWS, UNIT_ROWS)
-    gone = named.where(F.struct(*on) != F.col("component_id")).select(*on).distinct()
-    kept = keys(docs, F.col(doc_id).cast("long"), F.col(text)).join(gone, on=on, how="left_anti")
+    of_rows = _with_least(rows, F.struct(*on), max_bits, GROUP_ROWS, UNIT_ROWS)
+    gone = of_rows.where(F.struct(*on) != F.col("component_id")).select(*on).distinct()
+    kept = keys(docs, named(doc_id).cast("long"), named(text)).join(gone, on=on, how="left_anti")
     one = Window.partitionBy(*on).orderBy(F.lit(1))
-    return kept.withColumn("_keep_one", F.row_number().over(one)).where("_keep_one = 1").select(*docs.columns)
+    return kept.withColumn(own + "one", F.row_number().over(one)).where(F.col(own + "one") == 1).select(*[named(c) for c in docs.columns])

@@ -154,3 +154,32 @@ def test_odd_rows_and_plan(spark):
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
     long = "word " * 200_000 + "4111111111111111"
     assert one(spark, [long])[0][:-16] == long[:-16]
+
+
+def test_very_long_runs_of_what_patterns_repeat(spark):
+    n = 1_000_000
+    runs = [unit * (n // len(unit)) for unit in ("b.", "b-", "1.1.", "a@a@", "1 1 1", "+1 ", "a@b.", "GB12 ", "4-", "(2")]
+    runs += ["a@" + "b." * 5000 + "com", "a@" + "b." * (n // 2) + "com", "x" * n + "@a.com", "mail me at a@" + "b." * 100 + "com. Thanks", "a@" + "b" * 64 + ".com"]
+    got = pii.pseudonymise(spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string").repartition(8), "k", count="n").orderBy("doc_id").collect()
+    assert [r.text for r in got[:10] if r.n == 0] == [t for t, r in zip(runs, got[:10]) if r.n == 0]
+    # a domain of over 253 characters is none, nor is a label of 64
+    assert [(r.n, r.text == t) for r, t in zip(got[10:], runs[10:])] == [(0, True), (0, True), (1, False), (1, False), (0, True)]
+    assert got[13].text.endswith(".com. Thanks")
+
+
+def test_long_values_are_permuted(spark):
+    text = ["token=" + "aB3" * (k // 3) + "zz" for k in (50_000, 300_000)]
+    df = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
+    new = pii.pseudonymise(df, "k").orderBy("doc_id")
+    got = [r.text for r in new.collect()]
+    assert all(g != t and len(g) == len(t) and g.startswith("token=") for g, t in zip(got, text))
+    assert [r.text for r in pii.pseudonymise(new, "k", invert=True).orderBy("doc_id").collect()] == text
+
+
+def test_columns_with_the_names_of_helpers_stay(spark):
+    row = (1, "call a@b.com", "x", "y", "z", 5)
+    df = spark.createDataFrame([row], "doc_id long, text string, _pii string, _new string, `a.b` string, _pii_old int")
+    got = pii.pseudonymise(df, "k")
+    assert got.columns == df.columns and tuple(got.first())[2:] == row[2:]
+    dotted = pii.pseudonymise(df.select("doc_id", "text").withColumnRenamed("text", "a.b"), "k", text="a.b")
+    assert dotted.columns == ["doc_id", "a.b"] and dotted.first()[1] == got.first()[1] != row[1]

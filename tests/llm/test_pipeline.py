@@ -39,14 +39,14 @@ def test_stages(spark, tmp_path):
     assert abs(sum(words.values()) / sum(len(cases.WORDS.findall(r.text)) for r in steps["personal_data"]) - 1) < 0.05
     lib = library.SentencePieceProcessor(model_file=queries.TOKENIZER)
     assert Counter(r.doc_id for r in steps["encoded"]) == copies
-    assert all(r.ids == lib.encode(known[r.doc_id].text) for r in steps["encoded"])
+    assert all(r.ids == lib.encode(known[r.doc_id].text) and r.round_trip for r in steps["encoded"])
 
 
 def test_run(spark):
     import __spark_entry__
 
     got = __spark_entry__.queries()["pipeline"](spark, cases.SF)
-    assert got.columns == ["doc_id", "source", "ids"] and got.count() > 0
+    assert got.columns == ["doc_id", "source", "ids", "round_trip"] and got.count() > 0
 
 
 def test_odd_and_empty_rows(spark):

@@ -3,7 +3,7 @@ import pytest
 import xxhash
 
 from ionframe.llm import queries, simhash
-from ionframe.llm.components import connected_components
+from ionframe.operators.components import star_components
 from tests.llm import cases
 
 
@@ -65,9 +65,9 @@ def test_links_with_split_groups(spark, group_rows):
 
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(2000)] + [(5000, 5000 + i) for i in range(1, 500)] + [(7, 7), (None, 3)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    got = {r.node: r.component for r in star_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {i: 0 for i in range(2001)} | {5000 + i: 5000 for i in range(500)}
-    assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+    assert star_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
 def test_one_stays(spark):
@@ -87,3 +87,11 @@ def test_one_of_each_group_stays_with_clashing_and_null_ids(spark):
     got = [(r.doc_id, r.text or None) for r in kept.collect()]
     assert sorted(got, key=str) == sorted([(5, a), (3, b), (5, c), (None, d), (7, None)], key=str)
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_columns_with_the_names_of_helpers_stay(spark):
+    df = spark.createDataFrame([(i, f"some text {i // 2}", i + 10, f"h{i}", i * 2, "x") for i in range(6)],
+                               "doc_id long, text string, _keep_id long, _keep_hash string, `a.b` int, _keep_one string")
+    got = sorted(map(tuple, simhash.keep_one(df).collect()))
+    assert simhash.keep_one(df).columns == df.columns
+    assert got == [r for r in sorted(map(tuple, df.collect())) if r[0] % 2 == 0]
