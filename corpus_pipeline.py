@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ionframe.llm import mixing, pii, sentencepiece, simhash, toxicity
 from ionframe.llm.queries import PII_KEY, TOKENIZER
@@ -36,8 +37,10 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document's text."""
-    return sentencepiece.encode_documents(docs, sentencepiece.load(TOKENIZER)).select("doc_id", "source", "ids")
+    """Ids of each document's text, and whether decoding them gives the text again."""
+    model = sentencepiece.load(TOKENIZER)
+    back = sentencepiece.decode_documents(sentencepiece.encode_documents(docs, model), model, out="decoded")
+    return back.select("doc_id", "source", "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 STAGES: list[tuple[str, Stage]] = [("toxicity", clean), ("near_duplicates", near_duplicates), ("personal_data", personal_data),
