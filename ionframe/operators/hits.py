@@ -30,8 +30,8 @@ def first_hits(psm: DataFrame, keys: Sequence[str] = ("dataset", "scan", "charge
 
 
 def clean_sequence(col: Column) -> Column:
-    """Strip flanking residues (``K.PEPTIDE.R``) and modification symbols."""
-    core = F.regexp_replace(col, r"^[A-Z-]\.(.*)\.[A-Z-]$", "$1")
+    """Strip flanking residues (``K.PEPTIDE.R``; any one character, such as - or _ at a protein's end) and modification symbols."""
+    core = F.regexp_replace(col, r"^.?\.(.*)\..?$", "$1")
     return F.regexp_replace(core, r"[^A-Z]", "")
 
 
@@ -57,26 +57,19 @@ def map_peptides(peptides: DataFrame, digested: DataFrame, peptide: str = "pepti
     return peptides.select(peptide).distinct().join(digested, on=peptide, how="inner")
 
 
-_SUPPLEMENTARY = r"[\x{10000}-\x{10FFFF}]"
+#: Positions that one exploded row covers; characters are counted from its start.
+RUN = 32
 
 
-def _windows(proteins: DataFrame, accession: str, sequence: str, length: int) -> DataFrame:
-    """(accession, start, _win): for every position the text from there on, ``length`` characters at most.
-
-    All come from one native regex pass ``(?s)(?=(.{1,length}))``; a text with characters outside the BMP (where the
-    regex would also stop inside a surrogate pair) slices its code-point array instead, in runs of
-    positions that carry only the characters they reach."""
-    has_sup = F.col(sequence).rlike(_SUPPLEMENTARY)
-    fast = proteins.where(~has_sup).select(
-        accession, F.posexplode(F.regexp_extract_all(sequence, F.lit(f"(?s)(?=(.{{1,{length}}}))"), 1)).alias("_p", "_win"))
-    run = 1024
-    chars = proteins.where(has_sup).select(accession, F.split(sequence, "").alias("_c"))
-    chars = chars.select(accession, F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.size("_c") - 1) / run).cast("int")), lambda k: F.slice(
-        "_c", k * run + 1, F.lit(run + length - 1)))).alias("_k", "_c"))
-    slow = chars.select(accession, F.col("_k"), F.posexplode(F.expr(
-        f"transform(sequence(1, least({run}, size(_c))), i -> array_join(slice(_c, i, {length}), ''))")).alias("_i", "_win"))
-    slow = slow.select(accession, (F.col("_k") * run + F.col("_i")).alias("_p"), "_win")
-    return fast.unionByName(slow).select(accession, (F.col("_p") + 1).cast("int").alias("start"), "_win")
+def _positions(proteins: DataFrame, accession: str, sequence: str, reach: int) -> DataFrame:
+    """(accession, _at, _text, _i): a row per position _at + _i of the sequences, with the run's text and ``reach`` - 1 characters
+    more. Runs are cut off by one regex pass, and the positions in them exploded from a range, in generated code."""
+    d = proteins.where(F.col(sequence).isNotNull()).select(accession, F.regexp_extract_all(sequence, F.lit(f"(?s).{{1,{RUN}}}"), 0).alias("_blocks"))
+    d = d.select(accession, "_blocks", F.posexplode("_blocks").alias("_k", "_block"))
+    more = F.array_join(F.slice("_blocks", F.col("_k") + 2, F.lit(-(-reach // RUN))), "")
+    d = d.select(accession, (F.col("_k") * RUN).alias("_at"), F.length("_block").alias("_n"),
+                 F.concat("_block", F.substring(more, 1, reach)).alias("_text"))
+    return d.select(accession, "_at", "_text", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_i"))
 
 
 def map_peptides_substring(peptides: DataFrame, proteins: DataFrame, peptide: str = "peptide",
@@ -85,19 +78,20 @@ def map_peptides_substring(peptides: DataFrame, proteins: DataFrame, peptide: st
     missed cleavages beyond the limit): every protein containing the peptide,
     with its 1-based start (all occurrences; empty peptides have none).
 
-    Every position carries the text it can be compared with, as long as the longest peptide. Positions whose
-    first ``k`` characters begin no peptide are dropped before anything is exchanged, the others meet the peptides in an
-    equi-join on these and are verified; texts are never joined back. Peptides shorter than ``k`` use
-    their own length in its place."""
+    Positions whose first ``k`` characters begin no peptide are dropped first; what is left carries the text it can be
+    compared with, meets the peptides in an equi-join on these characters and is verified. Texts are never joined back.
+    Peptides shorter than ``k`` use their own length in its place."""
     pep = peptides.select(peptide).distinct().withColumn("_len", F.length(peptide)).where(F.col("_len") > 0)
     pep = pep.withColumn("_k", F.least(F.col("_len"), F.lit(k))).withColumn("_kmer", F.substring(peptide, 1, k))
     lens = pep.agg(F.max("_len").alias("longest"), F.collect_set("_k").alias("ks")).first()  # at most k lengths
     if lens["longest"] is None:
         return proteins.select(F.lit("").alias(peptide), accession, F.lit(0).alias("start")).limit(0)
-    win = _windows(proteins.select(accession, sequence).where(F.col(sequence).isNotNull()), accession, sequence, lens["longest"])
-    heads = F.array_distinct(F.array(*[F.substring("_win", 1, n) for n in sorted(lens["ks"])]))
-    cand = win.withColumn("_kmer", F.explode(heads))
+    heads = [F.substr("_text", F.col("_i") + 1, F.lit(n)) for n in sorted(lens["ks"])]
+    kmer = heads[0] if len(heads) == 1 else F.explode(F.array_distinct(F.array(*heads)))
+    cand = _positions(proteins, accession, sequence, lens["longest"]).withColumn("_kmer", kmer)
     cand = cand.join(pep.select("_kmer").distinct(), on="_kmer", how="left_semi")
+    cand = cand.select("_kmer", accession, (F.col("_at") + F.col("_i") + 1).cast("int").alias("start"),
+                       F.substr("_text", F.col("_i") + 1, F.lit(lens["longest"])).alias("_win"))
     hit = cand.join(pep.select(peptide, "_kmer"), on="_kmer").where(F.col("_win").startswith(F.col(peptide)))
     return hit.select(peptide, accession, "start")
 

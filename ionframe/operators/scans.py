@@ -327,10 +327,10 @@ def mrm_crosstab(peaks: DataFrame, transitions: DataFrame, keys: Sequence[str],
 
 
 def top_ions(peaks: DataFrame, keys: Sequence[str], intensity: str, sn: str = "sn",
-             n: int = 200, min_sn: float = 1.0) -> DataFrame:
-    """per scan the ``n`` most intense ions with S/N >= ``min_sn``."""
+             n: int = 200, min_sn: float = 1.0, mz: str = "mz") -> DataFrame:
+    """per scan the ``n`` most intense ions with S/N >= ``min_sn``; of equal intensities the smaller m/z, where there is one."""
     kept = peaks.where(F.col(sn) >= min_sn)
-    return top_n(kept, keys, [F.col(intensity).desc()], n)
+    return top_n(kept, keys, [F.col(intensity).desc(), *([F.col(mz).asc()] if mz in peaks.columns else [])], n)
 
 
 def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz: str, rt: str,
@@ -341,36 +341,40 @@ def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz:
     linked; groups are the connected components. Returns (keys, parent_id, group_id), group_id the smallest id
     of the group. An ion is (keys, parent_id): equal ids of two datasets are two ions.
 
-    Pairs come from a two-dimensional range join (never all pairs); the cosine
-    is a sparse dot product: an equi-join of the two spectra on the bin."""
+    A spectrum travels with its ion as arrays, its bins from the rarest to the most frequent. Its prefix is as many
+    bins as leave less than min_similarity of its length in the rest: by Cauchy-Schwarz two spectra whose prefixes share no bin
+    are less similar than that. Pairs come from a two-dimensional range join that also has a prefix bin as key (so
+    never all pairs), are taken at the first prefix bin they share, and their cosine is summed in the row. A spectrum of
+    zeros is similar to nothing."""
     from .components import star_components
 
     keys = list(keys)
     ids = materialize(parents.select(*keys, parent_id).distinct(), "ions")
     node = F.struct(*[F.col(k) for k in keys], F.col(parent_id))
-    on = [(f"_ka{i}", f"_kb{i}") for i in range(len(keys))]
+    often = binned.groupBy(bin_col).agg(F.count(F.lit(1)).alias("_f"))
+    peaks = binned.join(often, on=bin_col).groupBy(*keys, parent_id).agg(
+        F.array_sort(F.collect_list(F.struct("_f", F.col(bin_col).alias("b"), F.col(value).cast("double").alias("v")))).alias("_s"))
+    norm2 = F.aggregate("_s", F.lit(0.0), lambda x, p: x + p["v"] * p["v"])
+    peaks = peaks.withColumn("_n2", norm2).where("_n2 > 0")
+    # a little longer than need be, so that rounding drops no pair at the threshold
+    rest = F.lit(max(0.0, min_similarity) ** 2 * (1 - 1e-9)) * F.col("_n2")
+    taken = F.aggregate("_s", F.struct(F.col("_n2").alias("left"), F.lit(0).alias("n")), lambda x, p: F.when(
+        x["left"] >= rest, F.struct((x["left"] - p["v"] * p["v"]).alias("left"), (x["n"] + 1).alias("n"))).otherwise(x), lambda x: x["n"])
+    peaks = peaks.select(*keys, parent_id, F.sqrt("_n2").alias("_n"), F.col("_s.b").alias("_b"), F.col("_s.v").alias("_v"),
+                         F.slice(F.col("_s.b"), F.lit(1), taken).alias("_pre"))
+    ions = materialize(parents.select(*keys, parent_id, F.col(mz).alias("_mz"), F.col(rt).alias("_rt")).join(peaks, on=[*keys, parent_id]), "ion-spectra")
 
     def side(x: str) -> DataFrame:
-        return parents.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col(parent_id).alias(f"_{x}"),
-                              F.col(mz).alias(f"_{x}mz"), F.col(rt).alias(f"_{x}rt"))
-
-    def spectrum(x: str) -> DataFrame:
-        return binned.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col(parent_id).alias(f"_{x}"),
-                             F.col(bin_col).alias("_bin"), F.col(value).alias(f"_v{x}"))
-
-    def norm(x: str) -> DataFrame:
-        return spectrum(x).groupBy(*[f"_k{x}{i}" for i in range(len(keys))], f"_{x}").agg(
-            F.sqrt(F.sum(F.col(f"_v{x}") * F.col(f"_v{x}"))).alias(f"_n{x}"))
-
-    pairs = range_join(side("a"), side("b"), [Tol("_amz", "_bmz", mz_tol), Tol("_art", "_brt", rt_tol)], on=on)
-    pairs = pairs.where(F.col("_a") < F.col("_b")).select(*[a for a, _ in on], *[b for _, b in on], "_a", "_b").distinct()
-    ka, kb = [*[a for a, _ in on], "_a"], [*[b for _, b in on], "_b"]
-    dot = pairs.join(spectrum("a"), on=ka).join(spectrum("b"), on=[*kb, "_bin"]).groupBy(*ka, *kb) \
-        .agg(F.sum(F.col("_va") * F.col("_vb")).alias("_dot"))
-    den = F.col("_na") * F.col("_nb")
-    sim = dot.join(norm("a"), on=ka).join(norm("b"), on=kb).withColumn(
-        "similarity", F.when(den > 0, F.col("_dot") / den))  # an all-zero spectrum is similar to nothing
-    links = sim.where(F.col("similarity") >= min_similarity)
+        spectrum = F.arrays_zip(F.col("_b").alias("b"), F.col("_v").alias("v")) if x == "a" else F.map_from_arrays("_b", "_v")
+        return ions.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col(parent_id).alias(f"_{x}"), F.col("_mz").alias(f"_{x}mz"),
+                           F.col("_rt").alias(f"_{x}rt"), F.col("_n").alias(f"_n{x}"), spectrum.alias(f"_s{x}"), F.col("_pre").alias(f"_pre{x}"),
+                           F.explode("_pre").alias(f"_d{x}"))
+
+    on = [(f"_ka{i}", f"_kb{i}") for i in range(len(keys))]
+    pairs = range_join(side("a"), side("b"), [Tol("_amz", "_bmz", mz_tol), Tol("_art", "_brt", rt_tol)], on=[*on, ("_da", "_db")])
+    pairs = pairs.where((F.col("_a") < F.col("_b")) & (F.element_at(F.array_intersect("_prea", "_preb"), 1) == F.col("_da")))
+    dot = F.aggregate("_sa", F.lit(0.0), lambda x, p: x + p["v"] * F.coalesce(F.col("_sb")[p["b"]], F.lit(0.0)))
+    links = pairs.where(dot / (F.col("_na") * F.col("_nb")) >= min_similarity)
 
     def named(x: str):
         return F.struct(*[F.col(f"_k{x}{i}").alias(k) for i, k in enumerate(keys)], F.col(f"_{x}").alias(parent_id))

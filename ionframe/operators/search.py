@@ -49,8 +49,23 @@ def cleave(col: Column, pattern: str) -> Column:
     return F.filter(F.split(col, pattern), lambda p: p != "")
 
 
-#: Starts that one exploded row covers; it carries only the pieces or characters these can reach.
-CHUNK = 1024
+#: Starts that one exploded row covers; it carries only the text and pieces that these can reach.
+CHUNK = 64
+
+
+def _chunks(proteins: DataFrame, key: Sequence[str], sequence: str, rule: str, max_len: int) -> DataFrame:
+    """Runs of CHUNK residues: key, _at (residues before), _n (of the whole sequence), _text (what peptides that begin here can
+    reach), _of (piece index per residue, one more than they reach), _before (piece of the residue before, or -1)."""
+    seq = F.col(sequence)
+    of = F.flatten(F.transform(cleave(seq, rule), lambda x, j: F.array_repeat(j, F.length(x))))
+    p = proteins.select(*key, F.regexp_extract_all(seq, F.lit(f"(?s).{{1,{CHUNK}}}"), 0).alias("_blocks"), of.alias("_all"))
+    p = p.select(*key, F.col("_all"), F.size("_all").alias("_n"), F.posexplode("_blocks").alias("_k", "_block"), "_blocks")
+    at = F.col("_k") * CHUNK
+    # the blocks themselves are slices of the text, so a long one isn't counted through for every chunk
+    more = F.array_join(F.slice("_blocks", F.col("_k") + 2, F.lit(-(-max_len // CHUNK))), "")
+    return p.select(*key, at.alias("_at"), "_n", F.concat("_block", more).alias("_text"),
+                    F.slice("_all", at + 1, F.lit(CHUNK + max_len + 1)).alias("_of"),
+                    F.when(at == 0, F.lit(-1)).otherwise(F.get("_all", at - 1)).alias("_before"))
 
 
 def digest(proteins: DataFrame, key: Sequence[str], sequence: str, rule: str = r"(?<=[KR])(?!P)",
@@ -64,81 +79,48 @@ def digest(proteins: DataFrame, key: Sequence[str], sequence: str, rule: str = r
     ``drop_first_met``: of a sequence that starts with M, the first peptides are also
     given without it; start counts residues of the whole sequence.
 
-    Built inside the row, so nothing is shuffled and rows that share a key keep apart. Pieces
-    start where the piece index of the characters changes; a peptide of at most
-    max_len has at most as many pieces, so work is linear in the sequence.
+    Starts and ends are where the piece index of the residues changes. Both are exploded from ranges of
+    positions in generated code, a run of residues at a time, so nothing is shuffled, rows that share a key keep
+    apart, and work is linear in the sequence.
     """
-    most = max_len if max_missed is None else min(max_len, max_missed + 1)
-    longest = max_len + 1 if drop_first_met else max_len
-    p = proteins.select(*key, F.col(sequence).startswith("M").alias("_met"), cleave(F.col(sequence), rule).alias("_p"))
-    of = F.flatten(F.transform("_p", lambda x, j: F.array_repeat(j, F.length(x))))
-    p = p.where(F.size("_p") > 0).withColumn("_of", of)
-    p = p.withColumn("_st", F.expr("concat(filter(transform(_of, (x, i) -> IF(i = 0 OR _of[i - 1] != x, i + 1, 0)), x -> x > 0),"
-                                   " array(size(_of) + 1))"))
-    at = F.col("_c") * CHUNK + 1
-    p = p.withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((F.size("_p") - 1) / CHUNK).cast("int"))))
-    p = p.select(*key, "_met", F.slice("_p", at, F.lit(CHUNK + most)).alias("_p"), F.slice("_st", at, F.lit(CHUNK + most + 1)).alias("_st"))
-    p = p.withColumn("_n", F.size("_st") - 1)
-    found = F.expr(f"""
-      flatten(transform(sequence(0, least({CHUNK}, _n) - 1), i -> transform(
-        filter(sequence(i + 1, least(i + {most}, _n)), j -> _st[j] - _st[i] BETWEEN {min_len} AND {longest}),
-        j -> named_struct('start', _st[i], 'missed', j - i - 1, 'pep', array_join(slice(_p, i + 1, j - i), '')))))""")
-    e = p.select(*key, "_met", F.explode(found).alias("_x"))
-    e = e.select(*key, "_met", F.col("_x.start").alias("start"), F.col("_x.missed").alias("missed_cleavages"), F.col("_x.pep").alias("peptide"))
-    if drop_first_met:
-        whole = F.struct("start", "peptide")
-        without = F.struct(F.lit(2).alias("start"), F.expr("substring(peptide, 2)").alias("peptide"))
-        forms = F.when(F.col("_met") & (F.col("start") == 1), F.array(whole, without)).otherwise(F.array(whole))
-        e = e.withColumn("_f", F.explode(forms)).select(*key, F.col("_f.start").alias("start"), "missed_cleavages",
-                                                        F.col("_f.peptide").alias("peptide"))
-        e = e.where(F.length("peptide").between(min_len, max_len))
-    return e.select(*key, "start", "missed_cleavages", "peptide")
+    p = _chunks(proteins, key, sequence, rule, max_len)
+    # -1 stands for the first residue left out
+    first = F.when((F.col("_at") == 0) & F.col("_text").startswith("M"), -1).otherwise(0) if drop_first_met else F.lit(0)
+    p = p.withColumn("_c", F.explode(F.sequence(first, F.least(F.lit(CHUNK), F.col("_n") - F.col("_at")) - 1)))
+    p = p.where("_c = -1 OR (CASE WHEN _c = 0 THEN _before ELSE get(_of, _c - 1) END) <> get(_of, _c)")
+    p = p.withColumn("_s", F.when(F.col("_c") < 0, 1).otherwise(F.col("_c"))).where(F.col("_n") - F.col("_at") - F.col("_s") >= min_len)
+    p = p.withColumn("_e", F.explode(F.sequence(F.col("_s") + min_len, F.least(F.col("_s") + max_len, F.col("_n") - F.col("_at")))))
+    p = p.where("_at + _e = _n OR get(_of, _e) <> get(_of, _e - 1)")
+    missed = F.get("_of", F.col("_e") - 1) - F.get("_of", F.greatest("_c", F.lit(0)))
+    e = p.select(*key, (F.col("_at") + F.col("_s") + 1).alias("start"), missed.alias("missed_cleavages"),
+                 F.expr("substring(_text, _s + 1, _e - _s)").alias("peptide"))
+    return e if max_missed is None else e.where(F.col("missed_cleavages") <= max_missed)
 
 
 def digest_nonspecific(proteins: DataFrame, key: Sequence[str], sequence: str, ntt: int = 1,
                        site_pattern: str = r"(?<=[KR])(?!P)", min_len: int = 6, max_len: int = 50,
-                       max_missed: int | None = None) -> DataFrame:
+                       max_missed: int | None = None, drop_first_met: bool = False) -> DataFrame:
     """D3 with ``ntt`` < 2 tolerable termini: every substring of allowed
     length whose number of enzymatic termini (protein ends count) is at least
     ``ntt``; missed cleavages = cleavage sites strictly inside. Output as
     ``digest``: key, start (1-based), missed_cleavages, ntt, peptide.
 
-    Per sequence two arrays are built once: its characters and, per
-    character, the index of the cleavage piece it falls in. A candidate
-    (b, e) then costs O(1) for its termini (piece index changes at b / e)
-    and missed cleavages (piece index difference), plus O(length) to slice
-    its text. Start positions are exploded in chunks, each with the characters it can reach
-    and one on either side."""
-    seq = F.col(sequence)
-    pieces = cleave(seq, site_pattern)
-    piece_of = F.flatten(F.transform(pieces, lambda p, j: F.array_repeat(j + 1, F.length(p))))
-    p = proteins.where(F.length(seq) >= min_len).select(
-        *key, F.split(seq, "").alias("_c"), piece_of.alias("_pi"))
-    p = p.withColumn("_n", F.size("_c"))
-    p = p.withColumn("_k", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - min_len) / CHUNK).cast("int"))))
-    # the piece before the chunk's first character: 0 at the sequence's start, which no character has
-    reach = CHUNK + max_len
-    p = p.select(*key, (F.col("_k") * CHUNK).alias("_at"), "_n",
-                 F.slice("_c", F.col("_k") * CHUNK + 1, F.lit(reach)).alias("_c"),
-                 F.slice("_pi", F.col("_k") * CHUNK + 1, F.lit(reach + 1)).alias("_pi"),
-                 F.when(F.col("_k") == 0, F.lit(0)).otherwise(F.expr(f"_pi[greatest(_k * {CHUNK} - 1, 0)]")).alias("_before"))
-    cand = F.expr(f"""
-      filter(flatten(transform(
-        sequence(0, least({CHUNK - 1}, _n - _at - {min_len})),
-        b -> transform(sequence(b + {min_len}, least(b + {max_len}, _n - _at)), e -> named_struct(
-              'b', b, 'e', e,
-              'ntt', CAST(IF(b = 0, _before, _pi[b - 1]) != _pi[b] AS INT) + CAST(_at + e = _n OR _pi[e - 1] != _pi[least(e, size(_pi) - 1)] AS INT),
-              'missed', _pi[e - 1] - _pi[b])))),
-        x -> x.ntt >= {ntt})""")
-    if max_missed is not None:
-        cand = F.filter(cand, lambda x: x["missed"] <= max_missed)
-    # the text of each kept candidate is sliced inside the row, so the
-    # exploded rows carry only their own peptide
-    with_text = F.transform(cand, lambda x: x.withField(
-        "pep", F.array_join(F.slice("_c", x["b"] + 1, x["e"] - x["b"]), "")))
-    e = p.select(*key, "_at", F.explode(with_text).alias("_x"))
-    return e.select(*key, (F.col("_at") + F.col("_x.b") + 1).alias("start"), F.col("_x.missed").alias("missed_cleavages"),
-                    F.col("_x.ntt").alias("ntt"), F.col("_x.pep").alias("peptide"))
+    ``drop_first_met``: of a sequence that starts with M, the residue after it is a terminus too, and not one
+    more missed cleavage.
+
+    A candidate's termini show in the piece indices at its ends, its missed cleavages in their difference; starts and
+    ends are exploded from ranges of positions, as in `digest`."""
+    p = _chunks(proteins, key, sequence, site_pattern, max_len).where(F.col("_n") >= min_len)
+    p = p.withColumn("_met", (F.col("_at") == 0) & F.col("_text").startswith("M") if drop_first_met else F.lit(False))
+    p = p.withColumn("_s", F.explode(F.sequence(F.lit(0), F.least(F.lit(CHUNK), F.col("_n") - F.col("_at")) - 1)))
+    p = p.where(F.col("_n") - F.col("_at") - F.col("_s") >= min_len)
+    p = p.withColumn("_open", F.expr("_met AND _s = 1 OR (CASE WHEN _s = 0 THEN _before ELSE get(_of, _s - 1) END) <> get(_of, _s)").cast("int"))
+    p = p.withColumn("_e", F.explode(F.sequence(F.col("_s") + min_len, F.least(F.col("_s") + max_len, F.col("_n") - F.col("_at")))))
+    p = p.withColumn("ntt", F.col("_open") + F.expr("_at + _e = _n OR get(_of, _e) <> get(_of, _e - 1)").cast("int")).where(F.col("ntt") >= ntt)
+    missed = F.get("_of", F.col("_e") - 1) - F.get("_of", "_s")
+    e = p.select(*key, (F.col("_at") + F.col("_s") + 1).alias("start"), missed.alias("missed_cleavages"), "ntt",
+                 F.expr("substring(_text, _s + 1, _e - _s)").alias("peptide"))
+    return e if max_missed is None else e.where(F.col("missed_cleavages") <= max_missed)
 
 
 def peptide_mass(df: DataFrame, sequence: str, residue_mass: Mapping[str, float],
@@ -217,7 +199,7 @@ def preset_peptides(proteins: DataFrame, preset: Preset, residue_mass: Mapping[s
         p = digest(proteins, key, sequence, min_len=preset.length[0], max_len=preset.length[1], max_missed=max_missed, drop_first_met=True)
     else:
         p = digest_nonspecific(proteins, key, sequence, preset.ntt, min_len=preset.length[0], max_len=preset.length[1],
-                               max_missed=max_missed).drop("ntt")
+                               max_missed=max_missed, drop_first_met=True).drop("ntt")
     fixed = {r: d for r, d in preset.fixed.items() if r != "<"}
     p = peptide_mass(p, "peptide", residue_mass, fixed, preset.fixed.get("<", 0.0)).where(F.col("mass").isNotNull())
     if not preset.variable or not preset.max_mods:
@@ -249,11 +231,14 @@ def theoretical_fragments(df: DataFrame, sequence: str, residue_mass: Mapping[st
         each = F.transform(F.col(sites), lambda x: F.lit(float(deltas))) if isinstance(deltas, (int, float)) else F.col(deltas)
         at = F.arrays_zip(F.col(sites).alias("s"), each.alias("d"))
         plain = masses
-        masses = F.transform(plain, lambda m, i: m + F.aggregate(F.filter(at, lambda x: x["s"] == i + 1), F.lit(0.0), lambda a, x: a + x["d"]))
+        own = F.col(sites)
+        masses = F.transform(plain, lambda m, i: F.when(F.array_contains(own, (i + 1).cast(df.schema[sites].dataType.elementType)), m + F.aggregate(
+            F.filter(at, lambda x: x["s"] == i + 1), F.lit(0.0), lambda a, x: a + x["d"])).otherwise(m))
     d = df.select(*key, masses.alias("_m"))
-    d = d.withColumn("_pref", F.transform("_m", lambda x, i: F.aggregate(
-        F.slice("_m", F.lit(1), i + 1), F.lit(0.0), lambda a, v: a + v)))
-    d = d.withColumn("_tot", F.aggregate("_m", F.lit(0.0), lambda a, v: a + v)).where(F.col("_tot").isNotNull())
+    # one step a residue: the sums so far, and the next one behind them
+    sums = F.aggregate("_m", F.array(F.lit(0.0)), lambda a, v: F.concat(a, F.array(F.element_at(a, -1) + v)))
+    d = d.withColumn("_sums", sums).withColumn("_tot", F.element_at("_sums", -1)).where(F.col("_tot").isNotNull())
+    d = d.withColumn("_pref", F.slice("_sums", 2, F.size("_m")))
     e = d.select(*key, "_tot", F.size("_m").alias("_n"), F.posexplode("_pref").alias("_i", "_p"))
     e = e.where(F.col("_i") < F.col("_n") - 1).withColumn("pos", (F.col("_i") + 1).cast("int"))
     if tuple(charges) == (1,):

@@ -483,10 +483,12 @@ SELECT p_partkey, start, missed_cleavages, ntt, peptide FROM t WHERE ntt >= 1
 """
 
 ORACLE["q58_map_substring"] = """
-WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS peptide FROM part),
-pos AS (SELECT doc_id, text, unnest(range(1, length(text) + 1)) AS start FROM documents)
-SELECT w.peptide, pos.doc_id AS accession, pos.start::INTEGER AS start
-FROM w JOIN pos ON substr(pos.text, pos.start, length(w.peptide)) = w.peptide
+WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS peptide FROM part WHERE split_part(p_name, ' ', 1) <> ''),
+c AS (SELECT doc_id, regexp_extract_all(text, '(?s).{1,64}') AS l FROM documents WHERE text <> ''),
+b AS (SELECT doc_id, unnest(l) AS t, unnest(list_append(l[2:], '')) AS next, unnest(range(len(l))) AS k FROM c),
+h AS (SELECT doc_id, t || next AS s, k, unnest(range(1, length(t) + 1)) AS i FROM b)
+SELECT w.peptide, h.doc_id AS accession, (k * 64 + i)::INTEGER AS start
+FROM h JOIN w ON substr(s, i, 1) = substr(w.peptide, 1, 1) AND substr(s, i, length(w.peptide)) = w.peptide
 """
 
 ORACLE["q59_match_fragments"] = """

@@ -103,6 +103,35 @@ def test_semi_specific_digest_against_python(spark):
     assert full == {(s, p) for s, p, n in exp if n == 2}
 
 
+def test_semi_specific_digest_after_the_first_methionine(spark):
+    seqs = {"P": "MAAKPBBBBRCCCCCCKDDDDDDD", "Q": "MKAAAAAAAR", "R": "AMAAAAAAK", "S": "M" * 9, "T": "M" + "AK" * 400 + "CCCCCCC"}
+    df = spark.createDataFrame(list(seqs.items()), "acc string, seq string")
+    for drop in (False, True):
+        exp = set()
+        for acc, seq in seqs.items():
+            ends = {0, len(seq)} | {i + 1 for i, c in enumerate(seq[:-1]) if c in "KR" and seq[i + 1] != "P"}
+            starts = ends | ({1} if drop and seq[0] == "M" else set())
+            exp |= {(acc, b + 1, sum(b < x < e for x in ends), (b in starts) + (e in ends), seq[b:e]) for b in range(len(seq))
+                    for e in range(b + 6, min(b + 10, len(seq)) + 1) if (b in starts) + (e in ends) >= 1}
+        got = search.digest_nonspecific(df, ["acc"], "seq", 1, max_len=10, drop_first_met=drop)
+        assert sorted(map(tuple, got.collect())) == sorted(exp)
+
+
+def test_digest_over_many_runs(spark):
+    rnd = random.Random(9)
+    seqs = {f"P{n}": "".join(rnd.choice("AKRPCDE\U0001f600") for _ in range(n)) for n in (0, 1, 5, 6, 255, 256, 257, 300, 1500)}
+    seqs["M"] = "M" + seqs["P300"]
+    df = spark.createDataFrame([(a, s, 1) for a, s in seqs.items()], "acc string, seq string, start int")
+    exp = []
+    for acc, seq in seqs.items():
+        cuts = sorted({0, len(seq)} | {i + 1 for i, c in enumerate(seq[:-1]) if c in "KR" and seq[i + 1] != "P"})
+        for i, b in enumerate(cuts):
+            for j, e in enumerate(cuts[i + 1:]):
+                forms = [b] + ([1] if b == 0 and seq[0] == "M" else [])
+                exp += [(acc, f + 1, j, seq[f:e]) for f in forms if 6 <= e - f <= 50 and j <= 4]
+    assert sorted(map(tuple, search.digest(df, ["acc"], "seq", max_missed=4, drop_first_met=True).collect())) == sorted(exp)
+
+
 def test_semi_specific_digest_short_sequences(spark):
     df = spark.createDataFrame([("P", "AAK"), ("Q", "")], "acc string, seq string")
     assert search.digest_nonspecific(df, ["acc"], "seq", ntt=0, min_len=6).count() == 0

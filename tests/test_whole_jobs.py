@@ -6,7 +6,7 @@ import __spark_entry__ as E
 import pytest
 from ionframe.functions.constants import PROTON, WATER
 from ionframe.plans.tables import table
-from tests.test_inference import sequential_greedy
+from tests.test_inference import parallel_greedy
 
 SF = "/root/testdata/sf0.01"
 
@@ -16,7 +16,7 @@ def test_prior_leaves_parts_to_the_greedy(spark):
     prior = {r[0] for r in table(spark, SF, "supplier").where("s_nationkey < 2").select("s_suppkey").collect()}
     kept = {(p, s) for p, s in edges if s in prior}
     reached = {p for p, _ in kept}
-    rest = sequential_greedy(sorted((p, s) for p, s in edges if p not in reached))
+    rest = parallel_greedy(sorted((p, s) for p, s in edges if p not in reached))
     assert len(rest) > 200 and len(kept) > 200
     got = [(r.l_partkey, r.l_suppkey) for r in E.queries()["q98_sparse_prior_cover"](spark, SF).collect()]
     assert sorted(got) == sorted([*kept, *rest.items()])
