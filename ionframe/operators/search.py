@@ -12,6 +12,7 @@ from ..functions.presets import Preset
 from ..session import materialize
 from . import ordered
 from .rangejoin import Tol, range_join
+from .scans import top_n
 
 
 def add_decoys(proteins: DataFrame, accession: str = "accession", sequence: str = "sequence",
@@ -166,6 +167,15 @@ def expand_mods(peptides: DataFrame, sequence: str, mods: str | Sequence[tuple[s
     return out.withColumns({"sites": F.col("_f.sites"), "site_deltas": F.col("_f.deltas"), mass: F.col(mass) + total}).drop("_f")
 
 
+def _observed(spectra: DataFrame, precursor_mz: str, charge: str, isotopes: Sequence[int], charges: Sequence[int]) -> DataFrame:
+    """Per isotope offset _iso and charge _z (all ``charges`` where it isn't known) the neutral mass _obs_mass."""
+    ch = F.when(F.col(charge).isNull() | (F.col(charge) <= 0),
+                F.array(*[F.lit(c) for c in charges])).otherwise(F.array(F.col(charge)))
+    s = spectra.withColumn("_z", F.explode(ch)).withColumn("_iso", F.explode(F.array(*[F.lit(i) for i in isotopes])))
+    return s.withColumn("_obs_mass", (F.col(precursor_mz) - F.lit(PROTON)) * F.col("_z")
+                        - F.col("_iso") * F.lit(ISOTOPE_SPACING))
+
+
 def match_candidates(spectra: DataFrame, peptides: DataFrame, precursor_mz: str, charge: str,
                      pep_mass: str, tol: float | tuple[float, float] = 20.0, isotopes: Sequence[int] = (-1, 0, 1, 2),
                      charges: Sequence[int] = (2, 3, 4, 5), ppm: bool = True) -> DataFrame:
@@ -174,11 +184,7 @@ def match_candidates(spectra: DataFrame, peptides: DataFrame, precursor_mz: str,
     a pair of tolerances bounds the observed mass below and above it.
     Range join on the explodes, bucketed (never a cartesian product)."""
     low, high = tol if isinstance(tol, tuple) else (tol, tol)
-    ch = F.when(F.col(charge).isNull() | (F.col(charge) <= 0),
-                F.array(*[F.lit(c) for c in charges])).otherwise(F.array(F.col(charge)))
-    s = spectra.withColumn("_z", F.explode(ch)).withColumn("_iso", F.explode(F.array(*[F.lit(i) for i in isotopes])))
-    s = s.withColumn("_obs_mass", (F.col(precursor_mz) - F.lit(PROTON)) * F.col("_z")
-                     - F.col("_iso") * F.lit(ISOTOPE_SPACING))
+    s = _observed(spectra, precursor_mz, charge, isotopes, charges)
     if low == high:
         return range_join(s, peptides, [Tol("_obs_mass", pep_mass, low, ppm=ppm)])
     # centre of the lopsided interval, and half its width
@@ -257,9 +263,40 @@ def score_matches(peaks: DataFrame, fragments: DataFrame, keys: Sequence[str], p
     j = range_join(peaks, fr, [Tol(peak_mz, frag_mz, tol_da)], on=[(k, f"_f_{k}") for k in keys])
     g = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_matched"),
                              F.sum(peak_int).alias("matched_intensity"))
+    return g.withColumn("hyperscore", _hyperscore())
+
+
+def _hyperscore() -> Column:
     lfact = F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("n_matched").cast("int"), F.lit(1))),
                         F.lit(0.0), lambda a, i: a + F.log10(i))
-    return g.withColumn("hyperscore", lfact + F.log10(F.col("matched_intensity")))
+    return lfact + F.log10(F.col("matched_intensity"))
+
+
+def search_spectra(spectra: DataFrame, peaks: DataFrame, peptides: DataFrame, keys: Sequence[str], pep_keys: Sequence[str], sequence: str,
+                   residue_mass: Mapping[str, float], n: int = 1, tol_ppm: float = 20.0, isotopes: Sequence[int] = (0,),
+                   charges: Sequence[int] = (2, 3, 4, 5), frag_tol: float = 0.5, frag_charges: Sequence[int] = (1,), mass: str = "mass",
+                   sites: str | None = None, deltas: str | None = None, precursor_mz: str = "precursor_mz", charge: str = "charge",
+                   peak_mz: str = "mz", peak_int: str = "intensity") -> DataFrame:
+    """D6 + D8 + D9 + D10: the ``n`` best peptides of each spectrum, from its peaks. Output: keys, charge, isotope, pep_keys,
+    n_matched, matched_intensity, hyperscore, rn (1 is the best; ties by isotope, charge and pep_keys).
+
+    The same matches as `match_candidates`, then `theoretical_fragments` and `score_matches` of every candidate and `top_n`, but
+    candidates are never given their fragments spectrum by spectrum. The fragments of all peptides are one inverted
+    index, a posting per fragment with its m/z and its peptide's mass; a peak looks up the postings of its m/z
+    bin and its spectrum's mass bin, so only fragments that match a peak become rows. They are counted and summed per (spectrum, peptide)
+    before the exchange, and spectra keep n candidates a task before they are ranked. A candidate without a matching peak has no row.
+    """
+    ladder = theoretical_fragments(peptides, sequence, residue_mass, [*pep_keys, mass], sites, deltas, frag_charges)
+    index = ladder.select(*[F.col(k).alias(f"_p_{k}") for k in pep_keys], F.col(mass).alias("_p_mass"), F.explode(F.array("b_ion", "y_ion")).alias("_frag"))
+    seen = _observed(spectra.select(*keys, precursor_mz, charge), precursor_mz, charge, isotopes, charges)
+    seen = seen.select(*keys, "_z", "_iso", "_obs_mass")
+    probes = seen.join(peaks.select(*keys, F.col(peak_mz).alias("_mz"), F.col(peak_int).alias("_int")), on=list(keys))
+    hits = range_join(probes, index, [Tol("_obs_mass", "_p_mass", tol_ppm, ppm=True), Tol("_mz", "_frag", frag_tol)])
+    by = [*keys, "_z", "_iso", *[f"_p_{k}" for k in pep_keys]]
+    g = hits.groupBy(*by).agg(F.count(F.lit(1)).alias("n_matched"), F.sum("_int").alias("matched_intensity")).withColumn("hyperscore", _hyperscore())
+    best = top_n(g, keys, [F.col("hyperscore").desc(), F.abs("_iso"), "_iso", "_z", *[f"_p_{k}" for k in pep_keys]], n)
+    return best.select(*keys, F.col("_z").alias("charge"), F.col("_iso").alias("isotope"), *[F.col(f"_p_{k}").alias(k) for k in pep_keys],
+                       "n_matched", "matched_intensity", "hyperscore", "rn")
 
 
 def target_decoy_fdr(psm: DataFrame, score: str, is_decoy: Column | str, by: Sequence[str] = (),

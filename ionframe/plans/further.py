@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import inference
+from ..functions.constants import PROTON, WATER
+from ..operators import inference, search
 from .oracle import cover_sql
+from .queries import CHAR_MASS
 from .tables import table
 
 ORACLE: dict[str, str] = {}
@@ -64,4 +66,34 @@ SELECT p AS l_partkey, s AS l_suppkey FROM first UNION ALL SELECT p, s FROM seco
 """
 
 
+def q104_search_spectra(spark, sf):
+    """D6 + D8 + D9 + D10: every part's name and key is a peptide (masses: character codes). Its spectrum has the b ions, a little off
+    by key, brighter from ion to ion, and its own mass at charge 2 as precursor; the three best peptides of each, from the peaks."""
+    seq = F.concat(F.col("p_name"), F.col("p_partkey").cast("string"))
+    pep = search.peptide_mass(table(spark, sf, "part").select("p_partkey", seq.alias("peptide")), "peptide", CHAR_MASS)
+    spectra = pep.select(F.col("p_partkey").alias("scan"), (F.col("mass") / 2 + PROTON).alias("precursor_mz"), F.lit(2).alias("charge"))
+    ions = search.theoretical_fragments(pep, "peptide", CHAR_MASS, ["p_partkey"])
+    peaks = ions.select(F.col("p_partkey").alias("scan"), (F.col("b_ion") + (F.col("p_partkey") % 7) * 0.001).alias("mz"), (F.col("pos") * 10.0).alias("intensity"))
+    got = search.search_spectra(spectra, peaks, pep, ["scan"], ["p_partkey"], "peptide", CHAR_MASS, 3, frag_tol=0.02)
+    return got.select("scan", "p_partkey", "n_matched", F.round("matched_intensity", 3).alias("matched_intensity"), F.round("hyperscore", 6).alias("hyperscore"), "rn")
+
+
+ORACLE["q104_search_spectra"] = f"""
+WITH pep AS (SELECT p_partkey, string_split(p_name || p_partkey, '') AS cs FROM part),
+c AS (SELECT p_partkey, unnest(range(1, len(cs) + 1)) AS pos, ascii(unnest(cs))::DOUBLE AS m FROM pep),
+l AS (SELECT p_partkey, pos, SUM(m) OVER (PARTITION BY p_partkey ORDER BY pos) AS pre, SUM(m) OVER (PARTITION BY p_partkey) AS tot FROM c),
+f AS (SELECT p_partkey, pos, tot, pre + {PROTON!r}::DOUBLE AS b, tot - pre + {WATER + PROTON!r}::DOUBLE AS y FROM l WHERE pre < tot),
+frag AS (SELECT p_partkey, tot, b AS mz FROM f UNION ALL SELECT p_partkey, tot, y FROM f),
+mass AS (SELECT DISTINCT p_partkey, tot + {WATER!r}::DOUBLE AS mass FROM f),
+pairs AS (SELECT s.p_partkey AS scan, x.p_partkey FROM mass s JOIN mass x ON abs(s.mass - x.mass) <= x.mass * 20 / 1e6::DOUBLE),
+h AS (SELECT scan, pairs.p_partkey, COUNT(*) AS n_matched, SUM(k.pos * 10.0::DOUBLE) AS mi
+      FROM pairs JOIN f k ON k.p_partkey = pairs.scan JOIN frag ON frag.p_partkey = pairs.p_partkey
+        AND abs(k.b + (scan % 7) * 0.001::DOUBLE - frag.mz) <= 0.02::DOUBLE GROUP BY 1, 2),
+r AS (SELECT *, list_sum(list_transform(range(1, n_matched + 1), lambda i: log10(i))) + log10(mi) AS hs FROM h)
+SELECT scan, p_partkey, n_matched, ROUND(mi, 3) AS matched_intensity, ROUND(hs, 6) AS hyperscore,
+       row_number() OVER (PARTITION BY scan ORDER BY hs DESC, p_partkey) AS rn FROM r
+QUALIFY rn <= 3
+"""
+
+
 QUERIES = {k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)}

@@ -135,3 +135,29 @@ def test_digest_over_many_runs(spark):
 def test_semi_specific_digest_short_sequences(spark):
     df = spark.createDataFrame([("P", "AAK"), ("Q", "")], "acc string, seq string")
     assert search.digest_nonspecific(df, ["acc"], "seq", ntt=0, min_len=6).count() == 0
+
+
+def test_search_equals_matching_then_scoring(spark):
+    rnd = random.Random(6)
+    mass = {c: 50.0 + 7.013 * i for i, c in enumerate("ACDEFGHK")}
+    seqs = sorted({"".join(rnd.choice("ACDEFGHK") for _ in range(7)) for _ in range(300)} | {"AACDEFK", "ACADEFK", "CAADEFK"})
+    pep = search.peptide_mass(spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "pid long, peptide string"), "peptide", mass)
+    masses = {r.pid: r.mass for r in pep.collect()}
+    spectra = [(i, m / 2 + 1.007276466812 + rnd.uniform(-1, 1) * 1e-6 * m, 2 if i % 3 else None) for i, m in masses.items()]
+    peaks = [(i, rnd.choice([50, 90, 140, 230, 300]) + rnd.random() * 60, float(rnd.randint(1, 50))) for i in masses for _ in range(25)]
+    peaks += [(i, sum(mass[c] for c in seqs[i][:k]) + 1.0073, 30.0) for i in masses for k in range(1, 7)]
+    sp = spark.createDataFrame(spectra, "scan long, precursor_mz double, charge int")
+    pk = spark.createDataFrame(peaks, "scan long, mz double, intensity double")
+    got = search.search_spectra(sp, pk, pep, ["scan"], ["pid"], "peptide", mass, 2, isotopes=(-1, 0, 1), charges=(1, 2), frag_tol=0.05, frag_charges=(1, 2))
+    cand = search.match_candidates(sp, pep, "precursor_mz", "charge", "mass", 20.0, (-1, 0, 1), (1, 2)).select(
+        "scan", F.col("_z").alias("z"), F.col("_iso").alias("iso"), "pid", "peptide")
+    fr = search.theoretical_fragments(cand, "peptide", mass, ["scan", "z", "iso", "pid"], charges=(1, 2))
+    fr = fr.select("scan", "z", "iso", "pid", F.explode(F.array("b_ion", "y_ion")).alias("frag"))
+    cp = cand.select("scan", "z", "iso", "pid").join(pk, on="scan")
+    scored = search.score_matches(cp, fr, ["scan", "z", "iso", "pid"], "mz", "intensity", "frag", 0.05).collect()
+    want = {}
+    for r in scored:
+        want.setdefault(r.scan, []).append((-round(r.hyperscore, 9), abs(r.iso), r.iso, r.z, r.pid, r.n_matched, r.matched_intensity))
+    want = sorted((s, i + 1, x[4], x[3], x[2], x[5], round(x[6], 6)) for s, xs in want.items() for i, x in enumerate(sorted(xs)[:2]))
+    assert sorted((r.scan, r.rn, r.pid, r.charge, r.isotope, r.n_matched, round(r.matched_intensity, 6)) for r in got.collect()) == want
+    assert sum(r.rn == 1 and r.pid == r.scan for r in got.collect()) > 0.8 * len(seqs)
