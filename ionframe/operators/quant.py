@@ -54,6 +54,7 @@ def eval_reference(long: DataFrame, references: DataFrame, feature: Sequence[str
     """H11 + ratio: per (feature, plex) the reference value and every channel's
     log2(intensity / reference) (null when either side is null or <= 0).
 
+    Rows without a channel are left out; intensities of a channel that is repeated in a (feature, plex) are summed.
     A plex with several references takes the mean of those that have a value. ``block``: the column of
     ``long`` with the quantification block; references then hold within plex and block.
     The channels of one (feature, plex) form a map (bounded by the plex size);
@@ -65,8 +66,12 @@ def eval_reference(long: DataFrame, references: DataFrame, feature: Sequence[str
                              F.col(ref_col).cast("string").alias("_ref")).distinct()
     exprs = sorted(r[0] for r in refs.select("_ref").where(F.col("_ref").isNotNull()).distinct().collect())
     # (a few expressions per plex: a design-sized list)
-    grouped = long.groupBy(*feature, *on).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(channel).cast("string"), F.col(intensity)))).alias("_m"))
+    entry = F.struct(F.col(channel).cast("string").alias("c"), F.col(intensity).alias("v"))
+    grouped = long.where(F.col(channel).isNotNull()).groupBy(*feature, *on).agg(F.collect_list(entry).alias("_e"))
+    names = F.array_distinct(F.col("_e.c"))
+    kind = long.schema[intensity].dataType
+    grouped = grouped.withColumn("_m", F.map_from_arrays(names, F.transform(names, lambda n: F.aggregate(
+        F.filter("_e", lambda e: e["c"] == n), F.lit(None).cast(kind), lambda a, e: F.coalesce((a + e["v"]).cast(kind), a, e["v"]))))).drop("_e")
     own = refs.groupBy(*on).agg(F.array_sort(F.collect_list("_ref")).alias("_refs"))
     g = grouped.join(own, on=on, how="left").withColumn("_ref", F.explode_outer("_refs"))
     g = g.withColumn("_value", reference_value("_ref", "_m", exprs))

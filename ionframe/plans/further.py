@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.constants import PROTON, WATER
-from ..operators import inference, search
+from ..operators import hits, inference, runs, scans, search
+from ..sources import readers, writers
+from .coverage import _folder
 from .oracle import cover_sql
-from .queries import CHAR_MASS
+from .queries import CHAR_MASS, DIGEST_RULE
 from .tables import table
 
 ORACLE: dict[str, str] = {}
@@ -96,4 +98,175 @@ QUALIFY rn <= 3
 """
 
 
+def q105_mzml_round_trip(spark, sf):
+    """A4: every user's events as a spectrum (event id as m/z, value as intensity), written as mzML with 64-bit compressed arrays and
+    with 32-bit plain ones, and read back: peaks, intensities and the range of m/z."""
+    ev = table(spark, sf, "events").where("value is not null")
+    peaks = F.array_sort(F.collect_list(F.struct(F.col("event_id").cast("double").alias("x"), F.col("value").cast("double").alias("y"))))
+    s = ev.groupBy(F.col("user_id").alias("scan")).agg(peaks.alias("p")).select(
+        "scan", (F.col("scan") % 2 + 1).alias("ms_level"), (F.col("scan") / 8).alias("rt"), F.when(F.col("scan") % 2 == 1, F.col("scan") + 0.5).alias("precursor_mz"),
+        F.when(F.col("scan") % 3 == 0, F.lit(2)).alias("charge"), F.col("p.x").alias("mz"), F.col("p.y").alias("intensity"))
+    out = None
+    for bits, zipped in ((64, True), (32, False)):
+        at = _folder(spark, "mzml")
+        writers.write_mzml(s, at, bits, zipped)
+        back = readers.read_mzml(spark, at)
+        total = F.aggregate("intensity", F.lit(0.0), lambda a, v: a + v)
+        r = back.select(F.lit(bits).alias("bits"), "scan", "ms_level", "rt", "precursor_mz", "charge", F.size("mz").cast("long").alias("n"),
+                        F.round(total, 3).alias("total"), F.array_min("mz").alias("low"), F.array_max("mz").alias("high"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+ORACLE["q105_mzml_round_trip"] = """
+SELECT bits, user_id AS scan, (user_id % 2 + 1)::INTEGER AS ms_level, user_id / 8.0::DOUBLE AS rt, CASE WHEN user_id % 2 = 1 THEN user_id + 0.5::DOUBLE END AS precursor_mz,
+       CASE WHEN user_id % 2 = 1 AND user_id % 3 = 0 THEN 2 END AS charge, COUNT(*) AS n,
+       ROUND(SUM(CASE bits WHEN 64 THEN value::DOUBLE ELSE value::FLOAT::DOUBLE END), 3) AS total, MIN(CASE bits WHEN 64 THEN event_id::DOUBLE ELSE event_id::FLOAT::DOUBLE END) AS low,
+       MAX(CASE bits WHEN 64 THEN event_id::DOUBLE ELSE event_id::FLOAT::DOUBLE END) AS high
+FROM events, (VALUES (64), (32)) v(bits) WHERE value IS NOT NULL GROUP BY bits, user_id
+"""
+
+
+def q106_result_files(spark, sf):
+    """B3 + A1 + A11: quantities by part and line status and their ratio as the two result files and the long table,
+    read back; the ratio file's parts are the prior of a later run."""
+    li = table(spark, sf, "lineitem")
+    long = li.groupBy(F.col("l_partkey").alias("protein_id"), F.col("l_linestatus").alias("PlexID")).agg(F.sum("l_quantity").cast("double").alias("q"))
+    rii = long.groupBy("protein_id").pivot("PlexID", ["F", "O"]).agg(F.first("q"))
+    ratio = rii.select("protein_id", F.round(F.col("F") / F.col("O"), 6).alias("ratio")).where("ratio > 1")
+    paths = writers.write_crosstabs(rii, ratio, _folder(spark, "results"), writers.result_prefix("ph", "run"), long)
+    a = readers.read_tsv(spark, paths["rii"], "protein_id long, F double, O double", ["protein_id"])
+    b = readers.read_tsv(spark, paths["ratio"], "protein_id long, ratio double")
+    prior = readers.read_prior(spark, paths["ratio"]).select(F.col("accession").cast("long").alias("protein_id"), F.lit(True).alias("in_prior"))
+    n = spark.read.parquet(paths["long"]).groupBy("protein_id").agg(F.count_distinct("PlexID").alias("n"))
+    return (a.join(b, on="protein_id", how="left").join(prior, on="protein_id", how="left").join(n, on="protein_id")
+            .withColumn("in_prior", F.coalesce("in_prior", F.lit(False))))
+
+
+ORACLE["q106_result_files"] = """
+WITH a AS (SELECT l_partkey AS protein_id, SUM(l_quantity) FILTER (l_linestatus = 'F')::DOUBLE AS F, SUM(l_quantity) FILTER (l_linestatus = 'O')::DOUBLE AS O,
+                  COUNT(DISTINCT l_linestatus) AS n FROM lineitem GROUP BY 1)
+SELECT protein_id, F, O, CASE WHEN ROUND(F / O, 6) > 1 THEN ROUND(F / O, 6) END AS ratio, n, COALESCE(ROUND(F / O, 6) > 1, false) AS in_prior FROM a
+"""
+
+
+def q107_design_files(spark, sf):
+    """A12 + A9: suppliers as samples of their nation's plex, the nations' references and the parts' fractions, written as a
+    design folder and as manifests, and read back."""
+    at = _folder(spark, "design")
+    sup = table(spark, sf, "supplier")
+    plex = F.concat(F.lit("S"), F.col("s_nationkey").cast("string"))
+    writers.write_tsv(sup.select(plex.alias("PlexID"), F.lit(1).alias("QuantBlock"), F.col("s_suppkey").cast("string").alias("ReporterName"),
+                                 F.col("s_name").alias("ReporterAlias"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).alias("MeasurementName")), f"{at}/samples.txt")
+    writers.write_tsv(sup.select(plex.alias("PlexID")).distinct().select("PlexID", F.lit(1).alias("QuantBlock"), F.concat("PlexID", F.lit("_ref")).alias("Reference")), f"{at}/references.txt")
+    part = table(spark, sf, "part")
+    writers.write_tsv(part.select(F.col("p_partkey").cast("string").alias("Dataset"), F.concat(F.lit("S"), (F.col("p_partkey") % 25).cast("string")).alias("PlexID")), f"{at}/fractions.txt")
+    d = readers.read_design(spark, at)
+    n = d["fractions"].groupBy("PlexID").agg(F.count_distinct("Dataset").alias("n_fractions"))
+    part.select(F.col("p_partkey").alias("file_name")).coalesce(1).write.option("header", "true").option("sep", "\t").csv(f"{at}/m/raw_metadata_file")
+    listed = readers.read_manifests(spark, f"{at}/m", "part-.*csv").groupBy("PlexID").agg(F.count(F.lit(1)).alias("n")).first()
+    return (d["samples"].join(d["references"], on=["PlexID", "QuantBlock"]).join(n, on="PlexID", how="left")
+            .withColumn("first_manifest", F.lit(f"{listed['PlexID']}:{listed['n']}")))
+
+
+ORACLE["q107_design_files"] = """
+WITH f AS (SELECT 'S' || (p_partkey % 25) AS PlexID, COUNT(*) AS n_fractions FROM part GROUP BY 1)
+SELECT 'S' || s_nationkey AS PlexID, 1::INTEGER AS QuantBlock, s_suppkey::VARCHAR AS ReporterName, s_name AS ReporterAlias, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS MeasurementName,
+       'S' || s_nationkey || '_ref' AS Reference, n_fractions, 'S1:' || (SELECT COUNT(*) FROM part) AS first_manifest
+FROM supplier LEFT JOIN f ON f.PlexID = 'S' || s_nationkey
+"""
+
+
+def q108_modification_files(spark, sf):
+    """A6 + A10: parts as modification definitions, as mass tags and as a MaxQuant table, written and read back."""
+    p = table(spark, sf, "part")
+    at = _folder(spark, "mods")
+    plain = {"sep": "\t", "header": "false"}
+    p.select(F.substring("p_name", 1, 1), F.col("p_retailprice").cast("double"), "p_brand", "p_type", F.concat(F.col("p_partkey").cast("string"), F.lit("  "))).write.options(**plain).csv(f"{at}/defs")
+    p.select(F.col("p_partkey").cast("string"), F.when(F.col("p_size") > 5, F.col("p_retailprice").cast("double")), "p_brand").write.options(**plain).csv(f"{at}/tags")
+    writers.write_tsv(p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("Gene names"), F.col("p_retailprice").cast("double").alias("Intensity")), f"{at}/txt/proteinGroups.txt")
+    defs = readers.read_mod_defs(spark, f"{at}/defs").select(F.col("tag").cast("long").alias("p_partkey"), "symbol", F.col("mass").alias("def_mass"), "residue", "mod_type")
+    tags = readers.read_mass_tags(spark, f"{at}/tags").select(F.col("tag").cast("long").alias("p_partkey"), F.col("mass").alias("tag_mass"), "element")
+    mq = readers.read_maxquant(spark, f"{at}/txt", "proteinGroups")
+    kinds = ",".join(t for _, t in mq.dtypes)
+    mq = mq.select(F.col("id").cast("long").alias("p_partkey"), F.col("Gene names").alias("genes"), F.col("Intensity").alias("lfq"), F.lit(kinds).alias("kinds"))
+    return defs.join(tags, on="p_partkey", how="left").join(mq, on="p_partkey")
+
+
+ORACLE["q108_modification_files"] = """
+SELECT p_partkey, substr(p_name, 1, 1) AS symbol, p_retailprice::DOUBLE AS def_mass, p_brand AS residue, p_type AS mod_type,
+       CASE WHEN p_size > 5 THEN p_retailprice::DOUBLE END AS tag_mass, CASE WHEN p_size > 5 THEN p_brand END AS element,
+       p_name AS genes, p_retailprice::DOUBLE AS lfq, 'int,string,double' AS kinds FROM part
+"""
+
+
+def q109_run_metadata(spark, sf):
+    """A7 + J2: suppliers as workflow runs, one JSON file each; read back with their durations."""
+    at = _folder(spark, "runs")
+    start = F.timestamp_seconds(F.col("s_suppkey") * 3600)
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("id"), start.alias("start"),
+                                            (start + F.make_dt_interval(mins=F.col("s_nationkey").cast("int"))).alias("end"), F.when(F.col("s_suppkey") % 4 > 0, F.lit("Succeeded")).alias("status"))
+    s.repartition("k").write.partitionBy("k").json(at)
+    meta = runs.read_run_metadata(spark, f"{at}/*")
+    files = meta.groupBy("id").agg(F.count_distinct("source_file").alias("n_files"), F.max("status").alias("status"))
+    return runs.run_durations(meta).select("id", "duration_s").join(files, on="id")
+
+
+ORACLE["q109_run_metadata"] = """
+SELECT s_name AS id, s_nationkey * 60.0::DOUBLE AS duration_s, 1::BIGINT AS n_files, CASE WHEN s_suppkey % 4 > 0 THEN 'Succeeded' END AS status FROM supplier
+"""
+
+
+def q110_manifest_file(spark, sf):
+    """J1 + B4: part names as one file a size; their MD5 written as a manifest and read back."""
+    at = _folder(spark, "hashed")
+    p = table(spark, sf, "part").select("p_size", "p_partkey", F.col("p_name").alias("value"))
+    p.repartition("p_size").sortWithinPartitions("p_size", "p_partkey").drop("p_partkey").write.partitionBy("p_size").text(at)
+    m = runs.file_manifest(spark, at, "part-*")
+    writers.write_manifest(m, f"{at}-manifest")
+    back = spark.read.option("header", "true").csv(f"{at}-manifest")
+    return back.select(F.regexp_extract("file_name", "p_size=([0-9]+)", 1).cast("int").alias("p_size"), "md5")
+
+
+ORACLE["q110_manifest_file"] = "SELECT p_size::INTEGER AS p_size, md5(string_agg(p_name || chr(10), '' ORDER BY p_partkey)) AS md5 FROM part GROUP BY p_size"
+
+
+def q111_filtered_peaks(spark, sf):
+    """D7 + F18: users with 5 events at least as spectra, and of these the 3 highest values of 100 and more (equal ones by event)."""
+    ev = table(spark, sf, "events").where("value is not null")
+    spectra = ev.groupBy("user_id").agg(F.collect_list("event_id").alias("mz"))
+    kept = search.filter_min_peaks(spectra, 5).select("user_id", F.size("mz").cast("long").alias("n_peaks"))
+    peaks = ev.select("user_id", F.col("event_id").alias("mz"), F.col("value").alias("intensity"), (F.col("value") / 100).alias("sn"))
+    return scans.top_ions(peaks, ["user_id"], "intensity", n=3).join(kept, on="user_id").select("user_id", "mz", "intensity", "n_peaks", "rn")
+
+
+ORACLE["q111_filtered_peaks"] = """
+WITH n AS (SELECT user_id, COUNT(*) AS n_peaks FROM events WHERE value IS NOT NULL GROUP BY 1 HAVING COUNT(*) >= 5),
+r AS (SELECT user_id, event_id AS mz, value AS intensity, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn FROM events WHERE value / 100 >= 1)
+SELECT user_id, mz, intensity, n_peaks, rn FROM r JOIN n USING (user_id) WHERE rn <= 3
+"""
+
+
+def q112_map_peptides(spark, sf):
+    """The pieces of benchmark passages (cut after 'e' or 'o' unless a blank follows, 4 to 12 long) among those of all documents, by an equi-join."""
+    pieces = search.digest(table(spark, sf, "benchmark").select("item_id", "text"), ["item_id"], "text", DIGEST_RULE, 4, 12, 1)
+    docs = search.digest(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"], "text", DIGEST_RULE, 4, 12, 1)
+    return hits.map_peptides(pieces, docs).select("peptide", "doc_id", "start", "missed_cleavages")
+
+
+def _pieces(table_name: str, key: str, text: str) -> str:
+    cut = "regexp_replace(regexp_replace({t}, '([eo])([^ \\x01])', '\\1' || chr(1) || '\\2', 'g'), '([eo])([^ \\x01])', '\\1' || chr(1) || '\\2', 'g')".format(t=text)
+    return f"""(SELECT k, start, j AS missed_cleavages, CASE j WHEN 0 THEN a ELSE a || b END AS peptide FROM (
+  SELECT k, a, b, (SUM(length(a)) OVER (PARTITION BY k ORDER BY i) - length(a) + 1)::INTEGER AS start, unnest(CASE WHEN b IS NULL THEN [0] ELSE [0, 1] END) AS j FROM (
+    SELECT k, i, a, lead(a) OVER (PARTITION BY k ORDER BY i) AS b FROM (
+      SELECT k, unnest(p) AS a, unnest(range(len(p))) AS i FROM (SELECT {key} AS k, list_filter(string_split({cut}, chr(1)), lambda x: x <> '') AS p FROM {table_name}))))
+  WHERE length(CASE j WHEN 0 THEN a ELSE a || b END) BETWEEN 4 AND 12)"""
+
+
+ORACLE["q112_map_peptides"] = f"""
+SELECT d.peptide, d.k AS doc_id, d.start, d.missed_cleavages::INTEGER AS missed_cleavages FROM {_pieces("documents", "doc_id", "text")} d
+WHERE d.peptide IN (SELECT peptide FROM {_pieces("benchmark", "item_id", "text")})
+"""
+
+
 QUERIES = {k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)}

@@ -154,7 +154,7 @@ def read_mzml(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     x = spark.read.format("xml").option("rowTag", "spectrum").schema(MZML_SPECTRUM).load(_paths(paths))
 
     def cv(arr, acc):
-        return F.filter(arr, lambda p: p["_accession"] == acc)[0]["_value"]
+        return F.get(F.filter(arr, lambda p: p["_accession"] == acc), F.lit(0))["_value"]
 
     def has(arr, acc):
         return F.exists(arr, lambda p: p["_accession"] == acc)
@@ -162,14 +162,14 @@ def read_mzml(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     arrays = F.col("binaryDataArrayList.binaryDataArray")
 
     def pick(acc):
-        a = F.filter(arrays, lambda b: has(b["cvParam"], acc))[0]
+        a = F.get(F.filter(arrays, lambda b: has(b["cvParam"], acc)), F.lit(0))
         return dec(a["binary"], has(a["cvParam"], CV_64BIT), has(a["cvParam"], CV_ZLIB))
 
-    scan_cv = F.col("scanList.scan")[0]["cvParam"]
-    ion_cv = F.col("precursorList.precursor")[0]["selectedIonList"]["selectedIon"][0]["cvParam"]
+    scan_cv = F.get("scanList.scan", F.lit(0))["cvParam"]
+    ion_cv = F.get(F.get("precursorList.precursor", F.lit(0))["selectedIonList"]["selectedIon"], F.lit(0))["cvParam"]
     scan_no = F.regexp_extract(F.col("_id"), r"scan=(\d+)", 1)
-    first = F.col("precursorList.precursor")[0]
-    time = F.filter(scan_cv, lambda p: p["_accession"] == CV_RT)[0]
+    first = F.get("precursorList.precursor", F.lit(0))
+    time = F.get(F.filter(scan_cv, lambda p: p["_accession"] == CV_RT), F.lit(0))
     rt = time["_value"].cast("double") / F.when(F.lower(time["_unitName"]).startswith("second"), F.lit(60.0)).otherwise(F.lit(1.0))
     activation = F.lit(None).cast("string")
     for acc, name in CV_ACTIVATION.items():
@@ -264,17 +264,20 @@ MAXQUANT_TABLES = ["allPeptides", "evidence", "libraryMatch", "matchedFeatures",
                    "summary", "runningTimes"]
 
 
-def read_maxquant(spark: SparkSession, txt_dir: str, name: str) -> DataFrame:
+def read_maxquant(spark: SparkSession, txt_dir: str, name: str, schema: str | None = None) -> DataFrame:
     """A10: one MaxQuant result table by name, or every ``*Sites.txt`` table
-    (name ``sites``) with its ``source_file``; all columns as strings."""
+    (name ``sites``) with its ``source_file``. With ``schema`` its columns are taken by name; without one all
+    columns come, their types found by a pass over the values."""
     base = txt_dir.rstrip("/")
     if name == "sites":
-        df = spark.read.option("sep", "\t").option("header", "true").option("pathGlobFilter", "*Sites.txt").csv(base)
-        return df.withColumn("source_file", file_name_col())
+        df = spark.read.options(sep="\t", header="true", inferSchema=str(schema is None).lower(), pathGlobFilter="*Sites.txt").csv(base)
+        df = df.withColumn("source_file", file_name_col())
+        return df if schema is None else by_name(df, schema, ["source_file"])
     if name not in MAXQUANT_TABLES:
         raise ValueError(f"unknown MaxQuant table {name!r}")
     path = f"{base}/../proc/#runningTimes.txt" if name == "runningTimes" else f"{base}/{name}.txt"
-    return spark.read.option("sep", "\t").option("header", "true").csv(path)
+    df = spark.read.options(sep="\t", header="true", inferSchema=str(schema is None).lower()).csv(path)
+    return df if schema is None else by_name(df, schema)
 
 
 def read_prior(spark: SparkSession, path: str | None, accession: str = "protein_id") -> DataFrame | None:

@@ -52,3 +52,11 @@ def test_reference_division_by_zero_channel_is_null(spark):
     r = quant.eval_reference(long, refs, ["feature"], "plex", "channel").collect()
     assert all(x["reference_intensity"] is None and x["log2_ratio"] is None for x in r)
     assert reference_sql("-a + 2 * (b - 1) / mean(c, d)", "m").count("try_divide") == 1
+
+
+def test_repeated_and_missing_channels(spark):
+    rows = [("f", "S1", "a", 4.0), ("f", "S1", "a", 4.0), ("f", "S1", "b", 2.0), ("f", "S1", None, 9.0), ("g", "S1", None, 1.0), ("g", "S1", "b", None)]
+    long = spark.createDataFrame(rows, "feature string, plex string, channel string, intensity double")
+    refs = spark.createDataFrame([("S1", "b")], "PlexID string, Reference string")
+    got = quant.eval_reference(long, refs, ["feature"], "plex", "channel").collect()
+    assert sorted((r.feature, r.channel, r.intensity, r.log2_ratio) for r in got) == [("f", "a", 8.0, 2.0), ("f", "b", 2.0, 0.0), ("g", "b", None, None)]
