@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import drop_stored, materialize, materialize_at
 from .common import join_on_keys
 
 BUCKET = "_ord_bucket"
@@ -33,11 +33,13 @@ def bucketed(df: DataFrame, order: str | Column, partition_by: Sequence[str] = (
     """``df`` stored in range partitions of (group, order, tie-break), with the partition's number in
     ``BUCKET`` and the place that decides between rows equal in all of these. Nulls come first, last if descending."""
     key = _as_col(order)
-    d = materialize(df.withColumns({"_ord_key": key, **{f"_ord_t{i}": _as_col(t) for i, t in enumerate(tiebreak)}}), "ord-in")
+    d, at = materialize_at(df.withColumns({"_ord_key": key, **{f"_ord_t{i}": _as_col(t) for i, t in enumerate(tiebreak)}}), "ord-in")
     # the stored input has fixed partitions, so a rerun of a task numbers its rows alike
     d = d.withColumn(_PLACE, F.monotonically_increasing_id())
     d = d.repartitionByRange(*[F.col(p) for p in partition_by], *_sort(len(tiebreak), descending))
-    return materialize(d.withColumn(BUCKET, F.spark_partition_id()), "ord-ranges")
+    out = materialize(d.withColumn(BUCKET, F.spark_partition_id()), "ord-ranges")
+    drop_stored(df.sparkSession, at)
+    return out
 
 
 def _sort(ties: int, descending: bool) -> list[Column]:

@@ -5,12 +5,10 @@ Every query calls the operator's own function; ORACLE has the DuckDB SQL for the
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import design, hits, inference, quant, recalibrate, runs, scans, search, sites
-from ..session import checkpoint_dir
+from ..session import scratch_path as _folder
 from ..sources import readers, writers
 from .oracle import cover_sql
 from .queries import CHAR_MASS, _mod_defs, _unit_prices
@@ -350,10 +348,6 @@ SELECT o_orderkey, 'BATCH' || (o_orderkey % 7) || '_20240101' AS batch, CASE WHE
 """
 
 
-def _folder(spark, name):
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def q87_tsv_round_trip(spark, sf):
     """B1 + A1 + A2: orders written as tab-separated text, one folder a status, and read back by name as one table."""
     at = _folder(spark, "tsv")

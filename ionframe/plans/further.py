@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import PROTON, WATER
 from ..operators import hits, inference, runs, scans, search
+from ..session import scratch_path as _folder
 from ..sources import readers, writers
-from .coverage import _folder
 from .oracle import cover_sql
 from .queries import CHAR_MASS, DIGEST_RULE
 from .tables import table

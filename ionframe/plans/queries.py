@@ -90,14 +90,14 @@ def _unit_prices(spark, sf):
 
 
 def q06_range_abs(spark, sf):
-    """§4.3 / F1: unit prices within 0.003 of a part's retail price."""
+    """§4.3 (a join in Da): unit prices within 0.003 of a part's retail price."""
     j = range_join(_unit_prices(spark, sf), table(spark, sf, "part").select("p_partkey", "p_retailprice"),
                    [Tol("unit_price", "p_retailprice", 0.003)])
     return j.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "p_partkey", "p_retailprice")
 
 
 def q07_range_ppm(spark, sf):
-    """§4.3 / D6: unit prices within 10 ppm of a part's retail price."""
+    """§4.3 (a join in ppm): unit prices within 10 ppm of a part's retail price."""
     j = range_join(_unit_prices(spark, sf), table(spark, sf, "part").select("p_partkey", "p_retailprice"),
                    [Tol("unit_price", "p_retailprice", 10.0, ppm=True)])
     return j.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "p_partkey", "p_retailprice")
@@ -247,7 +247,7 @@ def q21_observation_rate(spark, sf):
 
 
 def q22_stats(spark, sf):
-    """Per event type count, mean, min, max, stddev."""
+    """per event type count, mean, min, max, stddev."""
     return scans.reporter_stats(table(spark, sf, "events"), "event_type", "value")
 
 
@@ -381,7 +381,7 @@ def q37_nearest_tag(spark, sf):
 
 
 def q38_semi_anti(spark, sf):
-    """Customers with orders and without (semi / anti joins)."""
+    """Semi and anti joins: customers with orders and without (semi / anti joins)."""
     c = table(spark, sf, "customer").select("c_custkey")
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
     w = c.join(o, on="c_custkey", how="left_semi").withColumn("status", F.lit("with_orders"))
@@ -390,7 +390,7 @@ def q38_semi_anti(spark, sf):
 
 
 def q39_fill_null(spark, sf):
-    """Error events count as zero; zeros take the user's smallest
+    """error events count as zero; zeros take the user's smallest
     positive value."""
     ev = table(spark, sf, "events").select("event_id", "user_id", F.when(
         F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value")).alias("value"))
@@ -423,27 +423,27 @@ def q42_binomial_score(spark, sf):
 
 
 def q43_md5_table(spark, sf):
-    """Manifest of documents: name and md5 of the text."""
+    """Hashes as of J1, of texts in a table: name and md5 of the text."""
     d = table(spark, sf, "documents").select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("file_name"),
                                              F.md5("text").alias("md5"))
     return d.where(~F.col("file_name").contains("file_manifest"))
 
 
 def q44_json_explode(spark, sf):
-    """JSON properties exploded into key / value rows."""
+    """JSON properties exploded into key / value rows."""
     ev = table(spark, sf, "events").select("event_id", F.from_json("props", "map<string,string>").alias("m"))
     return ev.select("event_id", F.explode("m").alias("key", "value"))
 
 
 def q45_durations(spark, sf):
-    """Last minus first event per user, seconds."""
+    """Durations as of J2, from events: last minus first event per user, seconds."""
     ev = table(spark, sf, "events")
     g = ev.groupBy("user_id").agg((F.max(stats.epoch_micros(F.col("ts"))) - F.min(stats.epoch_micros(F.col("ts")))).alias("_us"))
     return g.select("user_id", F.round(F.col("_us") / 1e6, 6).alias("duration_s"))
 
 
 def q46_path_parts(spark, sf):
-    """URL split into scheme, host and key, with a check."""
+    """URL split into scheme, host and key, with a check."""
     from ..operators.runs import parse_bucket_path
     p = table(spark, sf, "pages").select("page_id", "url")
     return p.select("page_id", parse_bucket_path(F.col("url"), ("https",)).alias("x")).select("page_id", "x.*")

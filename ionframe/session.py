@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,15 +67,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+#: Paths of stored tables that `scratch_tables` has yet to remove, in the order of their making.
+_STORED: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession):
+    """Remove, at the end of the block, the tables that operators stored in it. Results are lazy and read these
+    tables, so write them inside: ``with scratch_tables(spark): op(df).write.parquet(out)``."""
+    before = set(_STORED)
+    try:
+        yield
+    finally:
+        drop_stored(spark, *[p for p in _STORED if p not in before])
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder, which `scratch_tables` removes."""
+    _STORED.append(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _STORED[-1]
+
+
 def materialize_at(df, name: str = "stage"):
     """Cut the lineage of ``df``: write it once as Parquet under the shared
     checkpoint folder and read it back (one job; the read side carries real
     size statistics for the planner). Survives the loss of executors, unlike
     a local checkpoint or a cache. Returns the table and its path."""
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -86,6 +107,8 @@ def materialize(df, name: str = "stage"):
 def drop_stored(spark: SparkSession, *paths: str) -> None:
     """Remove tables of `materialize_at` that nothing reads any more."""
     for path in paths:
+        if path in _STORED:
+            _STORED.remove(path)
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
