@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from ionframe.llm import mixing, pii, sentencepiece, simhash, toxicity
 from ionframe.llm.queries import PII_KEY, TOKENIZER
 from ionframe.plans.tables import table
-from ionframe.session import checkpoint_dir
+from ionframe.session import drop_stored, scratch_path, scratch_tables
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,11 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
-    at = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for i, (name, stage) in enumerate(STAGES):
-        out = f"{at}/{i}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+    """All stages over documents, each written as Parquet and read again; of the stored tables only the last stage's stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        out = scratch_path(spark, f"pipeline-{name}")
+        with scratch_tables(spark):  # what the stage's operators stored
+            stage(spark, docs, sf_dir).write.parquet(out)
+        if before:
+            drop_stored(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs
