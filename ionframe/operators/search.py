@@ -145,26 +145,45 @@ def expand_mods(peptides: DataFrame, sequence: str, mods: str | Sequence[tuple[s
     with ``delta``; a position eligible for several kinds takes one of them. Adds sites
     (1-based, ascending) and site_deltas, and adds the deltas to ``mass``.
 
-    All forms of a row are built in one pass over its positions and exploded once. ``max_forms`` keeps,
-    per input row, the first so many by (number of sites, sites, deltas); by default all are kept.
+    Forms grow by one explode a site: each takes an eligible position behind the last one, or ends the form. A row
+    holds one form and the eligible positions, however many forms there are. ``max_forms`` keeps, per input row, the first so
+    many by (number of sites, sites, deltas), which needs the forms of a row together; by default all are kept.
     """
     kinds = [(mods, float(delta))] if isinstance(mods, str) else [(r, float(d)) for r, d in mods]
-    none = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("sites"), F.array().cast("array<double>").alias("deltas"))
+    letters = F.transform(F.split(F.col(sequence), ""), lambda c, i: F.struct(c.alias("c"), (i + 1).alias("i")))
 
-    def grow(acc, c, i):
-        wider = [F.transform(F.filter(acc, lambda f: F.lit(r).contains(c) & (f["n"] < max_mods)), lambda f: F.struct(
-            (f["n"] + 1).alias("n"), F.concat(f["sites"], F.array(i + 1)).alias("sites"),
-            F.concat(f["deltas"], F.array(F.lit(d))).alias("deltas"))) for r, d in kinds]
-        return F.concat(acc, *wider)
+    def of_kind(residues: str, d: float) -> Column:
+        fit = F.filter(letters, lambda x: F.lit(residues).contains(x["c"]) & (x["c"] != ""))
+        return F.transform(fit, lambda x: F.struct(x["i"].alias("s"), F.lit(d).alias("d")))
 
-    letters = F.transform(F.split(F.col(sequence), ""), lambda c, i: F.struct(c.alias("c"), i.alias("i")))
-    eligible = F.filter(letters, lambda x: F.lit("".join(r for r, _ in kinds)).contains(x["c"]) & (x["c"] != ""))
-    forms = F.array_sort(F.aggregate(eligible, F.array(none), lambda acc, x: grow(acc, x["c"], x["i"])))
+    eligible = F.flatten(F.array(*[of_kind(r, d) for r, d in kinds]))
     if max_forms is not None:
-        forms = F.slice(forms, 1, max_forms)
+        return _first_forms(peptides.withColumn("_el", F.array_sort(eligible)), max_mods, max_forms, mass)
+    none = F.array(F.lit(None).cast("struct<s: int, d: double>"))
+    out = peptides.withColumns({"_el": eligible, "sites": F.array().cast("array<int>"), "site_deltas": F.array().cast("array<double>"),
+                                "_open": F.lit(True), "_last": F.lit(0)})
+    for _ in range(max_mods):
+        out = out.withColumn("_o", F.explode(F.when(F.col("_open"), F.concat(none, F.filter("_el", lambda e: e["s"] > F.col("_last")))).otherwise(none)))
+        more = F.col("_o").isNotNull()
+        out = out.withColumns({"sites": F.when(more, F.concat("sites", F.array("_o.s"))).otherwise(F.col("sites")),
+                               "site_deltas": F.when(more, F.concat("site_deltas", F.array("_o.d"))).otherwise(F.col("site_deltas")),
+                               "_open": more, "_last": F.coalesce("_o.s", "_last")})
+    total = F.aggregate("site_deltas", F.lit(0.0), lambda x, d: x + d)
+    return out.withColumn(mass, F.col(mass) + total).drop("_el", "_open", "_last", *(["_o"] if max_mods else []))
+
+
+def _first_forms(peptides: DataFrame, max_mods: int, max_forms: int, mass: str) -> DataFrame:
+    """The first forms per row of ``peptides`` with eligible positions _el (s, d)."""
+    none = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("sites"), F.array().cast("array<double>").alias("deltas"))
+
+    def grow(acc, x):
+        return F.concat(acc, F.transform(F.filter(acc, lambda f: (f["n"] < max_mods) & (F.coalesce(F.try_element_at(f["sites"], F.lit(-1)), F.lit(0)) < x["s"])), lambda f: F.struct(
+            (f["n"] + 1).alias("n"), F.concat(f["sites"], F.array(x["s"])).alias("sites"), F.concat(f["deltas"], F.array(x["d"])).alias("deltas"))))
+
+    forms = F.slice(F.array_sort(F.aggregate("_el", F.array(none), grow)), 1, max_forms)
     out = peptides.withColumn("_f", F.explode(forms))
     total = F.aggregate("_f.deltas", F.lit(0.0), lambda x, d: x + d)
-    return out.withColumns({"sites": F.col("_f.sites"), "site_deltas": F.col("_f.deltas"), mass: F.col(mass) + total}).drop("_f")
+    return out.withColumns({"sites": F.col("_f.sites"), "site_deltas": F.col("_f.deltas"), mass: F.col(mass) + total}).drop("_f", "_el")
 
 
 def _observed(spectra: DataFrame, precursor_mz: str, charge: str, isotopes: Sequence[int], charges: Sequence[int]) -> DataFrame:

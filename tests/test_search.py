@@ -1,5 +1,6 @@
 """Search operators (SURVEY D)."""
 
+import itertools
 import math
 import random
 
@@ -161,3 +162,17 @@ def test_search_equals_matching_then_scoring(spark):
     want = sorted((s, i + 1, x[4], x[3], x[2], x[5], round(x[6], 6)) for s, xs in want.items() for i, x in enumerate(sorted(xs)[:2]))
     assert sorted((r.scan, r.rn, r.pid, r.charge, r.isotope, r.n_matched, round(r.matched_intensity, 6)) for r in got.collect()) == want
     assert sum(r.rn == 1 and r.pid == r.scan for r in got.collect()) > 0.8 * len(seqs)
+
+
+def test_forms_of_many_sites(spark):
+    df = spark.createDataFrame([("S" * 40 + "K", 1.0), ("AAA", 2.0), ("", 3.0)], "peptide string, mass double")
+    out = search.expand_mods(df, "peptide", [("S", 80.0), ("SK", 1.0)], max_mods=3)
+    # two kinds at each S, one at K: the sums of products over at most three positions
+    ways = sum(sum(math.prod(c) for c in itertools.combinations([2] * 40 + [1], m)) for m in range(4))
+    n = out.agg(F.count("*"), F.count_distinct("peptide", "sites", "site_deltas")).first()
+    assert n[0] == n[1] == ways + 2
+    assert out.where("size(sites) > 3 or mass <> 1 + aggregate(site_deltas, 0D, (a, x) -> a + x) and peptide like 'S%'").count() == 0
+    few = search.expand_mods(df, "peptide", [("S", 80.0), ("SK", 1.0)], max_mods=2, max_forms=200)
+    assert few.where("peptide like 'S%'").count() == 200
+    want = out.where("size(sites) <= 2 and peptide like 'S%'").selectExpr("struct(size(sites) n, sites, site_deltas) f").orderBy("f").limit(200).collect()
+    assert [tuple(r.f) for r in want] == sorted((len(r.sites), r.sites, r.site_deltas) for r in few.where("peptide like 'S%'").collect())
