@@ -22,8 +22,7 @@ class Settings:
     kinds: see `ngrams.grams`. presence: a feature counts 1 however often it
     occurs; else its value is the root of its share of the text's grams of all kinds.
     sample_rows / sample_bytes: the model learns from a sample of labelled rows of about
-    this many rows, and stops reading at this many bytes of text. keep: the share of rows
-    of each class drawn is the same; classes are not rebalanced.
+    this many rows, and stops reading at this many bytes of text. Classes are not rebalanced.
     """
 
     kinds: tuple

@@ -88,3 +88,42 @@ def test_labels_are_not_read_from_held_out_rows_and_odd_rows_score(spark):
     assert by[3] == by[4] == by[5] and by[1] == by[2]
     assert toxicity.keep_clean(docs, m).columns == docs.columns
     assert quality.score_documents(docs.limit(0), m).count() == 0
+
+
+@pytest.mark.parametrize("presence", [True, False])
+def test_ftrl_equals_a_plain_loop(presence):
+    import math
+    import random
+
+    r = random.Random(3)
+    s = ftrl.Settings(kinds=(), presence=presence, dims=64, l1=0.3, epochs=2)
+    data = []
+    for _ in range(120):
+        f = sorted(r.sample(range(64), r.randint(0, 9)))
+        v = None if presence else np.array([r.random() for _ in f])
+        data.append((np.array(f, dtype=np.int32), v, int(5 in f or r.random() < 0.2)))
+    z, n = [0.0] * 64, [0.0] * 64
+
+    def weight(i):
+        if abs(z[i]) <= s.l1:
+            return 0.0
+        return (math.copysign(s.l1, z[i]) - z[i]) / ((s.beta + math.sqrt(n[i])) / s.alpha + s.l2)
+
+    ones = sum(y for _, _, y in data)
+    bias, bias_n = math.log((ones + 0.5) / (len(data) - ones + 0.5)), 0.0
+    for _ in range(s.epochs):
+        for f, v, y in data:
+            xs = [1.0] * len(f) if v is None else v.tolist()
+            ws = [weight(i) for i in f]
+            p = 1 / (1 + math.exp(-(bias + sum(w * x for w, x in zip(ws, xs)))))
+            for i, x, w in zip(f, xs, ws):
+                g = (p - y) * x
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / s.alpha
+                z[i] += g - sigma * w
+                n[i] += g * g
+            bias_n += (p - y) ** 2
+            bias -= s.alpha * (p - y) / (s.beta + math.sqrt(bias_n))
+    m = ftrl.follow(data, s)
+    want = {i: weight(i) for i in range(64) if weight(i)}
+    assert dict(zip(m.features.tolist(), m.weights.tolist())) == pytest.approx(want, rel=1e-5) and m.bias == pytest.approx(bias)
+    assert 0 < len(want) < 64

@@ -60,3 +60,23 @@ def test_written_shards(spark, tmp_path):
     sharding.write_shards(docs, sharding.shard_by_bytes(docs, 4), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == docs.count() and back.select("doc_id", "text").exceptAll(docs.select("doc_id", "text")).isEmpty()
+
+
+@pytest.mark.parametrize("k", [2, 3, 7])
+def test_differencing_equals_plain_karmarkar_karp(k):
+    """Sets of items, joined two by two: those with the largest spread, the largest subset of one with the smallest of the other."""
+    import random
+
+    for seed in range(20):
+        r = random.Random(seed)
+        # distinct sums, so that every choice is forced
+        sizes = [r.randrange(1, 1 << 40) for _ in range(r.randint(1, 30))]
+        partial = [[(s, [i])] + [(0, [])] * (k - 1) for i, s in enumerate(sizes)]
+        while len(partial) > 1:
+            partial.sort(key=lambda p: -(max(p)[0] - min(p)[0]))
+            a, b = (sorted(p, key=lambda x: -x[0]) for p in partial[:2])
+            partial = partial[2:] + [[(x[0] + y[0], x[1] + y[1]) for x, y in zip(a, reversed(b))]]
+        want = sorted(s for s, _ in partial[0])
+        part = sharding.differencing(np.array(sizes), k)
+        assert sorted(np.bincount(part, sizes, minlength=k).astype(int).tolist()) == want
+        assert sorted(sorted(np.flatnonzero(part == j).tolist()) for j in range(k)) == sorted(sorted(x) for _, x in partial[0])
