@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import ISOTOPE_SPACING, PROTON
@@ -88,3 +88,42 @@ def apply_shift_to_spectra(spectra: DataFrame, shift: DataFrame, group: Sequence
     j = join_on_keys(out, shift.select(*group, F.col(shift_col).alias("_s")), group, how="left")
     scale = 1 - F.coalesce(F.col("_s"), F.lit(0.0)) * F.lit(1e-6)
     return j.withColumn(mz, F.transform(mz, lambda v: v * scale)).drop("_s")
+
+
+def fit_trend(psm: DataFrame, group: Sequence[str], error: str, x: str, width: float, min_rows: int = 20,
+              min_group: int = 20) -> tuple[DataFrame, DataFrame]:
+    """E3 along retention time or m/z: (segments, groups) for `apply_trend`. A bin of ``width`` of ``x`` with ``min_rows``
+    rows or more has a knot: its median error (exact), at its centre. segments: per group and stretch between two bin centres, from before the
+    first knot to behind the last one, the knots on either side. groups: the range of a group's segments, and
+    its median over all rows where it has ``min_group`` or more. Both have a row per bin or group, not per match."""
+    keys = list(group)
+    knots = error_trend(psm, error, x, width, keys).where(F.col("n") >= min_rows).select(
+        *keys, "bin", F.struct(((F.col("bin") + 0.5) * F.lit(width)).alias("x"), F.col("median_error").alias("y")).alias("_knot"))
+    ends = knots.groupBy(*keys).agg((F.min("bin") - 1).alias("_lo"), F.max("bin").alias("_hi"))
+    dense = join_on_keys(ends.withColumn("bin", F.explode(F.sequence("_lo", "_hi"))).drop("_lo", "_hi"), knots, [*keys, "bin"], how="left")
+    along = Window.partitionBy(*keys).orderBy("bin")
+    segments = dense.select(*keys, F.col("bin").alias("_seg"),
+                            F.last("_knot", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("_a"),
+                            F.first("_knot", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_b"))
+    whole = fit_shift(psm, keys, error, min_group, name="_median").select(*keys, "_median")
+    every = whole.select(*keys).unionByName(ends.select(*keys)).distinct()
+    return segments, join_on_keys(join_on_keys(every, ends, keys, how="left"), whole, keys, how="left")
+
+
+def apply_trend(df: DataFrame, fit: tuple[DataFrame, DataFrame], group: Sequence[str], x: str, value: str, width: float,
+                name: str | None = None, ppm: bool = False) -> DataFrame:
+    """E4 with a `fit_trend` of the same ``width``: ``value`` less the shift interpolated between the two knots around ``x`` (beyond the first or last knot,
+    that knot's); the group's median where it has no knot or x is null; unchanged where it has neither. shift and
+    shift_level (bin, group or none) tell which. The two knots of a row are found by an equi-join on its segment."""
+    segments, groups = fit
+    keys = list(group)
+    j = join_on_keys(df, groups, keys, how="left")
+    seg = F.floor(F.col(x) / F.lit(width) - 0.5).cast("long")
+    j = j.withColumn("_seg", F.when(F.col(x).isNotNull() & F.col("_lo").isNotNull(), F.greatest("_lo", F.least("_hi", seg))))
+    j = join_on_keys(j, segments, [*keys, "_seg"], how="left")
+    a, b = F.col("_a"), F.col("_b")
+    between = a["y"] + (b["y"] - a["y"]) * (F.col(x) - a["x"]) / (b["x"] - a["x"])
+    own = F.when(a.isNull(), b["y"]).when(b.isNull(), a["y"]).otherwise(between)
+    j = j.withColumns({"shift": F.coalesce(own, "_median"), "shift_level": F.when(own.isNotNull(), "bin").when(F.col("_median").isNotNull(), "group").otherwise("none")})
+    s = F.coalesce("shift", F.lit(0.0))
+    return j.withColumn(name or value, F.col(value) * (1 - s * F.lit(1e-6)) if ppm else F.col(value) - s).drop("_lo", "_hi", "_seg", "_a", "_b", "_median")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.constants import PROTON, WATER
-from ..operators import hits, inference, runs, scans, search
+from ..operators import hits, inference, recalibrate, runs, scans, search
 from ..session import scratch_path as _folder
 from ..sources import readers, writers
 from .oracle import cover_sql
@@ -269,4 +269,26 @@ WHERE d.peptide IN (SELECT peptide FROM {_pieces("benchmark", "item_id", "text")
 """
 
 
+def q113_shift_along(spark, sf):
+    """E3 + E4 along an axis: customer keys as errors, along the balance, per nation; knots from the BUILDING customers' bins of 250
+    that have 2 or more, the nation's median from 20 rows on. All customers are shifted."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", F.col("c_acctbal").cast("double").alias("bal"), "c_mktsegment",
+                                            (F.col("c_custkey") % 1000).cast("double").alias("err"))
+    fit = recalibrate.fit_trend(c.where("c_mktsegment = 'BUILDING'"), ["c_nationkey"], "err", "bal", 250.0, 2, 20)
+    out = recalibrate.apply_trend(c, fit, ["c_nationkey"], "bal", "err", 250.0, "corrected")
+    return out.select("c_custkey", F.round("shift", 6).alias("shift"), "shift_level", F.round("corrected", 6).alias("corrected"))
+
+
+ORACLE["q113_shift_along"] = """
+WITH c AS (SELECT c_custkey, c_nationkey AS g, c_acctbal::DOUBLE AS x, c_mktsegment AS m, (c_custkey % 1000)::DOUBLE AS err FROM customer),
+k AS (SELECT g, (floor(x / 250.0::DOUBLE) + 0.5::DOUBLE) * 250.0::DOUBLE AS kx, MEDIAN(err) AS y FROM c WHERE m = 'BUILDING' GROUP BY 1, 2 HAVING COUNT(*) >= 2),
+w AS (SELECT g, MEDIAN(err) AS y FROM c WHERE m = 'BUILDING' GROUP BY 1 HAVING COUNT(*) >= 20),
+n AS (SELECT c.c_custkey, c.g, c.x, c.err, MAX(CASE WHEN k.kx <= c.x THEN {'x': k.kx, 'y': k.y} END) AS a, MIN(CASE WHEN k.kx > c.x THEN {'x': k.kx, 'y': k.y} END) AS b
+      FROM c LEFT JOIN k ON k.g = c.g GROUP BY ALL),
+s AS (SELECT n.*, CASE WHEN a IS NULL THEN b.y WHEN b IS NULL THEN a.y ELSE a.y + (b.y - a.y) * (x - a.x) / (b.x - a.x) END AS own, w.y AS whole FROM n LEFT JOIN w ON w.g = n.g)
+SELECT c_custkey, ROUND(COALESCE(own, whole), 6) AS shift, CASE WHEN own IS NOT NULL THEN 'bin' WHEN whole IS NOT NULL THEN 'group' ELSE 'none' END AS shift_level,
+       ROUND(err - COALESCE(own, whole, 0), 6) AS corrected FROM s
+"""
+
+
 QUERIES = {k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)}

@@ -155,3 +155,18 @@ def test_more_readers_and_writers(spark, tmpdir_path):
     assert spark.read.parquet(paths["long"]).count() == 1
     writers.write_manifest(spark.createDataFrame([("a", "b")], "file_name string, md5 string"),
                            os.path.join(tmpdir_path, "manifest"))
+
+
+def test_shift_between_knots_and_fall_back(spark):
+    from ionframe.operators import recalibrate
+
+    fit = [("d", 5.0, 1.0), ("d", 6.0, 3.0), ("d", 35.0, 10.0), ("d", 34.0, 10.0), ("d", 15.0, 99.0), ("few", 1.0, 7.0), ("few", 1.0, 9.0), ("few", 50.0, 8.0), (None, 5.0, 4.0), (None, 5.0, 4.0)]
+    psm = spark.createDataFrame(fit, "ds string, rt double, err double")
+    rows = [("d", 5.0, 2.0), ("d", 0.0, 2.0), ("d", 20.0, 6.0), ("d", 500.0, 10.0), ("d", -500.0, 2.0), ("few", 3.0, 8.0), ("d", None, 10.0), ("new", 5.0, None), (None, 7.0, 4.0)]
+    df = spark.createDataFrame([(i, d, x, 100.0) for i, (d, x, _) in enumerate(rows)], "id int, ds string, rt double, mz double")
+    model = recalibrate.fit_trend(psm, ["ds"], "err", "rt", 10.0, 2, 3)
+    # bins 0 and 3 of d have two rows, so knots at 5 and 35; few has a knot at 5 of its two equal times
+    got = {r.id: r for r in recalibrate.apply_trend(df, model, ["ds"], "rt", "mz", 10.0).collect()}
+    assert [got[i].shift for i in range(len(rows))] == [y for _, _, y in rows]
+    assert [got[i].shift_level for i in range(len(rows))] == ["bin"] * 6 + ["group", "none", "bin"]
+    assert [got[i].mz for i in range(len(rows))] == [100.0 - (y or 0.0) for _, _, y in rows]
