@@ -34,8 +34,9 @@ def bucketed(df: DataFrame, order: str | Column, partition_by: Sequence[str] = (
     ``BUCKET`` and the place that decides between rows equal in all of these. Nulls come first, last if descending."""
     key = _as_col(order)
     d, at = materialize_at(df.withColumns({"_ord_key": key, **{f"_ord_t{i}": _as_col(t) for i, t in enumerate(tiebreak)}}), "ord-in")
-    # the stored input has fixed partitions, so a rerun of a task numbers its rows alike
-    d = d.withColumn(_PLACE, F.monotonically_increasing_id())
+    # part and row of the stored input: the same however its files are listed and split, and in a rerun
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+    d = d.withColumn(_PLACE, F.shiftleft(part, 40) + F.col("_metadata.row_index"))
     d = d.repartitionByRange(*[F.col(p) for p in partition_by], *_sort(len(tiebreak), descending))
     out = materialize(d.withColumn(BUCKET, F.spark_partition_id()), "ord-ranges")
     drop_stored(df.sparkSession, at)

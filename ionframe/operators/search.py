@@ -260,9 +260,10 @@ def theoretical_fragments(df: DataFrame, sequence: str, residue_mass: Mapping[st
         masses = F.transform(plain, lambda m, i: F.when(F.array_contains(own, (i + 1).cast(df.schema[sites].dataType.elementType)), m + F.aggregate(
             F.filter(at, lambda x: x["s"] == i + 1), F.lit(0.0), lambda a, x: a + x["d"])).otherwise(m))
     d = df.select(*key, masses.alias("_m"))
+    d = d.where(~F.exists("_m", lambda m: m.isNull()))
     # one step a residue: the sums so far, and the next one behind them
     sums = F.aggregate("_m", F.array(F.lit(0.0)), lambda a, v: F.concat(a, F.array(F.element_at(a, -1) + v)))
-    d = d.withColumn("_sums", sums).withColumn("_tot", F.element_at("_sums", -1)).where(F.col("_tot").isNotNull())
+    d = d.withColumn("_sums", sums).withColumn("_tot", F.element_at("_sums", -1))
     d = d.withColumn("_pref", F.slice("_sums", 2, F.size("_m")))
     e = d.select(*key, "_tot", F.size("_m").alias("_n"), F.posexplode("_pref").alias("_i", "_p"))
     e = e.where(F.col("_i") < F.col("_n") - 1).withColumn("pos", (F.col("_i") + 1).cast("int"))

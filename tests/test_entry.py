@@ -22,13 +22,15 @@ def test_registry():
 
 
 def test_parsimony_invariants(spark):
-    from tests.test_inference import sequential_greedy
+    from tests.test_inference import parallel_greedy, sequential_greedy
     got = {r[0]: r[1] for r in E.queries()["q18_parsimony"](spark, SF).collect()}
     edges = {(r[0], r[1]) for r in spark.read.parquet(f"{SF}/lineitem.parquet")
              .select("l_partkey", "l_suppkey").distinct().collect()}
     assert set(got) == {p for p, _ in edges}            # every peptide explained
     assert all((p, s) in edges for p, s in got.items())  # by a protein it maps to
-    assert got == sequential_greedy(sorted(edges))       # the greedy choice
+    assert got == parallel_greedy(edges)                 # by rounds of votes
+    # at most 9/8 / share of what bounds the one-at-a-time greedy; here hardly more than it takes
+    assert len(set(got.values())) <= len(set(sequential_greedy(sorted(edges)).values())) * 1.25
 
 
 def test_components_cover_all_parts(spark):
