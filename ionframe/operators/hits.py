@@ -86,10 +86,17 @@ def map_peptides_substring(peptides: DataFrame, proteins: DataFrame, peptide: st
     lens = pep.agg(F.max("_len").alias("longest"), F.collect_set("_k").alias("ks")).first()  # at most k lengths
     if lens["longest"] is None:
         return proteins.select(F.lit("").alias(peptide), accession, F.lit(0).alias("start")).limit(0)
-    heads = [F.substr("_text", F.col("_i") + 1, F.lit(n)) for n in sorted(lens["ks"])]
-    kmer = heads[0] if len(heads) == 1 else F.explode(F.array_distinct(F.array(*heads)))
-    cand = _positions(proteins, accession, sequence, lens["longest"]).withColumn("_kmer", kmer)
-    cand = cand.join(pep.select("_kmer").distinct(), on="_kmer", how="left_semi")
+    ks = sorted(lens["ks"])
+
+    def head(n: int) -> Column:
+        return F.substr("_text", F.col("_i") + 1, F.lit(n))
+
+    # most positions go by their shortest head; only the rest are given all of them
+    cand = _positions(proteins, accession, sequence, lens["longest"]).withColumn("_kmer", head(ks[0]))
+    cand = cand.join(pep.select(F.substring("_kmer", 1, ks[0]).alias("_kmer")).distinct(), on="_kmer", how="left_semi")
+    if len(ks) > 1:
+        cand = cand.withColumn("_kmer", F.explode(F.array_distinct(F.array(*[head(n) for n in ks]))))
+        cand = cand.join(pep.select("_kmer").distinct(), on="_kmer", how="left_semi")
     cand = cand.select("_kmer", accession, (F.col("_at") + F.col("_i") + 1).cast("int").alias("start"),
                        F.substr("_text", F.col("_i") + 1, F.lit(lens["longest"])).alias("_win"))
     hit = cand.join(pep.select(peptide, "_kmer"), on="_kmer").where(F.col("_win").startswith(F.col(peptide)))
