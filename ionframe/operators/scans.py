@@ -349,8 +349,8 @@ def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz:
     from .components import star_components
 
     keys = list(keys)
-    ids = materialize(parents.select(*keys, parent_id).distinct(), "ions")
-    node = F.struct(*[F.col(k) for k in keys], F.col(parent_id))
+    # ions by number: stored, so that a rerun numbers them alike
+    ids = materialize(parents.select(*keys, parent_id).distinct().withColumn("_no", F.monotonically_increasing_id()), "ions")
     often = binned.groupBy(bin_col).agg(F.count(F.lit(1)).alias("_f"))
     peaks = binned.join(often, on=bin_col).groupBy(*keys, parent_id).agg(
         F.array_sort(F.collect_list(F.struct("_f", F.col(bin_col).alias("b"), F.col(value).cast("double").alias("v")))).alias("_s"))
@@ -362,11 +362,12 @@ def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz:
         x["left"] >= rest, F.struct((x["left"] - p["v"] * p["v"]).alias("left"), (x["n"] + 1).alias("n"))).otherwise(x), lambda x: x["n"])
     peaks = peaks.select(*keys, parent_id, F.sqrt("_n2").alias("_n"), F.col("_s.b").alias("_b"), F.col("_s.v").alias("_v"),
                          F.slice(F.col("_s.b"), F.lit(1), taken).alias("_pre"))
-    ions = materialize(parents.select(*keys, parent_id, F.col(mz).alias("_mz"), F.col(rt).alias("_rt")).join(peaks, on=[*keys, parent_id]), "ion-spectra")
+    ions = parents.select(*keys, parent_id, F.col(mz).alias("_mz"), F.col(rt).alias("_rt")).join(peaks, on=[*keys, parent_id])
+    ions = materialize(ions.join(ids, on=[*keys, parent_id]), "ion-spectra")
 
     def side(x: str) -> DataFrame:
         spectrum = F.arrays_zip(F.col("_b").alias("b"), F.col("_v").alias("v")) if x == "a" else F.map_from_arrays("_b", "_v")
-        return ions.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col(parent_id).alias(f"_{x}"), F.col("_mz").alias(f"_{x}mz"),
+        return ions.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col("_no").alias(f"_{x}"), F.col("_mz").alias(f"_{x}mz"),
                            F.col("_rt").alias(f"_{x}rt"), F.col("_n").alias(f"_n{x}"), spectrum.alias(f"_s{x}"), F.col("_pre").alias(f"_pre{x}"),
                            F.explode("_pre").alias(f"_d{x}"))
 
@@ -375,10 +376,9 @@ def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz:
     pairs = pairs.where((F.col("_a") < F.col("_b")) & (F.element_at(F.array_intersect("_prea", "_preb"), 1) == F.col("_da")))
     dot = F.aggregate("_sa", F.lit(0.0), lambda x, p: x + p["v"] * F.coalesce(F.col("_sb")[p["b"]], F.lit(0.0)))
     links = pairs.where(dot / (F.col("_na") * F.col("_nb")) >= min_similarity)
-
-    def named(x: str):
-        return F.struct(*[F.col(f"_k{x}{i}").alias(k) for i, k in enumerate(keys)], F.col(f"_{x}").alias(parent_id))
-
-    comp = star_components(links.select(named("a").alias("a"), named("b").alias("b")), "a", "b")
-    out = ids.withColumn("node", node).join(comp, on="node", how="left")
-    return out.select(*keys, parent_id, F.coalesce(F.col("component")[parent_id], F.col(parent_id)).alias("group_id"))
+    comp = star_components(links.select("_a", "_b"), "_a", "_b").select(F.col("node").alias("_no"), F.col("component").alias("_group"))
+    linked = materialize(ids.join(comp, on="_no"), "ion-groups")
+    least = linked.groupBy("_group").agg(F.min(parent_id).alias("group_id"))
+    alone = ids.join(comp, on="_no", how="left_anti").withColumn("group_id", F.col(parent_id))
+    out = linked.join(least, on="_group").select(*keys, parent_id, "group_id")
+    return out.unionByName(alone.select(*keys, parent_id, "group_id"))
