@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "table") -> None:
@@ -24,3 +24,9 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") ->
     if not cond:
         raise ValueError("join_on_keys needs at least one key")
     return left.join(r, on=cond, how=how).drop(*[f"_rk_{i}" for i in range(len(keys))])
+
+
+def is_number(df: DataFrame, name: str) -> Column:
+    """Whether a column has a value that orders: neither null nor, among floats, NaN."""
+    known = F.col(name).isNotNull()
+    return known & ~F.isnan(F.col(name)) if dict(df.dtypes)[name] in ("float", "double") else known

@@ -11,8 +11,9 @@ equals the single-window result exactly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,3 +132,41 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
         F.first(frac).alias("_f"), F.first("_n").alias("_n"))
     return agg.select(*keys, (F.col("_lo") + F.col("_f") * (F.col("_hi") - F.col("_lo"))).alias(name),
                       F.col("_n").alias("n"))
+
+
+#: Rows of a group that one task of `contracted` takes at once.
+CHUNK_ROWS = 1 << 18
+
+
+def contracted(df: DataFrame, order: str | Column, partition_by: Sequence[str], shrink: Callable[[pd.DataFrame], pd.DataFrame],
+               reach: int, descending: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``df`` after ``shrink`` has nothing left to merge in any group's order (``order`` is unique within a group).
+
+    ``shrink`` gets consecutive rows of a group, in order, and returns fewer of the same columns: it merges or removes runs of up
+    to ``reach`` neighbours by a rule that looks at no other rows and whose end result does not depend on the sequence of its
+    steps. Then a long group can be cut into chunks of ``chunk_rows`` (2 * ``reach`` at least) that are shrunk on their own. The
+    next round numbers what is left and cuts half a chunk further, so each run of neighbours lies within a chunk of
+    one of two rounds; two rounds that change nothing end it. Groups of one chunk take one round. The driver sees counts only."""
+    if chunk_rows < 2 * reach:
+        raise ValueError(f"chunks of {chunk_rows} rows don't hold twice the {reach} rows of a rule")
+    parts, names, spark = list(partition_by), df.columns, df.sparkSession
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return shrink(pdf.sort_values("_cn").drop(columns=["_cn", "_chunk"]).reset_index(drop=True))
+
+    df, at = materialize_at(df, "contract")
+    rows_before, unchanged, shift = -1, 0, 0
+    while True:
+        rows, most = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+        unchanged = unchanged + 1 if rows == rows_before else 0
+        if not rows or unchanged == 2:
+            return df
+        whole = most <= chunk_rows
+        numbered = row_number(df, order, parts, descending=descending, name="_cn")
+        cut = F.lit(0).cast("long") if whole else F.floor((F.col("_cn") - 1 + shift) / chunk_rows)
+        out, new = materialize_at(numbered.select(*names, "_cn", cut.alias("_chunk")).groupBy(*parts, "_chunk")
+                                  .applyInPandas(run, df.schema), "contract")
+        drop_stored(spark, at)
+        if whole:
+            return out
+        df, at, rows_before, shift = out, new, rows, chunk_rows // 2 - shift

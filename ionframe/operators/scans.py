@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import ordered
-from .common import join_on_keys
+from .common import is_number, join_on_keys
 from .rangejoin import Tol, range_join
 
 
@@ -114,7 +115,7 @@ def sic_noise(sic: DataFrame, parent: Sequence[str], order: str, intensity: str,
               .drop("_n", "_max")
 
 
-def _neighbours(df: DataFrame, parent: Sequence[str], order: str, tiebreak: Sequence[str],
+def _neighbours(df: DataFrame, parent: Sequence[str], order: str | Column, tiebreak: Sequence[str],
                 offsets: Sequence[int], cols: Sequence[str]) -> DataFrame:
     """Rows with, for each offset k and column c, the value ``_n{k}_{c}`` of the row k places on in the
     group's order. The table is range-partitioned once; the rows at either end of a range are copied into
@@ -198,6 +199,62 @@ def peak_bounds(sic: DataFrame, parent: Sequence[str], x: str, y: str) -> DataFr
         (F.col("_body") + F.col("_ends")).alias("area"))
 
 
+def find_peaks(sic: DataFrame, parent: Sequence[str], x: str, y: str, valley: float = 0.5, low_fraction: float = 0.75,
+               chunk_rows: int = ordered.CHUNK_ROWS) -> DataFrame:
+    """all peaks of each trace. Two neighbouring peaks are told apart where the lowest point between them is below ``valley``
+    times the lower apex; else the lower one is a shoulder of the higher. A peak reaches from the lowest point before it to
+    the lowest after it (or the trace's ends), both included. Columns: parent, peak (from 1, along x), apex_x, apex_y, left_x,
+    right_x, area (trapezoid rule), n_points, sn (apex over `sic_noise`'s level; null without noise).
+
+    Points of one x count as one, with their largest y; of equal y the later is the higher; null and NaN points are left out,
+    values below zero count as zero, and a trace without a positive value has no peak. Shoulders are removed by a rule on four consecutive
+    extremes (the inner two go if the outer two enclose them), so `ordered.contracted` takes long traces in chunks."""
+    if not 0 <= valley < 1:
+        raise ValueError(f"valley is a share of the apex from 0 to below 1, not {valley}")
+    height = F.greatest(F.col(y).cast("double"), F.lit(0.0))
+    pts = materialize(sic.where(is_number(sic, x) & is_number(sic, y)).groupBy(*parent, F.col(x).alias("_x")).agg(F.max(height).alias("_y")), "trace")
+    # a trace lies between two points below all others
+    low = pts.groupBy(*parent).agg(F.min("_x").alias("a"), F.max("_x").alias("b"))
+    ends = low.select(*parent, F.explode(F.array(F.struct(F.lit(0).alias("s"), F.col("a").alias("x")), F.struct(F.lit(2).alias("s"), F.col("b").alias("x")))).alias("_at"),
+                      F.lit(float("-inf")).alias("_y"))
+    rows = pts.select(*parent, F.lit(1).alias("_s"), "_x", "_y").unionByName(ends.select(*parent, F.col("_at.s").alias("_s"), F.col("_at.x").alias("_x"), "_y"))
+    along = F.struct("_s", "_x")
+
+    def extremes(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept: list[tuple] = []  # (height, later place): no two are equal
+        for p in zip(pdf["_y"].tolist(), range(len(pdf))):
+            kept.append(p)
+            while True:
+                if len(kept) > 2 and (kept[-3] < kept[-2]) == (kept[-2] < kept[-1]):
+                    del kept[-2]
+                elif len(kept) > 3:
+                    a, b, c, d = kept[-4:]
+                    top, bottom, outer = (b, c, a <= c and d >= b) if b > c else (c, b, a >= c and d <= b)
+                    if not (outer and bottom[0] >= valley * top[0]):
+                        break
+                    del kept[-3:-1]
+                else:
+                    break
+        return pdf.iloc[[i for _, i in kept]]
+
+    left = ordered.contracted(rows, along, parent, extremes, 4, chunk_rows=chunk_rows)
+    n = _neighbours(left, parent, along, [], [-1, 1], ["_x", "_y"])
+    peaks = n.where((F.col("_y") > F.col("_n-1__y")) & (F.col("_y") > 0) & (F.col("_y") >= F.col("_n1__y")))
+    peaks = ordered.row_number(peaks.select(*parent, F.col("_x").alias("apex_x"), F.col("_y").alias("apex_y"),
+                                            F.col("_n-1__x").alias("left_x"), F.col("_n1__x").alias("right_x")), "apex_x", parent, name="peak")
+    peaks = materialize(peaks, "peaks")
+    # the segment that ends at a point is the peak's whose left end is the last one before it
+    starts = peaks.select(*parent, F.col("left_x").alias("_x"), F.lit(1).alias("_start"))
+    seg = _neighbours(join_on_keys(pts, starts, [*parent, "_x"], how="left"), parent, "_x", [], [-1], ["_x", "_y"])
+    part = (F.col("_x") - F.col("_n-1__x")) * (F.col("_y") + F.col("_n-1__y")) / 2
+    seg = ordered.running_agg(seg.withColumn("_part", part), "_x", {"peak": ("sum", F.coalesce("_start", F.lit(0)))}, parent, inclusive=False)
+    area = seg.where(F.col("peak") > 0).groupBy(*parent, F.col("peak").cast("long").alias("peak")).agg(F.sum("_part").alias("_area"), F.count(F.lit(1)).alias("_n"))
+    noise = sic_noise(pts, parent, "_x", "_y", low_fraction, 0.0).groupBy(*parent).agg(F.first("noise").alias("_noise"))
+    out = join_on_keys(join_on_keys(peaks, area, [*parent, "peak"], how="left"), noise, parent, how="left")
+    return out.select(*parent, "peak", "apex_x", "apex_y", "left_x", "right_x", F.coalesce("_area", F.lit(0.0)).alias("area"),
+                      (F.coalesce("_n", F.lit(0)) + 1).alias("n_points"), F.when(F.col("_noise") > 0, F.col("apex_y") / F.col("_noise")).alias("sn"))
+
+
 def bin_spectra(peaks: DataFrame, keys: Sequence[str], mz: str, intensity: str,
                 start: float = 50.0, end: float = 2000.0, size: float = 1.0) -> DataFrame:
     """fixed-width m/z bins in [start, end), summed intensity."""

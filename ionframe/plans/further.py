@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import stats
 from ..functions.constants import PROTON, WATER
-from ..operators import hits, inference, recalibrate, runs, scans, search
+from ..operators import confidence, hits, inference, recalibrate, runs, scans, search
 from ..session import scratch_path as _folder
 from ..sources import readers, writers
 from .oracle import cover_sql
@@ -291,4 +292,76 @@ SELECT c_custkey, ROUND(COALESCE(own, whole), 6) AS shift, CASE WHEN own IS NOT
 """
 
 
+def q114_error_probability(spark, sf):
+    """G1, H3: lines as matches, the ship day (from 1992) as score, decoys by key and more often on early days, per return flag: the
+    probability that a match of a day is wrong, from the isotonic regression of the decoy share."""
+    psm = table(spark, sf, "lineitem").select("l_returnflag", F.datediff(F.col("l_shipdate").cast("date"), F.lit("1992-01-01").cast("date")).alias("day"),
+                                              ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 2600).alias("at"))
+    p = confidence.error_probability(psm, "day", F.col("at") > F.col("day"), ["l_returnflag"])
+    return p.select("l_returnflag", "day", "n_target", "n_decoy", F.round("decoy_share", 9).alias("decoy_share"), F.round("error_probability", 9).alias("error_probability"))
+
+
+def _isotonic(name: str, rows: str, group: str, best_first: str) -> str:
+    """CTEs of the fit as the largest over the starts up to a point of the smallest mean over the ends from it on; ``rows`` has y (sum) and w (weight)."""
+    return f"""{name}_c AS (SELECT *, row_number() OVER v AS i, SUM(y) OVER v AS cy, SUM(w) OVER v AS cw FROM {rows} WINDOW v AS (PARTITION BY {group} ORDER BY {best_first})),
+{name}_g AS (SELECT a.{group}, b.i, MIN((b.cy - a.cy + a.y)::DOUBLE / (b.cw - a.cw + a.w)::DOUBLE) OVER (PARTITION BY a.{group}, a.i ORDER BY b.i DESC ROWS UNBOUNDED PRECEDING) AS m
+  FROM {name}_c a JOIN {name}_c b ON a.{group} = b.{group} AND b.i >= a.i),
+{name}_f AS (SELECT {group}, i, MAX(m) AS share FROM {name}_g GROUP BY 1, 2),
+{name} AS (SELECT c.*, share, CASE WHEN share < 0.5 THEN share / (1 - share) ELSE 1.0 END::DOUBLE AS pep FROM {name}_c c JOIN {name}_f f ON f.{group} = c.{group} AND f.i = c.i)"""
+
+
+ORACLE["q114_error_probability"] = f"""
+WITH m AS (SELECT l_returnflag, datediff('day', DATE '1992-01-01', l_shipdate::DATE) AS day, (l_orderkey * 7 + l_linenumber * 13) % 2600 AS place FROM lineitem),
+s AS (SELECT l_returnflag, day::INTEGER AS day, COUNT(*) FILTER (WHERE place <= day) AS n_target, COUNT(*) FILTER (WHERE place > day) AS y, COUNT(*) AS w FROM m GROUP BY ALL),
+{_isotonic("fit", "s", "l_returnflag", "day DESC")}
+SELECT l_returnflag, day, n_target, y AS n_decoy, ROUND(share, 9) AS decoy_share, ROUND(pep, 9) AS error_probability FROM fit
+"""
+
+
+def q115_protein_competition(spark, sf):
+    """H3 at protein level: parts as proteins, returned lines as matches of their decoys, the price as score; of a part and its
+    decoy the better stays, with q-value and error probability."""
+    decoy = F.col("l_returnflag") == "R"
+    hits_ = table(spark, sf, "lineitem").select(F.concat(F.when(decoy, "XXX_").otherwise(""), F.lit("P"), F.col("l_partkey")).alias("accession"),
+                                                F.col("l_extendedprice").cast("double").alias("score"), decoy.alias("is_decoy"))
+    p = confidence.protein_confidence(hits_, "accession", "score", "is_decoy")
+    return p.select("accession", "score", "is_decoy", F.round("q_value", 9).alias("q_value"), F.round("error_probability", 9).alias("error_probability"))
+
+
+ORACLE["q115_protein_competition"] = f"""
+WITH b AS (SELECT l_partkey, MAX({{'s': l_extendedprice::DOUBLE, 'd': l_returnflag = 'R'}}) AS best FROM lineitem GROUP BY 1),
+p AS (SELECT CASE WHEN best.d THEN 'XXX_P' ELSE 'P' END || l_partkey AS accession, best.s AS score, best.d AS is_decoy FROM b),
+s AS (SELECT 1 AS one, score, COUNT(*) FILTER (WHERE NOT is_decoy) AS nt, COUNT(*) FILTER (WHERE is_decoy) AS y, COUNT(*) AS w FROM p GROUP BY score),
+r AS (SELECT score, SUM(y) OVER v::DOUBLE / GREATEST(SUM(nt) OVER v, 1)::DOUBLE AS fdr FROM s WINDOW v AS (ORDER BY score DESC)),
+q AS (SELECT score, MIN(fdr) OVER (ORDER BY score) AS q_value FROM r),
+{_isotonic("fit", "s", "one", "score DESC")}
+SELECT accession, p.score, is_decoy, ROUND(q_value, 9) AS q_value, ROUND(pep, 9) AS error_probability FROM p JOIN q USING (score) JOIN fit ON fit.score = p.score
+"""
+
+
+def q116_find_peaks(spark, sf):
+    """all peaks of every user's trace of values over time, told apart by valleys below half the lower apex, with area and signal to noise."""
+    ev = table(spark, sf, "events").select("user_id", (stats.epoch_micros(F.col("ts")) / 1e6).alias("t"), "value")
+    p = scans.find_peaks(ev, ["user_id"], "t", "value")
+    return p.select("user_id", "peak", *[F.round(c, 3).alias(c) for c in ("apex_x", "left_x", "right_x")], F.col("apex_y"), F.round("area", 1).alias("area"), "n_points",
+                    F.round("sn", 6).alias("sn"))
+
+
+ORACLE["q116_find_peaks"] = """
+WITH e AS (SELECT user_id AS u, epoch_us(ts) / 1e6::DOUBLE AS t, MAX(GREATEST(value, 0.0))::DOUBLE AS y FROM events WHERE value IS NOT NULL GROUP BY 1, 2),
+h AS (SELECT a.u, a.t, a.y, MIN(CASE WHEN b.t > a.t AND b.y >= a.y THEN b.t END) AS r, MAX(CASE WHEN b.t < a.t AND b.y > a.y THEN b.t END) AS l FROM e a JOIN e b USING (u) GROUP BY 1, 2, 3),
+d AS (SELECT h.u, h.t, h.y, h.r, h.l, MIN(CASE WHEN b.t BETWEEN h.t AND h.r THEN b.y END) AS rm, MIN(CASE WHEN b.t BETWEEN h.l AND h.t THEN b.y END) AS lm
+      FROM h JOIN e b USING (u) GROUP BY ALL),
+k AS (SELECT u, t, y, row_number() OVER v AS peak, lead(t) OVER v AS nt FROM d WHERE y > 0 AND (r IS NULL OR rm < 0.5 * y) AND (l IS NULL OR lm < 0.5 * y) WINDOW v AS (PARTITION BY u ORDER BY t)),
+w AS (SELECT k.u, k.peak, MIN({'y': e.y, 't': e.t}).t AS v FROM k JOIN e ON e.u = k.u AND e.t BETWEEN k.t AND k.nt GROUP BY 1, 2),
+x AS (SELECT u, MIN(t) AS lo, MAX(t) AS hi FROM e GROUP BY 1),
+b AS (SELECT k.*, COALESCE(p.v, x.lo) AS left_x, COALESCE(n.v, x.hi) AS right_x FROM k JOIN x USING (u) LEFT JOIN w p ON p.u = k.u AND p.peak = k.peak - 1 LEFT JOIN w n ON n.u = k.u AND n.peak = k.peak),
+s AS (SELECT u, t, y, LAG(t) OVER v AS pt, LAG(y) OVER v AS py, percent_rank() OVER (PARTITION BY u ORDER BY y) AS pr FROM e WINDOW v AS (PARTITION BY u ORDER BY t)),
+z AS (SELECT u, AVG(y) AS noise FROM s WHERE pr <= 0.75 GROUP BY 1)
+SELECT b.u AS user_id, b.peak, ROUND(b.t, 3) AS apex_x, ROUND(left_x, 3) AS left_x, ROUND(right_x, 3) AS right_x, b.y AS apex_y,
+  ROUND(COALESCE(SUM((s.t - s.pt) * (s.y + s.py) / 2) FILTER (WHERE s.pt >= left_x), 0.0), 1) AS area, COUNT(*) AS n_points, ROUND(CASE WHEN noise > 0 THEN b.y / noise END, 6) AS sn
+FROM b JOIN s ON s.u = b.u AND s.t BETWEEN left_x AND right_x JOIN z ON z.u = b.u GROUP BY b.u, b.peak, b.t, left_x, right_x, b.y, noise
+"""
+
+
 QUERIES = {k: v for k, v in sorted(globals().items()) if k[:1] == "q" and k[1:3].isdigit() and callable(v)}
