@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ REMEMBERED = 500_000
 
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _NOTHING = -1  # before the first piece, and after byte pieces: any piece may follow
+_END = -2  # no arc
 
 
 class _Paths(dict):
@@ -71,6 +73,13 @@ class Transducer:
             for n in range(1, len(p)):
                 self.trie.setdefault(p[:n], -1)
             self.trie[p] = i
+        # arcs of one start, longest first: the next shorter piece that begins a piece, then fallback; the last entry is for _NOTHING
+        self.size = [len(self.text.get(i, "")) for i in range(len(pieces))] + [1]
+        self.shorter = [_END] * (len(pieces) + 1)
+        for i, p in self.text.items():
+            begins = (self.trie[p[:n]] for n in range(len(p) - 1, 0, -1))
+            self.shorter[i] = next((b for b in begins if b >= 0), _NOTHING if len(p) > 1 else _END)
+        self.code = [i.to_bytes(self.dtype.itemsize, "little") for i in range(len(pieces))]
         inside = {p[j:j + 2] for p in self.text.values() for j in range(len(p) - 1)}
         self.inside = inside
         cut_at_spaces = not any(x[1] == SPACE and x[0] != SPACE for x in inside)
@@ -128,12 +137,13 @@ class Transducer:
 
     def _start(self) -> None:
         self.findall = re.compile(self.coarse).findall
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, dict[int, bool]] = defaultdict(dict)
+        self.n_follows = 0
         self.fine = _Paths(self._shortest_path)
         self.paths = _Paths(self._unit)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("findall", "follows", "fine", "paths")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("findall", "follows", "n_follows", "fine", "paths")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -166,7 +176,7 @@ class Transducer:
 
     def _shortest_path(self, unit: str) -> bytes:
         ids = self._finite_path(unit) if self.bpe else self._least_cost(unit)
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return b"".join([self.code[i] for i in ids])
 
     def _arcs(self, unit: str, i: int) -> list[tuple[int, int]]:
         """(end, piece) of the arcs that start at i, shortest first; a character that is no piece has its fallback arc."""
@@ -182,40 +192,49 @@ class Transducer:
         return out
 
     def _finite_path(self, unit: str) -> list[int]:
-        """The path without infinite weights. Longest arcs are tried first; a place reached before
-        leads nowhere, as the last piece at a place is the same on every finite path to it."""
-        n, follows, arcs_of = len(unit), self.follows, self._arcs
+        """The path without infinite weights. The longest arc is tried first, then the shorter ones that begin it; a place
+        reached before leads nowhere, as the last piece at a place is the same on every finite path to it."""
+        n, get, shorter, size, follows = len(unit), self.trie.get, self.shorter, self.size, self.follows
+        seen, path = bytearray(n + 1), []
         at, last = 0, _NOTHING
-        arcs, seen, path = [arcs_of(unit, 0)], set(), []
         while at < n:
-            own = arcs[-1]
-            while own:
-                j, t = own.pop()
-                if j in seen:
-                    continue
-                if t >= 0 and last >= 0:
-                    ok = follows.get((last, t))
+            t, j = _NOTHING, at + 1
+            while j <= n and (x := get(unit[at:j])) is not None:
+                if x >= 0:
+                    t = x
+                j += 1
+            while True:
+                if t == _END:  # no arc from here is left: back over the last one, to its next shorter
+                    t = path.pop()
+                    at -= size[t]
+                    last = path[-1] if path else _NOTHING
+                elif not seen[at + size[t]]:
+                    if t < 0 or last < 0:
+                        break
+                    ok = follows[last].get(t)
                     if ok is None:
-                        if len(follows) > 2 * REMEMBERED:
-                            follows.clear()
-                        ok = follows[last, t] = self._side_by_side(last, t)
-                    if not ok:
-                        continue
-                path.append((at, t))
-                seen.add(j)
-                at, last = j, t
-                if j < n:
-                    arcs.append(arcs_of(unit, j))
-                break
-            else:
-                arcs.pop()
-                at, last = path.pop()[0], path[-1][1] if path else _NOTHING
-        out: list[int] = []
-        for i, t in path:
-            if t >= 0:
-                out.append(t)
-            else:
-                out += self._fallback(unit[i])
+                        ok = self._may_follow(last, t)
+                    if ok:
+                        break
+                t = shorter[t]
+            path.append(t)
+            at += size[t]
+            seen[at] = 1
+            last = t
+        if _NOTHING not in path:
+            return path
+        out, at = [], 0
+        for t in path:
+            out += [t] if t >= 0 else self._fallback(unit[at])
+            at += size[t]
+        return out
+
+    def _may_follow(self, last: int, t: int) -> bool:
+        if self.n_follows > 2 * REMEMBERED:
+            self.follows.clear()
+            self.n_follows = 0
+        self.n_follows += 1
+        out = self.follows[last][t] = self._side_by_side(last, t)
         return out
 
     def _least_cost(self, unit: str) -> list[int]:
