@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import share
+from .common import named, share, unlike
 
 SPACE = "▁"
 #: Units whose paths a worker remembers.
@@ -308,6 +308,10 @@ def encode_column(spark: SparkSession, model: Transducer, text: str) -> Column:
     return ids(F.col(text))
 
 
+def _text(model: Transducer, ids: np.ndarray) -> str:
+    return model.decode(ids[(ids >= 0) & (ids < len(model.surface))].tolist())
+
+
 def decode_column(spark: SparkSession, model: Transducer, ids: str) -> Column:
     """Text of each array of ids; null for null. Ids outside the model, and null ones, write nothing."""
     shared = share(spark, model)
@@ -315,14 +319,7 @@ def decode_column(spark: SparkSession, model: Transducer, ids: str) -> Column:
     @F.arrow_udf(T.StringType())
     def text(arrays: pa.Array) -> pa.Array:
         m = shared()
-        out = []
-        for a in arrays:
-            if not a.is_valid:
-                out.append(None)
-                continue
-            v = a.values.drop_null().to_numpy(zero_copy_only=False)
-            out.append(m.decode(v[(v >= 0) & (v < len(m.surface))].tolist()))
-        return pa.array(out, pa.string())
+        return pa.array([_text(m, a.values.drop_null().to_numpy(zero_copy_only=False)) if a.is_valid else None for a in arrays], pa.string())
 
     return text(F.col(ids))
 
@@ -335,3 +332,22 @@ def encode_documents(docs: DataFrame, model: Transducer, text: str = "text", out
 def decode_documents(rows: DataFrame, model: Transducer, ids: str = "ids", out: str = "text") -> DataFrame:
     """``rows`` with the text of its ids (replacing a column of that name)."""
     return rows.withColumn(out, decode_column(rows.sparkSession, model, ids))
+
+
+def round_trip(docs: DataFrame, model: Transducer, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of its texts and the texts of these ids (replacing columns of these names), in one pass. Spark
+    writes a column's expression out wherever the column is read, so `decode_documents` straight after `encode_documents`
+    encodes every text twice; here both come from one call. Null texts have null ids and null decoded text. All rows stay."""
+    shared = share(docs.sparkSession, model)
+    both = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+
+    @F.arrow_udf(both)
+    def there_and_back(texts: pa.Array) -> pa.Array:
+        m = shared()
+        parts = [m.encode_bytes(t.as_py()) if t.is_valid else None for t in texts]
+        back = [None if p is None else _text(m, np.frombuffer(p, m.dtype)) for p in parts]
+        return pa.StructArray.from_arrays([_lists(parts, m.dtype), pa.array(back, pa.string())], ["ids", "decoded"])
+
+    own = unlike(docs, "_pieces_") + "both"
+    return (docs.withColumn(own, there_and_back(named(text)))
+            .withColumns({ids: F.col(own)["ids"], decoded: F.col(own)["decoded"]}).drop(own))

@@ -78,6 +78,21 @@ def test_odd_rows(spark):
     assert sentencepiece.encode_documents(cases.odd_docs(spark, []), MODEL).count() == 0
 
 
+def test_round_trip_is_encoding_then_decoding_in_one_call(spark):
+    docs = cases.odd_docs(spark)
+    got = sentencepiece.round_trip(docs, MODEL, ids="score", decoded="shard")
+    assert set(got.columns) == set(docs.columns)
+    rows = got.collect()
+    assert len(rows) == len(cases.odd_rows())
+    for r in rows:
+        assert r.shard == r.text and (r.score is None) == (r.text is None)
+        assert r.text is None or r.score == MODEL.encode(r.text)
+    assert sentencepiece.round_trip(cases.odd_docs(spark, []), MODEL).count() == 0
+    query = queries.QUERIES["op3_sentencepiece"](spark, "/root/testdata/sf0.001")
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("there_and_back(") == 1 and "text(" not in plan  # no text is encoded twice
+
+
 def slow_best_fit(sizes, length):
     rows = []
     for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
