@@ -114,7 +114,8 @@ def mod_details(df: DataFrame, key: Sequence[str], sequence: str, mod_defs: Data
     e = df.select(*key, F.posexplode(toks).alias("_i", "_t"))
     e = e.select(*key, (F.col("_i") + 1).cast("int").alias("position"),
                  F.substring("_t", 1, 1).alias("residue"), F.expr("substring(_t, 2)").alias("_sym"))
-    d = mod_defs  # a modification list
+    # a modification list, broadcast by name: without known bytes of it the planner would send the residues through the driver
+    d = F.broadcast(mod_defs)
     cond = (e["residue"] == d["residue"]) & ((d["symbol"] == "") | (F.instr(e["_sym"], d["symbol"]) > 0))
     j = e.join(d, cond, "inner")
     return j.select(*[e[k] for k in key], e["position"], e["residue"], d["symbol"], d["mod_name"], d["mass"])
@@ -136,10 +137,12 @@ def protein_mods(details: DataFrame, mapping: DataFrame, peptide: str = "peptide
 def name_masses(mods: DataFrame, tags: DataFrame, key: Sequence[str], mass: str, tag_mass: str,
                 tag_name: str, tol: float, tag_tiebreak: str | None = None) -> DataFrame:
     """The tag whose mass is closest (within ``tol``); ties by the smaller
-    tie-break value. Range join, then one min over (distance, tie-break)."""
+    tie-break value. Of the tags of one mass only the first by tie-break can be the answer, so the range join takes one tag a
+    mass; then one min over (distance, tie-break)."""
     tb = tag_tiebreak or tag_name
-    j = range_join(mods, tags, [Tol(mass, tag_mass, tol)])
-    best = F.min(F.struct(F.abs(F.col(mass) - F.col(tag_mass)).alias("d"), F.col(tb).alias("t"),
-                          F.col(tag_name).alias("n")))
+    first = F.min(F.struct(F.col(tb).alias("t"), F.col(tag_name).alias("n")))
+    one = tags.groupBy(F.col(tag_mass).alias("_tag")).agg(first.alias("_first"))
+    j = range_join(mods, one, [Tol(mass, "_tag", tol)])
+    best = F.min(F.struct(F.abs(F.col(mass) - F.col("_tag")).alias("d"), F.col("_first.t").alias("t"), F.col("_first.n").alias("n")))
     g = j.groupBy(*key).agg(best.alias("_b"))
     return g.select(*key, F.col("_b")["n"].alias(tag_name), F.col("_b")["d"].alias("distance"))
