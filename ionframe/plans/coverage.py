@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..operators import design, hits, inference, quant, recalibrate, runs, scans, search, sites
 from ..session import scratch_path as _folder
 from ..sources import readers, writers
-from .oracle import cover_sql
 from .queries import CHAR_MASS, _mod_defs, _unit_prices
 from .tables import table
 
@@ -479,14 +478,27 @@ def q98_sparse_prior_cover(spark, sf):
     covers the rest (438 of 2,000 parts at sf0.01, 1,832 of 20,000 at sf0.1) with the others."""
     e = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
     prior = table(spark, sf, "supplier").where("s_nationkey < 2").select(F.col("s_suppkey").alias("accession"))
-    return inference.infer_parsimony(e, "l_partkey", "l_suppkey", prior, "accession", refine_prior=False)
+    return inference.infer_parsimony(e, "l_partkey", "l_suppkey", prior, "accession", refine_prior=False, share=1)
 
 
-ORACLE["q98_sparse_prior_cover"] = f"""
+ORACLE["q98_sparse_prior_cover"] = """
 WITH RECURSIVE a AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
 pr AS (SELECT a.* FROM a JOIN supplier ON s_suppkey = s WHERE s_nationkey < 2),
-e AS (SELECT a.* FROM a WHERE p NOT IN (SELECT p FROM pr)),{cover_sql("e")}
-SELECT p AS l_partkey, s AS l_suppkey FROM pr UNION ALL SELECT p, s FROM cover
+e AS (SELECT a.* FROM a WHERE p NOT IN (SELECT p FROM pr)),
+tot AS (SELECT s, COUNT(*) AS n FROM e GROUP BY s),
+g(step, chosen) AS (
+  SELECT 0, []::BIGINT[]
+  UNION ALL
+  SELECT step + 1, list_append(chosen, pick) FROM (
+    SELECT g.step, g.chosen,
+      (SELECT c.s FROM (SELECT e.s, COUNT(*) AS left_over FROM e
+                        WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.p = e.p AND list_contains(g.chosen, x.s))
+                        GROUP BY e.s) c JOIN tot USING (s)
+       ORDER BY c.left_over DESC, tot.n DESC, c.s LIMIT 1) AS pick
+    FROM g) q WHERE pick IS NOT NULL),
+o AS (SELECT unnest(chosen) AS s, unnest(range(1, len(chosen) + 1)) AS i FROM (SELECT chosen FROM g ORDER BY step DESC LIMIT 1))
+SELECT p AS l_partkey, s AS l_suppkey FROM pr
+UNION ALL SELECT e.p, arg_min(o.s, o.i) FROM e JOIN o ON o.s = e.s GROUP BY e.p
 """
 
 
