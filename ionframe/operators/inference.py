@@ -104,37 +104,50 @@ def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "pro
     return named.select(F.col("pep").alias(peptide), F.col("name").alias(protein))
 
 
-def protein_groups(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", prefix: int = 3) -> DataFrame:
+#: Bits of a set's signature, by words of 64; a set that has another one's peptides has its bits.
+SIGNATURE_WORDS = 4
+
+
+def protein_groups(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", prefix: int = 1) -> DataFrame:
     """Per protein: group_id (the smallest accession with the same peptides), n_peptides, and contained_in: of the groups
     that have all of its peptides and more, the one with the most (then the smallest accession), or null. Edges with a null end are left out.
 
     Equal sets are found by their size and two order-free sums of peptide hashes, so no set is collected. For
-    containment a set is looked up by its ``prefix`` rarest peptides: a larger set must have all of them, and the few that do are verified by
-    counting shared peptides. Frequent peptides are looked up only by sets that have no rarer ones.
+    containment a set is looked up by its ``prefix`` rarest peptides: a larger set must have all of them, and the bits of
+    all peptides in its signature, which the join checks pair by pair, so that hardly any other pair becomes a row. The few that are
+    left are verified by counting shared peptides. A set of one peptide needs no pairs: the largest set that has the peptide holds it.
     """
     e = edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot")) \
         .where(F.col(peptide).isNotNull() & F.col(protein).isNotNull()).distinct()
     e = materialize(e, "group-edges")
     text = F.col("pep").cast("string")
+    bit = F.xxhash64(F.lit(2), text)
+    words = [F.bit_or(F.when(F.shiftrightunsigned(bit, 40) % SIGNATURE_WORDS == i, F.expr("shiftleft(1L, cast(xxhash64(2, cast(pep AS string)) & 63 AS int))"))
+                      .otherwise(F.lit(0).cast("long"))).alias(f"g{i}") for i in range(SIGNATURE_WORDS)]
     sets = e.groupBy("prot").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(text)).alias("x"),
-                                 F.sum(F.xxhash64(F.lit(1), text).cast("decimal(38,0)")).alias("s"))
+                                 F.sum(F.xxhash64(F.lit(1), text).cast("decimal(38,0)")).alias("s"), *words)
     sets = materialize(sets, "group-sets")
     named = sets.groupBy("n", "x", "s").agg(F.min("prot").alias("group_id"))
-    members = materialize(sets.join(named, on=["n", "x", "s"]).select("prot", "group_id", "n"), "group-members")
-    reps = members.where("prot = group_id").select("prot", "n")
+    bits = [f"g{i}" for i in range(SIGNATURE_WORDS)]
+    members = materialize(sets.join(named, on=["n", "x", "s"]).select("prot", "group_id", "n", *bits), "group-members")
+    reps = members.where("prot = group_id").select("prot", "n", *bits)
     re = materialize(e.join(reps, on="prot"), "group-first")
-    rare = re.join(re.groupBy("pep").agg(F.count(F.lit(1)).alias("f")), on="pep")
+    largest = re.groupBy("pep").agg(F.count(F.lit(1)).alias("f"), F.max("n").alias("most"))
+    # of the sets with a peptide, the smallest accession among the largest, by fixed-width aggregates
+    holder = re.join(largest.select("pep", "most"), on="pep").where("n = most").groupBy("pep", "most").agg(F.min("prot").alias("b"))
+    single = re.where("n = 1").select("pep", F.col("prot").alias("a")).join(holder, on="pep").where("most > 1").select("a", F.col("b").alias("contained_in"))
+    rare = re.where("n > 1").join(largest.select("pep", "f"), on="pep")
     place = F.row_number().over(Window.partitionBy("prot").orderBy("f", "pep"))
-    head = rare.withColumn("_r", place).where(F.col("_r") <= prefix).select("pep", F.col("prot").alias("a"), F.col("n").alias("na"))
-    other = re.select("pep", F.col("prot").alias("b"), F.col("n").alias("nb"))
-    cand = (head.join(other, on="pep").where("nb > na").groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("c"))
-            .where(F.col("c") == F.least(F.col("na"), F.lit(prefix))).drop("c"))
+    head = rare.withColumn("_r", place).where(F.col("_r") <= prefix).select("pep", F.col("prot").alias("a"), F.col("n").alias("na"), *[F.col(g).alias(f"a{g}") for g in bits])
+    other = re.select("pep", F.col("prot").alias("b"), F.col("n").alias("nb"), *bits)
+    cand = head.join(other, on="pep").where("nb > na AND " + " AND ".join(f"a{g} & ~{g} = 0" for g in bits)).select("a", "na", "b", "nb")
+    if prefix > 1:
+        cand = cand.distinct()
     cand = materialize(cand, "group-candidates")
-    small = cand.where(F.col("na") <= prefix)
-    shared = (cand.where(F.col("na") > prefix).join(re.select(F.col("prot").alias("a"), "pep"), on="a").join(other.select("b", "pep"), on=["b", "pep"])
+    shared = (cand.join(re.select(F.col("prot").alias("a"), "pep"), on="a").join(other.select("b", "pep"), on=["b", "pep"])
               .groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("c")).where("c = na").drop("c"))
-    within = small.unionByName(shared).groupBy("a").agg(F.min(F.struct((-F.col("nb")).alias("m"), F.col("b")))["b"].alias("contained_in"))
-    out = members.join(within, on=members["group_id"] == within["a"], how="left")
+    within = shared.groupBy("a").agg(F.min(F.struct((-F.col("nb")).alias("m"), F.col("b")))["b"].alias("contained_in"))
+    out = members.join(within.unionByName(single), on=members["group_id"] == F.col("a"), how="left")
     return out.select(F.col("prot").alias(protein), "group_id", F.col("n").alias("n_peptides"), "contained_in")
 
 
