@@ -11,7 +11,7 @@ from ..operators import design, hits, inference, quant, recalibrate, runs, scans
 from ..session import scratch_path as _folder
 from ..sources import readers, writers
 from .queries import CHAR_MASS, _mod_defs, _unit_prices
-from .tables import table
+from .tables import spread, table
 
 ORACLE: dict[str, str] = {}
 
@@ -522,7 +522,7 @@ FROM (SELECT *, unnest(['A' || l_suppkey, 'XXX_A' || l_partkey]) AS p FROM linei
 
 def q100_modified_fragments_all(spark, sf):
     """D5 + D8: b and y ions at charge 1 and 2, summed per form, of the names of all parts with up to three 'a' (16) or 'e' (1) modified."""
-    p = table(spark, sf, "part").select("p_partkey", "p_name", F.lit(0.0).alias("mass"))
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name")).withColumn("mass", F.lit(0.0))
     f = search.expand_mods(p, "p_name", [("a", 16.0), ("e", 1.0)]).withColumn("form", F.array_join("sites", ","))
     x = search.theoretical_fragments(f, "p_name", CHAR_MASS, ["p_partkey", "form"], "sites", "site_deltas", (1, 2))
     return x.groupBy("p_partkey", "form", "charge").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("b_ion"), 3).alias("b"), F.round(F.sum("y_ion"), 3).alias("y"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quant
-from .tables import table
+from .tables import spread, table
 
 
 def q01_ratio_crosstab(spark: SparkSession, sf: str) -> DataFrame:
@@ -363,7 +363,7 @@ def _mod_defs(spark):
 
 def q35_mod_details(spark, sf):
     """Modified residues of part names (static r, e; blank after l)."""
-    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name"))
     return hits.mod_details(p, ["p_partkey"], "p_name", _mod_defs(spark), "a-z")
 
 

@@ -12,3 +12,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt (or hashed by ``keys``) over the shuffle's partitions: the bytes of a table's file set how many tasks scan it, which are too few
+    where the work grows far beyond these bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
