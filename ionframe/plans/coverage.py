@@ -394,11 +394,12 @@ SELECT p_size, SUM(strlen(p_name) + 1)::BIGINT AS bytes, 32 AS digest_length FRO
 
 
 def q92_uneven_tolerance(spark, sf):
-    """Unit prices as precursor m/z of charge 1 from 0.5 below to 2.0 above part prices as masses."""
-    s = _unit_prices(spark, sf).select("l_orderkey", "l_linenumber", F.col("unit_price").alias("precursor_mz"), F.lit(1).alias("charge"))
+    """Unit prices as precursor m/z of charge 1 from 0.5 below to 2.0 above part prices as masses. Equal m/z are one
+    spectrum with their number and equal masses one candidate, whose sums go to all its parts."""
+    s = _unit_prices(spark, sf).groupBy(F.col("unit_price").alias("precursor_mz"), F.lit(1).alias("charge")).agg(F.count(F.lit(1)).alias("n"))
     peps = table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("pmass"))
-    m = search.match_candidates(s, peps, "precursor_mz", "charge", "pmass", (0.5, 2.0), isotopes=(0,), ppm=False)
-    return m.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"))
+    m = search.match_candidates(s, peps.select("pmass").distinct(), "precursor_mz", "charge", "pmass", (0.5, 2.0), isotopes=(0,), ppm=False)
+    return peps.join(m.groupBy("pmass").agg(F.sum("n").alias("n")), on="pmass").groupBy("p_partkey").agg(F.sum("n").alias("n"))
 
 
 ORACLE["q92_uneven_tolerance"] = """
