@@ -6,6 +6,7 @@ the column names, so the same code runs on any table of that shape.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -398,16 +399,19 @@ def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz:
     linked; groups are the connected components. Returns (keys, parent_id, group_id), group_id the smallest id
     of the group. An ion is (keys, parent_id): equal ids of two datasets are two ions.
 
-    A spectrum travels with its ion as arrays, its bins from the rarest to the most frequent. Its prefix is as many
-    bins as leave less than min_similarity of its length in the rest: by Cauchy-Schwarz two spectra whose prefixes share no bin
-    are less similar than that. Pairs come from a two-dimensional range join that also has a prefix bin as key (so
-    never all pairs), are taken at the first prefix bin they share, and their cosine is summed in the row. A spectrum of
-    zeros is similar to nothing."""
+    A spectrum travels with its ion as arrays, its bins from the rarest to the most frequent; equal ions (m/z, time and spectrum) are one
+    point. Links come in two steps. First a point is compared with the one before it by m/z among those of its cell of time and direction
+    (unit spectrum, rounded), in grids shifted by halves: where ions are dense this joins nearly all that belong together. Then every pair
+    that the first step left in different components is compared, so no link is lost: in a bin of a two-dimensional range join, points of the bin's
+    most frequent component meet the other points only. A spectrum's prefix is as many bins as leave less than min_similarity
+    of its length in the rest: by Cauchy-Schwarz two spectra whose prefixes share no bin are less similar than that, so a prefix bin is a key too and
+    a pair is taken at the first one they share. A spectrum of zeros is similar to nothing."""
     from .components import star_components
 
     keys = list(keys)
-    # ions by number: stored, so that a rerun numbers them alike
-    ids = materialize(parents.select(*keys, parent_id).distinct().withColumn("_no", F.monotonically_increasing_id()), "ions")
+    if not (mz_tol > 0 and rt_tol > 0):
+        raise ValueError(f"group_parent_ions needs positive tolerances: {mz_tol}, {rt_tol}")
+    binned = materialize(binned, "spectra")
     often = binned.groupBy(bin_col).agg(F.count(F.lit(1)).alias("_f"))
     peaks = binned.join(often, on=bin_col).groupBy(*keys, parent_id).agg(
         F.array_sort(F.collect_list(F.struct("_f", F.col(bin_col).alias("b"), F.col(value).cast("double").alias("v")))).alias("_s"))
@@ -417,25 +421,72 @@ def group_parent_ions(parents: DataFrame, binned: DataFrame, parent_id: str, mz:
     rest = F.lit(max(0.0, min_similarity) ** 2 * (1 - 1e-9)) * F.col("_n2")
     taken = F.aggregate("_s", F.struct(F.col("_n2").alias("left"), F.lit(0).alias("n")), lambda x, p: F.when(
         x["left"] >= rest, F.struct((x["left"] - p["v"] * p["v"]).alias("left"), (x["n"] + 1).alias("n"))).otherwise(x), lambda x: x["n"])
-    peaks = peaks.select(*keys, parent_id, F.sqrt("_n2").alias("_n"), F.col("_s.b").alias("_b"), F.col("_s.v").alias("_v"),
+    # an id of its own where rounding keeps a spectrum from being similar to itself
+    apart = F.when(F.col("_n2") / (F.sqrt("_n2") * F.sqrt("_n2")) < min_similarity, F.col(parent_id))
+    peaks = peaks.select(*keys, parent_id, apart.alias("_apart"), F.sqrt("_n2").alias("_n"), F.col("_s.b").alias("_b"), F.col("_s.v").alias("_v"),
                          F.slice(F.col("_s.b"), F.lit(1), taken).alias("_pre"))
-    ions = parents.select(*keys, parent_id, F.col(mz).alias("_mz"), F.col(rt).alias("_rt")).join(peaks, on=[*keys, parent_id])
-    ions = materialize(ions.join(ids, on=[*keys, parent_id]), "ion-spectra")
-
-    def side(x: str) -> DataFrame:
-        spectrum = F.arrays_zip(F.col("_b").alias("b"), F.col("_v").alias("v")) if x == "a" else F.map_from_arrays("_b", "_v")
-        return ions.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(keys)], F.col("_no").alias(f"_{x}"), F.col("_mz").alias(f"_{x}mz"),
-                           F.col("_rt").alias(f"_{x}rt"), F.col("_n").alias(f"_n{x}"), spectrum.alias(f"_s{x}"), F.col("_pre").alias(f"_pre{x}"),
-                           F.explode("_pre").alias(f"_d{x}"))
-
-    on = [(f"_ka{i}", f"_kb{i}") for i in range(len(keys))]
-    pairs = range_join(side("a"), side("b"), [Tol("_amz", "_bmz", mz_tol), Tol("_art", "_brt", rt_tol)], on=[*on, ("_da", "_db")])
-    pairs = pairs.where((F.col("_a") < F.col("_b")) & (F.element_at(F.array_intersect("_prea", "_preb"), 1) == F.col("_da")))
-    dot = F.aggregate("_sa", F.lit(0.0), lambda x, p: x + p["v"] * F.coalesce(F.col("_sb")[p["b"]], F.lit(0.0)))
-    links = pairs.where(dot / (F.col("_na") * F.col("_nb")) >= min_similarity)
-    comp = star_components(links.select("_a", "_b"), "_a", "_b").select(F.col("node").alias("_no"), F.col("component").alias("_group"))
-    linked = materialize(ids.join(comp, on="_no"), "ion-groups")
+    # an ion that isn't near itself (no m/z, say) is near nothing
+    near = (F.abs(F.col("_mz") - F.col("_mz")) <= mz_tol) & (F.abs(F.col("_rt") - F.col("_rt")) <= rt_tol)
+    ions = parents.select(*keys, parent_id, F.col(mz).alias("_mz"), F.col(rt).alias("_rt")).distinct().where(near).join(peaks, on=[*keys, parent_id])
+    ions = materialize(ions, "ion-spectra")
+    # points by number: stored, so that a rerun numbers them alike
+    same = [*keys, "_mz", "_rt", "_apart", "_n", "_b", "_v"]
+    points = ions.groupBy(*same).agg(F.first("_pre").alias("_pre"))
+    points = materialize(points.withColumn("_no", F.monotonically_increasing_id()), "ion-points")
+    of = materialize(join_on_keys(ions.drop("_pre"), points.select(*same, "_no"), same).select(*keys, parent_id, "_no"), "ion-numbers")
+    first = of.groupBy(*keys, parent_id).agg(F.min("_no").alias("_a"), F.max("_no").alias("_z")).where("_a < _z").drop("_z")
+    joined = of.join(first, on=[*keys, parent_id]).select("_a", F.col("_no").alias("_b"))  # an id's points belong together
+
+    def cosine(a: str, b: str, na: str, nb: str) -> Column:
+        dot = F.aggregate(a, F.lit(0.0), lambda x, p: x + p["v"] * F.coalesce(F.col(b)[p["b"]], F.lit(0.0)))
+        return dot / (F.col(na) * F.col(nb))
+
+    pairs_of = F.arrays_zip(F.col("_b").alias("b"), F.col("_v").alias("v"))
+    step = math.sqrt(max(0.0, 1 - min_similarity) / 2)  # four coordinates rounded alike are within the similarity
+    for half in (0.0, 0.5):
+        for turn in (0.25, 0.75):
+            unit = F.transform(pairs_of, lambda p: F.struct(p["b"].alias("b"), F.floor(p["v"] / F.col("_n") / F.lit(max(step, 1e-6)) + turn).alias("r")))
+            w = Window.partitionBy(*keys, "_cm", "_ct", "_cs").orderBy("_mz", "_no")
+            cells = points.select(*keys, "_no", "_mz", "_rt", "_n", "_pre", pairs_of.alias("_p"), F.map_from_arrays("_b", "_v").alias("_m"),
+                                  F.floor(F.col("_mz") / (32 * mz_tol) + half).alias("_cm"), F.floor(F.col("_rt") / rt_tol + half).alias("_ct"),
+                                  F.xxhash64(F.array_sort(F.filter(unit, lambda u: u["r"] != 0))).alias("_cs"))
+            before = cells.withColumns({f"_1{c}": F.lag(f"_{c}").over(w) for c in ("no", "mz", "rt", "n", "m", "pre")})
+            ok = (F.abs(F.col("_mz") - F.col("_1mz")) <= mz_tol) & (F.abs(F.col("_rt") - F.col("_1rt")) <= rt_tol)
+            links = before.where(ok & F.arrays_overlap("_pre", "_1pre")).where(cosine("_p", "_1m", "_n", "_1n") >= min_similarity).select(F.col("_1no").alias("_a"), F.col("_no").alias("_b"))
+            joined = joined.unionByName(links)
+    comp = star_components(joined, "_a", "_b").select(F.col("node").alias("_no"), F.col("component").alias("_group"))
+    points = points.join(comp, on="_no", how="left").withColumn("_group", F.coalesce("_group", "_no"))
+    points = materialize(points, "ion-groups")
+
+    # bins that points or their tolerance reach, with the component that most of them have
+    cell = [*keys, "_bm", "_bt"]
+    bins = {"_bm": ("_mz", 2 * mz_tol), "_bt": ("_rt", 2 * rt_tol)}
+    reach = points
+    for b, (c, width) in bins.items():
+        wide = width / 2 * (1 + 1e-9)
+        reach = reach.withColumn(b, F.explode(F.sequence(F.floor((F.col(c) - wide) / width).cast("long"), F.floor((F.col(c) + wide) / width).cast("long"))))
+    count = reach.groupBy(*cell, "_group").agg(F.count(F.lit(1)).alias("_c"))
+    most = count.groupBy(*cell).agg(F.max(F.struct("_c", "_group"))["_group"].alias("_most"), F.count(F.lit(1)).alias("_many")).where("_many > 1").drop("_many")
+    most = materialize(most, "ion-cells")  # cells of one component have nothing to compare
+
+    def side(x: str, rows: DataFrame) -> DataFrame:
+        spectrum = pairs_of if x == "a" else F.map_from_arrays("_b", "_v")
+        j = join_on_keys(rows, most, cell)
+        return j.select(*[F.col(k).alias(f"_k{x}{i}") for i, k in enumerate(cell)], F.col("_no").alias(f"_{x}"), F.col("_mz").alias(f"_{x}mz"), F.col("_rt").alias(f"_{x}rt"),
+                        F.col("_n").alias(f"_n{x}"), F.col("_group").alias(f"_g{x}"), (F.col("_group") == F.col("_most")).alias(f"_o{x}"),
+                        spectrum.alias(f"_s{x}"), F.col("_pre").alias(f"_pre{x}"), F.explode("_pre").alias(f"_d{x}"))
+
+    at = points.withColumns({b: F.floor(F.col(c) / width).cast("long") for b, (c, width) in bins.items()})
+    a, b = side("a", at), side("b", reach)
+    on = [F.col(f"_ka{i}") == F.col(f"_kb{i}") for i in range(len(cell))] + [F.col("_da") == F.col("_db")]
+    on += [F.col("_a") < F.col("_b"), F.col("_ga") != F.col("_gb"), F.abs(F.col("_amz") - F.col("_bmz")) <= mz_tol, F.abs(F.col("_art") - F.col("_brt")) <= rt_tol]
+    pairs = a.where("_oa").join(b.where("NOT _ob").hint("merge"), on=on).unionByName(a.where("NOT _oa").join(b.hint("merge"), on=on))
+    pairs = pairs.where(F.element_at(F.array_intersect("_prea", "_preb"), 1) == F.col("_da"))
+    links = pairs.where(cosine("_sa", "_sb", "_na", "_nb") >= min_similarity).select("_ga", "_gb")
+    more = star_components(links, "_ga", "_gb").select(F.col("node").alias("_group"), F.col("component").alias("_all"))
+    whole = points.select("_no", "_group").join(more, on="_group", how="left").select("_no", F.coalesce("_all", "_group").alias("_group"))
+    linked = materialize(of.join(whole, on="_no").groupBy(*keys, parent_id).agg(F.min("_group").alias("_group")), "ion-members")
     least = linked.groupBy("_group").agg(F.min(parent_id).alias("group_id"))
-    alone = ids.join(comp, on="_no", how="left_anti").withColumn("group_id", F.col(parent_id))
     out = linked.join(least, on="_group").select(*keys, parent_id, "group_id")
-    return out.unionByName(alone.select(*keys, parent_id, "group_id"))
+    alone = join_on_keys(parents.select(*keys, parent_id).distinct(), linked.select(*keys, parent_id), [*keys, parent_id], how="left_anti")
+    return out.unionByName(alone.withColumn("group_id", F.col(parent_id)).select(*keys, parent_id, "group_id"))
