@@ -41,12 +41,16 @@ def binomial_tail_log10(n_trials: Column, n_success: Column, p: float | Column)
         (first + F.log(rel)) / F.lit(math.log(10)))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two equal-length numeric arrays (double math)."""
+def norm2(a: Column) -> Column:
+    """Sum of the squares of a numeric array (double math)."""
+    return F.aggregate(a, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
+
+
+def cosine(a: Column, b: Column, squares: tuple[Column, Column] | None = None) -> Column:
+    """Cosine similarity of two equal-length numeric arrays (double math). For many pairs, ``squares`` are the arrays' `norm2`, found once a row."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
                       lambda s, v: s + v)
-    na = F.aggregate(a, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
-    nb = F.aggregate(b, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
+    na, nb = squares or (norm2(a), norm2(b))
     return F.when((na > 0) & (nb > 0), dot / (F.sqrt(na) * F.sqrt(nb)))
 
 
