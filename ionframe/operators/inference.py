@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import drop_stored, materialize, materialize_at
 from .components import star_components
-from .ordered import row_number
+from .ordered import row_number, running_agg
 from .search import target_decoy_fdr
 
 
@@ -59,6 +63,106 @@ def _round(e: DataFrame, share: float, n: int) -> DataFrame:
         SELECT * FROM (SELECT pep, prot, {of.format("o.key")} AS owner FROM {{e}} LEFT JOIN owners o USING (pep)) WHERE owner IS NULL OR owner = prot""", e=e)
 
 
+#: Edges that one task of the one-at-a-time greedy takes at once.
+TASK_EDGES = 1 << 22
+
+
+def _picks(rows: pd.DataFrame) -> pd.DataFrame:
+    """(pep, prot) that the one-at-a-time greedy assigns on ``rows`` (pep, prot, stop_n, stop_no: whole sets of uncovered peptides) before
+    its turn comes to the protein ``stop_no`` of ``stop_n`` peptides; 0 peptides stand for none."""
+    pep, peps = pd.factorize(rows["pep"], use_na_sentinel=False)  # NaN is a value
+    prot, prots = pd.factorize(rows["prot"], sort=True)
+    stop = (-int(rows["stop_n"].iat[0]), int(rows["stop_no"].iat[0]))
+    members, of = pep[np.argsort(prot, kind="stable")], prot[np.argsort(pep, kind="stable")]
+    left, degree = np.bincount(prot), np.bincount(pep)
+    first, at = np.r_[0, np.cumsum(left)], np.r_[0, np.cumsum(degree)]
+    owner = np.full(len(peps), -1)
+    heap = [(-n, i) for i, n in enumerate(left.tolist())]
+    heapq.heapify(heap)
+    while heap:
+        n, i = heapq.heappop(heap)
+        now = int(left[i])
+        if -n != now:  # peptides have gone since
+            if now:
+                heapq.heappush(heap, (-now, i))
+            continue
+        if (n, int(prots[i])) > stop:
+            break
+        mine = members[first[i]:first[i + 1]]
+        mine = mine[owner[mine] < 0]
+        owner[mine] = i
+        d = degree[mine]
+        np.subtract.at(left, of[np.repeat(at[mine] - np.cumsum(d) + d, d) + np.arange(d.sum())], 1)
+    done = owner >= 0
+    return pd.DataFrame({"pep": peps[done], "prot": prots[owner[done]]})
+
+
+def _in_components(e: DataFrame) -> DataFrame:
+    """``e`` (pep, prot) with the component that its protein is in. Proteins are linked by the first one of each of their peptides."""
+    links = e.join(e.groupBy("pep").agg(F.min("prot").alias("low")), on="pep").select("prot", "low").distinct()
+    c = star_components(links, "prot", "low")
+    return e.join(c.select(F.col("node").alias("prot"), "component"), on="prot", how="left").select(
+        "pep", "prot", F.coalesce("component", "prot").alias("comp"))
+
+
+def _dealt(e: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The edges (pep, prot, stop_n, stop_no) of tasks (task): whole components of ``e`` (pep, prot, comp) with at most TASK_EDGES edges by
+    ``sizes`` (comp, m), small ones together; of a larger one the first proteins with as many edges, which the greedy may take up to the next one's turn."""
+    parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = sizes.where(F.col("m") <= TASK_EDGES)
+    some = max(parts, -(-(small.agg(F.sum("m")).first()[0] or 0) // TASK_EDGES))
+    task = F.when(F.col("m") * 64 > TASK_EDGES, F.col("comp")).otherwise(-1 - F.pmod(F.xxhash64("comp"), F.lit(some)))
+    none = F.lit(0).cast("long")
+    whole = e.join(small.select("comp", task.alias("task")), on="comp").select("task", "pep", "prot", none.alias("stop_n"), none.alias("stop_no"))
+    large = sizes.where(F.col("m") > TASK_EDGES).select("comp")
+    if large.isEmpty():
+        return whole
+    count = e.join(large, on="comp", how="left_semi").groupBy("comp", "prot").agg(F.count(F.lit(1)).alias("cnt"))
+    along = materialize(running_agg(count, "cnt", {"upto": ("sum", F.col("cnt"))}, ["comp"], ["prot"], descending=True), "cover-along")
+    stop = along.where(F.col("upto") > TASK_EDGES).groupBy("comp").agg(F.min(F.struct((-F.col("cnt")).alias("n"), "prot")).alias("s"))
+    first = along.where(F.col("upto") <= TASK_EDGES).select("comp", "prot").join(stop, on="comp")
+    begun = e.join(first, on=["comp", "prot"]).select(F.col("comp").alias("task"), "pep", "prot", (-F.col("s.n")).alias("stop_n"), F.col("s.prot").alias("stop_no"))
+    return whole.unionByName(begun)
+
+
+def _one_at_a_time(e: DataFrame, n: int, rounds: list | None) -> list[DataFrame]:
+    """Parts of the one-at-a-time greedy's (pep, prot) on ``e`` (pep, prot), proteins numbered from 0 to ``n`` - 1 in tie order."""
+    spark, parts, split, at = e.sparkSession, [], None, None
+    shape = T.StructType([e.schema["pep"], e.schema["prot"]])
+    deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while edges := e.count():
+        if rounds is not None:
+            rounds.append(len(rounds))
+        if edges <= TASK_EDGES:
+            e = e.select("pep", "prot", F.lit(0).cast("long").alias("comp"))
+        elif split is None or 2 * edges <= split:
+            e, old, split = *materialize_at(_in_components(e.select("pep", "prot")), "cover-edges"), edges
+            at = _replaced(spark, at, old)
+        sizes = materialize(e.groupBy("comp").agg(F.count(F.lit(1)).alias("m")), "cover-sizes")
+        tasks = _dealt(e, sizes).repartition(deal, "task")
+        found = materialize(tasks.groupBy("task").applyInPandas(_picks, shape), "cover-picks")
+        parts.append(found)
+        large = sizes.where(F.col("m") > TASK_EDGES).select("comp")
+        if large.isEmpty():
+            break
+        # in large components all local bests too
+        rest = e.join(large, on="comp", how="left_semi")
+        best = _round(rest.select("pep", "prot"), 1, n).where("owner is not null").select("pep", "prot")
+        best = materialize(best.join(found, on="pep", how="left_anti"), "cover-round")
+        parts.append(best)
+        e, old = materialize_at(rest.join(found.unionByName(best).select("pep"), on="pep", how="left_anti"), "cover-edges")
+        at = _replaced(spark, at, old)
+    if at:
+        drop_stored(spark, at)
+    return parts
+
+
+def _replaced(spark: SparkSession, old: str | None, new: str) -> str:
+    if old:
+        drop_stored(spark, old)
+    return new
+
+
 def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "protein", share: float = 0.5,
                  rounds: list | None = None) -> DataFrame:
     """H5: few proteins that explain every peptide; one row per peptide with the protein it is assigned to. Edges with
@@ -72,9 +176,13 @@ def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "pro
     the first of them. The first protein of all is always taken, so every round makes progress.
 
     A taken protein is at least as large, but for its class, as any protein that its voters have, and costs each of them 1 / (share x its
-    size) at most, which bounds the number of proteins by 9/8 / share times the one-at-a-time greedy's own bound (H(n) times the least). With
-    ``share`` 1 the order is exact (uncovered peptides, all peptides, smaller accession) and only local bests are taken: the result is that of the
-    one-at-a-time greedy, in as many rounds as its longest chain of overlapping picks. ``rounds`` collects a mark per round.
+    size) at most, which bounds the number of proteins by 9/8 / share times the one-at-a-time greedy's own bound (H(n) times the least).
+
+    With ``share`` 1 the result is that of the one-at-a-time greedy by (uncovered peptides, all peptides, smaller accession). Its picks are a
+    long chain, so tasks follow it as far as TASK_EDGES edges show it: to the end in components of the graph that have no more, and in a larger one among its first
+    proteins, until a protein outside could be next (counts only fall, so none of these comes earlier). There a round also takes all proteins that every one
+    of their uncovered peptides votes for, wherever they are: nothing that shares a peptide with them comes first. What is left is cut into components
+    again once half of it has gone. ``rounds`` collects a mark per round.
     """
     spark = edges.sparkSession
     e, at = materialize_at(edges.select(F.col(peptide).alias("pep"), F.col(protein).alias("prot"))
@@ -87,8 +195,8 @@ def greedy_cover(edges: DataFrame, peptide: str = "peptide", protein: str = "pro
     n = prots.count()
     e, first = materialize_at(e.join(prots, on="prot").select("pep", F.col("no").alias("prot")), "cover-edges")
     drop_stored(spark, at)
-    parts = []
-    while not e.isEmpty():
+    parts = _one_at_a_time(e, n, rounds) if share >= 1 else []
+    while share < 1 and not e.isEmpty():
         if rounds is not None:
             rounds.append(len(rounds))
         done = materialize(_round(e, share, n), "cover-round")
