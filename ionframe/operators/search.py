@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import ELEMENT_MASS, ISOTOPE_SPACING, PROTON, WATER
 from ..functions.presets import Preset
 from ..session import materialize
 from . import ordered
-from .rangejoin import Tol, range_join
+from .rangejoin import Tol, _bins, range_join
 from .scans import top_n
 
 
@@ -250,6 +254,20 @@ def theoretical_fragments(df: DataFrame, sequence: str, residue_mass: Mapping[st
     asked for). ``sites`` (1-based positions) with ``deltas`` (a column of as many, or one number) are
     modifications. Prefix sums inside the row: no shuffle. A sequence with a
     residue of unknown mass has no fragments."""
+    d = _prefix_sums(df, sequence, residue_mass, key, sites, deltas)
+    e = d.select(*key, "_tot", F.size("_m").alias("_n"), F.posexplode("_pref").alias("_i", "_p"))
+    e = e.where(F.col("_i") < F.col("_n") - 1).withColumn("pos", (F.col("_i") + 1).cast("int"))
+    if tuple(charges) == (1,):
+        b, y = _ions(F.col("_p"), F.col("_tot"))
+        return e.select(*key, "pos", b.alias("b_ion"), y.alias("y_ion"))
+    e = e.withColumn("charge", F.explode(F.array(*[F.lit(int(c)) for c in charges])))
+    b, y = _ions(F.col("_p"), F.col("_tot"), F.col("charge"))
+    return e.select(*key, "pos", "charge", b.alias("b_ion"), y.alias("y_ion"))
+
+
+def _prefix_sums(df: DataFrame, sequence: str, residue_mass: Mapping[str, float], key: Sequence[str],
+                 sites: str | None, deltas: str | float | None) -> DataFrame:
+    """key, _m (residue masses), _pref (their running sums) and _tot of sequences with known masses only."""
     mm = _map_literal(residue_mass)
     masses = F.transform(F.split(F.col(sequence), ""), lambda r: mm[r])
     if sites is not None:
@@ -264,15 +282,14 @@ def theoretical_fragments(df: DataFrame, sequence: str, residue_mass: Mapping[st
     # one step a residue: the sums so far, and the next one behind them
     sums = F.aggregate("_m", F.array(F.lit(0.0)), lambda a, v: F.concat(a, F.array(F.element_at(a, -1) + v)))
     d = d.withColumn("_sums", sums).withColumn("_tot", F.element_at("_sums", -1))
-    d = d.withColumn("_pref", F.slice("_sums", 2, F.size("_m")))
-    e = d.select(*key, "_tot", F.size("_m").alias("_n"), F.posexplode("_pref").alias("_i", "_p"))
-    e = e.where(F.col("_i") < F.col("_n") - 1).withColumn("pos", (F.col("_i") + 1).cast("int"))
-    if tuple(charges) == (1,):
-        return e.select(*key, "pos", (F.col("_p") + F.lit(PROTON)).alias("b_ion"),
-                        (F.col("_tot") - F.col("_p") + F.lit(WATER + PROTON)).alias("y_ion"))
-    e = e.withColumn("charge", F.explode(F.array(*[F.lit(int(c)) for c in charges])))
-    return e.select(*key, "pos", "charge", (F.col("_p") / F.col("charge") + F.lit(PROTON)).alias("b_ion"),
-                    ((F.col("_tot") - F.col("_p") + F.lit(WATER)) / F.col("charge") + F.lit(PROTON)).alias("y_ion"))
+    return d.withColumn("_pref", F.slice("_sums", 2, F.size("_m")))
+
+
+def _ions(p: Column, total: Column, charge: Column | None = None) -> tuple[Column, Column]:
+    """b and y ion behind the residues of mass ``p``."""
+    if charge is None:
+        return p + F.lit(PROTON), total - p + F.lit(WATER + PROTON)
+    return p / charge + F.lit(PROTON), (total - p + F.lit(WATER)) / charge + F.lit(PROTON)
 
 
 def score_matches(peaks: DataFrame, fragments: DataFrame, keys: Sequence[str], peak_mz: str,
@@ -301,25 +318,169 @@ def search_spectra(spectra: DataFrame, peaks: DataFrame, peptides: DataFrame, ke
     n_matched, matched_intensity, hyperscore, rn (1 is the best; ties by isotope, charge and pep_keys).
 
     The same matches as `match_candidates`, then `theoretical_fragments` and `score_matches` of every candidate and `top_n`, but
-    candidates are never given their fragments spectrum by spectrum. The fragments of all peptides are one inverted
-    index, a posting per fragment with its m/z and its peptide's mass; a peak looks up the postings of its m/z
-    bin and its spectrum's mass bin, so only fragments that match a peak become rows. They are counted and summed per (spectrum, peptide)
-    before the exchange, and spectra keep n candidates a task before they are ranked. A candidate without a matching peak has no row.
+    candidates are never given their fragments spectrum by spectrum, and no pair of a spectrum and a peptide leaves its task unless it may be among
+    the best. Spectra and peptides meet by mass bin, a spectrum in one bin with its peaks, a peptide with its fragments in those that its tolerance touches.
+    A bin of many is cut into blocks of PEPTIDES and SPECTRA, all pairs of which meet. In a block the fragments are one inverted index by m/z; a
+    spectrum adds up what its peaks find there, an array as long as the block, and keeps n peptides, with all that a rounding may decide about. What the
+    blocks keep is counted together and ranked. A candidate without a matching peak has no row.
     """
-    ladder = theoretical_fragments(peptides, sequence, residue_mass, [*pep_keys, mass], sites, deltas, frag_charges)
-    index = ladder.select(*[F.col(k).alias(f"_p_{k}") for k in pep_keys], F.col(mass).alias("_p_mass"), F.explode(F.array("b_ion", "y_ion")).alias("_frag"))
+    bad = [t for t in (tol_ppm, frag_tol) if not t > 0]
+    if bad:
+        raise ValueError(f"search_spectra needs positive tolerances: {bad}")
+    keys, pep_keys = list(keys), [f"_p_{k}" for k in pep_keys]
+    lbin, low, high, lok, rok = _bins(Tol("_obs_mass", "_p_mass", tol_ppm, ppm=True), F.col("_obs_mass"), F.col("_p_mass"))
+    of_one = tuple(frag_charges) == (1,)
+    sums = _prefix_sums(peptides, sequence, residue_mass, [*[k[3:] for k in pep_keys], mass], sites, deltas)
+    index = sums.select(*[F.col(k[3:]).alias(k) for k in pep_keys], F.col(mass).cast("double").alias("_p_mass"), "_tot", F.slice("_pref", 1, F.size("_m") - 1).alias("_pref"))
+    # the explode keeps the sums from being written out, and done again, in what uses them
+    index = index.where(rok & (F.size("_pref") > 0)).withColumn("_bin", F.explode(F.sequence(low.cast("long"), high.cast("long"))))
+    ions = F.transform("_pref", lambda p: F.flatten(F.array(*[F.array(*_ions(p, F.col("_tot"), None if of_one else F.lit(int(c)))) for c in frag_charges])))
+    index = index.select(*pep_keys, "_p_mass", "_bin", F.flatten(ions).alias("_frags"))
     seen = _observed(spectra.select(*keys, precursor_mz, charge), precursor_mz, charge, isotopes, charges)
-    seen = seen.select(*keys, "_z", "_iso", "_obs_mass")
+    for k in keys:
+        seen = seen.where(F.col(k).isNotNull())
+    # rows of one key, charge and isotope are counted together, wherever their masses meet peptides
+    seen = seen.where(lok).groupBy(*keys, "_z", "_iso").agg(F.collect_list(F.col("_obs_mass").cast("double")).alias("_masses"))
+    seen = seen.select(*keys, "_z", "_iso", (F.size("_masses") > 1).alias("_several"), F.explode("_masses").alias("_obs_mass")).withColumn("_bin", lbin.cast("long"))
+    peak = F.col(peak_mz).cast("double")
+    lists = peaks.where(peak.isNotNull() & ~F.isnan(peak)).groupBy(*keys).agg(F.collect_list(F.struct(
+        peak.alias("mz"), F.coalesce(F.col(peak_int).cast("double"), F.lit(0.0)).alias("int"), F.col(peak_int).isNotNull().alias("known"))).alias("_peaks"))
     # shuffled, as in `range_join`: a guess of the bytes of what explodes give would send them through the driver
-    probes = seen.hint("merge").join(peaks.select(*keys, F.col(peak_mz).alias("_mz"), F.col(peak_int).alias("_int")), on=list(keys))
-    hits = range_join(probes, index, [Tol("_obs_mass", "_p_mass", tol_ppm, ppm=True), Tol("_mz", "_frag", frag_tol)])
-    by = [*keys, "_z", "_iso", *[f"_p_{k}" for k in pep_keys]]
-    g = hits.groupBy(*by).agg(F.count(F.lit(1)).alias("n_matched"), F.sum("_int").alias("matched_intensity")).withColumn("hyperscore", _hyperscore())
-    best = top_n(g, keys, [F.col("hyperscore").desc(), F.abs("_iso"), "_iso", "_z", *[f"_p_{k}" for k in pep_keys]], n)
-    return best.select(*keys, F.col("_z").alias("charge"), F.col("_iso").alias("isotope"), *[F.col(f"_p_{k}").alias(k) for k in pep_keys],
+    probes = seen.hint("merge").join(lists, on=keys).select(*keys, "_z", "_iso", "_several", "_obs_mass", "_bin", F.col("_peaks.mz").alias("_mz"),
+                                                            F.col("_peaks.int").alias("_int"), F.col("_peaks.known").alias("_known"))
+    probes, index = materialize(probes, "search-spectra"), materialize(index, "search-index")
+    sizes = probes.groupBy("_bin").agg(F.count(F.lit(1)).alias("_s")).hint("merge").join(index.groupBy("_bin").agg(F.count(F.lit(1)).alias("_p")), on="_bin")
+    sizes = materialize(sizes.select("_bin", "_s", "_p", F.ceil(F.col("_s") / SPECTRA).alias("_sn"), F.ceil(F.col("_p") / PEPTIDES).alias("_pn")), "search-sizes")
+    pairs = sizes.agg(F.sum(F.col("_s").cast("double") * F.col("_p"))).first()[0] or 0
+    parts = max(int(spectra.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(pairs // (SPECTRA * PEPTIDES // 4)))
+    spot = F.pmod(F.xxhash64("_bin", "_sb", "_pb"), F.lit(4 * parts)).alias("_spot")
+
+    def dealt(df: DataFrame, own: str, n: str, by: Sequence[str], other: str, m: str) -> DataFrame:
+        d = df.hint("merge").join(sizes.select("_bin", "_sn", "_pn"), on="_bin").withColumn(own, F.pmod(F.xxhash64(*by), F.col(n)))
+        return d.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(m) - 1))).select(spot, "_sb", "_pb", *df.columns).repartition(parts, "_spot")
+
+    left = dealt(probes, "_sb", "_sn", [*keys, "_z", "_iso", "_obs_mass"], "_pb", "_pn")
+    right = dealt(index, "_pb", "_pn", pep_keys, "_sb", "_sn")
+    by = [*keys, "_z", "_iso", *pep_keys]
+    shape = T.StructType([*[probes.schema[c] for c in [*keys, "_z", "_iso"]], *[index.schema[c] for c in pep_keys], T.StructField("_n", T.LongType()),
+                          T.StructField("_sum", T.DoubleType())])
+    found = left.groupBy("_spot").cogroup(right.groupBy("_spot")).applyInArrow(_best_in_blocks([*keys, "_z", "_iso"], pep_keys, n, tol_ppm, frag_tol), shape)
+    kind = peaks.select(F.sum(peak_int).alias("s")).schema["s"].dataType
+    g = found.groupBy(*by).agg(F.sum("_n").alias("n_matched"), F.sum("_sum").cast(kind).alias("matched_intensity")).withColumn("hyperscore", _hyperscore())
+    best = top_n(g, keys, [F.col("hyperscore").desc(), F.abs("_iso"), "_iso", "_z", *pep_keys], n)
+    return best.select(*keys, F.col("_z").alias("charge"), F.col("_iso").alias("isotope"), *[F.col(k).alias(k[3:]) for k in pep_keys],
                        "n_matched", "matched_intensity", "hyperscore", "rn")
 
 
+#: Peptides and spectra of a mass bin that meet in one block.
+PEPTIDES, SPECTRA = 1 << 14, 1 << 13
+
+
+def _best_in_blocks(spectrum: Sequence[str], pep_keys: Sequence[str], n: int, tol_ppm: float, frag_tol: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What a task of `search_spectra` does: per row of a spectrum the peptides of its block that may be among its n best."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        empty = pa.table({"_n": pa.array([], pa.int64()), "_sum": pa.array([], pa.float64())})
+        if not (left.num_rows and right.num_rows):
+            none = [left[c].slice(0, 0) for c in spectrum] + [right[c].slice(0, 0) for c in pep_keys]
+            return pa.table([*none, *empty.columns], names=[*spectrum, *pep_keys, "_n", "_sum"])
+        places = [np.stack([t[c].to_numpy() for c in ("_bin", "_sb", "_pb")], axis=1) for t in (left, right)]
+        _, place = np.unique(np.concatenate(places), axis=0, return_inverse=True)
+        place = place.ravel()
+        rank = np.zeros(right.num_rows, np.int64)
+        for c in pep_keys:  # by key, nulls first
+            more = pc.rank(right[c].combine_chunks(), sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+            rank = np.unique(rank * (more.max() + 1) + more, return_inverse=True)[1]
+        of_left, of_right = place[:left.num_rows], place[left.num_rows:]
+        l_order, r_order = np.argsort(of_left, kind="stable"), np.lexsort((rank, of_right))
+        left, right, of_left, of_right, rank = left.take(l_order), right.take(r_order), of_left[l_order], of_right[r_order], rank[r_order]
+        frags, mzs = right["_frags"].combine_chunks(), left["_mz"].combine_chunks()
+        frag, f_at = frags.flatten().to_numpy(), np.r_[0, np.cumsum(pc.list_value_length(frags).to_numpy())]
+        mz, m_at = mzs.flatten().to_numpy(), np.r_[0, np.cumsum(pc.list_value_length(mzs).to_numpy())]
+        height = left["_int"].combine_chunks().flatten().to_numpy()
+        known = left["_known"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        obs, mass, several = left["_obs_mass"].to_numpy(), right["_p_mass"].to_numpy(), left["_several"].to_numpy(zero_copy_only=False)
+        logs = np.cumsum(np.log10(np.arange(1, 2)))
+        out = []
+        for b in np.intersect1d(of_left, of_right):
+            (l0, l1), (r0, r1) = (np.searchsorted(of, [b, b + 1]) for of in (of_left, of_right))
+            value = frag[f_at[r0]:f_at[r1]]
+            order = np.argsort(value, kind="stable")
+            who = np.repeat(np.arange(r1 - r0), np.diff(f_at[r0:r1 + 1]))[order]
+            distinct, start = np.unique(value[order], return_index=True)
+            start = np.r_[start, len(order)]
+            at = mz[m_at[l0]:m_at[l1]]
+            lo, hi = _within(distinct, at, frag_tol)
+            lo, hi = start[lo], start[hi]
+            same = np.unique(rank[r0:r1], return_inverse=True)[1]  # rows of one key are one peptide
+            firsts = np.searchsorted(same, np.arange(same[-1] + 1))
+            near = mass[r0:r1] * (tol_ppm / 1e6)
+            for i in range(l0, l1):
+                p0, p1 = m_at[i] - m_at[l0], m_at[i + 1] - m_at[l0]
+                size = hi[p0:p1] - lo[p0:p1]
+                if not size.any():
+                    continue
+                hit = np.concatenate([who[x:y] for x, y in zip(lo[p0:p1], hi[p0:p1])])
+                w, k = np.repeat(height[m_at[i]:m_at[i + 1]], size), known[m_at[i]:m_at[i + 1]]
+                fit = np.abs(obs[i] - mass[r0:r1]) <= near
+                if not fit.all():
+                    good = fit[hit]
+                    hit, w = hit[good], w[good]
+                hit = hit if len(firsts) == r1 - r0 else same[hit]
+                count = np.bincount(hit, minlength=len(firsts))
+                peptide = np.flatnonzero(count)
+                if not len(peptide):
+                    continue
+                total, count = np.bincount(hit, w, len(firsts))[peptide], count[peptide]
+                if not k.all():
+                    some = np.repeat(k, size)
+                    missing = np.bincount(hit, some if fit.all() else some[good], len(firsts))[peptide] == 0
+                else:
+                    missing = None
+                if not several[i] and len(peptide) > n:
+                    if count.max() > len(logs):
+                        logs = np.cumsum(np.log10(np.arange(1, count.max() + 1)))
+                    keep = _may_be_best(count, total if missing is None else np.where(missing, 0.0, total), logs, n)
+                    peptide, count, total, missing = peptide[keep], count[keep], total[keep], None if missing is None else missing[keep]
+                out.append((i, r0 + firsts[peptide], count, total, missing))
+        rows = np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64)
+        found, count, total = (np.concatenate([o[j] for o in out]) if out else np.zeros(0, t) for j, t in ((1, np.int64), (2, np.int64), (3, np.float64)))
+        null = np.concatenate([np.zeros(len(o[1]), bool) if o[4] is None else o[4] for o in out]) if out else np.zeros(0, bool)
+        return pa.table([*left.select(list(spectrum)).take(rows).columns, *right.select(list(pep_keys)).take(found).columns,
+                         pa.array(count, pa.int64()), pa.array(total, pa.float64(), mask=null)], names=[*spectrum, *pep_keys, "_n", "_sum"])
+
+    return run
+
+
+def _within(values: np.ndarray, at: np.ndarray, tol: float) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds, per place, of the ascending ``values`` v with abs(place - v) <= tol, as the subtraction rounds."""
+    wide = tol * (1 + 1e-9) + np.abs(at) * 1e-15
+    lo, hi = np.searchsorted(values, at - wide), np.searchsorted(values, at + wide, side="right")
+    last = len(values) - 1
+    while (off := (lo < hi) & ~(np.abs(at - values[np.minimum(lo, last)]) <= tol)).any():
+        lo = lo + off
+    while (off := (lo < hi) & ~(np.abs(at - values[hi - 1]) <= tol)).any():
+        hi = hi - off
+    return lo, hi
+
+
+def _may_be_best(count: np.ndarray, total: np.ndarray, logs: np.ndarray, n: int) -> np.ndarray:
+    """Places, in order, of the candidates that may be the n first by hyperscore, then place. Scores are compared with a margin, since another
+    machine's logarithms may round otherwise; of equal counts and totals the first n are enough."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        score = np.where(total > 0, logs[count - 1] + np.log10(total), -np.inf)
+    score = np.where(np.isnan(total), np.inf, np.where(total == np.inf, 1e300, score))
+    place = np.flatnonzero(score >= np.partition(score, -n)[-n] - 1e-9)
+    if len(place) > n:
+        usual = np.abs(score[place]) < 1e300
+        a, b, c = np.where(usual, count[place], 0), np.where(usual, total[place], 0.0), np.where(usual, 0.0, score[place])
+        order = np.lexsort((place, c, b, a))
+        new = np.r_[True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0) | (c[order][1:] != c[order][:-1])]
+        at = np.arange(len(order))
+        place = np.sort(place[order[at - np.maximum.accumulate(np.where(new, at, 0)) < n]])
+    return place
+
+
 def target_decoy_fdr(psm: DataFrame, score: str, is_decoy: Column | str, by: Sequence[str] = (),
                      higher_is_better: bool = True) -> DataFrame:
     """Per distinct score (and ``by`` group): cumulative target / decoy

@@ -73,7 +73,7 @@ def q104_search_spectra(spark, sf):
     """D6 + D8 + D9 + D10: every part's name and key is a peptide (masses: character codes). Its spectrum has the b ions, a little off
     by key, brighter from ion to ion, and its own mass at charge 2 as precursor; the three best peptides of each, from the peaks."""
     seq = F.concat(F.col("p_name"), F.col("p_partkey").cast("string"))
-    pep = search.peptide_mass(table(spark, sf, "part").select("p_partkey", seq.alias("peptide")), "peptide", CHAR_MASS)
+    pep = search.peptide_mass(spread(table(spark, sf, "part").select("p_partkey", seq.alias("peptide"))), "peptide", CHAR_MASS)
     spectra = pep.select(F.col("p_partkey").alias("scan"), (F.col("mass") / 2 + PROTON).alias("precursor_mz"), F.lit(2).alias("charge"))
     ions = search.theoretical_fragments(pep, "peptide", CHAR_MASS, ["p_partkey"])
     peaks = ions.select(F.col("p_partkey").alias("scan"), (F.col("b_ion") + (F.col("p_partkey") % 7) * 0.001).alias("mz"), (F.col("pos") * 10.0).alias("intensity"))
